@@ -252,7 +252,7 @@ SELECT 'p' || CAST(o_custkey AS STRING) AS pg_id, 'p' || CAST(o_custkey - o_cust
 FROM @orders
 """
 VIEWS["profile_traits"] = """
-SELECT 'p' || CAST(o_custkey AS STRING) AS pg_id, l_partkey % 8 AS trait_id,
+SELECT 'p' || CAST(o_custkey AS STRING) AS pg_id, l_partkey % 8 AS trait_id, o_custkey * 100 + l_linenumber AS consumerid_sourceid_mpn,
   CASE l_partkey % 8 WHEN 0 THEN 'email' WHEN 1 THEN 'userId' WHEN 2 THEN 'gender' WHEN 3 THEN 'registrationDate' WHEN 4 THEN 'countryCode'
     WHEN 5 THEN 'emailValidContactPointIndicator' WHEN 6 THEN 'optCorporate' ELSE 'optFamily' END AS trait_name,
   CASE l_partkey % 8 WHEN 0 THEN CASE WHEN o_custkey % 13 = 0 THEN ' ' ELSE 'e' || CAST(o_custkey AS STRING) || '@mail.org' END

@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from passerine.frames import keep, once
 from passerine.functions import dates
 from passerine.functions.values import (
     ext_first, ext_id, ext_text, ext_type, from_traits_or_properties, has_root, is_falsy, is_text, kind, root, root_text,
@@ -271,7 +272,7 @@ def _contact(name: str) -> Column:
 
 
 def _opt_track(payloads: DataFrame) -> DataFrame:
-    return payloads.filter(is_opt_change() & (root_text("type") == "track"))
+    return keep(payloads, is_opt_change() & (root_text("type") == "track"))
 
 
 def vld5_opt_identity(payloads: DataFrame, mpn: str, now: dt.datetime) -> DataFrame:
@@ -280,7 +281,7 @@ def vld5_opt_identity(payloads: DataFrame, mpn: str, now: dt.datetime) -> DataFr
     for channel, (letter, group) in CONTACT_PAIRS.items():
         named = _prop(f"{channel}SubscriptionOptNumber").isNotNull() | _prop(f"{channel}SubscriptionServiceName").isNotNull()
         ok = ok | F.coalesce((_contact("contactType") == letter) & (_contact("contactCategory") == group) & named, F.lit(False))
-    bad = _opt_track(payloads).filter(~F.coalesce(ok, F.lit(False))).select(root_text("messageId").alias("message_id"), "raw_payload")
+    bad = keep(_opt_track(payloads), ~F.coalesce(ok, F.lit(False))).select(root_text("messageId").alias("message_id"), "raw_payload")
     return _rows(bad, "VLD5", F.lit("optId/SubscriptionOptNumber/SubscriptionServiceName is either missing /wrong "), mpn, now)
 
 
@@ -290,7 +291,7 @@ def vld6_universal_legal_entity(payloads: DataFrame, mpn: str, now: dt.datetime)
     for channel, (letter, group) in CONTACT_PAIRS.items():
         hit = (_contact("contactType") == letter) & (_contact("contactCategory") == group)
         service = F.when(hit, _prop(f"{channel}SubscriptionServiceName")).otherwise(service)
-    tracks = _opt_track(payloads).filter(_prop("legalEntityNumber").isNull())
+    tracks = keep(_opt_track(payloads), _prop("legalEntityNumber").isNull())
     found = tracks.select(
         root_text("messageId").alias("message_id"), "raw_payload",
         F.coalesce(service == "Universal", F.lit(False)).alias("_universal"), F.explode("ext_ids").alias("_e"),
@@ -318,7 +319,7 @@ def with_opt_rows(payloads: DataFrame, opt_map: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct(*OPT_MAP_FIELDS))).alias("_opts"))
     )
     mpn = F.col("properties")[MPN]
-    keyed = payloads.withColumn("_opt_mpn", F.when(is_opt_change() & is_text(mpn), text(mpn)))
+    keyed = once(payloads, _opt_mpn=F.when(is_opt_change() & is_text(mpn), text(mpn)))
     return adaptive_join(keyed, per_program, ["_opt_mpn"]).drop("_opt_mpn")
 
 
@@ -387,7 +388,7 @@ def with_source_flag(payloads: DataFrame, source_map: DataFrame) -> DataFrame:
         F.col("source_id").cast("string").alias("_source"), F.col("mpn").cast("string").alias("_program")
     ).distinct().withColumn("_registered", F.lit(True))
     as_text = lambda name: F.when(is_text(ext_id(name)), ext_text(name))
-    keyed = payloads.withColumns({"_source": as_text("sourceId"), "_program": as_text(MPN)})
+    keyed = once(payloads, _source=as_text("sourceId"), _program=as_text(MPN))
     return adaptive_join(keyed, known, ["_source", "_program"]).drop("_source", "_program")
 
 
@@ -422,11 +423,10 @@ def with_failures(payloads: DataFrame, opt_map: DataFrame, source_map: DataFrame
     """Add ``failures``: the schema failures if there are any, else those of VLD7 to VLD10, in order."""
     at = F.lit(now)
     schema = F.concat(schema_string_failures(at), schema_external_id_failures(at), schema_property_failures(at))
-    staged = with_source_flag(with_opt_rows(payloads.withColumn("_schema", schema), opt_map), source_map)
+    staged = with_source_flag(with_opt_rows(once(payloads, _schema=schema), opt_map), source_map)
     rules = F.concat(vld7_failures(at), vld8_failures(as_of, at), vld9_failures(at), vld10_failures(at))
-    return staged.withColumn("failures", F.when(F.size("_schema") > 0, F.col("_schema")).otherwise(rules)).drop(
-        "_schema", "_opts", "_registered"
-    )
+    first = F.when(F.size("_schema") > 0, F.col("_schema")).otherwise(rules)
+    return once(staged, failures=first).drop("_schema", "_opts", "_registered")
 
 
 def validation_chain(payloads, opt_map, source_map, as_of, now) -> tuple[DataFrame, DataFrame]:
