@@ -2,3 +2,4 @@ from checks import q_routes  # noqa: F401
 from checks import q_enrich  # noqa: F401
 from checks import q_validate  # noqa: F401
 from checks import q_joins  # noqa: F401
+from checks import q_tables  # noqa: F401
