@@ -36,7 +36,7 @@ def _(i):
 @check("group_by_all", ["identifies"], "SELECT user_id, source_id, marketing_program_number, max(ts) AS last_ts FROM identifies GROUP BY ALL")
 def _(i):
     frame = i.identifies.select("user_id", "source_id", "marketing_program_number", "ts")
-    return frame.groupBy("user_id", "source_id", "marketing_program_number").agg(F.max("ts").alias("last_ts"))
+    return aggregates.group_by_all(frame, ["ts"], {"last_ts": F.max("ts")})
 
 
 @check("count_distinct_union", ["identifies"], """

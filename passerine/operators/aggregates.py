@@ -29,9 +29,10 @@ def external_id_pivot(payloads: DataFrame, types: list[str], prefix: str = "e_")
     return payloads.withColumns(picked)
 
 
-def group_by_all(df: DataFrame, aggs: dict[str, Column]) -> DataFrame:
-    """Group by every column and aggregate ``aggs`` beside them."""
-    return df.groupBy(*df.columns).agg(*[c.alias(n) for n, c in aggs.items()])
+def group_by_all(df: DataFrame, measures: list[str], aggs: dict[str, Column]) -> DataFrame:
+    """Group by every column that is not a measure."""
+    keys = [c for c in df.columns if c not in measures]
+    return df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
 
 
 def count_distinct_union(df: DataFrame, entity: str, specs: dict[str, Column]) -> DataFrame:

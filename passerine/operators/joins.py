@@ -270,10 +270,19 @@ def trait_resolution(leaves, ids, eco, aliases, traits, source_map, default_mpn,
     filled = leaves.filter(F.trim(F.coalesce("val", F.lit(""))) != "")
     out = filled.join(names, "key", "left").join(also, "key", "left")
     out = out.withColumn("traitId", F.coalesce("_eco_id", "_alias_id")).join(known, "traitId", "left_semi")
-    out = adaptive_join(out, people, ["userId"])
-    out = out.withColumns({
-        "_pm": F.coalesce(F.col("marketingProgramNumber").try_cast("bigint"), F.col("_mpn").try_cast("bigint"), F.lit(default_mpn).cast("bigint")),
-        "_ps": F.coalesce(F.col("sourceId").try_cast("bigint"), F.col("_source").try_cast("bigint")),
+    # Rows that know their person, program and source need nothing from the user's other records, so
+    # only the others are joined; a user with many records is not multiplied by all of them.
+    own_mpn, own_source = F.col("marketingProgramNumber").try_cast("bigint"), F.col("sourceId").try_cast("bigint")
+    complete = F.col("consumerid_sourceid_mpn").isNotNull() & own_mpn.isNotNull() & own_source.isNotNull()
+    none = {"_person": "string", "_mpn": "bigint", "_source": "bigint"}
+    done = out.filter(complete).withColumns({n: F.lit(None).cast(t) for n, t in none.items()})
+    people = people.select(
+        "userId", "_person", F.col("_mpn").try_cast("bigint").alias("_mpn"), F.col("_source").try_cast("bigint").alias("_source")
+    ).distinct()
+    open_rows = adaptive_join(out.filter(~F.coalesce(complete, F.lit(False))), people, ["userId"])
+    out = done.unionByName(open_rows).withColumns({
+        "_pm": F.coalesce(own_mpn, F.col("_mpn"), F.lit(default_mpn).cast("bigint")),
+        "_ps": F.coalesce(own_source, F.col("_source")),
     })
     out = out.join(pairs, ["_pm", "_ps"], "left_semi")
     out = out.withColumn("consumerid_sourceid_mpn", F.coalesce("consumerid_sourceid_mpn", "_person"))
