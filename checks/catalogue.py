@@ -4,3 +4,4 @@ from checks import q_validate  # noqa: F401
 from checks import q_joins  # noqa: F401
 from checks import q_tables  # noqa: F401
 from checks import q_jobs  # noqa: F401
+from checks import q_io  # noqa: F401
