@@ -28,10 +28,10 @@ FROM pl_scalars GROUP BY 1, 2
 """)
 def _(i):
     """Flagship: events kept and blocked by retention, per event."""
-    kept, blocked = joins.retention_split(route.with_user_key(i.payloads()), retained(i))
+    flagged = joins.retention_flag(route.with_user_key(i.payloads()), retained(i))
     name = F.coalesce(root_text("event"), root_text("type")).alias("event")
-    both = kept.select(name, F.lit("kept").alias("branch")).unionByName(blocked.select(name, F.lit("blocked").alias("branch")))
-    return both.groupBy("event", "branch").agg(F.count(F.lit(1)).alias("n"))
+    branch = F.when(F.col("blocked"), "blocked").otherwise("kept").alias("branch")
+    return flagged.select(name, branch).groupBy("event", "branch").agg(F.count(F.lit(1)).alias("n"))
 
 
 @check("partial_retention_split", ["pl_scalars", "identifies"], """

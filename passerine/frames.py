@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 
 def once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add or replace columns that are evaluated exactly once per row.
+    """Add or replace columns (they come last) that are evaluated exactly once per row.
 
     The optimizer may copy a projected expression into every later use: into filters it pushes
     down, and into lambdas that run per map entry.  For JSON parsing and map rewriting that would
     repeat the work many times.  Passing the values through a one-row ``inline`` generator stops
     both rewrites, stays inside the JVM and changes neither the rows nor their partitioning.
     """
+    # The projection below the generator lets code generation share common sub-expressions.
     kept = [c for c in df.columns if c not in columns]
-    packed = F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))
-    widened = df.select(*kept, F.inline_outer(packed))
-    order = df.columns + [c for c in columns if c not in df.columns]
-    return widened.select(*order)
+    staged = df.select(*kept, *[value.alias(f"_once_{name}") for name, value in columns.items()])
+    packed = F.array(F.struct(*[F.col(f"_once_{name}").alias(name) for name in columns]))
+    return staged.select(*kept, F.inline_outer(packed))
 
 
 def split(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:

@@ -18,10 +18,18 @@ def with_membership(df: DataFrame, members: DataFrame, key: str, name: str) -> D
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
+def retention_flag(payloads: DataFrame, retained_out: DataFrame, name: str = "blocked") -> DataFrame:
+    """Add boolean ``blocked``: the record's ``user_key`` is in ``retained_out.user_id``.
+
+    One pass for callers that write both outputs partitioned by the flag.
+    """
+    users = retained_out.select(F.col("user_id").alias("user_key"))
+    return with_membership(payloads, users, "user_key", name)
+
+
 def retention_split(payloads: DataFrame, retained_out: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, blocked): records whose ``user_key`` is in ``retained_out.user_id`` are blocked."""
-    users = retained_out.select(F.col("user_id").alias("user_key"))
-    flagged = with_membership(payloads, users, "user_key", "_blocked")
+    flagged = retention_flag(payloads, retained_out, "_blocked")
     return flagged.filter(~F.col("_blocked")).drop("_blocked"), flagged.filter("_blocked").drop("_blocked")
 
 

@@ -137,31 +137,51 @@ def schema_string_failures(reported_at: Column) -> Column:
     return F.when(_schema_applies(), listed(*found)).otherwise(no_failures())
 
 
+def _external_id_state(name: str, pattern: str) -> Column:
+    """One pass over the external ids of a type up to its first good entry: what was wrong before it."""
+    start = F.struct(
+        F.lit(False).alias("seen"), F.lit(False).alias("done"), F.lit(None).cast("string").alias("bad"),
+        F.lit(False).alias("empty"), F.lit(False).alias("mistyped"),
+    )
+
+    def step(acc, item):
+        txt, textual = text(item["id"]), is_text(item["id"])
+        ours = F.coalesce(ext_type(item) == name, F.lit(False))
+        good = textual & (txt != "") & txt.rlike(pattern)
+        looked_at = F.struct(
+            F.lit(True).alias("seen"), good.alias("done"),
+            F.when(textual & (txt != "") & ~good, txt).otherwise(acc["bad"]).alias("bad"),
+            (acc["empty"] | (textual & (txt == ""))).alias("empty"), (acc["mistyped"] | ~textual).alias("mistyped"),
+        )
+        return F.when(ours & ~acc["done"], looked_at).otherwise(acc)
+
+    return F.aggregate("ext_ids", start, step)
+
+
+def with_external_id_states(payloads: DataFrame) -> DataFrame:
+    return once(payloads, **{f"_x_{name}": _external_id_state(name, fmt) for name, fmt in EXTERNAL_ID_FORMATS.items()})
+
+
 def schema_external_id_failures(reported_at: Column) -> Column:
-    """Per type: wrong format, empty, wrong JSON type (entries before the first good one), missing."""
+    """Per type: wrong format, empty, wrong JSON type (entries before the first good one), missing.
+
+    Reads the columns of ``with_external_id_states``.
+    """
     found = []
-    for name, pattern in EXTERNAL_ID_FORMATS.items():
-        entries = F.filter("ext_ids", lambda x: ext_type(x) == name)
-        good = lambda x: is_text(x["id"]) & (text(x["id"]) != "") & text(x["id"]).rlike(pattern)
-        flags = F.transform(entries, good)
-        first_good = F.array_position(flags, F.lit(True))
-        before = F.filter(entries, lambda _, i: (first_good == 0) | (i + 1 < first_good))
-        mismatched = F.filter(before, lambda x: is_text(x["id"]) & (text(x["id"]) != "") & ~text(x["id"]).rlike(pattern))
-        empty = F.exists(before, lambda x: is_text(x["id"]) & (text(x["id"]) == ""))
-        mistyped = F.exists(before, lambda x: ~is_text(x["id"]))
+    for name in EXTERNAL_ID_FORMATS:
+        state = F.col(f"_x_{name}")
         make = partial(failure, "MCPC", mpn=_schema_mpn(), reported_at=reported_at)
-        shown = text(F.element_at(mismatched, -1)["id"])
-        found.append(F.when(F.size(mismatched) > 0, make(
+        found.append(F.when(state["bad"].isNotNull(), make(
             f"Validate If {name} is in valid format in Payload",
-            F.concat(F.lit(f"INVALID_FORMAT: {name} with value "), shown, F.lit(" is not expected value for this field")),
+            F.concat(F.lit(f"INVALID_FORMAT: {name} with value "), state["bad"], F.lit(" is not expected value for this field")),
         )))
-        found.append(F.when(empty, make(f"Validate If {name} is null in Payload", F.lit(f"FIELD_NULL: {name} is null"))))
-        found.append(F.when(mistyped, make(
+        found.append(F.when(state["empty"], make(f"Validate If {name} is null in Payload", F.lit(f"FIELD_NULL: {name} is null"))))
+        found.append(F.when(state["mistyped"], make(
             f"Validate If {name} is having valid datatype in Payload",
             F.lit(f"INVALID DATATYPE: {name} is having invalid datatype"),
         )))
         if name in (MPN, "sourceId", "consumerId"):
-            missing = F.size(entries) == 0
+            missing = ~state["seen"]
             if name == "consumerId":
                 missing = missing & from_traits_or_properties("offlineConsumerId").isNull()
             found.append(F.when(missing, make(
@@ -204,7 +224,7 @@ def vld_schema_strings(payloads: DataFrame, now: dt.datetime) -> DataFrame:
 
 
 def vld_schema_external_ids(payloads: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(payloads, schema_external_id_failures(F.lit(now)))
+    return emit(with_external_id_states(payloads), schema_external_id_failures(F.lit(now)))
 
 
 def vld_schema_properties(payloads: DataFrame, now: dt.datetime) -> DataFrame:
@@ -348,8 +368,8 @@ def vld7_failures(reported_at: Column) -> Column:
         hits = [F.when(given[k] & is_text(values[k]) & (text(values[k]) == row[k]), F.lit(k)) for k in values]
         return F.filter(F.array(*hits), lambda k: k.isNotNull())
 
-    scored = F.transform("_opts", lambda row, i: F.struct(
-        F.size(matched(row)).alias("n"), (-i).alias("order"), matched(row).alias("keys")))
+    keyed = F.transform("_opts", lambda row, i: F.struct(matched(row).alias("keys"), (-i).alias("order")))
+    scored = F.transform(keyed, lambda k: F.struct(F.size(k["keys"]).alias("n"), k["order"].alias("order"), k["keys"].alias("keys")))
     best = F.array_max(scored)
     number = values["subscription_opt_number"]
     exempt = F.coalesce(text(props[MPN]) == UNIVERSAL_MPN, F.lit(False)) | F.coalesce(
@@ -423,7 +443,8 @@ def with_failures(payloads: DataFrame, opt_map: DataFrame, source_map: DataFrame
     """Add ``failures``: the schema failures if there are any, else those of VLD7 to VLD10, in order."""
     at = F.lit(now)
     schema = F.concat(schema_string_failures(at), schema_external_id_failures(at), schema_property_failures(at))
-    staged = with_source_flag(with_opt_rows(once(payloads, _schema=schema), opt_map), source_map)
+    staged = once(with_external_id_states(payloads), _schema=schema).select(*payloads.columns, "_schema")
+    staged = with_source_flag(with_opt_rows(staged, opt_map), source_map)
     rules = F.concat(vld7_failures(at), vld8_failures(as_of, at), vld9_failures(at), vld10_failures(at))
     first = F.when(F.size("_schema") > 0, F.col("_schema")).otherwise(rules)
     return once(staged, failures=first).drop("_schema", "_opts", "_registered")

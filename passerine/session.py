@@ -18,6 +18,11 @@ RUNTIME_SETTINGS = {
 }
 
 
+# Settings that must be there when the session is created: no call-site capture per column expression,
+# which otherwise dominates the time to build plans of many expressions.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the engine's run-time settings to a session the caller owns.
 
@@ -33,7 +38,7 @@ def get_session(app: str = "passerine", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **conf}.items():
+    for key, value in {**STATIC_SETTINGS, **RUNTIME_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
