@@ -46,7 +46,8 @@ VIEWS["opt_map"] = """
 SELECT CAST(100 + s_nationkey AS STRING) AS cdp_marketing_program_number,
        CASE WHEN s_suppkey % 2 = 0 THEN '12_34' ELSE '77_1' END AS ciam_opt_id,
        'S' || CAST(s_suppkey % 4 AS STRING) AS service_name, CAST(s_suppkey % 50 AS STRING) AS subscription_opt_number,
-       'E' AS contact_point_type_code, 'EP' AS contact_point_category_code
+       CASE WHEN s_suppkey % 5 = 4 THEN 'P' ELSE 'E' END AS contact_point_type_code,
+       CASE WHEN s_suppkey % 5 = 4 THEN 'PM' ELSE 'EP' END AS contact_point_category_code
 FROM @supplier
 """
 
