@@ -9,6 +9,7 @@ from checks.q_joins import COMPARED, COMPARED_VIEWS, LATEST_ALIAS, OUT, RESCI, R
 from checks.q_routes import CATALOGUE, INVALID, SIGNATURE
 from checks.q_tables import IDMAP, MERGED, PROGRAMS, RATE
 from checks.registry import AS_OF, NOW, NOW_SQL, branches, check, message_id
+from passerine.frames import split
 from passerine.functions.values import ext_text, root_text, text
 from passerine.operators import identity, joins, route, service_payloads, windows
 from passerine.operators.route import MPN
@@ -29,7 +30,7 @@ SELECT message_id, CASE WHEN coalesce(NOT xmpn_num AND xmpn IN (SELECT m FROM in
 """)
 def _(i):
     invalid = joins.not_in_antijoin(i.identifies, "marketing_program_number", i.known_mpns())
-    return branches(**migration.retention_job(i.payloads(), invalid, retained(i)))
+    return migration.retention_flagged(i.payloads(), invalid, retained(i)).select(message_id(), "branch")
 
 
 PARTIAL = "SELECT user_id FROM identifies WHERE (email = ' ' OR phone_number = ' ') AND (address_line1 IS NULL OR address_line1 <> ' ')"
@@ -95,15 +96,14 @@ UNION ALL SELECT mid, 'failures', n FROM bad UNION ALL SELECT mid, 'postal_exclu
 UNION ALL SELECT message_id, 'other', 1 FROM s WHERE NOT (is_opt OR is_identify)
 """)
 def _(i):
-    registration = i.payloads().withColumn("route", F.when(
-        F.coalesce(root_text("event") == "Changed Opt Status", F.lit(False)) | (root_text("type") == "identify"), "r").otherwise("o"))
-    routes = {"registration": registration.filter("route = 'r'"), "other": registration.filter("route = 'o'")}
+    ours = F.coalesce(root_text("event") == "Changed Opt Status", F.lit(False)) | (root_text("type") == "identify")
+    routes = dict(zip(("registration", "other"), split(i.payloads(), ours)))
     segments = i.crs_source.select("segment_source_id", F.col("source_id").alias("pg_data_source_id"))
     refs = {"aliases": i.crs_aliases, "segment_sources": segments, "opt_map": i.opt_map, "source_map": i.crs_source.select("source_id", "mpn")}
-    out = migration.external_id_job(routes, refs, "42", AS_OF, NOW)
-    rows = windows.union_all(*[
-        (df.select("message_id", F.lit(n).alias("branch")) if n == "failures" else df.select(message_id(), F.lit(n).alias("branch"))) for n, df in out.items()])
-    return rows.groupBy("message_id", "branch").agg(F.count(F.lit(1)).alias("n"))
+    checked = migration.checked_registration(routes["registration"], refs, "42", AS_OF, NOW)
+    n = F.when(F.col("branch") == "failures", F.size("failures")).otherwise(1).cast("bigint").alias("n")
+    other = migration.enrich_event(routes["other"]).select(message_id(), F.lit("other").alias("branch"), F.lit(1).cast("bigint").alias("n"))
+    return checked.select(message_id(), "branch", n).unionByName(other)
 
 
 @check("filter_date_job", ["pl_blocks"], S + """,

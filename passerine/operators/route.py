@@ -35,10 +35,13 @@ def with_user_key(payloads: DataFrame) -> DataFrame:
     return once(payloads, user_key=key)
 
 
+def has_user_key() -> Column:
+    return has_root("userId") | has_root("anonymousId")
+
+
 def split_keyless(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(has userId or anonymousId, has neither)."""
-    keyed = has_root("userId") | has_root("anonymousId")
-    return split(payloads, keyed)
+    return split(payloads, has_user_key())
 
 
 def filter_backdated(payloads: DataFrame, as_of: dt.date, anonymous_mode: str = "recent") -> DataFrame:
@@ -167,8 +170,15 @@ def postal_only() -> Column:
 
 def split_postal_only(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(excluded, proper); excluded records are tagged ``postal = 'exclude'`` at the top level."""
-    tagged, proper = split(payloads, postal_only())
-    return once(tagged, root=put(F.col("root"), "postal", variant(F.lit("exclude")))), proper
+    tagged, proper = split(tag_postal_only(payloads, "_postal"), F.col("_postal"))
+    return tagged.drop("_postal"), proper.drop("_postal")
+
+
+def tag_postal_only(payloads: DataFrame, name: str) -> DataFrame:
+    """Add boolean ``name``; records to exclude are tagged ``postal = 'exclude'`` at the top level."""
+    flagged = once(payloads, **{name: postal_only()})
+    tagged = put(F.col("root"), "postal", variant(F.lit("exclude")))
+    return once(flagged, root=F.when(F.col(name), tagged).otherwise(F.col("root")))
 
 
 def landing_text(value: Column) -> Column:
@@ -245,17 +255,22 @@ def partial_retention(identifies: DataFrame) -> DataFrame:
     return identifies.filter(erased & address).select("user_id").distinct()
 
 
-def split_validated(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(passed, failed rows) of a frame with a ``failures`` array.
-
-    A lone VLD8 failure does not block.  Each failed rule gives one row carrying the payload text.
-    """
+def passes() -> Column:
+    """No failure, or only the non-blocking VLD8."""
     lone = (F.size("failures") == 1) & (F.col("failures")[0]["dq_validation_id"] == "VLD8")
-    passed = (F.size("failures") == 0) | lone
-    good, bad = split(payloads, passed)
-    failed = bad.select("raw_payload", F.explode("failures").alias("f"))
-    rows = failed.select(
+    return (F.size("failures") == 0) | lone
+
+
+def failure_rows(failed: DataFrame) -> DataFrame:
+    """One row per failed rule, carrying the payload text."""
+    rows = failed.select("raw_payload", F.explode("failures").alias("f"))
+    return rows.select(
         F.col("f.message_id"), "raw_payload", F.col("f.mpn"), F.col("f.dq_validation_id"),
         F.col("f.dq_validation_description"), F.col("f.error_details"), F.col("f.reported_at"),
     )
-    return good.drop("failures"), rows
+
+
+def split_validated(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(passed, failed rows) of a frame with a ``failures`` array; a lone VLD8 failure does not block."""
+    good, bad = split(payloads, passes())
+    return good.drop("failures"), failure_rows(bad)

@@ -11,18 +11,33 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from passerine.frames import once
 from passerine.operators import enrich, joins, route, validate
 from passerine.operators.aggregates import latest_per_user_event
 from passerine.plans.staging import Stage, inline
 from passerine.payload import parse_payloads, to_document
 
 
+def retention_flagged(payloads: DataFrame, invalid_mpns: DataFrame, retained_out: DataFrame) -> DataFrame:
+    """Payloads with ``branch``: kept, blocked (retention-out user), invalid (listed program), corrupt (no user key).
+
+    One pass; write it partitioned by ``branch``, or take the outputs from ``retention_job``.
+    """
+    flagged = route.flag_invalid_mpn(route.with_user_key(payloads), invalid_mpns)
+    flagged = joins.retention_flag(flagged, retained_out, "_blocked")
+    branch = (
+        F.when(F.col("invalid_mpn"), "invalid").when(~route.has_user_key(), "corrupt").when(F.col("_blocked"), "blocked").otherwise("kept")
+    )
+    return once(flagged, branch=branch).drop("invalid_mpn", "_blocked")
+
+
+def _outputs(flagged: DataFrame, names: list[str]) -> dict[str, DataFrame]:
+    return {name: flagged.filter(F.col("branch") == name).drop("branch") for name in names}
+
+
 def retention_job(payloads: DataFrame, invalid_mpns: DataFrame, retained_out: DataFrame) -> dict[str, DataFrame]:
-    """kept, blocked (retention-out users), invalid (listed programs), corrupt (no user key)."""
-    valid, invalid = route.split_invalid_mpn(payloads, invalid_mpns)
-    keyed, corrupt = route.split_keyless(route.with_user_key(valid))
-    kept, blocked = joins.retention_split(keyed, retained_out)
-    return {"kept": kept, "blocked": blocked, "invalid": invalid, "corrupt": corrupt}
+    """kept, blocked, invalid and corrupt payloads."""
+    return _outputs(retention_flagged(payloads, invalid_mpns, retained_out), ["kept", "blocked", "invalid", "corrupt"])
 
 
 def splitter_job(payloads: DataFrame, catalogue: DataFrame, partial: DataFrame, lookups: DataFrame, as_of: dt.date, country: str,
@@ -61,6 +76,20 @@ def enrich_event(payloads: DataFrame) -> DataFrame:
     return enrich.external_ids_to_traits(out)
 
 
+def checked_registration(registration: DataFrame, refs: dict[str, DataFrame], legal_entity: str, as_of: dt.date, now: dt.datetime) -> DataFrame:
+    """Enriched registration records with ``branch`` (passed, failures, postal_excluded) and their ``failures``.
+
+    ``raw_payload`` is the enriched document.  One pass; write it partitioned by ``branch``, or take
+    the outputs from ``external_id_job``.
+    """
+    done = enrich_registration(registration, refs["aliases"], refs["segment_sources"], legal_entity)
+    tagged = route.tag_postal_only(done, "_excluded")
+    documented = once(tagged, raw_payload=to_document())
+    checked = validate.with_failures(documented, refs["opt_map"], refs["source_map"], as_of, now)
+    branch = F.when(F.col("_excluded"), "postal_excluded").when(route.passes(), "passed").otherwise("failures")
+    return once(checked, branch=branch).drop("_excluded")
+
+
 def external_id_job(routes: dict[str, DataFrame], refs: dict[str, DataFrame], legal_entity: str, as_of: dt.date, now: dt.datetime,
                     delta: bool = False, stage: Stage = inline) -> dict[str, DataFrame]:
     """passed, failures, postal_excluded for registration; the enriched other routes.
@@ -68,18 +97,16 @@ def external_id_job(routes: dict[str, DataFrame], refs: dict[str, DataFrame], le
     ``refs``: aliases, segment_sources, opt_map, source_map.  In delta mode the other routes keep
     the latest record per user and event.
     """
-    done = enrich_registration(routes["registration"], refs["aliases"], refs["segment_sources"], legal_entity)
-    excluded, proper = route.split_postal_only(done)
-    proper = proper.withColumn("raw_payload", to_document())
-    checked = validate.with_failures(proper, refs["opt_map"], refs["source_map"], as_of, now)
+    checked = checked_registration(routes["registration"], refs, legal_entity, as_of, now)
     if stage is not inline:
-        checked = stage(checked, "checked")
-    passed, failures = route.split_validated(checked)
-    out = {"passed": passed, "failures": failures, "postal_excluded": excluded}
+        checked = parse_payloads(stage(checked.select("raw_payload", "failures", "branch"), "checked"))
+    out = _outputs(checked, ["passed", "failures", "postal_excluded"])
+    out["failures"] = route.failure_rows(out["failures"])
+    out["passed"], out["postal_excluded"] = out["passed"].drop("failures"), out["postal_excluded"].drop("failures")
     for name in ("clickstream", "clt", "other"):
         if name in routes:
             rows = enrich_event(routes[name])
-            out[name] = latest_per_user_event(rows.withColumn("raw_payload", to_document())) if delta else rows
+            out[name] = latest_per_user_event(once(rows, raw_payload=to_document())) if delta else rows
     return out
 
 
