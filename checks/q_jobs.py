@@ -156,6 +156,25 @@ def trait_winners(i):
     return compression.compress_traits(identities, ids, i.eco_system_trait, i.trait_alias, i.trait, i.crs_source, "100")
 
 
+@check("trait_resolution", TRAIT_VIEWS, IDENT + TRAITS + """
+SELECT person AS consumerid_sourceid_mpn, trait_id AS "traitId", val AS trait_value, d AS trait_consumer_last_updated_date, tid AS trace_id FROM tt
+""")
+def _(i):
+    identities = compression.identity_rows(i.payloads(), MPNS, "100")
+    ids = compression.compress_ids(identities)
+    return joins.trait_resolution(
+        compression.trait_leaves(identities), ids, i.eco_system_trait, i.trait_alias, i.trait, i.crs_source, "100")
+
+
+@check("winner_join", ["pl_scalars", "replay_table", "profile_consents"], """
+SELECT message_id FROM pl_scalars WHERE message_id IN (SELECT message_id FROM replay_table) OR message_id IN (SELECT 'm' || substr(trace_id, 2) FROM profile_consents)
+""")
+def _(i):
+    raw = i.payloads().select("raw_payload", message_id())
+    carriers = i.profile_consents.select(F.concat(F.lit("m"), F.col("trace_id").substr(2, 20)).alias("trace_id"))
+    return joins.winner_join(raw, i.replay_table.select(F.col("message_id").alias("trace_id")), carriers).select("message_id")
+
+
 @check("compress_traits", TRAIT_VIEWS, IDENT + TRAITS + """
 SELECT person AS consumerid_sourceid_mpn, trait_id AS "traitId", val AS trait_value, d AS trait_consumer_last_updated_date, tid AS trace_id FROM tw
 """)

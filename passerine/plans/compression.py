@@ -60,12 +60,16 @@ def compress_ids(identities: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def compress_traits(identities: DataFrame, ids: DataFrame, eco, aliases, traits, source_map, default_mpn: str) -> DataFrame:
-    """Newest trait rows per (person, trait, value); ties kept."""
+def trait_leaves(identities: DataFrame) -> DataFrame:
+    """Scalar leaves (key, val) of the traits beside their record's identity."""
     columns = ["userId", "traceId", "lastActivityDate", MPN, "sourceId", "consumerid_sourceid_mpn"]
     nested = identities.select(*columns, F.to_variant_object("_traits").alias("_t")).filter(F.col("_t").isNotNull())
-    leaves = leaves_to_rows(nested, F.col("_t")).drop("_t")
-    return latest_trait_rank(trait_resolution(leaves, ids, eco, aliases, traits, source_map, default_mpn))
+    return leaves_to_rows(nested, F.col("_t")).drop("_t")
+
+
+def compress_traits(identities: DataFrame, ids: DataFrame, eco, aliases, traits, source_map, default_mpn: str) -> DataFrame:
+    """Newest trait rows per (person, trait, value); ties kept."""
+    return latest_trait_rank(trait_resolution(trait_leaves(identities), ids, eco, aliases, traits, source_map, default_mpn))
 
 
 def compress_consents(payloads: DataFrame, types: DataFrame, country: str, legal_entity: int) -> DataFrame:
