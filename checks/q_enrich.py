@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from checks.registry import NOW, check, message_id
-from passerine.frames import once
 from passerine.functions.values import ext_id, ext_text, ext_type, has_key, is_text, kind, root_text, text
 from passerine.operators import enrich, identity, joins, route, service_payloads
 from passerine.operators.route import MPN

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.q_validate import CHAIN, source_map
 from checks.registry import AS_OF, NOW, NOW_SQL, check, message_id
-from passerine.operators import aggregates, identity, route, validate
+from passerine.operators import identity, route, validate
 from passerine.plans import delivery
 from passerine.sinks import writers
 from passerine.sources import readers

@@ -5,12 +5,15 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from checks.q_enrich import S, LOOKUPS, CONSENT_SQL, CRS_VIEWS, consent_documents, lookups
-from checks.q_joins import COMPARED, COMPARED_VIEWS, LATEST_ALIAS, OUT, RESCI, RESOLVED, RESOLVED_VIEWS, SUGGEST_VIEWS, resolved, retained, target_traits, trait_catalogue
+from checks.q_joins import (
+    COMPARED, COMPARED_VIEWS, LATEST_ALIAS, OUT, RESCI, RESOLVED, RESOLVED_VIEWS, SUGGEST_VIEWS, retained,
+    target_traits, trait_catalogue,
+)
 from checks.q_routes import CATALOGUE, INVALID, SIGNATURE
-from checks.q_tables import IDMAP, MERGED, PROGRAMS, RATE
-from checks.registry import AS_OF, NOW, NOW_SQL, branches, check, message_id
+from checks.q_tables import IDMAP, PROGRAMS, RATE
+from checks.registry import AS_OF, NOW, NOW_SQL, check, message_id
 from passerine.frames import split
-from passerine.functions.values import ext_text, root_text, text
+from passerine.functions.values import ext_text, root_text
 from passerine.operators import identity, joins, route, service_payloads, windows
 from passerine.operators.route import MPN
 from passerine.plans import audience, compression, migration, profiles, reports

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.q_enrich import LOOKUPS, lookups
+from checks.q_enrich import LOOKUPS
 from checks.q_routes import INVALID, SIGNATURE
 from checks.registry import branches, check, message_id
 from passerine.functions.values import root_text

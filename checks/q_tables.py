@@ -2,10 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from checks.q_joins import COMPARED, COMPARED_VIEWS, SIG_DISTINCT, single_users, source_traits, target_traits
-from checks.q_routes import SIGNATURE
+from checks.q_joins import COMPARED, COMPARED_VIEWS, single_users, source_traits, target_traits
 from checks.registry import NOW, NOW_SQL, check, message_id
-from passerine.functions.values import root_text, text
 from passerine.operators import aggregates, identity, joins, reshape, route, windows
 from passerine.operators.route import MPN
 

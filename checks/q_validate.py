@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.q_enrich import S
-from checks.registry import AS_OF, NOW, NOW_SQL, branches, check, message_id
+from checks.registry import AS_OF, NOW, branches, check, message_id
 from passerine.functions.values import root_text
 from passerine.operators import route, validate
 

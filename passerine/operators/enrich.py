@@ -13,10 +13,10 @@ from passerine.frames import once
 from passerine.functions import dates
 from passerine.functions.values import (
     VARIANT_MAP, empty_map, ext_append, ext_drop_first, ext_entry, ext_first, ext_id, ext_text, ext_type,
-    from_traits_or_properties, has_key, has_root, is_blank, is_falsy, is_null_or_blank, is_object, is_text, kind,
-    put, put_all, root, root_text, text, variant,
+    from_traits_or_properties, has_key, has_root, is_blank, is_falsy, is_null_or_blank, is_text, kind, put, put_all,
+    root, root_text, text, variant,
 )
-from passerine.operators.route import MPN, OPT_EVENT, is_opt_change
+from passerine.operators.route import MPN, is_opt_change
 from passerine.operators.skew import fits_broadcast, adaptive_join
 from passerine.payload import canonical_json, to_document
 
@@ -290,9 +290,7 @@ def split_channels(payloads: DataFrame) -> DataFrame:
     props = F.col("properties")
     email_value = F.col("properties")["email"]
     has_email = ~is_falsy(email_value)
-    in_channel = lambda k: k.startswith(CHANNELS[0])
-    for other in CHANNELS[1:]:
-        in_channel = (lambda prev, o: lambda k: prev(k) | k.startswith(o))(in_channel, other)
+    in_channel = lambda k: k.rlike("^(" + "|".join(CHANNELS) + ")")
     common = F.map_filter(props, lambda k, _: ~in_channel(k))
     options = []
     for channel in CHANNELS:
