@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from passerine.llm import bpe, pii, quality, secret_scan, token_counts
+from passerine.llm import bpe, pii, quality, secret_scan, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +29,36 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other vectors for every hundredth one."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op3_topk_search"] = """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), usable AS (
+  SELECT vec_id FROM parts GROUP BY vec_id HAVING count(*) = count(x) AND bool_and(isfinite(x))
+), v AS (
+  SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS c FROM parts JOIN usable USING (vec_id)
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(sum(q.c * v.c) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.i = v.i AND q.vec_id <> v.vec_id
+  WHERE q.vec_id % 100 = 0 GROUP BY ALL
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labelled rows that aren't held out."""
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every whole text, by digest."""
