@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passerine.llm import bpe, pii, quality, secret_scan, token_counts, topk, toxicity
+from passerine.llm import bpe, minhash, pii, quality, secret_scan, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +29,35 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
+    return minhash.classes(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_minhash_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM words WHERE len(w) > 0
+), shingles AS (
+  SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS s, count(*) AS c FROM places GROUP BY ALL
+), sizes AS (
+  SELECT doc_id, sum(c) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, sum(least(x.c, y.c)) AS o
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 5 * o >= 4 * (p.n + q.n - o)
+), reach(doc_id, class_id) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT l.b, r.class_id FROM reach r JOIN links l ON l.a = r.doc_id WHERE r.class_id < l.b
+)
+SELECT doc_id, min(class_id) AS class_id FROM reach GROUP BY doc_id
+"""
+
+
 @query
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best other vectors for every hundredth one."""
