@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passerine.llm import bpe, minhash, pii, quality, secret_scan, token_counts, topk, toxicity
+from passerine.llm import bpe, minhash, mixing, pii, quality, secret_scan, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +88,78 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's weight takes them, with their place in each pass."""
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_mixing"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS name, coalesce(source, '') AS source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n
+  FROM documents
+), totals AS (
+  SELECT source, CAST(sum(n) AS BIGINT) AS t FROM docs GROUP BY source
+), parts AS (
+  SELECT source, t, t / sum(t) OVER () AS p FROM totals WHERE t > 0
+), facts AS (
+  SELECT CAST((SELECT sum(t) FROM totals) AS DOUBLE) AS budget, 0.95 * ln(count(*)) AS goal FROM parts
+), by_entropy(k, low, high) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT k + 1, CASE WHEN ok THEN (low + high) / 2 ELSE low END, CASE WHEN ok THEN high ELSE (low + high) / 2 END
+  FROM (
+    SELECT k, low, high, (SELECT goal FROM facts) <= (
+      SELECT -sum(w * ln(w)) FROM (SELECT pow(p, (low + high) / 2) / sum(pow(p, (low + high) / 2)) OVER () AS w FROM parts)
+    ) AS ok
+    FROM by_entropy WHERE k < 60
+  )
+), at_one AS (
+  SELECT -sum(p * ln(p)) >= (SELECT goal FROM facts) AS flat FROM parts
+), start AS (
+  SELECT CASE WHEN (SELECT flat FROM at_one) THEN 1.0 ELSE low END AS a FROM by_entropy WHERE k = 60
+), excess AS (
+  SELECT max(w * (SELECT budget FROM facts) / t) > 4 AS too_much
+  FROM (SELECT t, pow(p, (SELECT a FROM start)) / sum(pow(p, (SELECT a FROM start))) OVER () AS w FROM parts)
+), by_repeats(k, low, high) AS (
+  SELECT 0, (SELECT a FROM start), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT k + 1, CASE WHEN bad THEN (low + high) / 2 ELSE low END, CASE WHEN bad THEN high ELSE (low + high) / 2 END
+  FROM (
+    SELECT k, low, high, (
+      SELECT max(w * (SELECT budget FROM facts) / t) > 4
+      FROM (SELECT t, pow(p, (low + high) / 2) / sum(pow(p, (low + high) / 2)) OVER () AS w FROM parts)
+    ) AS bad
+    FROM by_repeats WHERE k < 60
+  )
+), chosen AS (
+  SELECT CASE WHEN (SELECT too_much FROM excess) THEN (SELECT high FROM by_repeats WHERE k = 60) ELSE (SELECT a FROM start) END AS a
+), goals AS (
+  SELECT source, t, CAST(floor(w * (SELECT budget FROM facts)) AS BIGINT) AS goal
+  FROM (SELECT source, t, pow(p, (SELECT a FROM chosen)) / sum(pow(p, (SELECT a FROM chosen))) OVER () AS w FROM parts)
+), shares AS (
+  SELECT source, goal // t AS passes, goal % t AS rest, least(65536, (t + 1048575) // 1048576) AS blocks FROM goals
+  UNION ALL
+  SELECT source, 1, 0, 1 FROM totals WHERE t = 0
+), placed AS (
+  SELECT d.*, passes, rest, CAST(('0x' || md5('block:' || name)[1:8])::BIGINT % blocks AS INTEGER) AS block
+  FROM docs d JOIN shares USING (source)
+), keyed AS (
+  SELECT *, md5('order:' || source || ':' || block || ':' || passes) AS bk, md5('place:' || name || ':' || passes) AS dk FROM placed
+), summed AS (
+  SELECT *, sum(n) OVER (PARTITION BY source ORDER BY bk, dk) AS upto FROM keyed
+), taken AS (
+  SELECT *, passes + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS times FROM summed
+), rows AS (
+  SELECT *, CAST(unnest(generate_series(0, times - 1)) AS INTEGER) AS epoch FROM taken
+)
+SELECT doc_id, source, n AS n_tokens, epoch, block,
+  md5('order:' || source || ':' || block || ':' || epoch) AS block_key, md5('place:' || name || ':' || epoch) AS doc_key
+FROM rows
+"""
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every whole text, by digest."""
