@@ -21,9 +21,24 @@ from pyspark.sql import functions as F
 def adaptive_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Equi-join on same-named columns; ``how`` is inner, left, left_semi or left_anti."""
     ltypes, rtypes = dict(left.dtypes), dict(right.dtypes)
-    same = all(ltypes[k] == rtypes[k] for k in on)
-    digest = F.xxhash64(*[F.col(k) if same else F.col(k).cast("string") for k in on])
-    return left.withColumn("_h", digest).join(right.withColumn("_h", digest), [*on, "_h"], how).drop("_h")
+    unequal = [k for k in on if ltypes[k] != rtypes[k]]
+    digest = lambda side: F.xxhash64(*[F.col(k) if k not in unequal else F.col(f"_k_{k}") for k in on])
+    if not unequal:
+        return left.withColumn("_h", digest(left)).join(right.withColumn("_h", digest(right)), [*on, "_h"], how).drop("_h")
+    # Equality is decided in the keys' common type, so hashes and join use it too; the left side's own column stays.
+    kind = _common_types(left, {k: (ltypes[k], rtypes[k]) for k in unequal})
+    cast = lambda df: df.withColumns({f"_k_{k}": F.col(k).cast(t) for k, t in kind.items()})
+    left, right = cast(left), cast(right).drop(*unequal)
+    keys = [f"_k_{k}" if k in unequal else k for k in on]
+    joined = left.withColumn("_h", digest(left)).join(right.withColumn("_h", digest(right)), [*keys, "_h"], how)
+    return joined.drop("_h", *(f"_k_{k}" for k in unequal))
+
+
+def _common_types(df: DataFrame, kinds: dict[str, tuple[str, str]]) -> dict[str, str]:
+    """The type in which Spark compares two types."""
+    typed = lambda t: F.lit(None).cast(t)
+    probe = df.sparkSession.range(0).select(*(F.coalesce(typed(a), typed(b)).alias(k) for k, (a, b) in kinds.items()))
+    return dict(probe.dtypes)
 
 
 def estimated_bytes(df: DataFrame) -> int:
