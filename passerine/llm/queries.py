@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passerine.llm import bpe, minhash, mixing, pii, quality, secret_scan, token_counts, topk, toxicity
+from passerine.llm import bpe, line_dedup, minhash, mixing, pii, quality, secret_scan, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,6 +160,47 @@ FROM rows
 """
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that match an earlier line of any."""
+    return line_dedup.removed(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_line_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT doc_id, i - 1 AS line, list_distinct(regexp_extract_all(parts[i], '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT doc_id, parts, unnest(generate_series(1, len(parts))) AS i FROM texts)
+), full_lines AS (
+  SELECT doc_id, line, list_sort(w) AS w, len(w) AS n, row_number() OVER (ORDER BY doc_id, line) AS place FROM lines WHERE len(w) > 0
+), sets AS (
+  SELECT w, n, min(place) AS place FROM full_lines GROUP BY ALL
+), tokens AS (
+  SELECT place, n, unnest(w) AS t FROM sets
+), rare AS (
+  SELECT t, count(*) AS c FROM tokens GROUP BY t
+), prefixes AS (
+  SELECT place, n, t FROM tokens JOIN rare USING (t)
+  QUALIFY row_number() OVER (PARTITION BY place ORDER BY c, t) <= n - (4 * n + 4) // 5 + 1
+), pairs AS (
+  SELECT DISTINCT x.place AS a, y.place AS b FROM prefixes x JOIN prefixes y USING (t)
+  WHERE x.place < y.place AND 5 * least(x.n, y.n) >= 4 * greatest(x.n, y.n)
+), near AS (
+  SELECT DISTINCT b FROM pairs JOIN sets x ON x.place = a JOIN sets y ON y.place = b
+  WHERE 9 * len(list_intersect(x.w, y.w)) >= 4 * (x.n + y.n)
+), gone AS (
+  SELECT doc_id, line FROM full_lines WHERE place NOT IN (SELECT place FROM sets) OR place IN (SELECT b FROM near)
+), counted AS (
+  SELECT doc_id, count(*) AS n_removed, string_agg(line, ',' ORDER BY line) AS removed FROM gone GROUP BY doc_id
+), sizes AS (
+  SELECT doc_id, count(*) AS n_lines FROM full_lines GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN counted USING (doc_id)
+"""
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every whole text, by digest."""
