@@ -6,6 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from checks.q_validate import CHAIN, source_map
+from checks.senders import fail_when_last_digit_in
 from checks.registry import AS_OF, NOW, NOW_SQL, check, message_id
 from passerine.operators import identity, route, validate
 from passerine.plans import delivery
@@ -15,11 +16,15 @@ from passerine.streaming import streams
 
 
 def scratch(spark) -> str:
-    """A new folder under the cluster's shared folder; a temporary one only where none is configured."""
+    """A new folder under the folder that the cluster shares; a temporary one only in a local session that names none."""
     import uuid
 
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared if shared else tempfile.mkdtemp(prefix="passerine-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="passerine-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
@@ -44,9 +49,9 @@ def _(i):
 
 @check("read_avro_export", None, "SELECT s_suppkey, s_name FROM supplier")
 def _(i):
-    """Export and re-read of records; the Parquet form where the session has no Avro source."""
-    paths = writers.export_tables({"supplier": i.supplier}, scratch(i.spark), "avro")
+    """Export and re-read of records; the check asks for Parquet where the session has no Avro source."""
     fmt = "avro" if readers.has_format(i.spark, "avro") else "parquet"
+    paths = writers.export_tables({"supplier": i.supplier}, scratch(i.spark), fmt)
     return readers.read_export(i.spark, paths["supplier"], fmt).select("s_suppkey", "s_name")
 
 
@@ -138,7 +143,7 @@ def _(i):
 def _(i):
     """Failed records of a publish whose sender refuses some message ids."""
     rows = i.payloads().select(message_id())
-    return delivery.publish(rows, delivery.fail_when_last_digit_in("37"), "message_id", 500).select("message_id")
+    return delivery.publish(rows, fail_when_last_digit_in("37"), "message_id", 500).select("message_id")
 
 
 @check("replay_with_status", ["replay_table"], f"""
@@ -146,7 +151,7 @@ SELECT message_id, replay_topic, CASE WHEN event_id % 10 IN (1, 4) THEN 'ToBeRep
 FROM replay_table WHERE replay_status = 'ToBeReplayed'
 """)
 def _(i):
-    out = delivery.replay(route.pending_replay(i.replay_table.drop("event_id")), delivery.fail_when_last_digit_in("14"), NOW)
+    out = delivery.replay(route.pending_replay(i.replay_table.drop("event_id")), fail_when_last_digit_in("14"), NOW)
     return out.select("message_id", "replay_topic", "replay_status", "replay_time")
 
 
@@ -163,6 +168,24 @@ def _(i):
     return out.select("user_id", "event", F.get_json_object("raw_payload", "$.messageId").alias("message_id"))
 
 
+LATE = "{'type': 'track', 'event': 'late', 'userId': 'u1', 'messageId': 'late-%d', 'timestamp': '2023-06-0%dT00:00:00.000Z'}"
+
+
+@check("stream_late_rows", ["pl_scalars"], """
+SELECT user_txt AS user_id, event_name AS event, arg_max(message_id, row(coalesce(tst, ''), message_id)) AS message_id FROM pl_scalars WHERE user_txt IS NOT NULL AND event_name IS NOT NULL GROUP BY 1, 2
+""")
+def _(i):
+    """A second batch holds only rows that are far behind the watermark: none of them arrives."""
+    source, base = payload_files(i), scratch(i.spark)
+    run = lambda: streams.stream_latest_per_user_event(streams.payload_stream(i.spark, source), base + "/out", base + "/ck", "1 hour").awaitTermination()
+    run()
+    late = i.events.limit(1).select(F.explode(F.array(*(F.lit((LATE % (k, k)).replace("'", '"')) for k in (1, 2)))).alias("raw_payload"))
+    writers.write_lines(late, source, "raw_payload", "gzip")
+    run()
+    out = streams.read_latest(i.spark, base + "/out")
+    return out.select("user_id", "event", F.get_json_object("raw_payload", "$.messageId").alias("message_id"))
+
+
 @check("stream_enrich_validate", ["pl_blocks", "opt_map", "crs_source"], CHAIN + """
 SELECT 'failed' AS branch, message_id FROM failed UNION ALL SELECT 'passed', message_id FROM s WHERE message_id NOT IN (SELECT message_id FROM failed)
 """)
@@ -171,12 +194,12 @@ def _(i):
     opt_map, sources = i.opt_map, source_map(i)
 
     def process(batch):
-        passed, failed = validate.validation_chain(batch, opt_map, sources, AS_OF, NOW)
-        return passed.select(message_id()), failed.select("message_id")
+        checked = validate.with_failures(batch, opt_map, sources, AS_OF, NOW)
+        failed = F.transform("failures", lambda _: F.lit("failed"))  # a row per failed rule
+        return checked.select(message_id(), F.explode(F.when(route.passes(), F.array(F.lit("passed"))).otherwise(failed)).alias("branch"))
 
-    streams.stream_enrich_validate(streams.payload_stream(i.spark, source), process, base + "/passed", base + "/failed", base + "/ck").awaitTermination()
-    read = lambda n: i.spark.read.parquet(f"{base}/{n}").select(F.lit(n).alias("branch"), "message_id")
-    return read("passed").unionByName(read("failed"))
+    streams.stream_enrich_validate(streams.payload_stream(i.spark, source), process, base + "/out", base + "/ck").awaitTermination()
+    return i.spark.read.parquet(base + "/out").select("branch", "message_id")
 
 
 @check("stream_dlq_replay", ["replay_table"], f"""
@@ -187,7 +210,7 @@ def _(i):
     base, table = scratch(i.spark), i.replay_table.drop("event_id")
     writers.replace(table, base + "/table")
     stream = i.spark.readStream.schema(table.schema).parquet(base + "/table")
-    streams.stream_dlq_replay(stream, delivery.fail_when_last_digit_in("14"), NOW, base + "/status", base + "/ck").awaitTermination()
+    streams.stream_dlq_replay(stream, fail_when_last_digit_in("14"), NOW, base + "/status", base + "/ck").awaitTermination()
     status = i.spark.read.parquet(base + "/status").filter("replay_status = 'Replayed'")
     return identity.merge_status(i.spark.read.parquet(base + "/table"), status).select("message_id", "replay_status", "replay_time")
 

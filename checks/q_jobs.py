@@ -488,11 +488,19 @@ def _(i):
 
 
 @check("dlq_remediation", ["dlq"], """
-SELECT publish_time, json_extract_string(data, '$.servicePayload.kind') AS kind FROM dlq WHERE publish_time > TIMESTAMP '2024-01-10 00:00:00' AND publish_time <= TIMESTAMP '2024-01-12 00:00:00'
+WITH inner_rows AS (
+  SELECT CAST(json_extract(data, '$.servicePayload') AS VARCHAR) AS inner_payload FROM dlq WHERE publish_time > TIMESTAMP '2024-01-10 00:00:00' AND publish_time <= TIMESTAMP '2024-01-12 00:00:00'
+)
+SELECT 'archive' AS output, inner_payload FROM inner_rows
+UNION ALL SELECT 'failed', inner_payload FROM inner_rows WHERE regexp_extract(inner_payload, '([0-9])[^0-9]*$', 1) IN ('3', '7')
 """)
 def _(i):
-    rows = route.dlq_extract(i.dlq, "2024-01-10 00:00:00", "2024-01-12 00:00:00")
-    return rows.select("publish_time", F.get_json_object("inner_payload", "$.kind").alias("kind"))
+    from checks.q_io import scratch
+    from checks.senders import fail_when_last_digit_in
+    from passerine.plans import delivery
+
+    out = delivery.dlq_remediation(i.dlq, "2024-01-10 00:00:00", "2024-01-12 00:00:00", fail_when_last_digit_in("37"), scratch(i.spark))
+    return windows.union_all(*(df.select(F.lit(n).alias("output"), "inner_payload") for n, df in out.items()))
 
 
 @check("dlq_replay", ["replay_table"], f"""
@@ -500,10 +508,12 @@ SELECT message_id, CASE WHEN replay_status = 'ToBeReplayed' AND event_id % 5 <>
   CASE WHEN replay_status = 'ToBeReplayed' AND event_id % 5 <> 0 THEN {NOW_SQL} ELSE replay_time END AS replay_time FROM replay_table
 """)
 def _(i):
+    from checks.q_io import scratch
+    from checks.senders import fail_when_last_digit_in
     from passerine.plans import delivery
 
     table = i.replay_table.drop("event_id")
-    out = delivery.dlq_replay(table, delivery.fail_when_last_digit_in("05"), NOW)
+    out = delivery.dlq_replay(table, fail_when_last_digit_in("05"), NOW, scratch(i.spark))
     return out.select("message_id", "replay_status", F.col("replay_time").cast("timestamp_ntz").alias("replay_time"))
 
 

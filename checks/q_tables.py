@@ -256,14 +256,14 @@ def _(i):
 
 
 BATCHED = f"""
-bk AS (SELECT user_ids, pg_ids, {DUCK_BUCKET.format('user_ids', 16)} AS bucket FROM requests),
+bk AS (SELECT user_ids, pg_ids, {DUCK_BUCKET.format('user_ids', "(SELECT greatest(1, CAST(ceil(count(*) / 100.0) AS BIGINT)) FROM requests)")} AS bucket FROM requests),
 bt AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY bucket ORDER BY user_ids) - 1) / 45) AS BIGINT) AS batch, (row_number() OVER (PARTITION BY bucket ORDER BY user_ids) - 1) % 45 AS position FROM bk)
 """
 
 
 @check("batch_rows", ["requests"], f"WITH {BATCHED} SELECT user_ids, bucket, batch, position FROM bt")
 def _(i):
-    return reshape.batch_rows(i.requests, "user_ids", 45, 16).select("user_ids", "bucket", "batch", "position")
+    return reshape.batch_rows(i.requests, "user_ids", 45, 100).select("user_ids", "bucket", "batch", "position")
 
 
 # ---- identity ---------------------------------------------------------------------------
@@ -341,7 +341,7 @@ def _(i):
 
 def outcomes(i):
     """One call outcome per request of a batch of 45; errors are located by batch position."""
-    batched = reshape.batch_rows(i.requests, "user_ids", 45, 16).withColumnRenamed("user_ids", "previousId")
+    batched = reshape.batch_rows(i.requests, "user_ids", 45, 100).withColumnRenamed("user_ids", "previousId")
     errors = batched.filter("position % 6 = 1").select("bucket", "batch", "position", F.concat(F.lit("error "), F.col("position").cast("string")).alias("error"))
     return identity.batch_outcomes(batched.filter("ck % 5 <> 0"), errors)
 

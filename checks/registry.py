@@ -12,7 +12,6 @@ from checks.fixtures import view, with_views
 from passerine.functions.values import root_text
 from passerine.payload import parse_payloads
 from passerine.session import configure
-from passerine.sources.readers import spread
 
 AS_OF = dt.date(2024, 1, 31)
 NOW = dt.datetime(2024, 1, 31, 12, 0, 0)
@@ -32,7 +31,7 @@ class Inputs:
         return view(self.spark, self.sf_dir, name)
 
     def payloads(self) -> DataFrame:
-        return parse_payloads(spread(self.pl.select("raw_payload")))
+        return parse_payloads(self.pl.select("raw_payload").repartition(self.spark.sparkContext.defaultParallelism))
 
     def known_mpns(self) -> DataFrame:
         return self.crs_program.select("mpn")

@@ -128,17 +128,17 @@ def min_created(df: DataFrame, key: str, ts: str) -> DataFrame:
 def first_row_group_doc(df: DataFrame, key: str, order: list[str], scalars: list[str], listed: list[str], limit: int = 10_000) -> DataFrame:
     """One document per key: scalars of its first row and the list of its rows in order.
 
-    A key with more than ``limit`` rows gives several parts that together hold all of its rows,
-    so no list grows without bound; the scalars are the key's in every part.
+    A document is a part: a run of ``limit`` rows in order, numbered from 0, whatever the key's size;
+    the scalars are the key's in every part.
     """
-    from passerine.operators.skew import split_oversized
+    from passerine.operators.skew import adaptive_join, numbered_runs
 
     rank_key = F.struct(*order)
     firsts = df.groupBy(key).agg(*[F.min_by(c, rank_key).alias(c) for c in scalars], F.count(F.lit(1)).alias("n_rows"))
-    parts = split_oversized(df, [key], limit)
+    parts = numbered_runs(df, [key], order, limit)
     item = F.struct(*order, *[c for c in listed if c not in order])
     lists = parts.groupBy(key, "part").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return lists.join(firsts, key)
+    return adaptive_join(lists, firsts, [key], "inner")
 
 
 def distinct(df: DataFrame, subset: list[str] | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from passerine.functions.values import (
     root, root_text, text, variant,
 )
 from passerine.operators.route import MPN, is_opt_change
-from passerine.operators.skew import fits_broadcast, adaptive_join
+from passerine.operators.skew import adaptive_join
 from passerine.payload import canonical_json, to_document
 
 # Date-like keys, sign-up events, channel prefixes and their codes, service names.
@@ -386,20 +386,16 @@ def drop_empty_traits(payloads: DataFrame) -> DataFrame:
 def drop_duplicate_aliases(payloads: DataFrame, aliases: DataFrame, row_key: str = "raw_payload") -> DataFrame:
     """Delete an alias trait whose value equals its canonical trait's value.
 
-    ``aliases`` is reference data (traitName, alias).  Within the broadcast limit it reaches the
-    tasks as one array, so payloads are not shuffled; beyond it the trait names are joined to the
-    table and the hits joined back on ``row_key``.
+    ``aliases`` is reference data (traitName, alias) of any size: the trait names are joined to it,
+    and the payloads that have a hit are joined with their hits by a digest of ``row_key``.
     """
     pairs = aliases.filter(F.col("traitName") != F.col("alias")).select("traitName", "alias").distinct()
-    if fits_broadcast(pairs):
-        listed = pairs.agg(F.collect_list(F.struct("traitName", "alias")).alias("_pairs"))
-        out = payloads.withColumn("_pairs", listed.scalar())
-    else:
-        names = payloads.select(row_key, F.explode(F.map_keys("traits")).alias("alias"))
-        hits = names.join(pairs, "alias").groupBy(row_key).agg(
-            F.collect_set(F.struct("traitName", "alias")).alias("_pairs")
-        )
-        out = adaptive_join(payloads, hits, [row_key])
+    keyed = payloads.withColumn("_row", F.md5(F.col(row_key)))
+    names = keyed.select("_row", F.explode(F.map_keys("traits")).alias("alias"))
+    hits = adaptive_join(names, pairs, ["alias"], "inner").groupBy("_row").agg(
+        F.collect_set(F.struct("traitName", "alias")).alias("_pairs")
+    )
+    out = adaptive_join(keyed, hits, ["_row"]).drop("_row")
     traits = F.col("traits")
     here = F.filter("_pairs", lambda p: F.map_contains_key(traits, p["alias"]))
     same = F.filter(here, lambda p: F.to_json(traits[p["traitName"]]) == F.to_json(traits[p["alias"]]))

@@ -48,17 +48,18 @@ def split_to_rows(df: DataFrame, column: str, sep: str = "|", name: str = "value
     return df.select("*", F.explode(F.split(F.col(column), re.escape(sep))).alias(name))
 
 
-def key_bucket(key: Column, buckets: int) -> Column:
+def key_bucket(key: Column, buckets: int | Column) -> Column:
     """Stable bucket number of a key, the same in any engine that has MD5."""
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % buckets
 
 
-def batch_rows(df: DataFrame, key: str, size: int, buckets: int) -> DataFrame:
+def batch_rows(df: DataFrame, key: str, size: int, bucket_rows: int = 100_000) -> DataFrame:
     """Add (bucket, batch, position): batches of up to ``size`` rows inside hash buckets of the key.
 
-    ``buckets`` should grow with the data so that a bucket stays sortable in one task; the key is
-    taken to be unique, so no bucket can be hot.
+    There are as many buckets as ``bucket_rows`` goes into the number of rows, rounded up, so a bucket
+    stays sortable in one task however large the data; the key is taken to be unique, so no bucket can be hot.
     """
+    buckets = F.greatest(F.lit(1), F.ceil(df.agg(F.count(F.lit(1)).alias("n")).scalar() / F.lit(bucket_rows)))
     w = Window.partitionBy("bucket").orderBy(key)
     numbered = df.withColumn("bucket", key_bucket(F.col(key), buckets)).withColumn("_n", F.row_number().over(w) - 1)
     return numbered.withColumns({

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from passerine.functions.dates import ISO_MILLIS
 from passerine.functions.values import VARIANT_MAP, has_key, put_all, text, variant
-from passerine.operators.skew import split_oversized
+from passerine.operators.skew import adaptive_join, numbered_runs
 
 # Traits moved to the top level, blocks sent empty, and the document's constants.
 NAMED_TRAITS = ["firstName", "lastName", "fullName", "birthDate"]
@@ -69,8 +69,8 @@ def consent_service_payload(consents: DataFrame, now: dt.datetime, order: list[s
     """Consent rows (already matched to reference data) as one document per trace id.
 
     Identity and address come from the first row by ``order``; the opts are the rows in that order;
-    the request time is the latest opt date.  A trace with more than ``max_opts`` opts is sent as
-    several parts which together hold all of them, so no document grows without bound.
+    the request time is the latest opt date.  A document is a part: a run of ``max_opts`` opts in
+    that order, numbered from 0, whatever the trace's size; its parts together hold all of them.
     """
     order = order or ["opt_id"]
     rank_key = F.struct(*order)
@@ -92,9 +92,9 @@ def consent_service_payload(consents: DataFrame, now: dt.datetime, order: list[s
         text_of("opt_number").alias("optNumber"), text_of("opt_text").alias("optText"),
         stamp("opt_date").alias("optChoiceDate"), text_of("opt_id").alias("optId"), text_of("service_name").alias("optServiceName"),
     )
-    parts = split_oversized(consents, ["trace_id"], max_opts)
+    parts = numbered_runs(consents, ["trace_id"], order, max_opts)
     lists = parts.groupBy("trace_id", "part").agg(F.array_sort(F.collect_list(F.struct(rank_key.alias("k"), opt.alias("o")))).alias("_l"))
-    joined = lists.join(heads, "trace_id").withColumn("opts", F.transform("_l", lambda x: x["o"])).withColumn("max_stamp", stamp("max_opt_date"))
+    joined = adaptive_join(lists, heads, ["trace_id"], "inner").withColumn("opts", F.transform("_l", lambda x: x["o"])).withColumn("max_stamp", stamp("max_opt_date"))
     s = lambda c: F.col(c).cast("string")
     trait = F.struct(F.lit("lastActivityDate").alias("traitName"), F.col("max_stamp").alias("values"),
                      F.col("max_stamp").alias("collectedDate"), F.lit("").alias("collectedBy"))

@@ -14,7 +14,7 @@ execution cannot split such a join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,32 +41,12 @@ def _common_types(df: DataFrame, kinds: dict[str, tuple[str, str]]) -> dict[str,
     return dict(probe.dtypes)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of a plan (file sizes propagated upwards)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def numbered_runs(df: DataFrame, keys: list[str], order: list[str], length: int) -> DataFrame:
+    """Add ``part``: rows of a key in ``order`` form runs of ``length`` rows, numbered from 0.
 
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the estimate is within the session's broadcast threshold."""
-    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    return 0 <= estimated_bytes(df) <= limit
-
-
-def _hashable(dtype: str) -> bool:
-    return "variant" not in dtype and "map<" not in dtype
-
-
-def split_oversized(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Add ``part``: 0 for groups up to ``limit`` rows, else a row hash over ceil(n/limit) parts.
-
-    Lets a per-key list stay bounded without dropping rows: a large group becomes several lists.
-    At most rows / limit keys are large, so that table is small against the data.
+    One rule for keys of any size: a list built per key and part never holds more than ``length``
+    rows, and reading the parts in turn gives the key's rows in order.  A key's rows are sorted in
+    one task, which spills, and are never held as a list; equal rows take positions of their own.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-    parts = F.ceil(F.col("_n") / F.lit(limit)).cast("bigint")
-    row = F.xxhash64(*[c for c, t in df.dtypes if _hashable(t)])
-    return (
-        adaptive_join(df, counts, keys)
-        .withColumn("part", F.when(F.col("_n").isNull(), F.lit(0)).otherwise(F.pmod(row, parts)).cast("bigint"))
-        .drop("_n")
-    )
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    return df.withColumn("part", F.floor(position / F.lit(length)).cast("bigint"))

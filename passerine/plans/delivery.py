@@ -2,7 +2,9 @@
 
 A sender is a callable ``send(payloads: list[str], topic: str | None) -> list[str | None]`` that
 returns one error text (or None) per payload.  It is created inside the task by a factory, so it
-may hold a connection.  Delivery is at least once: a task that is run again sends again.
+may hold a connection.  Delivery is at least once: a task that is run again sends again.  So that
+reading a result twice sends nothing twice, the jobs here write what a send reported to a ``status``
+folder on shared storage first, and go on from the written rows.
 """
 
 from __future__ import annotations
@@ -62,24 +64,23 @@ def replay(df: DataFrame, factory: SenderFactory, at: dt.datetime, field: str =
     }).drop("_inner", "error")
 
 
-def dlq_replay(table: DataFrame, factory: SenderFactory, at: dt.datetime) -> DataFrame:
-    """Replay the pending rows and merge their new status into the table."""
-    return merge_status(table, replay(pending_replay(table), factory, at).filter(F.col("replay_status") == "Replayed"))
+def written_status(sent: DataFrame, path: str) -> DataFrame:
+    """The rows of a send, sent and written once, read back from ``path``."""
+    sent.write.mode("overwrite").parquet(path)
+    return sent.sparkSession.read.schema(sent.schema).parquet(path)
 
 
-def dlq_remediation(dlq: DataFrame, start: str, end: str, factory: SenderFactory, field: str = "servicePayload") -> dict[str, DataFrame]:
-    """``archive`` of the inner payloads of a publish-time window, and the ``failed`` ones after sending."""
-    archive = dlq_extract(dlq, start, end, field).select("inner_payload")
-    return {"archive": archive, "failed": publish(archive, factory, "inner_payload")}
+def dlq_replay(table: DataFrame, factory: SenderFactory, at: dt.datetime, status: str) -> DataFrame:
+    """Replay the pending rows once, with their status written to ``status``, and merge it into the table."""
+    done = written_status(replay(pending_replay(table), factory, at), status)
+    return merge_status(table, done.filter(F.col("replay_status") == "Replayed"))
 
 
-def fail_when_last_digit_in(digits: str) -> SenderFactory:
-    """A sender that delivers nowhere and fails payloads whose last digit is listed; for checks."""
-    def factory() -> Sender:
-        def send(payloads: list[str], topic: str | None) -> list[str | None]:
-            last = [[c for c in p if c.isdigit()][-1:] for p in payloads]
-            return ["refused" if d and d[0] in digits else None for d in last]
+def dlq_remediation(dlq: DataFrame, start: str, end: str, factory: SenderFactory, folder: str, field: str = "servicePayload") -> dict[str, DataFrame]:
+    """``archive`` of the inner payloads of a publish-time window, and the ``failed`` ones after sending once.
 
-        return send
-
-    return factory
+    Both are written under ``folder``; what is sent is read from the archive.
+    """
+    archive = written_status(dlq_extract(dlq, start, end, field).select("inner_payload"), f"{folder.rstrip('/')}/archive")
+    sent = written_status(send_status(archive, "inner_payload", factory), f"{folder.rstrip('/')}/sent")
+    return {"archive": archive, "failed": sent.filter(F.col("error").isNotNull())}

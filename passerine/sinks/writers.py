@@ -63,13 +63,13 @@ def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 
 
 def export_tables(tables: dict[str, DataFrame], folder: str, fmt: str = "avro") -> dict[str, str]:
-    """Every table under ``folder/<name>``; Parquet where the session has no Avro source."""
-    spark = next(iter(tables.values())).sparkSession
-    chosen = fmt if fmt == "parquet" or has_format(spark, fmt) else "parquet"
+    """Every table under ``folder/<name>`` in the format named; an error where the session lacks it."""
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{folder.rstrip('/')}/{name}"
-        df.write.mode("overwrite").format(chosen).save(paths[name])
+        if not has_format(df.sparkSession, fmt):
+            raise ValueError(f"the session has no data source {fmt!r}")
+        df.write.mode("overwrite").format(fmt).save(paths[name])
     return paths
 
 

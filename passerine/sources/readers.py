@@ -19,19 +19,14 @@ def read_lines(spark: SparkSession, path: str, pattern: str | None = None) -> Da
     return reader.text(path).filter(F.trim("value") != "").select(F.col("value").alias("raw_payload"))
 
 
-def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Rows dealt evenly over ``tasks`` tasks when the files give fewer (a few large gzip files).
+def read_payloads(spark: SparkSession, path: str, pattern: str | None = None, tasks: int | None = None) -> DataFrame:
+    """Payload lines with the parsed payload columns.
 
-    An input that already gives enough tasks is returned as it is, without a shuffle.
+    ``tasks`` deals the lines evenly over that many tasks before they are parsed, for a few large
+    gzip files, which can't be split.
     """
-    wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df.repartition(wanted) if have < wanted else df
-
-
-def read_payloads(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Payload lines with the parsed payload columns."""
-    return parse_payloads(spread(read_lines(spark, path, pattern)))
+    lines = read_lines(spark, path, pattern)
+    return parse_payloads(lines.repartition(tasks) if tasks else lines)
 
 
 def read_query(spark: SparkSession, sql: str) -> DataFrame:

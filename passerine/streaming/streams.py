@@ -33,13 +33,18 @@ def _batch_folder(path: str, batch_id: int) -> str:
 
 
 def latest_per_user_event(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Latest record per (userId, event) by timestamp text; rows older than the watermark are dropped."""
-    moment = root_text("timestamp").try_cast("timestamp")
+    """Latest record per (userId, event) and day of event time, by timestamp text.
+
+    A day's state is freed once the watermark has passed its end, and rows of such a day that come
+    later are dropped.  A record without a readable timestamp belongs to the first day of all: it
+    counts only until the watermark starts to move.
+    """
+    moment = F.coalesce(root_text("timestamp").try_cast("timestamp"), F.lit("1970-01-01").cast("timestamp"))
     rank_key = F.struct(F.coalesce(root_text("timestamp"), F.lit("")), F.coalesce(root_text("messageId"), F.lit("")))
     keyed = parse_payloads(stream).filter(has_root("userId") & has_root("event")).select(
         root_text("userId").alias("user_id"), root_text("event").alias("event"), moment.alias("event_time"), rank_key.alias("_k"), "raw_payload")
-    return keyed.withWatermark("event_time", delay).groupBy("user_id", "event").agg(
-        F.max_by("raw_payload", "_k").alias("raw_payload"), F.max("_k").alias("_k"))
+    return keyed.withWatermark("event_time", delay).groupBy(F.window("event_time", "1 day"), "user_id", "event").agg(
+        F.max_by("raw_payload", "_k").alias("raw_payload"), F.max("_k").alias("_k")).drop("window")
 
 
 def stream_latest_per_user_event(stream: DataFrame, sink: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
@@ -57,13 +62,13 @@ def read_latest(spark: SparkSession, sink: str) -> DataFrame:
     return updates.groupBy("user_id", "event").agg(F.max_by("raw_payload", "_k").alias("raw_payload"))
 
 
-def stream_enrich_validate(stream: DataFrame, process: Callable[[DataFrame], tuple[DataFrame, DataFrame]], passed: str, failed: str,
-                           checkpoint: str) -> StreamingQuery:
-    """Run a stateless payload chain per batch; ``process`` gives (passed, failed) frames of plain columns."""
+def stream_enrich_validate(stream: DataFrame, process: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str) -> StreamingQuery:
+    """Run a stateless payload chain per batch, in one write.
+
+    ``process`` gives one frame of plain columns with a ``branch``; each batch's folder is partitioned by it.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = process(parse_payloads(batch))
-        good.write.mode("overwrite").parquet(_batch_folder(passed, batch_id))
-        bad.write.mode("overwrite").parquet(_batch_folder(failed, batch_id))
+        process(parse_payloads(batch)).write.mode("overwrite").partitionBy("branch").parquet(_batch_folder(sink, batch_id))
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

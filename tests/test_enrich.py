@@ -129,7 +129,7 @@ def test_steps_are_idempotent(spark, sf_dir, step):
     assert sorted(map(key, documents(once_))) == sorted(map(key, documents(twice)))
 
 
-def test_alias_drop_is_the_same_on_both_routes(spark, sf_dir):
+def test_alias_drop_does_not_depend_on_the_broadcast_limit(spark, sf_dir):
     from checks.registry import Inputs
 
     i = Inputs(spark, sf_dir)

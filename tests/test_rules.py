@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks.registry import AS_OF, NOW, Inputs
+from checks.senders import fail_when_last_digit_in
 from passerine.operators import identity, joins, route, service_payloads, validate
 from passerine.plans import audience, delivery, migration, staging
 from passerine.sinks import writers
@@ -143,7 +144,7 @@ def test_observed_counts(spark):
 
     seen = Observation("sent")
     rows = spark.range(100).select(F.col("id").cast("string").alias("raw_payload"))
-    sent = delivery.send_status(rows, "raw_payload", delivery.fail_when_last_digit_in("7"))
+    sent = delivery.send_status(rows, "raw_payload", fail_when_last_digit_in("7"))
     delivery.observed(sent, seen).write.format("noop").mode("overwrite").save()
     assert seen.get == {"sent": 90, "failed": 10}
 
