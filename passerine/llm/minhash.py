@@ -8,9 +8,11 @@ signatures agree in a component with the probability of their weighted Jaccard s
 which all components are filled are never made, so the work hardly depends on the document's length.
 
 Documents with the same multiset are one node from the start. Nodes meet in buckets of equal bands. No bucket is expanded
-into all its pairs: first every node is checked against its bucket's least node; links found so give components; then only
-nodes outside their leader's component are compared with the bucket's other components. Pairs within a component need no
-comparison, so no link between components is lost.
+into all its pairs. First every node is checked against its bucket's leader, the node that meets most others in all its
+buckets: the original of a group of near copies. Links found so give components. Then only nodes outside their leader's
+component are compared with the other components that have the same leader, and only where the numbers allow a link: two
+nodes share at most what both share with the leader, and beyond it no more than either has that occurs in another node at
+all. Pairs within a component need no comparison, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -19,12 +21,14 @@ import hashlib
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passerine.llm.arrow import hash_strings, map_slices, mix, owners, plain, texts_of, words
 from passerine.llm.shared import components, in_slots, slots, written
+from passerine.operators.skew import adaptive_join
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Size of a signature; bands, and components in each, drawn once and for all. A pair of similarity 0.8 misses all
@@ -130,7 +134,7 @@ def _lists(values: np.ndarray, at: np.ndarray) -> pa.Array:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, n, bands) of each row of (doc_id, text); key and bands are null for texts without words."""
+    """(doc_id, text_hash, key, n, bands) of each row of (doc_id, text); key and bands are null for texts without words."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashed, at = shingles(plain(batch.column("text")))
@@ -138,9 +142,9 @@ def sign(docs: DataFrame) -> DataFrame:
         keys = band_keys(signatures(own, shingle, count, batch.num_rows))
         n = np.diff(at)
         bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]), pa.int32()), pa.array(keys[n > 0].ravel()))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), content_keys(hashed, at), pa.array(n), bands], names=["doc_id", "key", "n", "bands"])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), content_keys(hashed, at), pa.array(n), bands], names=["doc_id", "text_hash", "key", "n", "bands"])
 
-    return map_slices(docs, "text", work, "doc_id long, key decimal(38,0), n long, bands array<long>")
+    return map_slices(docs.withColumn("text_hash", F.xxhash64("text")), "text", work, "doc_id long, text_hash long, key decimal(38,0), n long, bands array<long>")
 
 
 def _elements(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -161,15 +165,15 @@ def _close(a: Column, b: Column) -> Column:
     return F.least(a, b) >= SIMILARITY * F.greatest(a, b)
 
 
-def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap enough."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of their multisets, and of what they share."""
     left, right = (sets.select(F.col("key").alias(x), F.col("elements").alias(f"e{x}")) for x in "ab")
-    both = F.size(F.array_intersect("ea", "eb"))
-    return pairs.join(left, "a").join(right, "b").where(both >= SIMILARITY * (F.size("ea") + F.size("eb") - both) - 1e-9).select("a", "b")
+    found = adaptive_join(adaptive_join(pairs, left, ["a"], "inner"), right, ["b"], "inner")
+    return found.select("a", "b", F.size("ea").alias("an"), F.size("eb").alias("bn"), F.size(F.array_intersect("ea", "eb")).alias("both"))
 
 
-def _nodes(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+def _links(overlaps: DataFrame) -> DataFrame:
+    return overlaps.where(F.col("both") >= SIMILARITY * (F.col("an") + F.col("bn") - F.col("both")) - 1e-9).select("a", "b")
 
 
 def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,34 +183,86 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     the row's id, even null). Texts of the same multiset are in one class whatever their ids; repeated rows stay repeated.
     Null ids are allowed and never name a class that has another. An empty table gives no rows.
     """
-    docs = texts_of(df, id_col, text_col)
+    signed, grouped = _grouped(texts_of(df, id_col, text_col))
+    names = grouped.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    named = adaptive_join(grouped, names, ["component"], "inner").select("doc_id", "class_id")
+    return named.unionByName(signed.where("key is null").select("doc_id", F.col("doc_id").alias("class_id")))
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The signed documents, and (doc_id, text_hash, component) of those with words."""
     signed = written(sign(docs), "minhash")
     known = signed.where("key is not null")
     nodes = known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     rows = nodes.select("key", "n", F.explode("bands").alias("bucket"))
-    leaders = rows.groupBy("bucket").agg(F.min("key").alias("leader"), F.min_by("n", "key").alias("leader_n"), F.count("*").alias("size")).where("size > 1").drop("size")
-    shared = written(rows.join(leaders, "bucket"), "minhash-buckets")
-
-    first = shared.where(F.col("key") != F.col("leader")).where(_close(F.col("n"), F.col("leader_n"))).select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    met = written(adaptive_join(rows, sizes, ["bucket"], "inner"), "minhash-met")
+    degrees = met.groupBy("key").agg(F.sum("size").alias("degree"))
+    leaders = adaptive_join(met, degrees, ["key"], "inner").groupBy("bucket").agg(F.max(F.struct("degree", "key", "n")).alias("top"))
+    leaders = leaders.select("bucket", F.col("top.key").alias("leader"), F.col("top.n").alias("leader_n"))
+    led = written(adaptive_join(met.select("bucket", "key", "n"), leaders, ["bucket"], "inner"), "minhash-led")
+
+    first = led.where("key <> leader").where(_close(F.col("n"), F.col("leader_n"))).select(F.least("leader", "key").alias("a"), F.greatest("leader", "key").alias("b")).distinct()
     first = written(first, "minhash-pairs")
     ids = known.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    links = written(_checked(first, _sets(docs, _nodes(first), ids)), "minhash-links")
+    shared = written(_overlaps(first, _sets(docs, first.select(F.explode(F.array("a", "b")).alias("key")).distinct(), ids)), "minhash-overlaps")
+    links = _links(shared)
     found = components(links)
 
     # A node and its bucket's leader, each with its component so far; nodes without a link are their own.
     part = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"{name}_part"))
-    parted = shared.join(part("key"), "key", "left").join(part("leader"), "leader", "left").select("bucket", "key", "n", F.coalesce("key_part", "key").alias("part"), F.coalesce("leader_part", "leader").alias("leader_part"), "leader")
-    outside = parted.where("part <> leader_part").select("bucket", F.col("key").alias("a"), F.col("n").alias("an"), F.col("part").alias("ap"))
-    other = parted.where("key <> leader").select("bucket", F.col("key").alias("b"), F.col("n").alias("bn"), F.col("part").alias("bp"), (F.col("part") != F.col("leader_part")).alias("out"))
-    second = outside.join(other, "bucket").where("ap <> bp and (not out or a < b)").where(_close(F.col("an"), F.col("bn")))
-    second = written(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "minhash-pairs")
+    parted = adaptive_join(adaptive_join(led, part("key"), ["key"]), part("leader"), ["leader"])
+    parted = parted.select("bucket", "key", "n", "leader", F.coalesce("key_part", "key").alias("part"), F.coalesce("leader_part", "leader").alias("leader_part"))
+    parted = written(parted, "minhash-parted")
+    mixed = parted.where("part <> leader_part").select("bucket").distinct()
+    crowd = written(adaptive_join(parted, mixed, ["bucket"], "left_semi"), "minhash-crowd")
+    sets = _sets(docs, crowd.select("key").distinct(), ids)
+    alone = sets.select("key", F.explode("elements").alias("element")).groupBy("element").agg(F.count("*").alias("c"), F.min("key").alias("key")).where("c = 1")
+    # Of each node: with: shared with the leader (unknown where their lengths differ too much); most: occurs elsewhere.
+    crowd = crowd.where("key <> leader").select("leader", "key", "n", "part", (F.col("part") != F.col("leader_part")).alias("out")).distinct()
+    crowd = adaptive_join(crowd, alone.groupBy("key").agg(F.count("*").alias("alone")), ["key"]).withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0)))
+    both = shared.select(F.col("a").alias("key"), F.col("b").alias("leader"), "both").unionByName(shared.select(F.col("b").alias("key"), F.col("a").alias("leader"), "both"))
+    crowd = written(adaptive_join(crowd, both, ["key", "leader"]).select("leader", "key", "n", "part", "out", "most", F.col("both").alias("with")), "minhash-crowd")
+    side = lambda x: crowd.select("leader", *(F.col(c).alias(f"{x}_{c}") for c in ("key", "n", "part", "out", "most", "with")))
+    need = SIMILARITY / (1 + SIMILARITY) * (F.col("a_n") + F.col("b_n")) - 1e-9
+    beside = F.least("a_with", "b_with") + F.least(F.col("a_most") - F.col("a_with"), F.col("b_most") - F.col("b_with"))
+    unknown = F.col("a_with").isNull() | F.col("b_with").isNull()
+    possible = (F.least("a_most", "b_most") >= need) & (unknown | (beside >= need))
+    second = side("a").where("a_out").join(side("b"), "leader").where("a_part <> b_part and (not b_out or a_key < b_key)").where(_close(F.col("a_n"), F.col("b_n")) & possible)
+    second = second.select(F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    second = written(second, "minhash-pairs")
     if not second.isEmpty():
-        more = _checked(second, _sets(docs, _nodes(second), ids))
-        found = components(links.unionByName(more))
+        found = components(links.unionByName(_links(_overlaps(second, sets))))
 
-    grouped = known.select("doc_id", "key").join(found.withColumnRenamed("node", "key"), "key", "left").select("doc_id", F.coalesce("component", "key").alias("component"))
-    names = grouped.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    return grouped.join(names, "component").select("doc_id", "class_id").unionByName(signed.where("key is null").select("doc_id", F.col("doc_id").alias("class_id")))
+    grouped = adaptive_join(known.select("doc_id", "text_hash", "key"), found.withColumnRenamed("node", "key"), ["key"])
+    return signed, grouped.select("doc_id", "text_hash", F.coalesce("component", "key").alias("component"))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``df``, unchanged, without those of which another document of their class stays.
+
+    The document with the least id stays (of equal ids, the one with the least hash of its text); of repeated rows, one.
+    Rows without words all stay. Only rows that a filter of fixed size takes for candidates are shuffled.
+    """
+    _, grouped = _grouped(texts_of(df, id_col, text_col))
+    grouped = written(grouped, "minhash-classes")
+    best = grouped.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("best"))
+    rows = grouped.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    judged = adaptive_join(rows, best, ["component"], "inner").withColumn("stays", F.struct("doc_id", "text_hash").eqNullSafe(F.col("best")))
+    at = F.xxhash64("doc_id", "text_hash")
+    judged = written(judged.where("not stays or rows > 1").select(at.alias("__at"), "stays"), "minhash-judged")
+    filled = df.sparkSession.sparkContext.broadcast(slots(judged, F.col("__at"), FILTER_BITS))  # 2 MB
+
+    @F.pandas_udf("boolean")
+    def candidate(keys: pd.Series) -> pd.Series:
+        return pd.Series(in_slots(filled.value, keys.to_numpy(), FILTER_BITS))
+
+    # Rows are carried as one column, so that names can't clash.
+    held = df.select(F.struct("*").alias("row"), F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("__at"))
+    held = held.withColumn("maybe", candidate("__at"))
+    decided = adaptive_join(held.where("maybe"), judged, ["__at"]).where("stays is null or stays")
+    free, contested = decided.where("stays is null"), decided.where("stays is not null").dropDuplicates(["__at"])
+    return held.where("not maybe").select("row.*").unionByName(free.select("row.*")).unionByName(contested.select("row.*"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, ids: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from passerine.operators.skew import adaptive_join
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``. Only a local session without one, as in tests, gets a folder of its own."""
@@ -61,10 +63,10 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     for _ in range(limit):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = adaptive_join(both.where("b > a"), least, ["a"], "inner").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        near = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        near = adaptive_join(down, least, ["a"], "inner").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = near.unionByName(least.select("a", F.col("m").alias("b"))).distinct().checkpoint()
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
