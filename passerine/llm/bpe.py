@@ -108,16 +108,27 @@ def _packed(ids: list[int]) -> bytes:
     return values.tobytes()
 
 
-def _digests(codecs: dict, rank_file: str, pattern: str, leaf: int):
+def _id_lists(ids: list[list[int]]) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+    values = np.frombuffer(b"".join(map(_packed, ids)), "<u4").astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values))
+
+
+def _digests(codecs: dict, rank_file: str, pattern: str, leaf: int, with_ids: bool):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not codecs:
             codecs[0] = Codec(rank_file, pattern, leaf)
-        codec, rows = codecs[0], []
+        codec, rows, every = codecs[0], [], []
         for text in plain(batch.column("text")).to_pylist():
             ids = codec.encode(text)
             rows.append((len(ids), hashlib.sha256(_packed(ids)).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()))
+            if with_ids:
+                every.append(ids)
         n, a, b = zip(*rows)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        columns = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(a), "decoded_sha256": pa.array(b)}
+        if with_ids:
+            columns["ids"] = _id_lists(every)
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return work
 
@@ -129,10 +140,8 @@ def encode_texts(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     def work(batch):
         if not codecs:
             codecs[0] = Codec(rank_file, pattern, leaf)
-        ids = [np.array(codecs[0].encode(t), np.int32) for t in plain(batch.column("text")).to_pylist()]
-        at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        values = pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]), pa.int32())
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(at), values)], names=["doc_id", "ids"])
+        ids = [codecs[0].encode(t) for t in plain(batch.column("text")).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), _id_lists(ids)], names=["doc_id", "ids"])
 
     return map_slices(texts_of(df, id_col, text_col), "text", work, "doc_id long, ids array<int>")
 
@@ -152,11 +161,13 @@ def decode_ids(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(run, "doc_id long, data binary")
 
 
-def round_trip(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF_CHARS) -> DataFrame:
-    """Digest of each text's ids and of the bytes decoded from them: one row per row of ``df``.
+def round_trip(df: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF_CHARS, with_ids: bool = False) -> DataFrame:
+    """Digest of each text's ids and of the bytes decoded from them, and the ids if wanted: one row per row of ``df``.
 
     Null counts as empty: no tokens, and the digests of no bytes. Repeated rows give repeated results; no row depends
     on another, so hot keys don't matter.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_slices(texts_of(df, id_col, text_col), "text", _digests({}, rank_file, pattern, leaf), schema)
+    if with_ids:
+        schema += ", ids array<int>"
+    return map_slices(texts_of(df, id_col, text_col), "text", _digests({}, rank_file, pattern, leaf, with_ids), schema)

@@ -47,9 +47,9 @@ def test_distance_is_jensen_shannon():
 
 def test_verdict_follows_the_language_s_histograms(spark):
     draw = random.Random(8)
-    usual, odd = ["the", "of", "and", "to"] + [f"w{chr(97 + k)}" for k in range(20)], ["QX#|", "ZZ$$", "0101"]
-    rows = [(i, " ".join(draw.choices(usual, [9, 7, 6, 5] + [1] * 20, k=300)), "en" if i % 2 else None) for i in range(60)]
-    rows += [(100, " ".join(draw.choices(odd, k=300)), "en"), (101, "too short", "en"), (102, None, None), (103, " ".join(draw.choices(usual, [9, 7, 6, 5] + [1] * 20, k=300)), "xx"), (104, "the of and " * 100, "en")]
+    usual, odd = ["the", "of", "and", "to"] + [f"w{chr(97 + k % 26)}{k}" for k in range(60)], [f"#{k}|Q$" for k in range(300)]
+    rows = [(i, " ".join(draw.choices(usual, [9, 7, 6, 5] + [1] * 60, k=300)), "en" if i % 2 else None) for i in range(60)]
+    rows += [(100, " ".join(draw.choices(odd, k=300)), "en"), (101, "too short", "en"), (102, None, None), (103, " ".join(draw.choices(usual, [9, 7, 6, 5] + [1] * 60, k=300)), "xx"), (104, "the of and " * 100, "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r.doc_id: r for r in quality.rate(df).collect()}
     assert all(got[i].kept for i in range(60)) and got[103].kept
