@@ -61,24 +61,22 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
-def _fit_shard(batches):
-    """Fit one task's rows, in their order, and give the weights that aren't zero."""
+def _fit_shard(table: pa.Table) -> pa.Table:
+    """Fit one shard's rows, by the hash of their ids, and give the weights that aren't zero."""
     rows = []
-    for part in slices(batches, "text"):
+    for part in slices(table.sort_by([("order", "ascending"), ("text", "ascending")]).to_batches(), "text"):
         own, at = features(plain(part.column("text")))
         key = np.unique(own * 2**BITS + at)
         ends = np.searchsorted(key, np.arange(1, part.num_rows) * 2**BITS)
         for some, label in zip(np.split((key % 2**BITS).astype(np.int32), ends), part.column("toxic").to_pylist()):
             rows.append((np.append(some, np.int32(2**BITS)), label))
-    if rows:
-        model = Ftrl()
-        for _ in range(EPOCHS):
-            for at, label in rows:
-                model.learn(at, label)
-        every = np.arange(2**BITS + 1)
-        w = model.weights(every)
-        some = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(w[some])], names=["at", "w"])
+    model = Ftrl()
+    for _ in range(EPOCHS):
+        for at, label in rows:
+            model.learn(at, label)
+    w = model.weights(np.arange(2**BITS + 1))
+    some = np.flatnonzero(w)
+    return pa.table({"at": some, "w": w[some]})
 
 
 def is_held_out(id_column) -> F.Column:
@@ -100,8 +98,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     shards = min(SHARDS, -(-n // SHARD_ROWS))
     # Bounded by the limit above, so that only the sample's texts are shuffled.
     taught = texts_of(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").select("text", "toxic", F.xxhash64("doc_id", F.lit(1)).alias("order"))
-    dealt = taught.repartition(shards, F.pmod("order", F.lit(shards))).sortWithinPartitions("order", F.xxhash64("text"))
-    each = dealt.mapInArrow(_fit_shard, "at long, w double")
+    each = taught.groupBy(F.pmod("order", F.lit(shards)).alias("shard")).applyInArrow(_fit_shard, "at long, w double")
     table = each.groupBy("at").agg((F.sum("w") / shards).alias("w")).toPandas().sort_values("at")
     return table["at"].to_numpy(np.int64), table["w"].to_numpy(np.float64)
 
@@ -146,13 +143,13 @@ def rate(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
 def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs``, unchanged, whose score is under ``threshold``; cases as in :func:`rate`."""
     score = scorer(docs, fit(docs, labels, id_col, text_col))
-    place = docs.columns.index(text_col)
+    names, place = docs.columns, docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
             named = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{k}" for k in range(batch.num_columns)])
             for part in slices([named], f"c{place}"):
                 keep = pa.array(score(plain(part.column(place))) < threshold)
-                yield pa.RecordBatch.from_arrays(part.filter(keep).columns, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(part.filter(keep).columns, names=names)
 
     return docs.mapInArrow(run, docs.schema)
