@@ -25,6 +25,8 @@ TARGET_ENTROPY, MAX_REPEATS = 0.95, 4.0
 #: gathered on the driver; more is an error).
 BLOCK_TOKENS, MAX_BLOCKS, MAX_SOURCES = 1 << 20, 1 << 16, 100_000
 BISECTIONS = 60
+#: Makes up for rounding, so that a share that is a source's own tokens takes the source whole.
+ROUNDING = 1e-12
 
 
 @dataclass(frozen=True)
@@ -85,7 +87,7 @@ def shares(totals: dict[str, int], budget: int | None = None, target_entropy: fl
     budget = sum(tokens) if budget is None else budget
     out = []
     for name, t, w in zip(names, tokens, weights(tokens, exponent(tokens, budget, target_entropy, max_repeats)) if any(tokens) else [0.0] * len(names)):
-        goal = math.floor(w * budget)
+        goal = math.floor(w * budget * (1 + ROUNDING))
         out.append(Share(name, t, w, goal // t if t else 1, goal % t if t else 0, min(MAX_BLOCKS, max(1, -(-t // BLOCK_TOKENS)))))
     return out
 

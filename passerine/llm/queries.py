@@ -136,7 +136,7 @@ WITH RECURSIVE docs AS (
 ), chosen AS (
   SELECT CASE WHEN (SELECT too_much FROM excess) THEN (SELECT high FROM by_repeats WHERE k = 60) ELSE (SELECT a FROM start) END AS a
 ), goals AS (
-  SELECT source, t, CAST(floor(w * (SELECT budget FROM facts)) AS BIGINT) AS goal
+  SELECT source, t, CAST(floor(w * (SELECT budget FROM facts) * (1 + 1e-12)) AS BIGINT) AS goal
   FROM (SELECT source, t, pow(p, (SELECT a FROM chosen)) / sum(pow(p, (SELECT a FROM chosen))) OVER () AS w FROM parts)
 ), shares AS (
   SELECT source, goal // t AS passes, goal % t AS rest, least(65536, (t + 1048575) // 1048576) AS blocks FROM goals
