@@ -20,9 +20,9 @@ TABLES = [
 VIEWS: dict[str, str] = {}
 
 VIEWS["crs_program"] = """
-SELECT CAST(100 + n_nationkey AS STRING) AS mpn, 'C' || CAST(n_nationkey AS STRING) AS country_code,
+SELECT CAST(CASE WHEN n_nationkey < 20 THEN 100 ELSE 7000 END + n_nationkey AS STRING) AS mpn, 'C' || CAST(n_nationkey AS STRING) AS country_code,
        CAST(n_regionkey + 1 AS STRING) AS legal_entity, n_name AS program_name
-FROM @nation WHERE n_nationkey < 20
+FROM @nation
 """
 
 VIEWS["crs_source"] = """
@@ -208,16 +208,16 @@ FROM @customer LEFT JOIN @last_orders ON c_custkey = lo_ck
 """
 
 VIEWS["canon"] = """
-SELECT 'w' || CAST(c_custkey AS STRING) AS previous_user_id, 'w' || CAST(c_custkey - c_custkey % 3 AS STRING) AS canonical_user_id
-FROM @customer WHERE c_custkey % 2 = 0
+SELECT CASE WHEN c_custkey % 2 = 0 THEN 'w' ELSE 'none' END || CAST(c_custkey AS STRING) AS previous_user_id, 'w' || CAST(c_custkey - c_custkey % 3 AS STRING) AS canonical_user_id
+FROM @customer
 """
 VIEWS["merged_email"] = """
-SELECT 'E' || CAST(c_custkey AS STRING) || '@mail.org' AS email, 'pm' || CAST(c_custkey AS STRING) AS canonical_pg_id FROM @customer WHERE c_custkey % 9 = 0
+SELECT CASE WHEN c_custkey % 9 = 0 THEN 'E' ELSE 'none' END || CAST(c_custkey AS STRING) || '@mail.org' AS email, 'pm' || CAST(c_custkey AS STRING) AS canonical_pg_id FROM @customer
 """
 VIEWS["merged_user"] = """
-SELECT 'w' || CAST(c_custkey AS STRING) AS id, 'pu' || CAST(c_custkey AS STRING) AS canonical_pg_id FROM @customer WHERE c_custkey % 11 = 0
+SELECT CASE WHEN c_custkey % 11 = 0 THEN 'w' ELSE 'none' END || CAST(c_custkey AS STRING) AS id, 'pu' || CAST(c_custkey AS STRING) AS canonical_pg_id FROM @customer
 """
-VIEWS["unmerge"] = "SELECT 'w' || CAST(c_custkey AS STRING) AS id_value FROM @customer WHERE c_custkey % 8 = 0"
+VIEWS["unmerge"] = "SELECT CASE WHEN c_custkey % 8 = 0 THEN 'w' ELSE 'none' END || CAST(c_custkey AS STRING) AS id_value FROM @customer"
 
 VIEWS["changed_opts"] = """
 SELECT 'w' || CAST(o_custkey AS STRING) AS user_id, o_orderkey AS ok,
@@ -271,14 +271,14 @@ SELECT 't' || CAST(event_id AS STRING) AS trace_id, 'p' || CAST(user_id AS STRIN
 FROM @events
 """
 VIEWS["event_properties"] = """
-SELECT 't' || CAST(event_id AS STRING) AS trace_id, 'countryCode' AS property_name, 'C1' AS property_value FROM @events WHERE event_id % 3 <> 0
+SELECT CASE WHEN event_id % 3 <> 0 THEN 't' ELSE 'none' END || CAST(event_id AS STRING) AS trace_id, 'countryCode' AS property_name, 'C1' AS property_value FROM @events
 """
 
 VIEWS["trait"] = """
 SELECT DISTINCT p_partkey % 40 AS traitId,
   CASE p_partkey % 5 WHEN 0 THEN 'email' WHEN 1 THEN 'phone' WHEN 2 THEN 'regul' ELSE 'pet' END || 'Trait'
-    || CASE WHEN p_partkey % 3 = 0 THEN 'OptIndicator' WHEN p_partkey % 3 = 1 THEN 'Cdp' ELSE '' END || CAST(p_partkey % 40 AS STRING) AS traitName
-FROM @part WHERE p_partkey % 120 < 40
+    || CASE WHEN p_partkey % 40 % 3 = 0 THEN 'OptIndicator' WHEN p_partkey % 40 % 3 = 1 THEN 'Cdp' ELSE '' END || CAST(p_partkey % 40 AS STRING) AS traitName
+FROM @part
 """
 VIEWS["eco_system_trait"] = """
 SELECT DISTINCT p_partkey % 40 AS traitId, CASE p_partkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 4 WHEN 2 THEN 5 ELSE 10 END AS ecoSystemId,
@@ -288,9 +288,9 @@ SELECT DISTINCT p_partkey % 40 AS traitId, CASE p_partkey % 4 WHEN 0 THEN 1 WHEN
 FROM @part
 """
 VIEWS["trait_alias"] = """
-SELECT DISTINCT p_partkey % 40 AS trait_id, CASE p_partkey % 40 WHEN 7 THEN 'spaceTrait' WHEN 9 THEN 'registrationDate' WHEN 12 THEN 'trait_pet_kind'
+SELECT DISTINCT CASE WHEN p_partkey % 40 < 20 THEN 0 ELSE 1000 END + p_partkey % 40 AS trait_id, CASE p_partkey % 40 WHEN 7 THEN 'spaceTrait' WHEN 9 THEN 'registrationDate' WHEN 12 THEN 'trait_pet_kind'
   ELSE 'alias' || CAST(p_partkey % 40 AS STRING) END AS alias
-FROM @part WHERE p_partkey % 40 < 20
+FROM @part
 """
 VIEWS["crs_aliases"] = """
 SELECT DISTINCT CASE p_partkey % 40 WHEN 0 THEN 'gender' ELSE 'name' || CAST(p_partkey % 40 AS STRING) END AS traitName,
@@ -313,11 +313,11 @@ SELECT DISTINCT CASE r_regionkey % 5 WHEN 0 THEN 'EP' WHEN 1 THEN 'PM' WHEN 2 TH
 FROM @region
 """
 VIEWS["program_service"] = """
-SELECT DISTINCT cdp_marketing_program_number AS marketing_program_number, service_name FROM @opt_map WHERE CAST(subscription_opt_number AS INT) % 7 <> 0
+SELECT DISTINCT cdp_marketing_program_number AS marketing_program_number, CASE WHEN CAST(subscription_opt_number AS INT) % 7 <> 0 THEN '' ELSE 'none' END || service_name AS service_name FROM @opt_map
 """
 VIEWS["service_traits"] = """
 SELECT DISTINCT 'S' || CAST(p_partkey % 4 AS STRING) AS service_name, p_partkey % 40 AS trait_id_opt_indicator, CAST((p_partkey + 3) % 40 AS STRING) AS trait_id_opt_date
-FROM @part WHERE p_partkey % 3 = 0
+FROM @part
 """
 VIEWS["consents"] = """
 SELECT 't' || CAST(o_custkey AS STRING) AS trace_id, o_orderkey AS opt_id, CAST(100 + o_custkey % 25 AS STRING) AS marketing_program_number,
@@ -329,13 +329,13 @@ SELECT 't' || CAST(o_custkey AS STRING) AS trace_id, o_orderkey AS opt_id, CAST(
   'i' || CAST(o_custkey AS STRING) AS id_value
 FROM @orders
 """
-VIEWS["profile_consents"] = "SELECT 't' || CAST(c_custkey AS STRING) AS trace_id FROM @customer WHERE c_custkey % 3 <> 1"
+VIEWS["profile_consents"] = "SELECT CASE WHEN c_custkey % 3 <> 1 THEN 't' ELSE 'none' END || CAST(c_custkey AS STRING) AS trace_id FROM @customer"
 VIEWS["id_map1"] = """
-SELECT 'p' || CAST(c_custkey AS STRING) AS pre_prod_pg_id, CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE 'n' || CAST(c_custkey AS STRING) END AS new_pg_id
-FROM @customer WHERE c_custkey % 4 = 0
+SELECT CASE WHEN c_custkey % 4 = 0 THEN 'p' ELSE 'none' END || CAST(c_custkey AS STRING) AS pre_prod_pg_id, CASE WHEN c_custkey % 20 = 0 THEN NULL ELSE 'n' || CAST(c_custkey AS STRING) END AS new_pg_id
+FROM @customer
 """
 VIEWS["id_map2"] = """
-SELECT 'p' || CAST(c_custkey AS STRING) AS pre_prod_pg_id, 'n' || CAST(c_custkey AS STRING) AS new_pg_id FROM @customer WHERE c_custkey % 6 = 0
+SELECT CASE WHEN c_custkey % 6 = 0 THEN 'p' ELSE 'none' END || CAST(c_custkey AS STRING) AS pre_prod_pg_id, 'n' || CAST(c_custkey AS STRING) AS new_pg_id FROM @customer
 """
 VIEWS["dlq"] = """
 SELECT '{"servicePayload":{"id":' || CAST(event_id AS STRING) || ',"kind":"' || event_type || '"},"other":1}' AS data, ts AS publish_time, event_id
@@ -349,9 +349,9 @@ SELECT 'm' || CAST(event_id AS STRING) AS message_id, CAST(100 + user_id % 25 AS
 FROM @events WHERE event_type = 'error'
 """
 VIEWS["replay_updates"] = """
-SELECT 'm' || CAST(event_id AS STRING) AS message_id, 't' || CAST(event_id AS STRING) AS trace_id,
+SELECT CASE WHEN event_id % 3 = 0 THEN 'm' ELSE 'none' END || CAST(event_id AS STRING) AS message_id, 't' || CAST(event_id AS STRING) AS trace_id,
   CASE WHEN event_id % 5 = 0 THEN 'ToBeReplayed' ELSE 'Replayed' END AS replay_status, TIMESTAMP '2024-02-01 00:00:00' AS replay_time
-FROM @events WHERE event_type = 'error' AND event_id % 3 = 0
+FROM @events WHERE event_type = 'error'
 """
 VIEWS["traces"] = """
 SELECT 't' || CAST(event_id AS STRING) AS trace_id, 'web' AS pipeline_origin, ts AS received_date, 'acc' || CAST(user_id % 5 AS STRING) AS account_id,
@@ -366,8 +366,8 @@ SELECT 'u' || CAST(c_custkey AS STRING) AS user_ids, 'p' || CAST(c_custkey AS ST
 VIEWS["contacts"] = """
 SELECT 'r' || CAST(c_custkey AS STRING) AS record_id, 'E' || CAST(c_custkey AS STRING) || '@MAIL.org' AS email, DATE '2020-01-01' AS account_created_on FROM @customer
 """
-VIEWS["aliases_a"] = "SELECT 'u' || CAST(c_custkey % 150 AS STRING) AS user_id, 'old' || CAST(c_custkey AS STRING) AS previous_id FROM @customer WHERE c_custkey % 2 = 0"
-VIEWS["aliases_b"] = "SELECT 'u' || CAST(c_custkey % 150 AS STRING) AS user_id, 'old' || CAST(c_custkey AS STRING) AS previous_id FROM @customer WHERE c_custkey % 3 = 0"
+VIEWS["aliases_a"] = "SELECT CASE WHEN c_custkey % 2 = 0 THEN 'u' ELSE 'none' END || CAST(c_custkey % 150 AS STRING) AS user_id, 'old' || CAST(c_custkey AS STRING) AS previous_id FROM @customer"
+VIEWS["aliases_b"] = "SELECT CASE WHEN c_custkey % 3 = 0 THEN 'u' ELSE 'none' END || CAST(c_custkey % 150 AS STRING) AS user_id, 'old' || CAST(c_custkey AS STRING) AS previous_id FROM @customer"
 
 _ISO = re.compile(r"@iso\((\w+)\)")
 _REF = re.compile(r"@(\w+)")
