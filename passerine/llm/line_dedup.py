@@ -6,10 +6,11 @@ similarity t or more share a token among their first n - ceil(t n) + 1. Short li
 met by three tokens instead of one: similar lines share three among the first n - ceil(t n) + 3. Candidates then pass the
 length filter, the positional filter and a filter on a bitmap of the tokens before the sets themselves are compared.
 
-No bucket of a token is expanded into all its pairs. Rows are sorted by bucket and age; a task walks over them and holds each
-line against the oldest of its bucket and the ``NEAR`` before it, in constant memory. What is verified so settles most lines
-of groups of near copies: a line needs one earlier match to go. Only lines still unsettled, in buckets with more rows than
-that, are joined with the earlier rest of the bucket. Buckets that the counters show to be hot are salted.
+No bucket of a token is expanded into all its pairs. Rows are sorted by bucket and name, and a task walks over them, holding
+each line against the ``WINDOW`` before it in its bucket. It puts out ``PARTNERS`` candidates of a row at most; rows of
+which it holds candidates back, or whose bucket exceeds the window, are marked. What is verified so settles most lines of
+groups of near copies: a line needs one earlier match to go. Only marked lines that are still unsettled are joined with
+the other marked rows of their bucket, so no match is lost. Buckets that the counters show to be hot are salted.
 """
 
 from __future__ import annotations
@@ -29,11 +30,12 @@ from passerine.operators.skew import adaptive_join
 
 #: Jaccard similarity of matching lines, as a fraction of whole numbers.
 SIMILAR, OF = 4, 5
-#: Counters of the rarity table (1 MB), bits of the filter that finds candidate lines again (8 MB), rows of one salt.
-SLOT_BITS, FILTER_BITS, HOT_ROWS = 18, 26, 1 << 17
+#: Counters of the rarity table (1 MB), bits of the filter that finds candidate lines again (4 MB), rows of one salt.
+SLOT_BITS, FILTER_BITS, HOT_ROWS = 18, 25, 1 << 17
 #: Lines up to this many tokens are met by three tokens.
 SHORT = 12
-NEAR = 4
+#: Rows of a bucket that a row is held against, and candidates of it that are put out.
+WINDOW, PARTNERS = 512, 6
 
 _LEAST = 4  # fewer tokens match equal sets only
 _WIDEST = SHORT * OF // SIMILAR  # the longest line that a short one can match
@@ -116,26 +118,35 @@ def token_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _postings(lines: Lines, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, name, rest) for every bucket of every line that can match an unequal one.
+def _first_of(keys: tuple[np.ndarray, ...], age: tuple[np.ndarray, ...]) -> np.ndarray:
+    """Marks one of the rows of each key: the one of least age."""
+    order = np.lexsort((*age, *keys))
+    first = np.zeros(len(order), bool)
+    first[order[:1]] = True
+    for key in keys:
+        first[order[1:]] |= key[order][1:] != key[order][:-1]
+    return first
+
+
+def _postings(lines: Lines, doc_ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(bucket, name, rest, bits) for every bucket of every line that can match an unequal one.
 
     The bucket's low bits hold whether three tokens made it, and the power of two of its salts; ``rest`` holds age (as far
-    as 24 bits tell it), the position of the bucket's last token, and a bitmap of the line's tokens.
+    as 24 bits tell it), the position of the bucket's last token, and the first 32 of the 96 bits of the tokens' bitmap.
     """
-    bit = np.left_shift(np.int64(1), (lines.tokens & np.uint64(31)).astype(np.int64))
-    bitmap = np.bitwise_or.reduceat(bit, lines.at[:-1]) if len(lines.n) else bit[:0]
+    place = (lines.tokens & np.uint64(2**32 - 1)) * np.uint64(96) >> np.uint64(32)
+    low = np.where(place < 32, np.uint64(1) << (place & np.uint64(31)), np.uint64(0)).astype(np.int64)
+    high = np.where(place >= 32, np.uint64(1) << (place & np.uint64(63)), np.uint64(0)).astype(np.int64)  # 32..95: each bit once
+    bitmap, bits = (np.bitwise_or.reduceat(b, lines.at[:-1]) if len(lines.n) else b[:0] for b in (low, high))
     age = np.maximum(doc_ids, 0).astype(np.float32).view(np.int32).astype(np.int64)[lines.doc] >> 7
     rest = (age << 39) | bitmap
-    # Copies of a line within the slice stand behind their oldest.
-    order = np.lexsort((age, lines.names))
-    oldest = np.zeros(len(order), bool)
-    oldest[order] = np.append(True, lines.names[order][1:] != lines.names[order][:-1])[: len(order)]
+    oldest = _first_of((lines.names,), (age,))  # copies of a line within the slice stand behind their oldest
     found: list[tuple] = []
 
     def put(line, hashed, position, count, three):
         salts = np.ceil(np.log2(np.maximum(1, -(-count // HOT_ROWS)))).astype(np.int64)
         bucket = (mix(hashed).astype(np.int64) & ~np.int64(63)) | (salts << 1) | three
-        found.append((bucket, lines.names[line], rest[line] | (np.minimum(position, _POS_MOST) << 32)))
+        found.append((bucket, lines.names[line], rest[line] | (np.minimum(position, _POS_MOST) << 32), bits[line]))
 
     long = np.flatnonzero(oldest & (lines.n > SHORT))
     prefix = lines.n[long] - _overlap_least(lines.n[long]) + 1
@@ -153,7 +164,7 @@ def _postings(lines: Lines, doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _passes(name_a, name_b, rest_a, rest_b, bucket):
+def _passes(name_a, name_b, rest_a, rest_b, bits_a, bits_b, bucket):
     """Length, positional and bitmap filter for candidate pairs of a bucket, on numpy arrays."""
     n, m = name_a >> _N_SHIFT, name_b >> _N_SHIFT
     known = (n < _N_MOST) & (m < _N_MOST)
@@ -161,7 +172,7 @@ def _passes(name_a, name_b, rest_a, rest_b, bucket):
     need = -(-(n + m) * SIMILAR // (SIMILAR + OF))
     p, q = (rest_a >> 32) & _POS_MOST, (rest_b >> 32) & _POS_MOST
     position = (1 + 2 * (bucket & 1) + np.minimum(n - p - 1, m - q - 1) >= need) | (p == _POS_MOST) | (q == _POS_MOST)
-    differ = np.bitwise_count((rest_a ^ rest_b) & (2**32 - 1)) <= n + m - 2 * need
+    differ = np.bitwise_count((rest_a ^ rest_b) & (2**32 - 1)).astype(np.int64) + np.bitwise_count((bits_a ^ bits_b).view(np.uint64)) <= n + m - 2 * need
     return (name_a != name_b) & length & (~known | (position & differ))
 
 
@@ -174,63 +185,59 @@ def _passes_sql(a: str, b: str) -> Column:
         {a}.name <> {b}.name AND least({n}, {m}) * {OF} >= greatest({n}, {m}) * {SIMILAR}
         AND ({n} >= {_N_MOST} OR {m} >= {_N_MOST} OR (
             (1 + 2 * ({a}.bucket & 1) + least({n} - {p} - 1, {m} - {q} - 1) >= {need} OR {p} = {_POS_MOST} OR {q} = {_POS_MOST})
-            AND bit_count(({a}.rest ^ {b}.rest) & {2**32 - 1}L) <= {n} + {m} - 2 * {need}))
+            AND bit_count(({a}.rest ^ {b}.rest) & {2**32 - 1}L) + bit_count({a}.bits ^ {b}.bits) <= {n} + {m} - 2 * {need}))
     """)
 
 
 def _walk(batches):
-    """Over rows sorted by (bucket, salt, rest): candidate pairs (bucket null), and rows whose bucket needs the join.
+    """Over rows sorted by (bucket, salt, name, rest): candidate pairs (bucket null), and marked rows for the join.
 
-    Keeps the group's first row and the last few rows from one batch to the next.
+    Keeps the last ``WINDOW + 1`` rows of a bucket from one batch to the next.
     """
-    keep = NEAR + 1  # rows after the first that are held against all before them
-    held = [np.zeros(0, np.int64) for _ in range(4)]
-    first, seen = None, 0  # the first row of the group that the last row is in, and the group's rows before the kept ones
+    held = [np.zeros(0, np.int64) for _ in range(7)]  # the columns, place in the bucket, and whether it was put out
     for batch in batches:
         own = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         back = len(held[0])
-        bucket, salt, name, rest = (np.concatenate(x) for x in zip(held, own))
+        bucket, salt, name, rest, bits = (np.concatenate(x) for x in zip(held, own))
+        same = np.zeros(len(bucket), bool)
+        same[1:] = (bucket[1:] == bucket[:-1]) & (salt[1:] == salt[:-1])
+        copy = np.zeros(len(bucket), bool)
+        copy[1:] = same[1:] & (name[1:] == name[:-1])  # younger copies of a line
+        bucket, salt, name, rest, bits, same = (x[~copy] for x in (bucket, salt, name, rest, bits, same))
         n = len(bucket)
         if n == back:
             continue
-        new = np.ones(n, bool)
-        new[1:] = (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])
-        continued = first is not None and back and not (first[0] != bucket[0] or first[1] != salt[0])
-        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+        start = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
         k = np.arange(n) - start
-        lead_name, lead_rest = name[start], rest[start]
-        if continued:
-            old = start == 0
-            k[old] += seen
-            lead_name[old], lead_rest[old] = first[2], first[3]
-        fresh = np.arange(n) >= back
-        a, b = [], []
-        at = np.flatnonzero(fresh & (k > 0))
-        at = at[_passes(name[at], lead_name[at], rest[at], lead_rest[at], bucket[at])]
-        a.append(name[at]), b.append(lead_name[at])
-        for d in range(1, NEAR + 1):
-            at = np.flatnonzero(fresh & (k > d))  # the first of a group is done
-            at = at[at >= d]
-            at = at[_passes(name[at], name[at - d], rest[at], rest[at - d], bucket[at])]
-            a.append(name[at]), b.append(name[at - d])
-        pairs = np.unique(np.stack([np.minimum(np.concatenate(a), np.concatenate(b)), np.maximum(np.concatenate(a), np.concatenate(b))], axis=1), axis=0)
-        join = fresh & (k > keep)
-        reached = np.flatnonzero(fresh & (k == keep + 1))
-        for d in range(1, keep + 1):
-            join[reached - d] = True
-        join = np.where(bucket >> 1 & 31 > 0, fresh, join)  # other salts have rows of the bucket too
-        at = np.flatnonzero(join)
+        if back:
+            k[start == 0] += held[5][0]
+        at, given, marked = np.arange(back, n), np.zeros(n, np.int64), np.zeros(n, bool)
+        pairs = [np.zeros((0, 2), np.int64)]
+        for d in range(1, WINDOW + 1):
+            at = at[k[at] >= d]
+            if not len(at):
+                break
+            some = at[_passes(name[at], name[at - d], rest[at], rest[at - d], bits[at], bits[at - d], bucket[at])]
+            free = given[some] < PARTNERS
+            put, kept = some[free], some[~free]
+            given[put] += 1
+            pairs.append(np.stack([np.minimum(name[put], name[put - d]), np.maximum(name[put], name[put - d])], axis=1))
+            marked[kept] = marked[kept - d] = True
+        far = np.arange(back, n)
+        far = far[k[far] > WINDOW]
+        marked[far] = marked[far - WINDOW - 1] = True
+        marked[back:] |= (bucket[back:] >> 1 & 31) > 0  # other salts have rows of the bucket too
+        done = np.concatenate([held[6].astype(bool), np.zeros(n - back, bool)])
+        row = np.flatnonzero(marked & ~done)
+        pairs = np.unique(np.concatenate(pairs), axis=0)
+        no = np.concatenate([np.ones(len(pairs), bool), np.zeros(len(row), bool)])
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([np.zeros(len(pairs), np.int64), bucket[at]]), mask=np.concatenate([np.ones(len(pairs), bool), np.zeros(len(at), bool)])),
-            pa.array(np.concatenate([pairs[:, 0], name[at]])), pa.array(np.concatenate([pairs[:, 1], rest[at]])),
-        ], names=["bucket", "name", "rest"])
-        group = start[-1]
-        if not (continued and group == 0):
-            first = (bucket[group], salt[group], name[group], rest[group])
-            seen = 0
-        tail = max(group, n - keep)
-        seen += tail - group
-        held = [x[tail:].copy() for x in (bucket, salt, name, rest)]
+            pa.array(np.concatenate([np.zeros(len(pairs), np.int64), bucket[row]]), mask=no),
+            pa.array(np.concatenate([pairs[:, 0], name[row]])), pa.array(np.concatenate([pairs[:, 1], rest[row]])),
+            pa.array(np.concatenate([np.zeros(len(pairs), np.int64), bits[row]])),
+        ], names=["bucket", "name", "rest", "bits"])
+        tail = max(start[-1], n - WINDOW - 1)
+        held = [x[tail:].copy() for x in (bucket, salt, name, rest, bits, k, (marked | done).astype(np.int64))]
 
 
 def _matches(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -256,17 +263,17 @@ def later_matches(docs: DataFrame) -> DataFrame:
     def postings(batch):
         lines = Lines(plain(batch.column("text")), counts.value)
         found = _postings(lines, batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["bucket", "name", "rest"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["bucket", "name", "rest", "bits"])
 
-    rows = map_slices(docs.select("doc_id", "text"), "text", postings, "bucket long, name long, rest long")
+    rows = map_slices(docs.select("doc_id", "text"), "text", postings, "bucket long, name long, rest long, bits long")
     salt = F.expr("pmod(hash(name), cast(shiftleft(1, cast(shiftright(bucket, 1) & 31 as int)) as int))").cast("long")
-    dealt = rows.withColumn("salt", salt).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "rest", "name").select("bucket", "salt", "name", "rest")
-    walked = written(dealt.mapInArrow(_walk, "bucket long, name long, rest long"), "lines-walked")
+    dealt = rows.withColumn("salt", salt).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "name", "rest").select("bucket", "salt", "name", "rest", "bits")
+    walked = written(dealt.mapInArrow(_walk, "bucket long, name long, rest long, bits long"), "lines-walked")
 
     first = written(walked.where("bucket is null").select(F.col("name").alias("a"), F.col("rest").alias("b")).distinct(), "lines-pairs")
     near = written(_matches(first, _sets(docs, first, counts)), "lines-matches")
-    crowd = walked.where("bucket is not null").groupBy("bucket", "name").agg(F.min("rest").alias("rest"))  # the oldest copy
-    open_ = crowd.join(near.select("name").distinct(), "name", "left_anti")
+    crowd = walked.where("bucket is not null")
+    open_ = adaptive_join(crowd, near.select("name").distinct(), ["name"], "left_anti")
     u, v = open_.alias("u"), crowd.alias("v")
     older = F.expr("shiftright(v.rest, 39) <= shiftright(u.rest, 39)")
     second = u.join(v, F.expr("u.bucket = v.bucket") & _passes_sql("u", "v") & older)
@@ -285,16 +292,19 @@ def _sets(docs: DataFrame, pairs: DataFrame, counts) -> DataFrame:
 
     def find(batch):
         lines = Lines(plain(batch.column("text")), counts.value)
-        some = np.flatnonzero(in_slots(filled.value, lines.names << (64 - _N_SHIFT), FILTER_BITS))  # by the hashed part of the name
+        places = lines.places(batch.column("doc"))
+        some = in_slots(filled.value, lines.names << (64 - _N_SHIFT), FILTER_BITS)  # by the hashed part of the name
+        words_of = _decimal_words(places)
+        some = np.flatnonzero(some & _first_of((lines.keys[:, 0], lines.keys[:, 1]), (words_of[:, 0], words_of[:, 1])))
         n = lines.n[some]
         ends = np.concatenate([[0], np.cumsum(n)])
         at = np.repeat(lines.at[:-1][some], n) + np.arange(ends[-1]) - np.repeat(ends[:-1], n)
         tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lines.tokens[at].view(np.int64)))
-        places = lines.places(batch.column("doc")).take(pa.array(some))
+        places = places.take(pa.array(some))
         return pa.RecordBatch.from_arrays([pa.array(lines.names[some]), _decimals(lines.keys[some]), tokens, places], names=["name", "key", "tokens", "place"])
 
     made = map_slices(docs.select("doc", "text"), "text", find, "name long, key decimal(38,0), tokens array<long>, place decimal(38,0)")
-    made = made.join(wanted, "name", "left_semi").groupBy("name", "key").agg(F.first("tokens").alias("tokens"), F.min("place").alias("place"))
+    made = made.groupBy("name", "key").agg(F.first("tokens").alias("tokens"), F.min("place").alias("place"))
     return written(made.select("name", "tokens", "place"), "lines-sets")
 
 
@@ -320,13 +330,12 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     """
     gone = later_matches(with_names(texts_of(df, id_col, text_col))).groupBy("doc").agg(F.collect_set("line").alias("lines"))
     held = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
-    joined = adaptive_join(with_names(held).select("doc", "row"), gone, ["doc"]).select("row.*", "lines")
-    place = df.columns.index(text_col)
+    joined = adaptive_join(with_names(held).select("doc", "row"), gone, ["doc"]).select("row.*", "lines").toDF(*(f"c{k}" for k in range(len(df.columns) + 1)))  # names may clash
+    names, place = df.columns, df.columns.index(text_col)
 
     def cut(batches):
         for batch in batches:
-            named = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{k}" for k in range(batch.num_columns)])
-            for part in slices([named], f"c{place}"):
+            for part in slices([batch], f"c{place}"):
                 texts, keep = [], []
                 for text, lines in zip(part.column(place).to_pylist(), part.column(part.num_columns - 1).to_pylist()):
                     if lines:
@@ -336,6 +345,6 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                     keep.append(not lines or bool(text.strip(" \t\n\r\x0b\x0c")))
                 columns = part.columns[:-1]
                 columns[place] = pa.array(texts, pa.string())
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in columns], names=df.columns)
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in columns], names=names)
 
     return joined.mapInArrow(cut, df.schema)
