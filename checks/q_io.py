@@ -1,6 +1,5 @@
 """Sources and sinks by round trip, delivery, and streams against their batch twins."""
 
-import os
 import tempfile
 
 from pyspark.sql import functions as F
