@@ -3,7 +3,7 @@
 Candidate strings are runs of characters that encoded secrets are made of. For the class of characters that a candidate
 keeps to (digits and hex letters, letters and digits, base64) a window slides over it; the counts of its characters, and
 with them the entropy, change by one character in and one out at a step. Windows over the class's threshold are joined to
-spans. The allow-list drops what looks random but isn't secret; spans of the base patterns are never dropped.
+spans. A candidate shorter than the window is one window of its own length, its threshold scaled by the logarithm of it. The allow-list drops what looks random but isn't secret; spans of the base patterns are never dropped.
 """
 
 from __future__ import annotations
@@ -91,6 +91,8 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
         if string.isalpha() or is_allowed(string):
             continue
         _, _, window, least = next(c for c in CLASSES if c[1].fullmatch(string))
+        if len(string) < window:  # one window of its own length, with the same share of the entropy that it can have
+            window, least = len(string), least * math.log2(len(string)) / math.log2(window)
         spans += [(m.start() + a, m.start() + b) for a, b in high_windows(string, window, least)]
     return spans
 

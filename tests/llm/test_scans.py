@@ -77,6 +77,31 @@ def test_entropy_finds_bare_secrets_and_allows_the_harmless():
         assert secret_scan.all_spans(harmless)[1] == [], harmless
 
 
+def test_candidates_shorter_than_the_window_are_scored():
+    draw = random.Random(7)
+    alphabets = {"hex": "0123456789abcdefABCDEF", "alnum": "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "base64": "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"}
+    seen = Counter()
+    for _ in range(6000):
+        text = "".join(draw.choice(alphabets[draw.choice(list(alphabets))][: draw.choice((3, 8, 70))]) for _ in range(draw.randint(19, 25)))
+        if draw.random() < 0.7:
+            own = alphabets[draw.choice(list(alphabets))]
+            text = "".join(draw.choice(own) for _ in range(draw.randint(19, 25)))
+        inside = set()
+        if len(text) >= 20 and not text.isalpha() and not secret_scan.is_allowed(text):
+            name = next(n for n, a in alphabets.items() if set(text) <= set(a))
+            full, least = {"hex": (24, 3.0), "alnum": (20, 3.6), "base64": (24, 4.0)}[name]
+            size = min(full, len(text))
+            for k in range(len(text) - size + 1):
+                part = Counter(text[k : k + size])
+                if -sum(n / size * math.log2(n / size) for n in part.values()) >= least * math.log(size) / math.log(full) - 1e-9:
+                    inside |= set(range(k, k + size))
+            seen[name, len(text)] += bool(inside)
+        assert {k for a, b in secret_scan.entropy_spans(f"a {text} b") for k in range(a - 2, b - 2)} == inside, text
+    assert all(seen[name, n] for name in alphabets for n in range(20, 25))
+    for secret in ("x9Kq-LmZ7vRt4WpB8nYc3H", "Zk3_vT8qLw1xRb5mNc7YdQ", "9F3aC07e1bD2845f6a0E", "7f3ac91e0bd2845f6ae0c"):
+        assert secret_scan.all_spans(f"see {secret} there")[1] == [(4, 4 + len(secret), "entropy")], secret
+
+
 def test_checksums_and_context():
     iban = "DE89 3704 0044 0532 0130 00"
     assert [s[2] for s in pii.all_spans(f"account {iban} now")[1]] == ["iban"]
