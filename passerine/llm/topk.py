@@ -75,10 +75,11 @@ def search(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
     rows = df.select(F.col(id_col).cast("long").alias("id"), quantized(F.col(vector_col), scale).alias("v"), is_query.alias("q")).where("id is not null and v is not null")
     counts = rows.agg(F.count("*").alias("n"), F.sum(F.when(F.col("q"), 1).otherwise(0)).alias("m")).first()
     blocks, asks = max(1, -(-counts.n // BLOCK_ROWS)), max(1, -(-(counts.m or 0) // QUERY_ROWS))
-    deal = lambda n, seed: F.pmod(F.xxhash64("id", F.monotonically_increasing_id(), F.lit(seed)), F.lit(n)).cast("int")
+    deal = lambda n, seed, own: F.pmod(F.xxhash64("id", own, F.lit(seed)), F.lit(n)).cast("int")
     others = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    candidates = rows.select("id", "v", deal(blocks, 1).alias("block")).select("*", others(asks).alias("ask"))
-    queries = rows.where("q").select("id", "v").distinct().select("id", "v", deal(asks, 2).alias("ask")).select("*", others(blocks).alias("block"))
+    candidates = rows.select("id", "v", deal(blocks, 1, F.monotonically_increasing_id()).alias("block")).select("*", others(asks).alias("ask"))
+    # After a shuffle rows have no fixed order; only what they hold gives a task that runs again the same blocks.
+    queries = rows.where("q").select("id", "v").distinct().select("id", "v", deal(asks, 2, F.col("v")).alias("ask")).select("*", others(blocks).alias("block"))
     found = queries.groupBy("ask", "block").cogroup(candidates.groupBy("ask", "block")).applyInPandas(lambda a, b: _best(a, b, k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -203,3 +204,12 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     few = spark.createDataFrame(rows[:3], df.select("vec_id", "embedding").schema)
     assert topk.search(few, F.col("vec_id") == 0).count() == 2
     assert topk.search(few.where("false"), F.col("vec_id") == 0).count() == 0
+
+
+def test_queries_keep_their_block_whatever_the_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "_best", lambda asked, rows, k: pd.DataFrame({"query_id": asked["id"], "vec_id": (asked["id"] ** 2).sum(), "score": 0}))
+    rows = [(i % 30, [float(i), 1.0]) for i in range(60)]
+    frame = lambda order: spark.createDataFrame(order, "vec_id long, embedding array<float>").coalesce(1)
+    blocks = [sorted(tuple(r) for r in topk.search(frame(order), F.lit(True)).select("query_id", "vec_id").collect()) for order in (rows, rows[::-1], rows[31:] + rows[:31])]
+    assert len({b for _, b in blocks[0]}) > 1 and blocks[0] == blocks[1] == blocks[2]
