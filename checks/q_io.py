@@ -27,9 +27,9 @@ def scratch(spark) -> str:
     return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
-def payload_files(i) -> str:
+def payload_files(i, rows: str = "true") -> str:
     path = scratch(i.spark) + "/lines"
-    writers.write_lines(i.pl, path, "raw_payload", "gzip")
+    writers.write_lines(i.pl.filter(rows), path, "raw_payload", "gzip")
     return path
 
 
@@ -190,6 +190,23 @@ def _(i):
     return out.select("user_id", "event", F.get_json_object("raw_payload", "$.messageId").alias("message_id"))
 
 
+UNDATED = "tst is null or tst in ('', '5', '01/15/2024')"
+
+
+@check("stream_undated_rows", ["pl_scalars"], """
+SELECT user_txt AS user_id, event_name AS event, arg_max(message_id, row(coalesce(tst, ''), message_id)) AS message_id FROM pl_scalars WHERE user_txt IS NOT NULL AND event_name IS NOT NULL GROUP BY 1, 2
+""")
+def _(i):
+    """A second batch holds the rows whose timestamp is missing, unreadable or spelled in another way: all of them count."""
+    source, base = payload_files(i, f"not ({UNDATED})"), scratch(i.spark)
+    run = lambda: streams.stream_latest_per_user_event(streams.payload_stream(i.spark, source), base + "/out", base + "/ck", "60 days").awaitTermination()
+    run()
+    writers.write_lines(i.pl.filter(UNDATED), source, "raw_payload", "gzip")
+    run()
+    out = streams.read_latest(i.spark, base + "/out")
+    return out.select("user_id", "event", F.get_json_object("raw_payload", "$.messageId").alias("message_id"))
+
+
 @check("stream_enrich_validate", ["pl_blocks", "opt_map", "crs_source"], CHAIN + """
 SELECT 'failed' AS branch, message_id FROM failed UNION ALL SELECT 'passed', message_id FROM s WHERE message_id NOT IN (SELECT message_id FROM failed)
 """)

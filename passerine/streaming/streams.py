@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from passerine.frames import once
+from passerine.functions.dates import lenient_timestamp
 from passerine.functions.values import has_root, root_text
 from passerine.payload import parse_payloads
 from passerine.plans.delivery import SenderFactory, replay
@@ -36,21 +38,24 @@ def latest_per_user_event(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     """Latest record per (userId, event) and day of event time, by timestamp text.
 
     A day's state is freed once the watermark has passed its end, and rows of such a day that come
-    later are dropped.  A record without a readable timestamp belongs to the first day of all: it
-    counts only until the watermark starts to move.
+    later are dropped.  A record whose timestamp is missing or unreadable has no day and is never
+    late: it is passed on as it is, to be merged by the same rank.
     """
-    moment = F.coalesce(root_text("timestamp").try_cast("timestamp"), F.lit("1970-01-01").cast("timestamp"))
-    rank_key = F.struct(F.coalesce(root_text("timestamp"), F.lit("")), F.coalesce(root_text("messageId"), F.lit("")))
-    keyed = parse_payloads(stream).filter(has_root("userId") & has_root("event")).select(
-        root_text("userId").alias("user_id"), root_text("event").alias("event"), moment.alias("event_time"), rank_key.alias("_k"), "raw_payload")
-    return keyed.withWatermark("event_time", delay).groupBy(F.window("event_time", "1 day"), "user_id", "event").agg(
+    written = root_text("timestamp")
+    moment = F.coalesce(written.try_cast("timestamp"), lenient_timestamp(written))
+    rank_key = F.struct(F.coalesce(written, F.lit("")), F.coalesce(root_text("messageId"), F.lit("")))
+    keyed = parse_payloads(stream).filter(has_root("userId") & has_root("event"))
+    keyed = once(keyed, user_id=root_text("userId"), event=root_text("event"), event_time=moment, _k=rank_key).select("user_id", "event", "event_time", "_k", "raw_payload")
+    dated = keyed.filter("event_time is not null").withWatermark("event_time", delay).groupBy(F.window("event_time", "1 day"), "user_id", "event").agg(
         F.max_by("raw_payload", "_k").alias("raw_payload"), F.max("_k").alias("_k")).drop("window")
+    return dated.unionByName(keyed.filter("event_time is null").drop("event_time"))
 
 
 def stream_latest_per_user_event(stream: DataFrame, sink: str, checkpoint: str, delay: str = "1 day") -> StreamingQuery:
     """Write each batch's changed groups; ``read_latest`` reduces them to one row per group."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_folder(sink, batch_id))
+        newest = batch.groupBy("user_id", "event").agg(F.max_by("raw_payload", "_k").alias("raw_payload"), F.max("_k").alias("_k"))
+        newest.write.mode("overwrite").parquet(_batch_folder(sink, batch_id))
 
     return (
         latest_per_user_event(stream, delay).writeStream.outputMode("update").foreachBatch(write)

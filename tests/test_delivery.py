@@ -59,3 +59,19 @@ def test_stream_drops_late_rows_and_frees_state(spark, tmp_path):
     found = {r.raw_payload for r in streams.read_latest(spark, str(tmp_path / "out")).collect()}
     assert {json.loads(x)["messageId"] for x in found} == {"1-2", "1-3", "1-4", "2-20", "3-21"}
     assert states[-1] < 3
+
+
+def test_stream_keeps_rows_without_readable_timestamp_in_later_batches(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+
+    def batch(n, *stamps):
+        docs = [{"type": "track", "event": "e", "userId": f"u{n}{k}" if k else "u", "messageId": f"{n}-{k}"} | ({"timestamp": t} if t is not None else {}) for k, t in enumerate(stamps)]
+        (source / f"{n}.txt").write_text("\n".join(map(json.dumps, docs)))
+        streams.stream_latest_per_user_event(streams.payload_stream(spark, str(source)), str(tmp_path / "out"), str(tmp_path / "ck"), "1 hour").awaitTermination()
+
+    batch(1, None, "2024-01-15T12:00:00.000Z")
+    batch(2, "soon", None, "", "2024/01/15", "15 January 2024", 5, "2024-01-02T12:00:00.000Z")  # only the last one is late
+    batch(3, None, "2024/01/16", "2024-01-02", "01/02/2024")  # late are the last two
+    found = {json.loads(r.raw_payload)["messageId"] for r in streams.read_latest(spark, str(tmp_path / "out")).collect()}
+    assert found == {"1-1", "2-0", "2-1", "2-2", "2-3", "2-4", "2-5", "3-1"}
