@@ -13,7 +13,7 @@ from checks.q_routes import CATALOGUE, INVALID, SIGNATURE
 from checks.q_tables import IDMAP, PROGRAMS, RATE
 from checks.registry import AS_OF, NOW, NOW_SQL, check, message_id
 from passerine.frames import split
-from passerine.functions.values import ext_text, root_text
+from passerine.functions.values import ext_text, root_text, text
 from passerine.operators import identity, joins, route, service_payloads, windows
 from passerine.operators.route import MPN
 from passerine.plans import audience, compression, migration, profiles, reports
@@ -124,6 +124,25 @@ def _(i):
     return windows.union_all(*[df.select(message_id(), F.lit(n).alias("branch"), ext_text(MPN).alias("mpn")) for n, df in out.items()])
 
 
+@check("filter_date_job_all", ["pl_blocks"], S + """,
+d AS (SELECT *, CASE WHEN e % 19 IN (0, 1, 2, 5) THEN NULL ELSE CAST(substr(ots, 1, 10) AS DATE) END AS day, coalesce(CASE WHEN tp THEN tmpn END, xmpn) AS mpn,
+  CASE e % 4 WHEN 1 THEN reg || 'T00:00:00.000Z' WHEN 2 THEN substr(reg, 1, 10) || 'T' || substr(reg, 12, 8) || '.000Z' ELSE reg END AS reg_n FROM s),
+n AS (SELECT *, CASE WHEN t THEN reg_n WHEN is_opt AND ch_email THEN CASE WHEN tst IS NULL THEN reg ELSE reg_n END END AS email_date FROM d)
+SELECT message_id, 'clickstream' AS branch, mpn, email_date FROM n WHERE e % 3 = 0 AND CASE WHEN anon_txt IS NULL THEN day > DATE '2024-01-31' - INTERVAL 1095 DAY ELSE day > DATE '2024-01-31' - INTERVAL 180 DAY END
+UNION ALL SELECT message_id, 'clt', mpn, email_date FROM n WHERE e % 3 = 1 AND anon_txt IS NULL AND day > DATE '2024-01-31' - INTERVAL 1095 DAY
+UNION ALL SELECT message_id, 'other', xmpn, email_date FROM n WHERE e % 3 = 2
+""")
+def _(i):
+    """The job over all payloads, identify records too."""
+    from passerine.payload import parse_payloads
+
+    raw = i.pl.select("raw_payload", (F.col("e") % 3).alias("k"))
+    part = lambda k: parse_payloads(raw.filter(F.col("k") == k).drop("k"))
+    out = migration.filter_date_job({"clickstream": part(0), "clt": part(1), "other": part(2)}, AS_OF, "@hash.test")
+    date = F.coalesce(text(F.col("traits")["emailConsumerChoiceDate"]), text(F.col("properties")["emailConsumerChoiceDate"])).alias("email_date")
+    return windows.union_all(*[df.select(message_id(), F.lit(n).alias("branch"), ext_text(MPN).alias("mpn"), date) for n, df in out.items()])
+
+
 # ---- compression -------------------------------------------------------------------------
 
 IDENT = S + f""",
