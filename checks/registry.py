@@ -19,6 +19,7 @@ NOW_SQL = "TIMESTAMP '2024-01-31 12:00:00'"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+CHECKED: dict[str, tuple] = {}
 
 
 class Inputs:
@@ -37,22 +38,42 @@ class Inputs:
         return self.crs_program.select("mpn")
 
 
+def joined(views: list[str] | None, sql: str) -> str:
+    """One DuckDB text of the views and the query over them."""
+    prefix = with_views(views) if views else ""
+    joiner = ",\n" if prefix and sql.lstrip().upper().startswith("WITH ") else "\n"
+    return prefix + joiner + (sql.lstrip()[5:] if joiner == ",\n" else sql)
+
+
 def check(key: str, views: list[str] | None = None, sql: str | None = None):
     """Register ``fn(inputs) -> DataFrame`` under ``key`` with its DuckDB text."""
 
     def register(fn):
         QUERIES[key] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
         QUERIES[key].__doc__ = fn.__doc__
+        CHECKED[key] = fn, views, sql
         if sql is not None:
-            prefix = with_views(views) if views else ""
-            joiner = ",\n" if prefix and sql.lstrip().upper().startswith("WITH ") else "\n"
-            body = sql.lstrip()[5:] if joiner == ",\n" else sql
-            ORACLES[key] = prefix + joiner + body
+            ORACLES[key] = joined(views, sql)
         return fn
 
     return register
 
 
+class WholeInputs(Inputs):
+    """The same views, but all rows where the view ``canonical_ctas`` has a part."""
+
+    @property
+    def canonical_ctas(self) -> DataFrame:
+        return view(self.spark, self.sf_dir, "canonical_all")
+
+
+def check_whole(key: str) -> None:
+    """Register the query ``key`` a second time, as ``key_all``, over all rows of ``canonical_ctas``; the given text stays."""
+    fn, views, sql = CHECKED[key]
+    QUERIES[f"{key}_all"] = lambda spark, sf_dir: fn(WholeInputs(spark, sf_dir))
+    ORACLES[f"{key}_all"] = joined([v.replace("canonical_ctas", "canonical_all") for v in views], sql.replace("canonical_ctas", "canonical_all"))
+
+
 def message_id() -> Column:
     return root_text("messageId").alias("message_id")
 
