@@ -245,8 +245,14 @@ def latest_alias(aliases: DataFrame) -> DataFrame:
     return rank_first(aliases, ["pg_id"], [F.col("last_updated_date").desc()])
 
 
-def canonical_user(users, merged_email, merged_user, unmerge, canon) -> DataFrame:
-    """Add ``user_id``: merged id by user, then by e-mail; own id when unmerged; canonical id; own id."""
+def canonical_user(users, merged_email, merged_user, unmerge, canon, programs: list[str] | None = None) -> DataFrame:
+    """Add ``user_id``: merged id by user, then by e-mail; own id when unmerged; canonical id; own id.
+
+    With ``programs`` only the merges of these programs count.
+    """
+    if programs is not None:
+        ours = F.col("marketing_program_number").cast("string").isin(*programs)
+        merged_email, merged_user = merged_email.filter(ours), merged_user.filter(ours)
     by_user = merged_user.groupBy("id").agg(F.max("canonical_pg_id").alias("_by_user"))
     by_mail = merged_email.groupBy("email").agg(F.max("canonical_pg_id").alias("_by_mail"))
     canonical = canon.groupBy(F.col("previous_user_id").alias("id")).agg(F.max("canonical_user_id").alias("_canonical"))

@@ -33,6 +33,10 @@ def retention_out_users(identifies: DataFrame, order: list[str], fields: list[st
 BASE_ATTRIBUTES = ["registration_date", "email_valid_contact_point_indicator", "email", "gender", "source_id"]
 
 
+def _loaded(rows: DataFrame, to: dt.date | None) -> DataFrame:
+    return rows if to is None else rows.filter(F.col("loaded_at").cast("date") <= F.lit(to))
+
+
 def segment_dump(
     users: DataFrame,
     merges: dict[str, DataFrame],
@@ -46,21 +50,25 @@ def segment_dump(
     exclude_sources: list[str] | None = None,
     order: list[str] | None = None,
     opt_order: list[str] | None = None,
+    programs: list[str] | None = None,
+    loaded_to: dt.date | None = None,
 ) -> DataFrame:
     """Source-side audience base: one row per (country, resolved user).
 
     Program variants: ``extra`` adds attribute columns; ``exclude_sources`` drops source ids;
     ``opts`` with ``service_flags`` (flag -> service name) takes the flags from the newest opt per
     service instead, where a universal opt row opts out of all services.  A user row counts for
-    the program when it has a contact-point indicator or carries the program number.
+    the program when it has a contact-point indicator or carries the program number.  ``programs``
+    limits the merge lists to these programs, ``loaded_to`` the user rows to those loaded by that day.
     """
     order = order or ["loaded_at", "id"]
+    users = _loaded(users, loaded_to)
     rows = users.filter(
         F.col("email_valid_contact_point_indicator").isNotNull() | (F.col("marketing_program_number") == mpn)
     )
     if exclude_sources:
         rows = rows.filter(~F.col("source_id").isin(*exclude_sources))
-    rows = canonical_user(rows, merges["email"], merges["user"], merges["unmerge"], merges["canonical"])
+    rows = canonical_user(rows, merges["email"], merges["user"], merges["unmerge"], merges["canonical"], programs)
     rows = rows.withColumn("country", F.coalesce("country_code", F.lit(country)))
     keys = ["country", "user_id"]
     from_users = [f for f in flags if not (service_flags and f in service_flags)]
@@ -112,11 +120,13 @@ def _has_email() -> Column:
 def segment_audiences(
     countries: list[str], as_of: dt.date, since: dt.date, optin: Column, profiling: str | None = None,
     exists: dict[str, str] | None = None, contains: dict[str, tuple[str, list[str]]] | None = None,
+    equals: dict[str, tuple[str, list[str]]] | None = None, sources: dict[str, list[str]] | None = None,
 ) -> dict[str, Column]:
     """Audience name -> membership predicate over ``segment_dump`` rows.
 
     ``exists`` maps a name to an attribute that must be set, ``contains`` to an attribute and the
-    lower-case words of which it must contain one.
+    lower-case words of which it must contain one, ``equals`` to an attribute and its values,
+    ``sources`` to the source ids of registered consumers.
     """
     here = F.col("country").isin(*countries)
     registered = F.col("registration_date").cast("date") < F.lit(as_of)
@@ -131,6 +141,10 @@ def segment_audiences(
     if profiling:
         specs["Profiling Email Optins"] = here & _has_email() & _true(profiling)
     specs.update(attribute_audiences(exists, contains))
+    for name, (attribute, values) in (equals or {}).items():
+        specs[name] = F.coalesce(F.col(attribute).cast("string").isin(*values), F.lit(False))
+    for name, ids in (sources or {}).items():
+        specs[name] = F.coalesce(F.col("source_id").isin(*ids), F.lit(False)) & F.col("registration_date").isNotNull()
     return specs
 
 
@@ -147,17 +161,27 @@ def attribute_audiences(exists: dict[str, str] | None, contains: dict[str, tuple
 
 
 def segment_audience_counts(dump: DataFrame, specs: dict[str, Column], opened: DataFrame | None = None, canon: DataFrame | None = None,
-                            as_of: dt.date | None = None, opened_name: str = "Email Opened in Past 6 Months") -> DataFrame:
-    """(audience_name, count) of the source side; ``opened`` (user_id, ts) adds recent openers by canonical user."""
+                            as_of: dt.date | None = None, opened_name: str = "Email Opened in Past 6 Months", countries: list[str] | None = None,
+                            loaded_to: dt.date | None = None, events: dict[str, tuple[DataFrame, dt.datetime, dt.datetime]] | None = None) -> DataFrame:
+    """(audience_name, count) of the source side; ``opened`` (user_id, ts) adds recent openers by canonical user.
+
+    ``countries`` and ``loaded_to`` limit the openers (country_code, loaded_at); ``events`` maps a name to
+    rows (user_id, ts) and the period, both ends included, in which a user must have one.
+    """
     counts = count_distinct_union(dump, "user_id", specs)
-    if opened is None:
-        return counts
-    recent = opened.filter(
-        (F.col("ts").cast("date") > F.add_months(F.lit(as_of), -6)) & (F.col("ts").cast("date") <= F.lit(as_of)))
-    canonical = canon.groupBy(F.col("previous_user_id").alias("user_id")).agg(F.max("canonical_user_id").alias("_c"))
-    people = adaptive_join(recent.select("user_id").distinct(), canonical, ["user_id"])
-    total = people.select(F.coalesce("_c", "user_id").alias("u")).distinct().agg(F.count("u").alias("count"))
-    return counts.unionByName(total.select(F.lit(opened_name).alias("audience_name"), "count"))
+    people = {}
+    if opened is not None:
+        day = F.col("ts").cast("date")
+        recent = _loaded(opened, loaded_to).filter((day > F.add_months(F.lit(as_of), -6)) & (day <= F.lit(as_of)))
+        people[opened_name] = recent if countries is None else recent.filter(F.col("country_code").isin(*countries))
+    for name, (rows, first, last) in (events or {}).items():
+        people[name] = rows.filter(F.col("ts").between(F.lit(first), F.lit(last)))
+    for name, rows in people.items():
+        canonical = canon.groupBy(F.col("previous_user_id").alias("user_id")).agg(F.max("canonical_user_id").alias("_c"))
+        known = adaptive_join(rows.select("user_id").distinct(), canonical, ["user_id"])
+        total = known.select(F.coalesce("_c", "user_id").alias("u")).distinct().agg(F.count("u").alias("count"))
+        counts = counts.unionByName(total.select(F.lit(name).alias("audience_name"), "count"))
+    return counts
 
 
 TARGET_TRAITS = ["userId", "email", "gender", "sourceId", "registrationDate", "countryCode", "emailValidContactPointIndicator"]
