@@ -14,9 +14,14 @@ execution cannot split such a join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from passerine.session import shared_dir
+
 
 def adaptive_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Equi-join on same-named columns; ``how`` is inner, left, left_semi or left_anti."""
@@ -41,12 +46,51 @@ def _common_types(df: DataFrame, kinds: dict[str, tuple[str, str]]) -> dict[str,
     return dict(probe.dtypes)
 
 
+def running(df: DataFrame, keys: list[str], order: list[str], measures: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Add, for each measure, its total over the rows of the same key that come before a row in ``order`` (nulls first).
+
+    A measure is (kind, value), of kind ``sum``, ``bit_xor``, or ``count`` of the rows before. Rows are dealt by ranges of
+    (keys, order, hash of the row), so a key's rows go on from task to task however many there are, and the dealt rows are
+    kept in the shared folder. Each range adds up its own rows; what a key has in earlier ranges is a row for each range
+    that the key goes on into. The null key is a key. Rows equal in every column stand beside each other.
+    """
+    named = {f"_m_{name}": value for name, (_, value) in measures.items()}
+    dealt = df.withColumns(named).withColumn("_tie", F.xxhash64(*df.columns))
+    line = [F.col(c).asc_nulls_first() for c in [*keys, *order, "_tie"]]
+    dealt = kept(dealt.repartitionByRange(*line).withColumn("_range", F.spark_partition_id()))
+    of_kind = {"sum": F.sum, "bit_xor": F.bit_xor, "count": F.count}
+    total = lambda name, kind: of_kind[kind](f"_m_{name}")
+    zero, join = F.lit(0).cast("long"), {"sum": Column.__add__, "count": Column.__add__, "bit_xor": Column.bitwiseXOR}
+    ranges = dealt.groupBy("_range", *keys).agg(*(total(n, kind).alias(f"_t_{n}") for n, (kind, _) in measures.items()))
+    earlier = Window.partitionBy(*keys).orderBy("_range")
+    until = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranges.select(
+        "_range", F.row_number().over(earlier).alias("_nth"), *(F.col(k).alias(f"_k_{k}") for k in keys),
+        *(of_kind[kind if kind != "count" else "sum"](f"_t_{n}").over(until).alias(f"_b_{n}") for n, (kind, _) in measures.items()),
+    ).where("_nth > 1").drop("_nth")
+    before = Window.partitionBy("_range", *keys).orderBy(*line[len(keys):]).rowsBetween(Window.unboundedPreceding, -1)
+    own = dealt.withColumns({n: F.coalesce(total(n, kind).over(before), zero) for n, (kind, _) in measures.items()})
+    # Only the first key of a range can go on from an earlier one: a row for each range at most, whatever the data.
+    found = own.join(F.broadcast(carried), "_range", "left")
+    same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
+    done = {n: F.when(same & F.col(f"_b_{n}").isNotNull(), join[kind](F.col(n), F.col(f"_b_{n}"))).otherwise(F.col(n)) for n, (kind, _) in measures.items()}
+    return found.withColumns(done).select(*df.columns, *measures)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read again: later uses see the same rows, also after lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def numbered_runs(df: DataFrame, keys: list[str], order: list[str], length: int) -> DataFrame:
     """Add ``part``: rows of a key in ``order`` form runs of ``length`` rows, numbered from 0.
 
     One rule for keys of any size: a list built per key and part never holds more than ``length``
-    rows, and reading the parts in turn gives the key's rows in order.  A key's rows are sorted in
-    one task, which spills, and are never held as a list; equal rows take positions of their own.
+    rows, and reading the parts in turn gives the key's rows in order.  A hot key's rows are sorted
+    and numbered by many tasks (see :func:`running`); equal rows take positions of their own.
     """
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    return df.withColumn("part", F.floor(position / F.lit(length)).cast("bigint"))
+    position = running(df, keys, order, {"_position": ("count", F.lit(1))})
+    return position.withColumn("part", F.floor(F.col("_position") / F.lit(length)).cast("bigint")).drop("_position")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -53,3 +54,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
         os.makedirs(fallback, exist_ok=True)
         spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it; a local session without one gets its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="passerine-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
