@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, with production parameters, and their SQL where SQL can say it."""
+"""The dealt operators over their whole tables, with production parameters, and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passerine.llm import bpe, line_dedup, minhash, mixing, pii, quality, secret_scan, token_counts, topk, toxicity
+from passerine.llm import bpe, hard_negatives, licenses, line_dedup, minhash, mixing, pii, prefix_trie, quality, secret_scan, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -224,3 +224,88 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every whole text."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and labels of every whole text."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || generate_series(1, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(generate_series(0::BIGINT, 255::BIGINT)) AS i)
+  )
+), turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY place) AS l FROM turns GROUP BY conv_id
+), heads AS (
+  SELECT own.*, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, x: xor(c >> 8, t[CAST(xor(c & 255, x) AS BIGINT) + 1])), 4294967295) % 6 AS h
+  FROM own, crc_table
+), rebuilt AS (
+  SELECT a.conv_id, CASE WHEN a.conv_id % 100 = 0 THEN a.l ELSE coalesce(b.l[1:a.h], []) || a.l[a.h + 1:] END AS l
+  FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100
+), paths AS (
+  SELECT conv_id, l, unnest(generate_series(0, len(l))) AS d FROM rebuilt
+), members AS (
+  SELECT conv_id, d, len(l) AS n, l[1:d] AS k, CASE WHEN d > 0 THEN l[1:d - 1] END AS up FROM paths
+), nodes AS (
+  SELECT k, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, bool_and(n = d) AS leaf,
+    sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256,
+    CASE WHEN d > 0 THEN (count(*) - 1) * length(any_value(k)[d].t) ELSE 0 END AS saved
+  FROM members GROUP BY k, d
+), sums AS (
+  SELECT k[1:a] AS k, a AS d, sum(CAST(leaf AS BIGINT)) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT k, leaf, saved, unnest(generate_series(0, d)) AS a FROM nodes) GROUP BY ALL
+), below AS (
+  SELECT up AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY up
+)
+SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(c.n, 0) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM nodes x JOIN sums s ON s.k = x.k AND s.d = x.d LEFT JOIN nodes p ON p.k = x.up AND p.d = x.d - 1 LEFT JOIN below c ON c.k = x.k
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the positives of every hundredth vector; every seventh has another label."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), usable AS (
+  SELECT vec_id FROM parts GROUP BY vec_id HAVING count(*) = count(x) AND bool_and(isfinite(x))
+), labelled AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM embeddings WHERE label IS NOT NULL
+), v AS (
+  SELECT vec_id, label, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS c FROM parts JOIN usable USING (vec_id) JOIN labelled USING (vec_id)
+), s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(sum(a.c * v.c) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.i = v.i AND a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0 GROUP BY ALL
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), pairs AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM pairs WHERE rank <= 10
+"""
