@@ -39,6 +39,7 @@ def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.R
     def run(batches):
         for part in slices(batches, column, limit):
             yield work(part)
+        pa.default_memory_pool().release_unused()  # the worker stays, and others need the executor's memory
 
     return df.mapInArrow(run, schema)
 

@@ -49,11 +49,16 @@ def _overlap_least(n: np.ndarray) -> np.ndarray:
     return -(-n * SIMILAR // OF)
 
 
+#: Where a line stands: its document's name, and the rest of that name (31 bits) with the line's number (32 bits).
+_PLACE = "struct<doc: decimal(38,0), at: bigint>"
+
+
 def with_names(docs: DataFrame) -> DataFrame:
-    """(doc, text) of (doc_id, text): ``doc`` orders documents by id, then a hash of the text, and leaves room for a line number."""
+    """(doc, rest, text) of (doc_id, text): ``doc`` orders documents by id and then by 62 bits of a hash of the text; ``rest``
+    has 31 more bits, above the 32 for a line's number. Rows that share an id, or have none, are told apart by 93 bits."""
     number = "(cast(coalesce(cast(doc_id as decimal(20,0)), -9223372036854775808BD) as decimal(20,0)) + 9223372036854775808BD)"
-    name = F.expr(f"{number} * {2**62}BD + pmod(xxhash64(text), {2**30}L) * {2**32}BD")
-    return docs.withColumn("doc", name.cast("decimal(38,0)"))
+    name = F.expr(f"{number} * {2**62}BD + (xxhash64(text) & {2**62 - 1}L)")
+    return docs.withColumns({"doc": name.cast("decimal(38,0)"), "rest": F.expr(f"shiftleft(xxhash64(7, text) & {2**31 - 1}L, 32)")})
 
 
 class Lines:
@@ -81,14 +86,13 @@ class Lines:
         raw = b"".join(hashlib.blake2b(self.tokens[a:b].tobytes(), digest_size=16).digest() for a, b in zip(self.at[:-1], self.at[1:]))
         self.keys = np.frombuffer(raw, np.uint64).reshape(-1, 2).copy()
         self.keys[:, 1] &= np.uint64(2**62 - 1)
-        #: 64-bit name of a line that also holds its length: for buckets, not for deciding equality.
+        #: Name of a line in two halves of 64 and 62 bits, of which the first also holds its length.
         self.names = (np.minimum(self.n, _N_MOST) << _N_SHIFT) | (self.keys[:, 0] & np.uint64(2**_N_SHIFT - 1)).astype(np.int64)
+        self.more = self.keys[:, 1].astype(np.int64)
 
-    def places(self, docs: pa.Array) -> pa.Array:
-        """Document and line number in one: the order of age."""
-        pairs = _decimal_words(docs)[self.doc]
-        pairs[:, 0] += self.number.astype(np.uint64)
-        return _decimals(pairs)
+    def places(self, docs: pa.Array, rests: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Document (two words) and the rest of the place: the order of age."""
+        return _decimal_words(docs)[self.doc], rests.to_numpy(zero_copy_only=False)[self.doc] + self.number
 
 
 def _decimal_words(values: pa.Array) -> np.ndarray:
@@ -100,6 +104,10 @@ def _decimals(pairs: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.decimal128(38), len(pairs), [None, pa.py_buffer(np.ascontiguousarray(pairs).tobytes())])
 
 
+def _structs(docs: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.StructArray.from_arrays([_decimals(docs), pa.array(at)], names=["doc", "at"])
+
+
 def token_counts(docs: DataFrame) -> np.ndarray:
     """Occurrences of all words of all texts in ``2 ** SLOT_BITS`` slots of their hash."""
 
@@ -129,7 +137,7 @@ def _first_of(keys: tuple[np.ndarray, ...], age: tuple[np.ndarray, ...]) -> np.n
 
 
 def _postings(lines: Lines, doc_ids: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(bucket, name, rest, bits) for every bucket of every line that can match an unequal one.
+    """(bucket, name, more, rest, bits) for every bucket of every line that can match an unequal one.
 
     The bucket's low bits hold whether three tokens made it, and the power of two of its salts; ``rest`` holds age (as far
     as 24 bits tell it), the position of the bucket's last token, and the first 32 of the 96 bits of the tokens' bitmap.
@@ -140,13 +148,13 @@ def _postings(lines: Lines, doc_ids: np.ndarray) -> tuple[np.ndarray, ...]:
     bitmap, bits = (np.bitwise_or.reduceat(b, lines.at[:-1]) if len(lines.n) else b[:0] for b in (low, high))
     age = np.maximum(doc_ids, 0).astype(np.float32).view(np.int32).astype(np.int64)[lines.doc] >> 7
     rest = (age << 39) | bitmap
-    oldest = _first_of((lines.names,), (age,))  # copies of a line within the slice stand behind their oldest
+    oldest = _first_of((lines.names, lines.more), (age,))  # copies of a line within the slice stand behind their oldest
     found: list[tuple] = []
 
     def put(line, hashed, position, count, three):
         salts = np.ceil(np.log2(np.maximum(1, -(-count // HOT_ROWS)))).astype(np.int64)
         bucket = (mix(hashed).astype(np.int64) & ~np.int64(63)) | (salts << 1) | three
-        found.append((bucket, lines.names[line], rest[line] | (np.minimum(position, _POS_MOST) << 32), bits[line]))
+        found.append((bucket, lines.names[line], lines.more[line], rest[line] | (np.minimum(position, _POS_MOST) << 32), bits[line]))
 
     long = np.flatnonzero(oldest & (lines.n > SHORT))
     prefix = lines.n[long] - _overlap_least(lines.n[long]) + 1
@@ -165,7 +173,7 @@ def _postings(lines: Lines, doc_ids: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _passes(name_a, name_b, rest_a, rest_b, bits_a, bits_b, bucket):
-    """Length, positional and bitmap filter for candidate pairs of a bucket, on numpy arrays."""
+    """Length, positional and bitmap filter for pairs of different lines of a bucket, on numpy arrays."""
     n, m = name_a >> _N_SHIFT, name_b >> _N_SHIFT
     known = (n < _N_MOST) & (m < _N_MOST)
     length = np.minimum(n, m) * OF >= np.maximum(n, m) * SIMILAR
@@ -173,7 +181,7 @@ def _passes(name_a, name_b, rest_a, rest_b, bits_a, bits_b, bucket):
     p, q = (rest_a >> 32) & _POS_MOST, (rest_b >> 32) & _POS_MOST
     position = (1 + 2 * (bucket & 1) + np.minimum(n - p - 1, m - q - 1) >= need) | (p == _POS_MOST) | (q == _POS_MOST)
     differ = np.bitwise_count((rest_a ^ rest_b) & (2**32 - 1)).astype(np.int64) + np.bitwise_count((bits_a ^ bits_b).view(np.uint64)) <= n + m - 2 * need
-    return (name_a != name_b) & length & (~known | (position & differ))
+    return length & (~known | (position & differ))
 
 
 def _passes_sql(a: str, b: str) -> Column:
@@ -182,7 +190,7 @@ def _passes_sql(a: str, b: str) -> Column:
     need = f"ceil(({n} + {m}) * {SIMILAR} / {SIMILAR + OF}D - 1e-9)"
     p, q = f"(shiftright({a}.rest, 32) & {_POS_MOST})", f"(shiftright({b}.rest, 32) & {_POS_MOST})"
     return F.expr(f"""
-        {a}.name <> {b}.name AND least({n}, {m}) * {OF} >= greatest({n}, {m}) * {SIMILAR}
+        ({a}.name <> {b}.name OR {a}.more <> {b}.more) AND least({n}, {m}) * {OF} >= greatest({n}, {m}) * {SIMILAR}
         AND ({n} >= {_N_MOST} OR {m} >= {_N_MOST} OR (
             (1 + 2 * ({a}.bucket & 1) + least({n} - {p} - 1, {m} - {q} - 1) >= {need} OR {p} = {_POS_MOST} OR {q} = {_POS_MOST})
             AND bit_count(({a}.rest ^ {b}.rest) & {2**32 - 1}L) + bit_count({a}.bits ^ {b}.bits) <= {n} + {m} - 2 * {need}))
@@ -190,29 +198,30 @@ def _passes_sql(a: str, b: str) -> Column:
 
 
 def _walk(batches):
-    """Over rows sorted by (bucket, salt, name, rest): candidate pairs (bucket null), and marked rows for the join.
+    """Over rows sorted by (bucket, salt, name, more, rest): marked rows for the join, and candidate pairs. A pair has no
+    bucket; (name, more) and (rest, bits) are its two lines.
 
     Keeps the last ``WINDOW + 1`` rows of a bucket from one batch to the next.
     """
-    held = [np.zeros(0, np.int64) for _ in range(7)]  # the columns, place in the bucket, and whether it was put out
+    held = [np.zeros(0, np.int64) for _ in range(8)]  # the columns, place in the bucket, and whether it was put out
     for batch in batches:
         own = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         back = len(held[0])
-        bucket, salt, name, rest, bits = (np.concatenate(x) for x in zip(held, own))
+        bucket, salt, name, more, rest, bits = (np.concatenate(x) for x in zip(held, own))
         same = np.zeros(len(bucket), bool)
         same[1:] = (bucket[1:] == bucket[:-1]) & (salt[1:] == salt[:-1])
         copy = np.zeros(len(bucket), bool)
-        copy[1:] = same[1:] & (name[1:] == name[:-1])  # younger copies of a line
-        bucket, salt, name, rest, bits, same = (x[~copy] for x in (bucket, salt, name, rest, bits, same))
+        copy[1:] = same[1:] & (name[1:] == name[:-1]) & (more[1:] == more[:-1])  # younger copies of a line
+        bucket, salt, name, more, rest, bits, same = (x[~copy] for x in (bucket, salt, name, more, rest, bits, same))
         n = len(bucket)
         if n == back:
             continue
         start = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
         k = np.arange(n) - start
         if back:
-            k[start == 0] += held[5][0]
+            k[start == 0] += held[6][0]
         at, given, marked = np.arange(back, n), np.zeros(n, np.int64), np.zeros(n, bool)
-        pairs = [np.zeros((0, 2), np.int64)]
+        pairs = [np.zeros((0, 4), np.int64)]
         for d in range(1, WINDOW + 1):
             at = at[k[at] >= d]
             if not len(at):
@@ -221,91 +230,93 @@ def _walk(batches):
             free = given[some] < PARTNERS
             put, kept = some[free], some[~free]
             given[put] += 1
-            pairs.append(np.stack([np.minimum(name[put], name[put - d]), np.maximum(name[put], name[put - d])], axis=1))
+            a, b = put - d, put  # in the order of (name, more)
+            pairs.append(np.stack([name[a], more[a], name[b], more[b]], axis=1))
             marked[kept] = marked[kept - d] = True
         far = np.arange(back, n)
         far = far[k[far] > WINDOW]
         marked[far] = marked[far - WINDOW - 1] = True
         marked[back:] |= (bucket[back:] >> 1 & 31) > 0  # other salts have rows of the bucket too
-        done = np.concatenate([held[6].astype(bool), np.zeros(n - back, bool)])
+        done = np.concatenate([held[7].astype(bool), np.zeros(n - back, bool)])
         row = np.flatnonzero(marked & ~done)
         pairs = np.unique(np.concatenate(pairs), axis=0)
         no = np.concatenate([np.ones(len(pairs), bool), np.zeros(len(row), bool)])
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([np.zeros(len(pairs), np.int64), bucket[row]]), mask=no),
-            pa.array(np.concatenate([pairs[:, 0], name[row]])), pa.array(np.concatenate([pairs[:, 1], rest[row]])),
-            pa.array(np.concatenate([np.zeros(len(pairs), np.int64), bits[row]])),
-        ], names=["bucket", "name", "rest", "bits"])
+            *(pa.array(np.concatenate([pairs[:, c], x[row]])) for c, x in enumerate((name, more, rest, bits))),
+        ], names=["bucket", "name", "more", "rest", "bits"])
         tail = max(start[-1], n - WINDOW - 1)
-        held = [x[tail:].copy() for x in (bucket, salt, name, rest, bits, k, (marked | done).astype(np.int64))]
+        held = [x[tail:].copy() for x in (bucket, salt, name, more, rest, bits, k, (marked | done).astype(np.int64))]
 
 
 def _matches(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(older, newer) of verified pairs: places and names."""
-    side = lambda x: sets.select(F.col("name").alias(x), F.col("tokens").alias(f"t{x}"), F.col("place").alias(f"p{x}"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    found = pairs.join(side("a"), "a").join(side("b"), "b").where(both * (SIMILAR + OF) >= SIMILAR * (F.size("ta") + F.size("tb"))).where("pa <> pb")
-    return found.select(F.greatest("pa", "pb").alias("place"), F.when(F.col("pa") > F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("name"))
+    """(place, name, more) of the newer line of every verified pair."""
+    side = lambda x: sets.select(*(F.col(c).alias(f"{c}_{x}") for c in ("name", "more", "tokens", "place")))
+    both = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    found = pairs.join(side("a"), ["name_a", "more_a"]).join(side("b"), ["name_b", "more_b"])
+    found = found.where(both * (SIMILAR + OF) >= SIMILAR * (F.size("tokens_a") + F.size("tokens_b"))).where("place_a <> place_b")
+    return found.select(*(F.when(F.col("place_a") > F.col("place_b"), F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")).alias(c) for c in ("place", "name", "more")))
 
 
 def later_matches(docs: DataFrame) -> DataFrame:
-    """(doc, line) of every line of (doc, doc_id, text) that matches an earlier one."""
+    """(doc, rest, line) of every line of (doc, rest, doc_id, text) that matches an earlier one."""
     counts = docs.sparkSession.sparkContext.broadcast(token_counts(docs))  # 2 ** SLOT_BITS counters
 
     def places(batch):
         lines = Lines(plain(batch.column("text")), counts.value)
-        return pa.RecordBatch.from_arrays([_decimals(lines.keys), lines.places(batch.column("doc"))], names=["key", "place"])
+        return pa.RecordBatch.from_arrays([_decimals(lines.keys), _structs(*lines.places(batch.column("doc"), batch.column("rest")))], names=["key", "place"])
 
-    every = map_slices(docs.select("doc", "text"), "text", places, "key decimal(38,0), place decimal(38,0)")
+    every = map_slices(docs.select("doc", "rest", "text"), "text", places, f"key decimal(38,0), place {_PLACE}")
     oldest = every.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     copies = adaptive_join(every, oldest, ["key"], "inner").where("place <> first").select("place")
 
     def postings(batch):
         lines = Lines(plain(batch.column("text")), counts.value)
         found = _postings(lines, batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["bucket", "name", "rest", "bits"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["bucket", "name", "more", "rest", "bits"])
 
-    rows = map_slices(docs.select("doc_id", "text"), "text", postings, "bucket long, name long, rest long, bits long")
+    kind = "bucket long, name long, more long, rest long, bits long"
+    rows = map_slices(docs.select("doc_id", "text"), "text", postings, kind)
     salt = F.expr("pmod(hash(name), cast(shiftleft(1, cast(shiftright(bucket, 1) & 31 as int)) as int))").cast("long")
-    dealt = rows.withColumn("salt", salt).repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "name", "rest").select("bucket", "salt", "name", "rest", "bits")
-    walked = written(dealt.mapInArrow(_walk, "bucket long, name long, rest long, bits long"), "lines-walked")
+    line = ["bucket", "salt", "name", "more", "rest"]
+    dealt = rows.withColumn("salt", salt).repartition("bucket", "salt").sortWithinPartitions(*line).select(*line, "bits")
+    walked = written(dealt.mapInArrow(_walk, kind), "lines-walked")
 
-    first = written(walked.where("bucket is null").select(F.col("name").alias("a"), F.col("rest").alias("b")).distinct(), "lines-pairs")
+    both = ["name_a", "more_a", "name_b", "more_b"]
+    first = written(walked.where("bucket is null").select("name", "more", "rest", "bits").toDF(*both).distinct(), "lines-pairs")
     near = written(_matches(first, _sets(docs, first, counts)), "lines-matches")
     crowd = walked.where("bucket is not null")
-    open_ = adaptive_join(crowd, near.select("name").distinct(), ["name"], "left_anti")
+    open_ = adaptive_join(crowd, near.select("name", "more").distinct(), ["name", "more"], "left_anti")
     u, v = open_.alias("u"), crowd.alias("v")
     older = F.expr("shiftright(v.rest, 39) <= shiftright(u.rest, 39)")
     second = u.join(v, F.expr("u.bucket = v.bucket") & _passes_sql("u", "v") & older)
-    second = written(second.select(F.least("u.name", "v.name").alias("a"), F.greatest("u.name", "v.name").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "lines-pairs")
+    ends = [F.struct(f"{x}.name", f"{x}.more") for x in "uv"]
+    second = second.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).select("a.name", "a.more", "b.name", "b.more").toDF(*both).distinct()
+    second = written(second.join(first, both, "left_anti"), "lines-pairs")
     if not second.isEmpty():
         near = near.unionByName(_matches(second, _sets(docs, second, counts)))
-    gone = copies.unionByName(near.select("place")).distinct()
-    line = F.col("place") % F.lit(2**32).cast("decimal(10,0)")
-    return gone.select((F.col("place") - line).cast("decimal(38,0)").alias("doc"), line.cast("int").alias("line"))
+    gone = copies.unionByName(near.select("place")).distinct().select("place.doc", "place.at")
+    return gone.select("doc", F.expr(f"at & {~(2**32 - 1)}L").alias("rest"), F.expr(f"at & {2**32 - 1}L").cast("int").alias("line"))
 
 
 def _sets(docs: DataFrame, pairs: DataFrame, counts) -> DataFrame:
-    """(name, tokens, place) of every set whose name is in the pairs, with its oldest place."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct(), "lines-wanted")
+    """(name, more, tokens, place) of every set whose name is in the pairs, with its oldest place."""
+    wanted = written(pairs.select(F.explode(F.array("name_a", "name_b")).alias("name")).distinct(), "lines-wanted")
     filled = docs.sparkSession.sparkContext.broadcast(slots(wanted, F.shiftleft("name", 64 - _N_SHIFT), FILTER_BITS))
 
     def find(batch):
         lines = Lines(plain(batch.column("text")), counts.value)
-        places = lines.places(batch.column("doc"))
+        doc, line = lines.places(batch.column("doc"), batch.column("rest"))
         some = in_slots(filled.value, lines.names << (64 - _N_SHIFT), FILTER_BITS)  # by the hashed part of the name
-        words_of = _decimal_words(places)
-        some = np.flatnonzero(some & _first_of((lines.keys[:, 0], lines.keys[:, 1]), (words_of[:, 0], words_of[:, 1])))
+        some = np.flatnonzero(some & _first_of((lines.keys[:, 0], lines.keys[:, 1]), (line, doc[:, 0], doc[:, 1])))
         n = lines.n[some]
         ends = np.concatenate([[0], np.cumsum(n)])
         at = np.repeat(lines.at[:-1][some], n) + np.arange(ends[-1]) - np.repeat(ends[:-1], n)
         tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lines.tokens[at].view(np.int64)))
-        places = places.take(pa.array(some))
-        return pa.RecordBatch.from_arrays([pa.array(lines.names[some]), _decimals(lines.keys[some]), tokens, places], names=["name", "key", "tokens", "place"])
+        return pa.RecordBatch.from_arrays([pa.array(lines.names[some]), pa.array(lines.more[some]), tokens, _structs(doc[some], line[some])], names=["name", "more", "tokens", "place"])
 
-    made = map_slices(docs.select("doc", "text"), "text", find, "name long, key decimal(38,0), tokens array<long>, place decimal(38,0)")
-    made = made.groupBy("name", "key").agg(F.first("tokens").alias("tokens"), F.min("place").alias("place"))
-    return written(made.select("name", "tokens", "place"), "lines-sets")
+    made = map_slices(docs.select("doc", "rest", "text"), "text", find, f"name long, more long, tokens array<long>, place {_PLACE}")
+    return written(made.groupBy("name", "more").agg(F.first("tokens").alias("tokens"), F.min("place").alias("place")), "lines-sets")
 
 
 def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,9 +328,9 @@ def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     and text are one document: its lines match neither each other's copies nor go twice, and each row gets the same result.
     """
     docs = with_names(texts_of(df, id_col, text_col))
-    gone = later_matches(docs).groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("lines"))  # at most the document's lines
+    gone = later_matches(docs).groupBy("doc", "rest").agg(F.sort_array(F.collect_set("line")).alias("lines"))  # at most the document's lines
     n_lines = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0)).cast("long")
-    sized = adaptive_join(docs.select("doc_id", "doc", n_lines.alias("n_lines")), gone, ["doc"])
+    sized = adaptive_join(docs.select("doc_id", "doc", "rest", n_lines.alias("n_lines")), gone, ["doc", "rest"])
     return sized.select("doc_id", "n_lines", F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join("lines", ","), F.lit("")).alias("removed"))
 
 
@@ -328,9 +339,9 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
     Cases as in :func:`removed`; documents without words stay as they are. Columns of any name are carried along.
     """
-    gone = later_matches(with_names(texts_of(df, id_col, text_col))).groupBy("doc").agg(F.collect_set("line").alias("lines"))
+    gone = later_matches(with_names(texts_of(df, id_col, text_col))).groupBy("doc", "rest").agg(F.collect_set("line").alias("lines"))
     held = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
-    joined = adaptive_join(with_names(held).select("doc", "row"), gone, ["doc"]).select("row.*", "lines").toDF(*(f"c{k}" for k in range(len(df.columns) + 1)))  # names may clash
+    joined = adaptive_join(with_names(held).select("doc", "rest", "row"), gone, ["doc", "rest"]).select("row.*", "lines").toDF(*(f"c{k}" for k in range(len(df.columns) + 1)))  # names may clash
     names, place = df.columns, df.columns.index(text_col)
 
     def cut(batches):

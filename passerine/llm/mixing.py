@@ -135,20 +135,23 @@ def plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
     return [(s, *cuts.get(s.source, ("", ""))) for s in found]
 
 
-def mix(df: DataFrame, found: list[tuple], id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
-    """Rows of ``df`` as often as ``found`` (of :func:`plan`) takes them, with ``mix_epoch``, ``mix_block``, ``mix_block_key``
-    and ``mix_doc_key``: sorted by epoch, block key and document key they are the permutation."""
+def taken(df: DataFrame, found: list[tuple], id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """(row, epoch, block, block_key, doc_key): the rows of ``df`` as often as ``found`` (of :func:`plan`) takes them, each
+    whole as one struct, so that columns of any name go along. Sorted by epoch, block key and document key they are the permutation."""
     name, source = _names(df, id_col, source_col)
-    spark = df.sparkSession
-    table = spark.createDataFrame([(s.source, s.passes, s.blocks, a, b) for s, a, b in found], "mix_source string, mix_passes long, mix_blocks int, mix_cut_block string, mix_cut_doc string")
-    rows = df.join(F.broadcast(table), source == F.col("mix_source"))  # MAX_SOURCES rows at most
-    block, order, place = _keys(name, F.col("mix_source"), F.col("mix_blocks"), F.col("mix_passes"))
-    more = (order < F.col("mix_cut_block")) | ((order == F.col("mix_cut_block")) & (place <= F.col("mix_cut_doc")))
-    times = F.col("mix_passes") + more.cast("long")
-    rows = rows.withColumn("mix_epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), (times - 1).cast("int"))).otherwise(F.array().cast("array<int>"))))
-    block, order, place = _keys(name, F.col("mix_source"), F.col("mix_blocks"), F.col("mix_epoch"))
-    rows = rows.withColumns({"mix_block": block, "mix_block_key": order, "mix_doc_key": place})
-    return rows.select(*(F.col(f"`{c}`") for c in df.columns), "mix_epoch", "mix_block", "mix_block_key", "mix_doc_key")
+    table = df.sparkSession.createDataFrame([(s.source, s.passes, s.blocks, a, b) for s, a, b in found], "source string, passes long, blocks int, cut_block string, cut_doc string")
+    rows = df.select(F.struct("*").alias("row"), name.alias("name"), source.alias("source")).join(F.broadcast(table), "source")  # MAX_SOURCES rows at most
+    block, order, place = _keys(F.col("name"), F.col("source"), F.col("blocks"), F.col("passes"))
+    more = (order < F.col("cut_block")) | ((order == F.col("cut_block")) & (place <= F.col("cut_doc")))
+    times = F.col("passes") + more.cast("long")
+    rows = rows.withColumn("epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), (times - 1).cast("int"))).otherwise(F.array().cast("array<int>"))))
+    block, order, place = _keys(F.col("name"), F.col("source"), F.col("blocks"), F.col("epoch"))
+    return rows.select("row", "epoch", block.alias("block"), order.alias("block_key"), place.alias("doc_key"))
+
+
+def mix(df: DataFrame, found: list[tuple], id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """Rows of ``df`` as often as ``found`` takes them, with ``df``'s columns and no others, whatever their names."""
+    return taken(df, found, id_col, source_col).select("row.*")
 
 
 def mixture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **limits) -> DataFrame:
@@ -160,5 +163,5 @@ def mixture(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rows that share an id, have the same place and are taken together. An empty table gives no rows.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), F.col(text_col).alias("text"))
-    taken = mix(rows, plan(rows, "doc_id", "text", "source", **limits), "doc_id", "source")
-    return taken.select("doc_id", "source", token_count(F.col("text")).alias("n_tokens"), F.col("mix_epoch").alias("epoch"), F.col("mix_block").alias("block"), F.col("mix_block_key").alias("block_key"), F.col("mix_doc_key").alias("doc_key"))
+    mixed = taken(rows, plan(rows, "doc_id", "text", "source", **limits), "doc_id", "source")
+    return mixed.select("row.doc_id", "row.source", token_count(F.col("row.text")).alias("n_tokens"), "epoch", "block", "block_key", "doc_key")

@@ -58,6 +58,18 @@ def mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97 == 1
 
 
+def accounts(text: str):
+    """Account numbers: of every proposed run of groups the longest that passes mod-97, since the next word may look like a group."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, end = m.span()
+        while end - start > 14 and not mod97(text[start:end]):
+            end = text.rfind(" ", start, end)
+        if end - start > 14:
+            yield start, end
+        at = end if end - start > 14 else start + 4
+
+
 def emails(text: str):
     """Leftmost matches that don't overlap, found from their "@"."""
     end, at = 0, text.find("@")
@@ -77,7 +89,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     spans = [(a, b, "email") for a, b in emails(text)] if "@" in text else []
     if not _DIGIT.search(text):
         return spans
-    spans += [(m.start(), m.end(), "ip") for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    spans += [(m.start(), m.end(), "ip") for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split("."))]
     for m in _CARD.finditer(text):
         if 16 <= m.end() - m.start():
             digits = m.group().replace(" ", "").replace("-", "")
@@ -106,7 +118,7 @@ def all_spans(text: str) -> tuple[list[tuple[int, int, str]], list[Span]]:
         taken = sorted((a, b) for a, b, _ in base)
         starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
         end = 0
-        proposed = [(m.start(), m.end(), "iban") for m in _IBAN.finditer(text) if mod97(m.group())]
+        proposed = [(a, b, "iban") for a, b in accounts(text)]
         proposed += [(m.start(), m.end(), "local_phone") for m in _LOCAL_PHONE.finditer(text)]
         proposed += [(m.start(), m.end(), "person_number") for m in _PERSON.finditer(text)]
         for a, b, kind in sorted(proposed):

@@ -44,8 +44,10 @@ ALLOW = tuple(re.compile(p) for p in (
     r"[0-9_/=+-]+",
     r"[A-Z]?[a-z]*([-_/=+][A-Z]?[a-z]*)*[0-9]{0,4}",
     r"([A-Za-z]{2,}|[0-9]{1,4})([-_/]([A-Za-z]{2,}|[0-9]{1,4}))*",
-    r"(?i).*(example|placeholder|dummy|sample|changeme|0123456789|abcdefghij|xxxxxx).*",
 ))
+#: Pieces of a candidate, between signs, that hold one of these are no secret; the rest on either side is scored for itself.
+PLACEHOLDER = re.compile(r"(?i)example|placeholder|dummy|sample|changeme|0123456789|abcdefghij|xxxxxx")
+_PIECE = re.compile("[A-Za-z0-9]+")
 
 _NLOGN = [0.0] + [k * math.log2(k) for k in range(1, 65)]
 _HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -83,17 +85,28 @@ def is_allowed(text: str) -> bool:
     return any(p.fullmatch(text) for p in ALLOW)
 
 
+def candidates(text: str):
+    """(start, string) of what is scored: runs of candidate characters, without the placeholders in them."""
+    for m in _CANDIDATE.finditer(text):
+        start = m.start()
+        held = [p for p in _PIECE.finditer(text, m.start(), m.end()) if PLACEHOLDER.search(p.group())] if PLACEHOLDER.search(m.group()) else []
+        for gap in [*held, None]:
+            end = gap.start() if gap else m.end()
+            if end - start >= LEAST_CANDIDATE:
+                yield start, text[start:end]
+            start = gap.end() if gap else end
+
+
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     """Spans that the method adds."""
     spans = []
-    for m in _CANDIDATE.finditer(text):
-        string = m.group()
+    for start, string in candidates(text):
         if string.isalpha() or is_allowed(string):
             continue
         _, _, window, least = next(c for c in CLASSES if c[1].fullmatch(string))
         if len(string) < window:  # one window of its own length, with the same share of the entropy that it can have
             window, least = len(string), least * math.log2(len(string)) / math.log2(window)
-        spans += [(m.start() + a, m.start() + b) for a, b in high_windows(string, window, least)]
+        spans += [(start + a, start + b) for a, b in high_windows(string, window, least)]
     return spans
 
 
@@ -149,7 +162,9 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
                 n.append(kinds.count(kind))
             digests.append(hashlib.sha256(join_spans(base).encode()).hexdigest())
             spans.append(join_spans(every))
-        columns = {"doc_id": batch.column("doc_id"), **{f"n_{k}": pa.array(n, pa.int64()) for k, n in zip(KINDS, counts)}, "base_sha256": pa.array(digests), "spans": pa.array(spans)}
+        found = {f"n_{k}": pa.array(n, pa.int64()) for k, n in zip(KINDS, counts)}
+        columns = {"doc_id": batch.column("doc_id"), **found, "base_sha256": pa.array(digests), "spans": pa.array(spans)}
+        columns["n_entropy"] = columns.pop("n_entropy")
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    return map_slices(texts_of(df, id_col, text_col), "text", work, "doc_id long, n_assign long, n_access long, n_hex long, n_entropy long, base_sha256 string, spans string")
+    return map_slices(texts_of(df, id_col, text_col), "text", work, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")

@@ -39,6 +39,7 @@ def _matrix(lists: pd.Series) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]
 
 
 def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    rows = rows.loc[rows.index.repeat(rows["times"])].reset_index(drop=True)
     postings, n = _matrix(rows["v"])
     ids = rows["id"].to_numpy(np.int64)
     order = np.argsort(ids, kind="stable")  # the smaller id wins a tie: it comes first
@@ -46,7 +47,7 @@ def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     place[order] = np.arange(n)
     postings = [(place[r], values) for r, values in postings]
     ids, found = ids[order], []
-    for q, vector in zip(queries["id"], queries["v"]):
+    for q, key, vector in zip(queries["id"], queries["key"], queries["v"]):
         scores = np.zeros(n, np.int64)
         for term, weight in enumerate(vector):
             if weight and term < len(postings):
@@ -60,26 +61,31 @@ def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
             pick = np.concatenate([over, equal[: k - len(over)]])
         else:
             pick = np.arange(len(own))
-        found.append(pd.DataFrame({"query_id": q, "vec_id": ids[allowed[pick]], "score": own[pick]}))
-    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+        found.append(pd.DataFrame({"query_id": q, "key": key, "vec_id": ids[allowed[pick]], "score": own[pick]}))
+    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "key": [], "vec_id": [], "score": []}, dtype="int64")
 
 
 def search(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): for every row that ``is_query`` holds for, its ``k`` best other rows.
 
     Ties go to the smaller id. Rows with a null id, a null vector or a component that is null or not finite take no part.
-    An id that occurs in several rows is searched for once for each distinct vector it has, and its rows are its own, never
-    candidates; as candidates of others, repeated rows count once each. Vectors of unequal length meet in the positions
-    that both have. With fewer than ``k`` others all are returned; an empty table gives no rows.
+    An id that occurs in several rows is searched for once for each distinct vector it has, with ``k`` places for each, and
+    its rows are its own, never candidates; as candidates of others, repeated rows count once each. Vectors of unequal length
+    meet in the positions that both have. With fewer than ``k`` others all are returned; an empty table gives no rows. Scores
+    that might not fit 64 bits are an error.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), quantized(F.col(vector_col), scale).alias("v"), is_query.alias("q")).where("id is not null and v is not null")
-    counts = rows.agg(F.count("*").alias("n"), F.sum(F.when(F.col("q"), 1).otherwise(0)).alias("m")).first()
-    blocks, asks = max(1, -(-counts.n // BLOCK_ROWS)), max(1, -(-(counts.m or 0) // QUERY_ROWS))
-    deal = lambda n, seed, own: F.pmod(F.xxhash64("id", own, F.lit(seed)), F.lit(n)).cast("int")
-    others = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    candidates = rows.select("id", "v", deal(blocks, 1, F.monotonically_increasing_id()).alias("block")).select("*", others(asks).alias("ask"))
+    size = F.greatest(F.array_max("v"), -F.array_min("v"), F.lit(0))
+    counts = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("m"), F.max(size).alias("most"), F.max(F.size("v")).alias("dims")).first()
+    if (counts.most or 0) ** 2 * (counts.dims or 0) >= 2**63:
+        raise ValueError(f"scores of {counts.dims} components of up to {counts.most} may not fit 64 bits")
+    blocks, asks = max(1, -(-counts.n // BLOCK_ROWS)), max(1, -(-counts.m // QUERY_ROWS))
     # After a shuffle rows have no fixed order; only what they hold gives a task that runs again the same blocks.
-    queries = rows.where("q").select("id", "v").distinct().select("id", "v", deal(asks, 2, F.col("v")).alias("ask")).select("*", others(blocks).alias("block"))
-    found = queries.groupBy("ask", "block").cogroup(candidates.groupBy("ask", "block")).applyInPandas(lambda a, b: _best(a, b, k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    deal = lambda n, seed: F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(n)).cast("int")
+    others = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    candidates = rows.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("times"))  # more copies of a row than k can't be among the best
+    candidates = candidates.select("id", "v", "times", deal(blocks, 1).alias("block")).select("*", others(asks).alias("ask"))
+    queries = rows.where("q").select(F.col("id").alias("id"), F.col("v").alias("v")).distinct().select("id", "v", F.xxhash64("v").alias("key"), deal(asks, 2).alias("ask")).select("*", others(blocks).alias("block"))
+    found = queries.groupBy("ask", "block").cogroup(candidates.groupBy("ask", "block")).applyInPandas(lambda a, b: _best(a, b, k), "query_id long, key long, vec_id long, score long")
+    order = Window.partitionBy("query_id", "key").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -3,9 +3,9 @@
 Features of a text are its words, their stems (first bytes), pairs of neighbours and pairs with one word between, hashed
 to ``2 ** BITS`` coordinates; a feature counts once a text. Per-coordinate rates and the L1 term leave few weights.
 
-The model is fitted on a bounded sample of labelled rows, ``SHARDS * SHARD_ROWS`` at most. Each shard is fitted in a task
-of its own and the shards' weights are averaged, so what reaches the driver and is broadcast has at most ``2 ** BITS``
-entries whatever the size of the corpus. Scoring goes over every text whole.
+The model is fitted on a bounded sample of labelled rows, ``SHARDS * SHARD_ROWS`` at most. Texts become coordinates before
+they are dealt into shards, one row for each id. Each shard is fitted in a task of its own and the shards' weights are
+averaged, so what reaches the driver and is broadcast has at most ``2 ** BITS`` entries whatever the size of the corpus. Scoring goes over every text whole.
 """
 
 from __future__ import annotations
@@ -17,11 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passerine.llm.arrow import hash_strings, map_slices, mix, owners, plain, slices, texts_of, words
+from passerine.llm.shared import written
 
 BITS, STEM_BYTES = 20, 5
 SHARDS, SHARD_ROWS, EPOCHS = 8, 5000, 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
 THRESHOLD = 0.3
+#: Text bytes of a slice: a word becomes four features of several numbers each.
+FEATURE_BYTES = 1 << 20
 
 _EDGE = ".,;:!?\"'()[]#*$%&|<>"
 _NEXT, _SKIP, _STEM = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -61,19 +64,24 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
+def _coordinates(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The distinct coordinates of every text, sorted: at most ``4 * 2 ** BITS`` bytes however long the text."""
+    own, at = features(plain(batch.column("text")))
+    key = np.unique(own * 2**BITS + at)
+    ends = np.searchsorted(key, np.arange(batch.num_rows + 1) * 2**BITS)
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((key % 2**BITS).astype(np.int32)))
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), batch.column("content"), lists], names=["doc_id", "toxic", "content", "at"])
+
+
 def _fit_shard(table: pa.Table) -> pa.Table:
     """Fit one shard's rows, by the hash of their ids, and give the weights that aren't zero."""
-    rows = []
-    for part in slices(table.sort_by([("order", "ascending"), ("text", "ascending")]).to_batches(), "text"):
-        own, at = features(plain(part.column("text")))
-        key = np.unique(own * 2**BITS + at)
-        ends = np.searchsorted(key, np.arange(1, part.num_rows) * 2**BITS)
-        for some, label in zip(np.split((key % 2**BITS).astype(np.int32), ends), part.column("toxic").to_pylist()):
-            rows.append((np.append(some, np.int32(2**BITS)), label))
+    order = pc.sort_indices(table, [("order", "ascending"), ("doc_id", "ascending")]).to_pylist()
+    lists, labels = table.column("at").combine_chunks(), table.column("toxic").to_pylist()
+    starts, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
     model = Ftrl()
     for _ in range(EPOCHS):
-        for at, label in rows:
-            model.learn(at, label)
+        for k in order:
+            model.learn(np.append(flat[starts[k] : starts[k + 1]], np.int32(2**BITS)), labels[k])
     w = model.weights(np.arange(2**BITS + 1))
     some = np.flatnonzero(w)
     return pa.table({"at": some, "w": w[some]})
@@ -87,17 +95,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """(coordinates, weights) learned from the labelled rows that aren't held out.
 
     Rows with a null id or label teach nothing; a row labelled twice counts as toxic if one label says so. Of more than
-    ``SHARDS * SHARD_ROWS`` rows, those with the lowest hash of their id are used. Without rows there are no weights.
+    ``SHARDS * SHARD_ROWS`` rows, those with the lowest hash of their id are used; of documents that share an id, the one
+    whose text has the least hash. What a shard gets are coordinates, not texts. Without rows there are no weights.
     """
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
     known = known.dropna().where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SHARDS * SHARD_ROWS)
+    sample = written(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SHARDS * SHARD_ROWS), "toxicity-sample")
     n = sample.count()
     if not n:
         return np.zeros(0, np.int64), np.zeros(0)
     shards = min(SHARDS, -(-n // SHARD_ROWS))
-    # Bounded by the limit above, so that only the sample's texts are shuffled.
-    taught = texts_of(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").select("text", "toxic", F.xxhash64("doc_id", F.lit(1)).alias("order"))
+    # Bounded by the limit above, so that only the sample's coordinates are shuffled.
+    found = texts_of(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").withColumn("content", F.xxhash64("text"))
+    least = found.groupBy("doc_id").agg(F.min("content").alias("content"))
+    some = found.join(F.broadcast(least), ["doc_id", "content"]).select("doc_id", "toxic", "content", "text")
+    held = map_slices(some, "text", _coordinates, "doc_id long, toxic int, content long, at array<int>", FEATURE_BYTES)
+    taught = held.groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.first("at").alias("at")).withColumn("order", F.xxhash64("doc_id", F.lit(1)))
     each = taught.groupBy(F.pmod("order", F.lit(shards)).alias("shard")).applyInArrow(_fit_shard, "at long, w double")
     table = each.groupBy("at").agg((F.sum("w") / shards).alias("w")).toPandas().sort_values("at")
     return table["at"].to_numpy(np.int64), table["w"].to_numpy(np.float64)
@@ -137,7 +150,7 @@ def rate(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
         p = score(plain(batch.column("text")))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return map_slices(rows, "text", work, "doc_id long, held_out boolean, score double, predicted int")
+    return map_slices(rows, "text", work, "doc_id long, held_out boolean, score double, predicted int", FEATURE_BYTES)
 
 
 def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -148,7 +161,7 @@ def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches):
         for batch in batches:
             named = pa.RecordBatch.from_arrays(batch.columns, names=[f"c{k}" for k in range(batch.num_columns)])
-            for part in slices([named], f"c{place}"):
+            for part in slices([named], f"c{place}", FEATURE_BYTES):
                 keep = pa.array(score(plain(part.column(place))) < threshold)
                 yield pa.RecordBatch.from_arrays(part.filter(keep).columns, names=names)
 

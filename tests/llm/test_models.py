@@ -172,3 +172,54 @@ def test_mixture_of_edge_rows(spark, docs, edge_rows):
     assert mixing.mixture(docs([])).count() == 0
     found = mixing.plan(docs(edge_rows), target_entropy=0.0)
     assert mixing.mix(docs(edge_rows), found).columns[:2] == ["doc_id", "text"]
+
+
+def test_columns_of_any_name_go_through_the_mixture(spark, docs):
+    clashes = ["mix_source", "mix_passes", "mix_epoch", "source2", "epoch", "block", "passes", "cut_doc"]
+    df = docs([(i, "a b c") for i in range(30)]).selectExpr("*", *(f"concat('{c}', doc_id) as {c}" for c in clashes if c != "block"), "'b' as block")
+    got = mixing.mix(df, mixing.plan(df, max_repeats=8.0, budget=120))
+    assert got.columns == df.columns and got.count() > 30
+    assert all(r.mix_epoch == f"mix_epoch{r.doc_id}" and r.mix_source == f"mix_source{r.doc_id}" for r in got.collect())
+
+
+def test_fit_and_scores_equal_a_plain_loop(spark, docs):
+    """FTRL-proximal, one number at a time, over the same rows in the same order; scores as sigmoids of summed weights."""
+    import math
+
+    rows, labels = labelled(spark, 120)
+    rows += [(5, "another text of id five"), (5, "another text of id five")]
+    df = docs(rows)
+    known = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id is not None and r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2}
+    hashes = {(r.doc_id, r.text): (r.c, r.o) for r in df.selectExpr("doc_id", "text", "xxhash64(text) as c", "xxhash64(doc_id, 1) as o").collect()}
+    chosen = {}
+    for (i, text), (content, order) in hashes.items():
+        if i in known and (i not in chosen or content < chosen[i][0]):
+            chosen[i] = content, order, text
+    z, n = {}, {}
+    bias = 2**toxicity.BITS
+
+    def weight(k):
+        l1 = 0.0 if k == bias else toxicity.L1
+        if abs(z.get(k, 0.0)) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((toxicity.BETA + math.sqrt(n[k])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for i, (_, _, text) in sorted(chosen.items(), key=lambda x: (x[1][1], x[0])):
+            at = sorted(set(toxicity.features(pa.array([text]))[1].tolist())) + [bias]
+            w = {k: weight(k) for k in at}
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w.values()))))) - known[i]
+            for k in at:
+                sigma = (math.sqrt(n.get(k, 0.0) + g * g) - math.sqrt(n.get(k, 0.0))) / toxicity.ALPHA
+                z[k] = z.get(k, 0.0) + g - sigma * w[k]
+                n[k] = n.get(k, 0.0) + g * g
+    at, w = toxicity.fit(df, labels)
+    want = {k: weight(k) for k in z if weight(k)}
+    assert dict(zip(at.tolist(), w.tolist())) == pytest.approx(want, rel=1e-6) and len(want) > 5
+    for r in toxicity.rate(df, labels).collect():
+        for text in {t for i, t in rows if i == r.doc_id}:
+            margin = want.get(bias, 0.0) + sum(want.get(k, 0.0) for k in set(toxicity.features(pa.array([text]))[1].tolist()))
+            if abs(1 / (1 + math.exp(-margin)) - r.score) < 1e-6:
+                break
+        else:
+            raise AssertionError(r)

@@ -25,7 +25,7 @@ def digits_of(text):
 
 def plain_pii(t):
     out = [(m.start(), m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
-    out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
+    out += [(m.start(), m.end(), "ip") for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x.lstrip("0") or "0") <= 255 if len(x.lstrip("0")) < 4 else False for x in m.group().split("."))]
     out += [(m.start(), m.end(), "card") for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 16 <= len(digits_of(m.group())) <= 19 and luhn(digits_of(m.group()))]
     return out + [(m.start(), m.end(), "phone") for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 8 <= len(digits_of(m.group())) <= 15]
 
@@ -124,3 +124,26 @@ def test_edge_rows(docs, edge_rows):
         assert sorted(str(r.doc_id) for r in rows) == sorted(str(i) for i, _ in edge_rows)
         assert all(r.base_sha256 == none and r.spans == "" and not any(r[c] for c in columns) for r in rows if r.doc_id in (1, 2, 3))
         assert find(docs([])).count() == 0
+
+
+def test_parts_of_very_many_zeros():
+    text = "0" * 5000 + ".1.1.1 and 1.2.3." + "0" * 6000 + "255 but 1.2.3." + "0" * 5000 + "256"
+    assert [k for _, _, k in pii.base_spans(text)] == ["ip", "ip"]
+
+
+def test_account_numbers_beside_words():
+    account = "AT61 1904 3002 3457 3201"
+    for after in ("", " THE", ".", " THE BANK1 OF2X", " DE89 3704 0044 0532 0130 00"):
+        spans = [s for s in pii.all_spans(f"bank {account}{after}")[1] if s[2] == "iban"]
+        assert spans[0][:2] == (5, 5 + len(account)) and len(spans) == 1 + after.startswith(" DE"), after
+
+
+def test_placeholders_hide_themselves_only():
+    key = "wJalrXUtnFEMI7K7MDENG3bPxRfiCYzQ4tLm9Pq2"
+    assert secret_scan.all_spans(f"sample/{key}")[1][0][2] == "entropy"
+    assert secret_scan.all_spans("sample-example-placeholder-dummy")[1] == [] and secret_scan.all_spans("0123456789xxxxxxxxxxxxEXAMPLE")[1] == []
+    assert list(secret_scan.candidates(f"{key}/EXAMPLE_{key}")) == [(0, key + "/"), (len(key) + 8, "_" + key)]
+
+
+def test_required_columns_come_first(docs):
+    assert secret_scan.scan(docs([])).columns[:6] == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +184,24 @@ def test_lines_of_edge_rows(docs, edge_rows):
     assert line_dedup.removed(docs([])).count() == 0 and line_dedup.dedup(docs([])).count() == 0
 
 
+def test_documents_without_ids_are_told_apart(spark, docs):
+    """Very many distinct texts of one id have distinct names; lines of each are found and cut for itself."""
+    df = spark.range(200_000).selectExpr("cast(null as long) as doc_id", "concat('t', id) as text")
+    assert line_dedup.with_names(df).select("doc", "rest").distinct().count() == 200_000
+    rows = [(None, f"own words of text number {k}") for k in range(50)] + [(None, "a line that all of them share\n" + f"z{k} y{k} x{k}") for k in range(50)] + [(3, "a line that all of them share")]
+    kept = [r.text for r in line_dedup.dedup(docs(rows)).collect()]
+    assert sum("that all of them share" in t for t in kept) == 1 and sum("z" in t for t in kept) == 50
+
+
+def test_lines_whose_names_clash_are_still_compared():
+    """Lines that share the first half of their name are different lines of a bucket; equal ones are one."""
+    name = 20 << line_dedup._N_SHIFT | 5
+    rows = [(64, 0, name, 1, 0, 0), (64, 0, name, 1, 9 << 39, 0), (64, 0, name, 2, 0, 0), (128, 0, name, 2, 0, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["bucket", "salt", "name", "more", "rest", "bits"])
+    got = [tuple(r.values()) for out in line_dedup._walk([batch]) for r in out.to_pylist()]
+    assert got == [(None, name, 1, name, 2)]
+
+
 def brute_top(rows, k):
     usable = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
@@ -201,6 +220,12 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1)).withColumn("id", F.lit("x"))
     got = sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 3 == 0, k=6).collect())
     assert got == brute_top(rows, 6)
+    with pytest.raises(ValueError):
+        topk.search(spark.createDataFrame([(0, [1e16]), (1, [1e16])], "vec_id long, embedding array<float>"), F.lit(True))
+    twice = spark.createDataFrame([(100, [1.0]), (100, [-1.0]), (1, [1.0]), (2, [0.5]), (1, [1.0])], "vec_id long, embedding array<float>")
+    found = sorted((r["rank"], r.vec_id, r.score) for r in topk.search(twice, F.col("vec_id") == 100).collect())
+    up, down = [(1, 1, 1024**2), (2, 1, 1024**2), (3, 2, 1024 * 512)], [(1, 2, -1024 * 512), (2, 1, -(1024**2)), (3, 1, -(1024**2))]
+    assert found == sorted(up + down)
     few = spark.createDataFrame(rows[:3], df.select("vec_id", "embedding").schema)
     assert topk.search(few, F.col("vec_id") == 0).count() == 2
     assert topk.search(few.where("false"), F.col("vec_id") == 0).count() == 0
@@ -208,7 +233,7 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
 
 def test_queries_keep_their_block_whatever_the_order_of_rows(spark, monkeypatch):
     monkeypatch.setattr(topk, "QUERY_ROWS", 3)
-    monkeypatch.setattr(topk, "_best", lambda asked, rows, k: pd.DataFrame({"query_id": asked["id"], "vec_id": (asked["id"] ** 2).sum(), "score": 0}))
+    monkeypatch.setattr(topk, "_best", lambda asked, rows, k: pd.DataFrame({"query_id": asked["id"], "key": 0, "vec_id": (asked["id"] ** 2).sum(), "score": 0}))
     rows = [(i % 30, [float(i), 1.0]) for i in range(60)]
     frame = lambda order: spark.createDataFrame(order, "vec_id long, embedding array<float>").coalesce(1)
     blocks = [sorted(tuple(r) for r in topk.search(frame(order), F.lit(True)).select("query_id", "vec_id").collect()) for order in (rows, rows[::-1], rows[31:] + rows[:31])]
