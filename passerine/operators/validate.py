@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -329,22 +329,8 @@ def _last_ext_mpn() -> Column:
     return F.coalesce(text(F.try_element_at(typed, F.lit(-1))["id"]), F.lit(""))
 
 
-def with_opt_rows(payloads: DataFrame, opt_map: DataFrame) -> DataFrame:
-    """Attach the opt-map rows of the record's program as one ordered array ``_opts``."""
-    fields = [F.col(c).cast("string").alias(c) for c in OPT_MAP_FIELDS]
-    per_program = (
-        opt_map.select(F.col("cdp_marketing_program_number").cast("string").alias("_opt_mpn"), *fields)
-        .distinct()
-        .groupBy("_opt_mpn")
-        .agg(F.sort_array(F.collect_list(F.struct(*OPT_MAP_FIELDS))).alias("_opts"))
-    )
-    mpn = F.col("properties")[MPN]
-    keyed = once(payloads, _opt_mpn=F.when(is_opt_change() & is_text(mpn), text(mpn)))
-    return adaptive_join(keyed, per_program, ["_opt_mpn"]).drop("_opt_mpn")
-
-
-def vld7_failures(reported_at: Column) -> Column:
-    """Supplied opt fields must all match one opt-map row; reports the best match, first one on ties."""
+def _opt_values() -> dict[str, Column]:
+    """The record's own value for each opt-map field, as a variant."""
     props = F.col("properties")
 
     def first_present(suffix: str) -> Column:
@@ -354,36 +340,72 @@ def vld7_failures(reported_at: Column) -> Column:
             value = F.when(F.map_contains_key(props, key), props[key]).otherwise(value)
         return value
 
-    values = {
+    return {
         "ciam_opt_id": props["optId"],
         "service_name": first_present("ServiceName"),
         "subscription_opt_number": first_present("OptNumber"),
         "contact_point_category_code": first_present("ContactCategory"),
         "contact_point_type_code": first_present("ContactPointType"),
     }
-    given = {k: F.coalesce(kind(v) != "VOID", F.lit(False)) for k, v in values.items()}
-    supplied = F.filter(F.array(*[F.when(given[k], F.lit(k)) for k in values]), lambda k: k.isNotNull())
 
-    def matched(row):
-        hits = [F.when(given[k] & is_text(values[k]) & (text(values[k]) == row[k]), F.lit(k)) for k in values]
-        return F.filter(F.array(*hits), lambda k: k.isNotNull())
 
-    keyed = F.transform("_opts", lambda row, i: F.struct(matched(row).alias("keys"), (-i).alias("order")))
-    scored = F.transform(keyed, lambda k: F.struct(F.size(k["keys"]).alias("n"), k["order"].alias("order"), k["keys"].alias("keys")))
-    best = F.array_max(scored)
+def _supplied(values: dict[str, Column]) -> Column:
+    return F.filter(F.array(*[F.when(F.coalesce(kind(v) != "VOID", F.lit(False)), F.lit(k)) for k, v in values.items()]), lambda k: k.isNotNull())
+
+
+def best_opt_matches(signatures: DataFrame, opt_map: DataFrame) -> DataFrame:
+    """(_opt_sig, _opt_matched): for each (_opt_sig, program, five fields) of a known program, the fields in which the best
+    opt row agrees; the best has the most, and of these comes first by its fields.
+
+    Opt rows are indexed under every subset of their fields, 31 at most, and each subset of values keeps its first row
+    only. A signature asks for the subsets of its own values, so the work is linear in opt rows and signatures whatever a
+    program's size and however common a value is.
+    """
+    mpn = F.col("cdp_marketing_program_number").cast("string").alias("program")
+    rows = opt_map.select(mpn, *[F.col(c).cast("string").alias(c) for c in OPT_MAP_FIELDS]).where("program is not null").distinct()
+    some = F.explode(F.sequence(F.lit(1), F.lit(2 ** len(OPT_MAP_FIELDS) - 1))).alias("mask")
+    in_mask = lambda n: F.col("mask").bitwiseAND(2**n) != 0
+    complete = ~reduce(Column.__or__, (in_mask(n) & F.col(c).isNull() for n, c in enumerate(OPT_MAP_FIELDS)))
+    asked = F.to_json(F.array("program", F.col("mask").cast("string"), *[F.when(in_mask(n), F.col(c)) for n, c in enumerate(OPT_MAP_FIELDS)])).alias("_asked")
+    index = rows.select("*", some).where(complete).groupBy(asked).agg(F.min(F.struct(*OPT_MAP_FIELDS)).alias("row"))
+    probes = signatures.select("*", some).where(complete).select("_opt_sig", "mask", asked)
+    hits = adaptive_join(probes, index, ["_asked"], "inner")
+    best = hits.groupBy("_opt_sig").agg(F.min(F.struct((-F.bit_count("mask")).alias("n"), "row", "mask")).alias("best"))
+    known = adaptive_join(signatures, rows.select("program").distinct(), ["program"], "left_semi")
+    fields = [F.when(F.col("best.mask").bitwiseAND(2**n) != 0, F.lit(c)) for n, c in enumerate(OPT_MAP_FIELDS)]
+    return adaptive_join(known.select("_opt_sig"), best, ["_opt_sig"]).select("_opt_sig", F.filter(F.array(*fields), lambda k: k.isNotNull()).alias("_opt_matched"))
+
+
+def with_opt_match(payloads: DataFrame, opt_map: DataFrame) -> DataFrame:
+    """Attach ``_opt_matched``: the fields in which the record agrees with the best opt row of its program; null where the
+    rule doesn't apply or the program has no opt rows. Only distinct signatures meet the opt map, and come back by one join;
+    they are read in a pass of their own."""
+    values, mpn = _opt_values(), F.col("properties")[MPN]
+    texts = [F.when(is_text(v), text(v)) for v in values.values()]
+    signature = F.when(is_opt_change() & is_text(mpn) & (F.size(_supplied(values)) > 0), F.to_json(F.array(text(mpn), *texts)))
+    keyed = once(payloads, _opt_sig=signature)
+    names = ["program", *OPT_MAP_FIELDS]
+    parts = F.from_json("_opt_sig", "array<string>")
+    signatures = keyed.select("_opt_sig").where("_opt_sig is not null").distinct().select("_opt_sig", *[parts[n].alias(c) for n, c in enumerate(names)])
+    return adaptive_join(keyed, best_opt_matches(signatures, opt_map), ["_opt_sig"]).drop("_opt_sig")
+
+
+def vld7_failures(reported_at: Column) -> Column:
+    """Supplied opt fields must all match one opt-map row; reports the best match, first one on ties."""
+    props, values = F.col("properties"), _opt_values()
+    supplied, matched = _supplied(values), F.col("_opt_matched")
     number = values["subscription_opt_number"]
     exempt = F.coalesce(text(props[MPN]) == UNIVERSAL_MPN, F.lit(False)) | F.coalesce(
         is_text(number) & (text(number) == UNIVERSAL_MPN), F.lit(False)
     )
-    checked = is_opt_change() & (F.size(supplied) > 0) & ~exempt & F.col("_opts").isNotNull()
-    details = F.to_json(F.struct(
-        best["keys"].alias("matched_values"), F.array_except(supplied, best["keys"]).alias("unmatched_values")))
+    checked = is_opt_change() & (F.size(supplied) > 0) & ~exempt & matched.isNotNull()
+    details = F.to_json(F.struct(matched.alias("matched_values"), F.array_except(supplied, matched).alias("unmatched_values")))
     row = failure("VLD7", DESCRIPTIONS["VLD7"], details, _last_ext_mpn(), reported_at)
-    return listed(F.when(checked & (best["n"] < F.size(supplied)), row))
+    return listed(F.when(checked & (F.size(matched) < F.size(supplied)), row))
 
 
 def vld7_opts_combination(payloads: DataFrame, opt_map: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(with_opt_rows(payloads, opt_map), vld7_failures(F.lit(now)))
+    return emit(with_opt_match(payloads, opt_map), vld7_failures(F.lit(now)))
 
 
 def vld8_failures(as_of: dt.date, reported_at: Column) -> Column:
@@ -444,10 +466,10 @@ def with_failures(payloads: DataFrame, opt_map: DataFrame, source_map: DataFrame
     at = F.lit(now)
     schema = F.concat(schema_string_failures(at), schema_external_id_failures(at), schema_property_failures(at))
     staged = once(with_external_id_states(payloads), _schema=schema).select(*payloads.columns, "_schema")
-    staged = with_source_flag(with_opt_rows(staged, opt_map), source_map)
+    staged = with_source_flag(with_opt_match(staged, opt_map), source_map)
     rules = F.concat(vld7_failures(at), vld8_failures(as_of, at), vld9_failures(at), vld10_failures(at))
     first = F.when(F.size("_schema") > 0, F.col("_schema")).otherwise(rules)
-    return once(staged, failures=first).drop("_schema", "_opts", "_registered")
+    return once(staged, failures=first).drop("_schema", "_opt_matched", "_registered")
 
 
 def validation_chain(payloads, opt_map, source_map, as_of, now) -> tuple[DataFrame, DataFrame]:

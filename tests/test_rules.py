@@ -61,6 +61,29 @@ def test_best_opt_match_is_reported_first_wins(spark):
     assert run(unknown) == []
 
 
+def test_best_opt_match_equals_comparing_every_row(spark):
+    """Random signatures and opt rows with nulls, ties and repeats; a program of 100,000 rows that share a service."""
+    import random
+
+    fields = validate.OPT_MAP_FIELDS
+    draw = random.Random(8)
+    value = lambda: draw.choice([None, "a", "b", "c"])
+    rows = [(draw.choice(["1", "2", None]), *(value() for _ in fields)) for _ in range(150)]
+    sigs = list({(draw.choice(["1", "2", "9", None]), *(value() for _ in fields)) for _ in range(400)})
+    big = spark.range(100_000).selectExpr("'77' as cdp_marketing_program_number", "cast(id as string) as ciam_opt_id", "'S' as service_name", "cast(id % 10 as string) as subscription_opt_number", "'E' as contact_point_category_code", "cast(null as string) as contact_point_type_code")
+    opt_map = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ["cdp_marketing_program_number", *fields])).unionByName(big)
+    sigs += [("77", None, "S", None, None, None), ("77", "5", "S", "6", "E", "x"), ("77", "none", None, None, None, None)]
+    asked = spark.createDataFrame([(str(n), *s) for n, s in enumerate(sigs)], ", ".join(f"{c} string" for c in ["_opt_sig", "program", *fields]))
+    got = {int(r._opt_sig): r._opt_matched for r in validate.best_opt_matches(asked, opt_map).collect()}
+    order = lambda r: [(x is not None, x or "") for x in r]
+    for n, (program, *values) in enumerate(sigs[:-3]):
+        known = sorted({r[1:] for r in rows if r[0] == program is not None}, key=order)
+        best = max(([k for k, v, x in zip(fields, values, r) if v is not None and v == x] for r in known), key=len, default=None)
+        assert got.get(n) == best, (program, values)
+    tail = [got[len(sigs) - k] for k in (3, 2, 1)]
+    assert tail == [["service_name"], ["service_name", "subscription_opt_number", "contact_point_category_code"], []]
+
+
 def test_lone_consumer_failure_passes(spark):
     opt_map = spark.createDataFrame([], "cdp_marketing_program_number string, ciam_opt_id string, service_name string, subscription_opt_number string, contact_point_type_code string, contact_point_category_code string")
     source_map = spark.createDataFrame([(7, "501")], "source_id bigint, mpn string")
@@ -194,8 +217,10 @@ def test_gzip_lines_are_spread_and_blank_lines_skipped(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     with gzip.open(tmp_path / "sub" / "x.gz", "wt") as f:
         f.write('{"a":1}\n\n{"a":2}\n')
-    df = readers.read_payloads(spark, str(tmp_path), "*.gz")
+    df = readers.read_payloads(spark, str(tmp_path), "*.gz", tasks=spark.sparkContext.defaultParallelism)
     assert df.count() == 2 and df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    alone = readers.read_payloads(spark, str(tmp_path), "*.gz")
+    assert alone.count() == 2 and alone.rdd.getNumPartitions() == 1
 
 
 def test_corporate_rule(spark):
