@@ -1,9 +1,14 @@
 """Sources, filters, routing."""
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import AS_OF, NOW, NOW_SQL, branches, check, message_id
 from passerine.operators import joins, route
+from passerine.session import shared_dir
 from passerine.sources import readers
 
 INVALID = """
@@ -171,6 +176,19 @@ def _(i):
     return readers.batch_keys(i.identifies, "marketing_program_number", "ts", "source_id")
 
 
+@check("read_batches", ["identifies"], """
+SELECT marketing_program_number, date_trunc('hour', ts) AS hour, source_id, count(*) AS n FROM identifies GROUP BY 1, 2, 3
+""")
+def _(i):
+    """All rows of a partitioned table, read by predicates made from its keys, and counted by key."""
+    folder = f"{shared_dir(i.spark)}/batches-{uuid.uuid4().hex}"
+    i.identifies.write.partitionBy("marketing_program_number").parquet(folder)
+    table = i.spark.read.schema(i.identifies.schema).parquet(folder)
+    keys = ["marketing_program_number", "ts", "source_id"]
+    reads = readers.read_batches(table, readers.batch_predicates(table, *keys, reads=8))
+    return reduce(DataFrame.unionByName, [readers.batch_keys(read, *keys) for read in reads])
+
+
 @check("config_lookup", ["identifies", "crs_program"], """
 SELECT ok, marketing_program_number, country_code, legal_entity FROM identifies LEFT JOIN crs_program ON mpn = marketing_program_number
 """)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from passerine.operators.skew import adaptive_join
+from passerine.operators.skew import adaptive_join, running
 from passerine.payload import parse_payloads
 
 
@@ -110,6 +110,72 @@ def batch_keys(df: DataFrame, mpn: str, loaded: str, source: str) -> DataFrame:
     return df.groupBy(mpn, F.date_trunc("HOUR", loaded).cast("timestamp_ntz").alias("hour"), source).agg(F.count(F.lit(1)).alias("n"))
 
 
+def batch_predicates(df: DataFrame, mpn: str, loaded: str, source: str, reads: int) -> list[str]:
+    """``reads`` disjoint predicates at most, of near-equal row counts, that together take every row of ``df``, nulls too.
+
+    The keys (program, hour, source) are put in order, nulls first, and counted on from key to key; a read takes the keys
+    that start within its share of the rows. So a read has less than twice the mean, unless a single key has more. Each
+    predicate is a range of keys on the bare columns, which partitions, row groups and remote indexes can use. Only the
+    reads' first and last keys come to the driver, however many keys there are.
+    """
+    keys = [mpn, "hour", source]
+    counts = batch_keys(df, mpn, loaded, source).withColumn("_all", F.lit(0))
+    placed = running(counts, ["_all"], keys, {"_before": ("sum", F.col("n"))})
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    share = F.greatest(F.lit(1), F.ceil(total / F.lit(reads)))
+    key = F.struct(*keys)
+    ends = placed.groupBy(F.floor(F.col("_before") / share).alias("read")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    kinds = dict(df.dtypes)
+    texts = [f"{side}.{c}" for side in ("low", "high") for c in keys]
+    rows = ends.orderBy("read").select(*[F.col(c).cast("string").alias(c.replace(".", "_")) for c in texts]).collect()  # one row a read
+    quote = lambda c, v: None if v is None else v if kinds[c] in ("tinyint", "smallint", "int", "bigint") or kinds[c].startswith("decimal") else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    out = []
+    for row in rows:
+        low, high = tuple(row[:3]), tuple(row[3:])
+        parts = [(mpn, "plain"), (loaded, "hour"), (source, "plain")]
+        values = lambda key: [quote(mpn, key[0]), key[1], quote(source, key[2])]
+        bounds = [f"{mpn} >= {quote(mpn, low[0])}"] if low[0] is not None else [f"({mpn} IS NULL OR {mpn} <= {quote(mpn, high[0])})"] if high[0] is not None else [f"{mpn} IS NULL"]
+        if low[0] is not None:
+            bounds.append(f"{mpn} <= {quote(mpn, high[0])}")
+        out.append(" AND ".join([*bounds, f"({_from_key(parts, values(low))})", f"({_to_key(parts, values(high))})"]))
+    return out
+
+
+def _compare(part: tuple[str, str], op: str, value: str) -> str:
+    """A comparison of a column, or of the hour it lies in, on the bare column."""
+    column, kind = part
+    if kind == "plain":
+        return f"{column} {op} {value}"
+    begin = f"TIMESTAMP '{value}'"
+    end = f"TIMESTAMP '{dt.datetime.fromisoformat(value) + dt.timedelta(hours=1)}'"
+    return {">": f"{column} >= {end}", "<": f"{column} < {begin}", "=": f"{column} >= {begin} AND {column} < {end}"}[op]
+
+
+def _from_key(parts: list[tuple[str, str]], values: list[str | None]) -> str:
+    """Keys at or after ``values``, nulls first."""
+    if not parts:
+        return "TRUE"
+    column, rest = parts[0][0], _from_key(parts[1:], values[1:])
+    if values[0] is None:
+        return f"{column} IS NOT NULL OR ({rest})"
+    return f"{_compare(parts[0], '>', values[0])} OR ({_compare(parts[0], '=', values[0])} AND ({rest}))"
+
+
+def _to_key(parts: list[tuple[str, str]], values: list[str | None]) -> str:
+    """Keys at or before ``values``, nulls first."""
+    if not parts:
+        return "TRUE"
+    column, rest = parts[0][0], _to_key(parts[1:], values[1:])
+    if values[0] is None:
+        return f"{column} IS NULL AND ({rest})"
+    return f"{column} IS NULL OR {_compare(parts[0], '<', values[0])} OR ({_compare(parts[0], '=', values[0])} AND ({rest}))"
+
+
+def read_batches(df: DataFrame, predicates: list[str]) -> list[DataFrame]:
+    """One read for each predicate, to be run and repeated on its own."""
+    return [df.where(p) for p in predicates]
+
+
 def partitioned_read(spark: SparkSession, url: str, table: str, predicates: list[str], properties: dict | None = None) -> DataFrame:
     """One remote read task per predicate."""
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
