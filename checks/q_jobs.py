@@ -12,11 +12,11 @@ from checks.q_joins import (
 from checks.q_routes import CATALOGUE, INVALID, SIGNATURE
 from checks.q_tables import IDMAP, PROGRAMS, RATE
 from checks.registry import AS_OF, NOW, NOW_SQL, check, message_id
-from passerine.frames import split
 from passerine.functions.values import ext_text, root_text, text
 from passerine.operators import identity, joins, route, service_payloads, windows
 from passerine.operators.route import MPN
-from passerine.plans import audience, compression, migration, profiles, reports
+from passerine.payload import parse_payloads
+from passerine.plans import audience, compression, migration, profiles, reports, staging
 
 MPNS = [str(100 + n) for n in range(11)]
 MPN_LIST = ", ".join(f"'{m}'" for m in MPNS)
@@ -52,7 +52,7 @@ FROM kept LEFT JOIN lk ON lk.user_id = coalesce(user_txt, anon_txt)
 """)
 def _(i):
     catalogue = route.event_catalogue(i.event_ref)
-    out = migration.splitter_job(i.payloads(), catalogue, route.partial_retention(i.identifies), lookups(i), AS_OF, "ZZ")
+    out = migration.splitter_job(i.payloads(), catalogue, route.partial_retention(i.identifies), lookups(i), AS_OF, "ZZ", staging.shared_stage(i.spark, ["route"]))
     return windows.union_all(*[df.select(message_id(), F.lit(n).alias("branch"), ext_text("email").alias("email")) for n, df in out.items()])
 
 
@@ -93,20 +93,36 @@ bad AS (SELECT mid, n FROM sf UNION ALL SELECT mid, n FROM rn WHERE n > 1 OR one
 """
 
 
+def registration_routes(i):
+    """Registration records and the others, parsed once."""
+    ours = F.coalesce(root_text("event") == "Changed Opt Status", F.lit(False)) | (root_text("type") == "identify")
+    return migration.by_branch(i.payloads(), F.when(ours, "registration").otherwise("other"), ["registration", "other"], staging.shared_stage(i.spark, ["branch"]))
+
+
+def registration_refs(i):
+    segments = i.crs_source.select("segment_source_id", F.col("source_id").alias("pg_data_source_id"))
+    return {"aliases": i.crs_aliases, "segment_sources": segments, "opt_map": i.opt_map, "source_map": i.crs_source.select("source_id", "mpn")}
+
+
 @check("external_id_job", ["pl_blocks", "opt_map", "crs_source"], REG + """
 SELECT mid AS message_id, 'passed' AS branch, CAST(1 AS BIGINT) AS n FROM ok WHERE mid NOT IN (SELECT mid FROM bad)
 UNION ALL SELECT mid, 'failures', n FROM bad UNION ALL SELECT mid, 'postal_excluded', 1 FROM px WHERE excluded
 UNION ALL SELECT message_id, 'other', 1 FROM s WHERE NOT (is_opt OR is_identify)
 """)
 def _(i):
-    ours = F.coalesce(root_text("event") == "Changed Opt Status", F.lit(False)) | (root_text("type") == "identify")
-    routes = dict(zip(("registration", "other"), split(i.payloads(), ours)))
-    segments = i.crs_source.select("segment_source_id", F.col("source_id").alias("pg_data_source_id"))
-    refs = {"aliases": i.crs_aliases, "segment_sources": segments, "opt_map": i.opt_map, "source_map": i.crs_source.select("source_id", "mpn")}
-    checked = migration.checked_registration(routes["registration"], refs, "42", AS_OF, NOW)
-    n = F.when(F.col("branch") == "failures", F.size("failures")).otherwise(1).cast("bigint").alias("n")
-    other = migration.enrich_event(routes["other"]).select(message_id(), F.lit("other").alias("branch"), F.lit(1).cast("bigint").alias("n"))
-    return checked.select(message_id(), "branch", n).unionByName(other)
+    routes, refs = registration_routes(i), registration_refs(i)
+    out = migration.external_id_job(routes, refs, "42", AS_OF, NOW, stage=staging.shared_stage(i.spark, ["branch"]))
+    whole = [out[name].select(message_id(), F.lit(name).alias("branch"), F.lit(1).cast("bigint").alias("n")) for name in ("passed", "postal_excluded", "other")]
+    failed = out["failures"].groupBy("message_id").agg(F.count(F.lit(1)).alias("n"))
+    return windows.union_all(*whole, failed.select("message_id", F.lit("failures").alias("branch"), "n"))
+
+
+def dated_routes(i, raw):
+    """Three routes of payloads that are parsed once."""
+    names = ["clickstream", "clt", "other"]
+    parsed = parse_payloads(raw.select("raw_payload", F.element_at(F.array(*map(F.lit, names)), (F.col("e") % 3 + 1).cast("int")).alias("name")))
+    routes = migration.by_branch(parsed, F.col("name"), names, staging.shared_stage(i.spark, ["branch"]))
+    return {name: df.drop("name") for name, df in routes.items()}
 
 
 @check("filter_date_job", ["pl_blocks"], S + """,
@@ -116,11 +132,7 @@ UNION ALL SELECT message_id, 'clt', coalesce(tmpn, xmpn) FROM d WHERE e % 3 = 1
 UNION ALL SELECT message_id, 'other', xmpn FROM d WHERE e % 3 = 2
 """)
 def _(i):
-    from passerine.payload import parse_payloads
-
-    raw = i.pl.filter("NOT is_identify").select("raw_payload", (F.col("e") % 3).alias("k"))
-    part = lambda k: parse_payloads(raw.filter(F.col("k") == k).drop("k"))
-    out = migration.filter_date_job({"clickstream": part(0), "clt": part(1), "other": part(2)}, AS_OF, "@hash.test")
+    out = migration.filter_date_job(dated_routes(i, i.pl.filter("NOT is_identify")), AS_OF, "@hash.test")
     return windows.union_all(*[df.select(message_id(), F.lit(n).alias("branch"), ext_text(MPN).alias("mpn")) for n, df in out.items()])
 
 
@@ -134,11 +146,7 @@ UNION ALL SELECT message_id, 'other', xmpn, email_date FROM n WHERE e % 3 = 2
 """)
 def _(i):
     """The job over all payloads, identify records too."""
-    from passerine.payload import parse_payloads
-
-    raw = i.pl.select("raw_payload", (F.col("e") % 3).alias("k"))
-    part = lambda k: parse_payloads(raw.filter(F.col("k") == k).drop("k"))
-    out = migration.filter_date_job({"clickstream": part(0), "clt": part(1), "other": part(2)}, AS_OF, "@hash.test")
+    out = migration.filter_date_job(dated_routes(i, i.pl), AS_OF, "@hash.test")
     date = F.coalesce(text(F.col("traits")["emailConsumerChoiceDate"]), text(F.col("properties")["emailConsumerChoiceDate"])).alias("email_date")
     return windows.union_all(*[df.select(message_id(), F.lit(n).alias("branch"), ext_text(MPN).alias("mpn"), date) for n, df in out.items()])
 
@@ -172,8 +180,8 @@ tw AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY person, trait_id, val
 TRAIT_VIEWS = ["pl_blocks", "eco_system_trait", "trait_alias", "trait", "crs_source"]
 
 
-def trait_winners(i):
-    identities = compression.identity_rows(i.payloads(), MPNS, "100")
+def trait_winners(i, payloads):
+    identities = compression.identity_rows(payloads, MPNS, "100")
     ids = compression.compress_ids(identities)
     return compression.compress_traits(identities, ids, i.eco_system_trait, i.trait_alias, i.trait, i.crs_source, "100")
 
@@ -201,7 +209,7 @@ def _(i):
 SELECT person AS consumerid_sourceid_mpn, trait_id AS "traitId", val AS trait_value, d AS trait_consumer_last_updated_date, tid AS trace_id FROM tw
 """)
 def _(i):
-    return trait_winners(i)
+    return trait_winners(i, staging.shared_stage(i.spark)(i.payloads(), "payloads"))
 
 
 CONSENTS = """,
@@ -217,8 +225,8 @@ cw AS (SELECT tid FROM (SELECT tid, rank() OVER (PARTITION BY user_txt, opt_date
 """
 
 
-def consent_rows(i):
-    return compression.compress_consents(i.payloads(), i.contact_point_type, "ZZ", 9)
+def consent_rows(i, payloads=None):
+    return compression.compress_consents(payloads or i.payloads(), i.contact_point_type, "ZZ", 9)
 
 
 @check("compress_consents", ["pl_blocks"], S + CONSENTS + """
@@ -235,8 +243,9 @@ def _(i):
 SELECT message_id FROM s WHERE message_id IN (SELECT tid FROM tw UNION SELECT tid FROM cw)
 """)
 def _(i):
-    raw = i.payloads().select("raw_payload", message_id())
-    return compression.compress_final(raw, trait_winners(i), consent_rows(i)).select("message_id")
+    payloads = staging.shared_stage(i.spark)(i.payloads(), "payloads")
+    raw = payloads.select("raw_payload", message_id())
+    return compression.compress_final(raw, trait_winners(i, payloads), consent_rows(i, payloads)).select("message_id")
 
 
 # ---- reports --------------------------------------------------------------------------------

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The ISO form of results and the ISO forms that rules look for.
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 ISO_MILLIS_PREFIX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}Z"
 ISO_FRACTION = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d+Z$"
@@ -16,6 +19,11 @@ DATE_FORMATS = [
     "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "yyyy/M/d", "d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy",
     "yyyyMMdd",
 ]
+# The shape a text has to have for a format to fit: a format is tried on such texts only, since a failing parse is slow.
+SHAPES = {
+    r"^\d{1,2}/\d{1,2}/": ["M/d/yyyy", "d/M/yyyy"], r"^\d{1,2}-\d{1,2}-": ["M-d-yyyy", "d-M-yyyy"], r"^\d{4,}/": ["yyyy/M/d"],
+    r"^\d{1,2} \p{L}": ["d MMM yyyy", "d MMMM yyyy"], r"^\p{L}": ["MMM d yyyy", "MMMM d yyyy"], r"^\d{8}$": ["yyyyMMdd"],
+}
 # A time of day at the end of a text, with its offset; and the weekday that may stand at its front.
 TIME_AT_END = r"(?i)(?:[T ]+(\d{1,2}):(\d{1,2})(?::(\d{1,2})(\.\d{1,6})?\d*)?|T(\d{2})(\d{2})(\d{2})?)\s*([AP]M)?\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
 WEEKDAY = r"(?i)^(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
@@ -33,7 +41,8 @@ def _spelled_moment(spelled: Column) -> Column:
     clock = F.when(half.isNull(), hour).when(hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0))
     second = number(3, 7) + F.coalesce(part(4).try_cast("decimal(7,6)"), F.lit(0).cast("decimal(7,6)"))
     date_text = F.trim(F.regexp_replace(spelled, TIME_AT_END, ""))
-    day = F.coalesce(*(F.try_to_timestamp(date_text, F.lit(fmt)) for fmt in DATE_FORMATS))
+    read = lambda formats: F.coalesce(*(F.try_to_timestamp(date_text, F.lit(fmt)) for fmt in formats))
+    day = reduce(lambda rest, shape: F.when(date_text.rlike(shape), read(SHAPES[shape])).otherwise(rest), reversed(SHAPES), F.lit(None).cast("timestamp"))
     times = F.array(F.struct(day.alias("day"), clock.alias("h"), number(2, 6).alias("m"), second.alias("s")))
     whole = lambda t: F.when((t["h"] < 24) & (t["m"] < 60) & (t["s"] < 60), t["day"] + F.make_dt_interval(F.lit(0), t["h"], t["m"], t["s"]))
     return F.element_at(F.transform(times, whole), 1)

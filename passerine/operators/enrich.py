@@ -383,26 +383,33 @@ def drop_empty_traits(payloads: DataFrame) -> DataFrame:
     return once(payloads, traits=F.map_filter("traits", keep))
 
 
-def drop_duplicate_aliases(payloads: DataFrame, aliases: DataFrame, row_key: str = "raw_payload") -> DataFrame:
+#: Alias pairs of which both names occur in the payloads, at most; more is an error.
+MAX_ALIAS_PAIRS = 2000
+
+
+def drop_duplicate_aliases(payloads: DataFrame, aliases: DataFrame, most: int = MAX_ALIAS_PAIRS) -> DataFrame:
     """Delete an alias trait whose value equals its canonical trait's value.
 
-    ``aliases`` is reference data (traitName, alias) of any size: the trait names are joined to it,
-    and the payloads that have a hit are joined with their hits by a digest of ``row_key``.
+    ``aliases`` is reference data (traitName, alias) of any size. The distinct trait names of the payloads pick the pairs
+    that can occur; these few, ``most`` at most, become a lookup in each row, so payloads are neither joined nor shuffled.
+    The names are read in a pass of their own, when the operator is built.
     """
     pairs = aliases.filter(F.col("traitName") != F.col("alias")).select("traitName", "alias").distinct()
-    keyed = payloads.withColumn("_row", F.md5(F.col(row_key)))
-    names = keyed.select("_row", F.explode(F.map_keys("traits")).alias("alias"))
-    hits = adaptive_join(names, pairs, ["alias"], "inner").groupBy("_row").agg(
-        F.collect_set(F.struct("traitName", "alias")).alias("_pairs")
-    )
-    out = adaptive_join(keyed, hits, ["_row"]).drop("_row")
+    names = payloads.select(F.explode(F.map_keys("traits")).alias("alias")).distinct()
+    known = adaptive_join(adaptive_join(pairs, names, ["alias"], "left_semi"), names.withColumnRenamed("alias", "traitName"), ["traitName"], "left_semi")
+    found = known.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} alias pairs occur in the payloads")
+    if not found:
+        return payloads
+    canonical: dict[str, list[str]] = {}
+    for row in found:
+        canonical.setdefault(row.alias, []).append(row.traitName)
+    lookup = F.create_map(*[x for alias, of in canonical.items() for x in (F.lit(alias), F.array(*map(F.lit, of)))])
     traits = F.col("traits")
-    here = F.filter("_pairs", lambda p: F.map_contains_key(traits, p["alias"]))
-    same = F.filter(here, lambda p: F.to_json(traits[p["traitName"]]) == F.to_json(traits[p["alias"]]))
-    doomed = F.coalesce(F.transform(same, lambda p: p["alias"]), F.array().cast("array<string>"))
-    out = once(out, _doomed=doomed)
-    kept = F.map_filter("traits", lambda k, _: ~F.array_contains(F.col("_doomed"), k))
-    return once(out, traits=kept).drop("_pairs", "_doomed")
+    same = lambda k, v: F.exists(lookup[k], lambda name: F.to_json(traits[name]) == F.to_json(v))
+    kept = F.map_filter("traits", lambda k, v: ~F.coalesce(F.map_contains_key(lookup, k) & same(k, v), F.lit(False)))
+    return once(payloads, traits=kept)
 
 
 def legal_entity(payloads: DataFrame, code: str) -> DataFrame:

@@ -1,21 +1,22 @@
 """The three payload jobs of a migration, and the date-filter job.
 
-Each job takes parsed payloads and returns its named outputs.  ``stage`` materialises what several
-outputs share; on a cluster pass ``staging.table_stage`` so the shared part runs once.
+Each job takes parsed payloads and returns its named outputs.  ``stage`` writes what several outputs share, parsed as it
+is, so that a payload's text is parsed once in the whole job and each output is a pruned read; on a cluster pass
+``staging.shared_stage``, partitioned by ``route`` or ``branch``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from passerine.frames import once
 from passerine.operators import enrich, joins, route, validate
 from passerine.operators.aggregates import latest_per_user_event
 from passerine.plans.staging import Stage, inline
-from passerine.payload import parse_payloads, to_document
+from passerine.payload import to_document
 
 
 def retention_flagged(payloads: DataFrame, invalid_mpns: DataFrame, retained_out: DataFrame) -> DataFrame:
@@ -43,9 +44,7 @@ def retention_job(payloads: DataFrame, invalid_mpns: DataFrame, retained_out: Da
 def splitter_job(payloads: DataFrame, catalogue: DataFrame, partial: DataFrame, lookups: DataFrame, as_of: dt.date, country: str,
                  stage: Stage = inline) -> dict[str, DataFrame]:
     """registration, blocked (partial retention), clickstream, clt, other, unmatched."""
-    routed = route.route_events(payloads, catalogue)
-    if stage is not inline:
-        routed = parse_payloads(stage(routed.select("raw_payload", "route"), "routed"))
+    routed = stage(route.route_events(payloads, catalogue), "routed")
     branch = lambda name: routed.filter(F.col("route") == name)
     fill = lambda df: enrich.consumer_id(enrich.fill_external_ids(df, lookups, country))
     keyed = lambda df: route.with_user_key(df)
@@ -76,7 +75,8 @@ def enrich_event(payloads: DataFrame) -> DataFrame:
     return enrich.external_ids_to_traits(out)
 
 
-def checked_registration(registration: DataFrame, refs: dict[str, DataFrame], legal_entity: str, as_of: dt.date, now: dt.datetime) -> DataFrame:
+def checked_registration(registration: DataFrame, refs: dict[str, DataFrame], legal_entity: str, as_of: dt.date, now: dt.datetime,
+                         stage: Stage = inline) -> DataFrame:
     """Enriched registration records with ``branch`` (passed, failures, postal_excluded) and their ``failures``.
 
     ``raw_payload`` is the enriched document.  One pass; write it partitioned by ``branch``, or take
@@ -84,7 +84,7 @@ def checked_registration(registration: DataFrame, refs: dict[str, DataFrame], le
     """
     done = enrich_registration(registration, refs["aliases"], refs["segment_sources"], legal_entity)
     tagged = route.tag_postal_only(done, "_excluded")
-    documented = once(tagged, raw_payload=to_document())
+    documented = stage(once(tagged, raw_payload=to_document()), "enriched")  # its distinct opt signatures are a second use
     checked = validate.with_failures(documented, refs["opt_map"], refs["source_map"], as_of, now)
     branch = F.when(F.col("_excluded"), "postal_excluded").when(route.passes(), "passed").otherwise("failures")
     return once(checked, branch=branch).drop("_excluded")
@@ -97,9 +97,7 @@ def external_id_job(routes: dict[str, DataFrame], refs: dict[str, DataFrame], le
     ``refs``: aliases, segment_sources, opt_map, source_map.  In delta mode the other routes keep
     the latest record per user and event.
     """
-    checked = checked_registration(routes["registration"], refs, legal_entity, as_of, now)
-    if stage is not inline:
-        checked = parse_payloads(stage(checked.select("raw_payload", "failures", "branch"), "checked"))
+    checked = stage(checked_registration(routes["registration"], refs, legal_entity, as_of, now, stage), "checked")
     out = _outputs(checked, ["passed", "failures", "postal_excluded"])
     out["failures"] = route.failure_rows(out["failures"])
     out["passed"], out["postal_excluded"] = out["passed"].drop("failures"), out["postal_excluded"].drop("failures")
@@ -110,6 +108,11 @@ def external_id_job(routes: dict[str, DataFrame], refs: dict[str, DataFrame], le
     return out
 
 
+def by_branch(payloads: DataFrame, branch: Column, names: list[str], stage: Stage) -> dict[str, DataFrame]:
+    """Parsed payloads by the value of ``branch``, written once; each is a pruned read."""
+    return _outputs(stage(once(payloads, branch=branch), "branches"), names)
+
+
 def filter_date_job(routes: dict[str, DataFrame], as_of: dt.date, domain: str) -> dict[str, DataFrame]:
     """Date-filtered, normalised events ready to publish, with program ids and, for clt, e-mail ids."""
     dated = lambda name, mode: enrich.normalize_timestamps(route.filter_backdated(routes[name], as_of, mode))

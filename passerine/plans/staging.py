@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from passerine.session import shared_dir
+
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
+def shared_stage(spark: SparkSession, partition_by: list[str] | None = None) -> Stage:
+    """:func:`table_stage` in a folder of its own under the folder that driver and executors share."""
+    return table_stage(spark, f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}", partition_by)
+
+
 def inline(df: DataFrame, name: str) -> DataFrame:
     """No materialisation: every output recomputes the intermediate result."""
     return df
