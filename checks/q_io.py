@@ -1,6 +1,7 @@
 """Sources and sinks by round trip, delivery, and streams against their batch twins."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -16,8 +17,6 @@ from passerine.streaming import streams
 
 def scratch(spark) -> str:
     """A new folder under the folder that the cluster shares; a temporary one only in a local session that names none."""
-    import uuid
-
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local["):
@@ -97,6 +96,39 @@ def _(i):
     return i.spark.read.parquet(path)
 
 
+def table_name() -> str:
+    """A catalog table of its own: sessions may run a check many times."""
+    return f"t_{uuid.uuid4().hex}"
+
+
+@check("insert_select_table", None, "SELECT event_type AS audience_name, count(*) AS count FROM events GROUP BY event_type UNION ALL SELECT 'all', count(*) FROM events")
+def _(i):
+    """Rows inserted into a table of Spark's catalog, columns matched by name."""
+    name = table_name()
+    i.spark.sql(f"CREATE TABLE {name} (audience_name STRING, count BIGINT) USING parquet LOCATION '{scratch(i.spark)}/dashboard'")
+    counts = i.events.groupBy(F.col("event_type").alias("audience_name")).agg(F.count(F.lit(1)).alias("count"))
+    writers.insert_select(counts, name)
+    writers.insert_select(i.events.agg(F.count(F.lit(1)).alias("count")).select("count", F.lit("all").alias("audience_name")), name)
+    return i.spark.table(name)
+
+
+BAD_IDS = "e % 29 IN (1, 2, 3)"
+
+
+def bucketed_clean(i):
+    """Payloads without those that have a failure, from two tables bucketed by message id."""
+    folder = scratch(i.spark)
+    rows = i.pl.select("message_id", "raw_payload", F.expr(BAD_IDS).alias("bad"))
+    payloads = writers.write_bucketed(rows.select("message_id", "raw_payload"), table_name(), "message_id", 8, f"{folder}/payloads")
+    failures = writers.write_bucketed(rows.where("bad").select("message_id"), table_name(), "message_id", 8, f"{folder}/failures")
+    return payloads.join(failures, "message_id", "left_anti")
+
+
+@check("bucketed_clean_insert", ["pl"], f"SELECT message_id, raw_payload FROM pl WHERE message_id NOT IN (SELECT message_id FROM pl WHERE {BAD_IDS})")
+def _(i):
+    return bucketed_clean(i)
+
+
 @check("export_csv", None, "SELECT CAST(c_custkey AS STRING) AS c_custkey, c_name FROM customer")
 def _(i):
     path = scratch(i.spark) + "/tsv"

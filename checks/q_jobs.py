@@ -151,6 +151,22 @@ def _(i):
     return windows.union_all(*[df.select(message_id(), F.lit(n).alias("branch"), ext_text(MPN).alias("mpn"), date) for n, df in out.items()])
 
 
+@check("external_id_job_delta", ["pl_blocks", "opt_map", "crs_source"], REG + """
+SELECT mid AS message_id, 'passed' AS branch, CAST(1 AS BIGINT) AS n FROM ok WHERE mid NOT IN (SELECT mid FROM bad)
+UNION ALL SELECT mid, 'failures', n FROM bad UNION ALL SELECT mid, 'postal_excluded', 1 FROM px WHERE excluded
+UNION ALL SELECT arg_max(message_id, row(coalesce(CASE WHEN tst IS NOT NULL THEN tst END, ''), message_id)), 'other', 1 FROM s WHERE NOT (is_opt OR is_identify) AND user_txt IS NOT NULL AND event_name IS NOT NULL GROUP BY user_txt, event_name
+""")
+def _(i):
+    """The delta load: of the other records, the latest for each user and event."""
+    out = migration.external_id_job(registration_routes(i), registration_refs(i), "42", AS_OF, NOW, delta=True, stage=staging.shared_stage(i.spark, ["branch"]))
+    one = lambda df, name, key: df.select(key.alias("message_id"), F.lit(name).alias("branch"), F.lit(1).cast("bigint").alias("n"))
+    failed = out["failures"].groupBy("message_id").agg(F.count(F.lit(1)).alias("n"))
+    return windows.union_all(
+        one(out["passed"], "passed", root_text("messageId")), one(out["postal_excluded"], "postal_excluded", root_text("messageId")),
+        one(out["other"], "other", F.get_json_object("raw_payload", "$.messageId")), failed.select("message_id", F.lit("failures").alias("branch"), "n"),
+    )
+
+
 # ---- compression -------------------------------------------------------------------------
 
 IDENT = S + f""",
@@ -501,6 +517,18 @@ def _(i):
     return joins.resci_mapping(i.contacts, i.id_graphs)
 
 
+@check("resci_export_file", ["id_graphs", "contacts"], RESCI.replace("SELECT record_id, email, account_created_on FROM c", "SELECT CAST(record_id AS VARCHAR) AS record_id, email, CAST(account_created_on AS VARCHAR) AS account_created_on FROM c"))
+def _(i):
+    """The mapping as a report file, read again as text."""
+    from checks.q_io import scratch
+    from passerine.sinks import writers
+
+    path = scratch(i.spark) + "/resci"
+    mapping = joins.resci_mapping(i.contacts, i.id_graphs)
+    writers.export_csv(mapping.select(*[F.col(c).cast("string").alias(c) for c in mapping.columns]), path)
+    return i.spark.read.option("header", True).csv(path)
+
+
 @check("downstream_exports", ["id_graphs", "id_aliases"], f"""
 WITH {IDMAP} SELECT 'ids' AS shape, count(*) AS n, count(DISTINCT user_ids) AS d FROM (SELECT DISTINCT user_ids, pg_ids FROM idm)
 UNION ALL SELECT 'emails', count(*), count(DISTINCT pg_ids) FROM (SELECT DISTINCT user_ids, pg_ids FROM idm) UNION ALL SELECT 'aliases', count(*), count(DISTINCT user_ids) FROM (SELECT DISTINCT user_ids, pg_ids FROM idm)
@@ -566,6 +594,34 @@ def _(i):
     return out.select("user_id", "event", F.get_json_object("raw_payload", "$.messageId").alias("message_id"))
 
 
+@check("latest_event_publish_failures", ["pl"], """
+WITH w AS (SELECT user_txt AS user_id, event_name AS event, arg_max(message_id, row(coalesce(tst, ''), message_id)) AS message_id, arg_max(raw_payload, row(coalesce(tst, ''), message_id)) AS raw_payload
+  FROM pl WHERE user_txt IS NOT NULL AND event_name IS NOT NULL GROUP BY 1, 2)
+SELECT user_id, event, message_id, 'refused' AS error FROM w WHERE regexp_extract(raw_payload, '([0-9])[^0-9]*$', 1) IN ('3', '7')
+""")
+def _(i):
+    """The latest record of each user and event, sent once by a ledger; the failures come back."""
+    from checks.q_io import scratch
+    from checks.senders import fail_when_last_digit_in
+    from passerine.operators.aggregates import latest_per_user_event
+    from passerine.plans import delivery
+
+    sent = delivery.send_once(latest_per_user_event(i.payloads()), "raw_payload", fail_when_last_digit_in("37"), scratch(i.spark) + "/ledger", waves=4)
+    return sent.where("error IS NOT NULL").select("user_id", "event", F.get_json_object("raw_payload", "$.messageId").alias("message_id"), "error")
+
+
+@check("id_payload_publish", ["traces"], "SELECT trace_id, 'id' AS kind FROM traces")
+def _(i):
+    """Identity documents published in waves: each is sent, and its outcome is in the ledger once."""
+    from checks.q_io import scratch
+    from checks.senders import fail_when_last_digit_in
+    from passerine.plans import delivery
+
+    ids = service_payloads.id_service_payload(i.traces.drop("event_id", "user_id"), "7").select(F.col("traceId").alias("trace_id"), "document")
+    sent = delivery.send_once(ids, "document", fail_when_last_digit_in(""), scratch(i.spark) + "/ledger", waves=4)
+    return sent.where("error IS NULL").select("trace_id", F.lit("id").alias("kind"))
+
+
 ATTR = "{0}.marketing_program_number, {0}.consumer_id, {0}.source_id, sha256(lower({0}.email)) AS email_sha256, strftime({0}.original_timestamp, '%Y-%m-%d %H:%M:%S') AS original_timestamp"
 
 

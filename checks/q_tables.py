@@ -6,6 +6,7 @@ from checks.q_joins import COMPARED, COMPARED_VIEWS, single_users, source_traits
 from checks.registry import NOW, NOW_SQL, check, message_id
 from passerine.operators import aggregates, identity, joins, reshape, route, windows
 from passerine.operators.route import MPN
+from passerine.sinks import writers
 
 DUCK_BUCKET = "CAST(('0x' || substr(md5({0}), 1, 8)) AS BIGINT) % {1}"
 
@@ -339,6 +340,15 @@ def _(i):
     return identity.id_mapping(i.id_graphs, i.id_aliases, PROGRAMS)
 
 
+@check("id_mapping_update", ["id_graphs", "id_aliases"], f"WITH {IDMAP} SELECT pg_ids, user_ids FROM idm")
+def _(i):
+    """The mapping of the alias rows of even trace ids, brought up to date with the others: equal to a full rebuild."""
+    early = F.col("trace_id").substr(2, 20).cast("bigint") % 2 == 0
+    old, new = i.id_aliases.filter(early), i.id_aliases.filter(~early)
+    mapping = identity.id_mapping(i.id_graphs, old, PROGRAMS)
+    return identity.updated_id_mapping(mapping, identity.first_created(old), i.id_graphs, new, PROGRAMS)[0]
+
+
 def outcomes(i):
     """One call outcome per request of a batch of 45; errors are located by batch position."""
     batched = reshape.batch_rows(i.requests, "user_ids", 45, 100).withColumnRenamed("user_ids", "previousId")
@@ -375,3 +385,14 @@ FROM replay_table r LEFT JOIN replay_updates u ON u.message_id = r.message_id AN
 @check("merge_status", ["replay_table", "replay_updates"], MERGED)
 def _(i):
     return identity.merge_status(i.replay_table, i.replay_updates).select("message_id", "replay_status", "replay_time")
+
+
+@check("merge_status_partitions", ["replay_table", "replay_updates"], MERGED)
+def _(i):
+    """The same merge into a partitioned table, of which only the touched partitions are rewritten."""
+    from checks.q_io import scratch
+
+    path = scratch(i.spark) + "/replay"
+    i.replay_table.withColumn("part", F.col("event_id") % 16).write.partitionBy("part").parquet(path)
+    writers.merge_partitions(i.spark, path, i.replay_updates, identity.merge_status, ["message_id", "trace_id"], "part")
+    return i.spark.read.parquet(path).select("message_id", "replay_status", "replay_time")

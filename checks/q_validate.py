@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from checks.q_enrich import S
 from checks.registry import AS_OF, NOW, branches, check, message_id
 from passerine.functions.values import root_text
-from passerine.operators import route, validate
+from passerine.operators import validate
+from passerine.plans import staging
 
 COLS = "message_id, mpn, dq_validation_id, dq_validation_description, error_details"
 MCPC = "'MCPC' AS dq_validation_id"
@@ -186,7 +187,7 @@ failed AS (SELECT * FROM schema_f UNION ALL SELECT r.* FROM rules_only r JOIN bl
 SELECT {COLS} FROM failed UNION ALL SELECT message_id, NULL, 'passed', NULL, NULL FROM s WHERE message_id NOT IN (SELECT message_id FROM failed)
 """)
 def _(i):
-    passed, failed = validate.validation_chain(i.payloads(), i.opt_map, source_map(i), AS_OF, NOW)
+    passed, failed = validate.validation_chain(i.payloads(), i.opt_map, source_map(i), AS_OF, NOW, staging.shared_stage(i.spark))
     none = lambda n: F.lit(None).cast("string").alias(n)
     ok = passed.select(message_id(), none("mpn"), F.lit("passed").alias("dq_validation_id"), none("dq_validation_description"), none("error_details"))
     return shape(failed).unionByName(ok)
@@ -196,8 +197,7 @@ def _(i):
 SELECT message_id, CASE WHEN message_id IN (SELECT message_id FROM failed) THEN 'failed' ELSE 'passed' END AS branch FROM s
 """)
 def _(i):
-    staged = validate.with_failures(i.payloads(), i.opt_map, source_map(i), AS_OF, NOW)
-    passed, failed = route.split_validated(staged)
+    passed, failed = validate.validation_chain(i.payloads(), i.opt_map, source_map(i), AS_OF, NOW, staging.shared_stage(i.spark))
     return branches(passed=passed).unionByName(failed.select("message_id", F.lit("failed").alias("branch")).distinct())
 
 

@@ -115,6 +115,31 @@ def id_mapping(id_graph: DataFrame, id_aliases: DataFrame, mpns: list) -> DataFr
     return ranked.select(F.col("pg_id").alias("pg_ids"), F.col("id_value").alias("user_ids"))
 
 
+def first_created(id_aliases: DataFrame) -> DataFrame:
+    """(pg_id, created_date): when each person was first seen."""
+    return id_aliases.groupBy("pg_id").agg(F.min("created_date").alias("created_date"))
+
+
+def updated_id_mapping(mapping: DataFrame, created: DataFrame, id_graph: DataFrame, new_aliases: DataFrame, mpns: list) -> tuple[DataFrame, DataFrame]:
+    """(mapping, created) brought up to date with alias rows that came since: what a full rebuild would give.
+
+    Only persons that are new, or now seen earlier, count as changed, and only the users that they belong to are ranked
+    again; the rest of the mapping stays. A mapping that would be empty is an error.
+    """
+    news = first_created(new_aliases).withColumnRenamed("created_date", "_new").withColumn("_seen", F.lit(True))
+    known = created.withColumn("_known", F.lit(True))
+    earlier = F.col("_known").isNull() | (F.col("_new").isNotNull() & (F.col("created_date").isNull() | (F.col("_new") < F.col("created_date"))))
+    changed = adaptive_join(news, known, ["pg_id"]).where(earlier).select("pg_id", "_new")
+    older = adaptive_join(created, changed, ["pg_id"], "left_anti")
+    now = older.select("pg_id", "created_date").unionByName(changed.select("pg_id", F.col("_new").alias("created_date")))
+    users = id_graph.filter((F.col("id_type") == "userId") & F.col("marketing_program_number").isin(*mpns)).select("id_value", "pg_id")
+    touched = adaptive_join(users, changed.select("pg_id"), ["pg_id"], "left_semi").select("id_value").distinct()
+    again = adaptive_join(adaptive_join(users, touched, ["id_value"], "left_semi"), now, ["pg_id"], "inner")
+    fresh = earliest_identity_rank(again).select(F.col("pg_id").alias("pg_ids"), F.col("id_value").alias("user_ids"))
+    kept = adaptive_join(mapping, touched.withColumnRenamed("id_value", "user_ids"), ["user_ids"], "left_anti").select("pg_ids", "user_ids")
+    return require_rows(kept.unionByName(fresh), "id mapping"), now
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """The frame itself; fails when it is empty (one row is looked at)."""
     if df.isEmpty():

@@ -465,16 +465,20 @@ def with_failures(payloads: DataFrame, opt_map: DataFrame, source_map: DataFrame
     """Add ``failures``: the schema failures if there are any, else those of VLD7 to VLD10, in order."""
     at = F.lit(now)
     schema = F.concat(schema_string_failures(at), schema_external_id_failures(at), schema_property_failures(at))
-    staged = once(with_external_id_states(payloads), _schema=schema).select(*payloads.columns, "_schema")
-    staged = with_source_flag(with_opt_match(staged, opt_map), source_map)
+    # Opt signatures are read first: that pass needs the parsed payload only.
+    matched = with_opt_match(payloads, opt_map)
+    staged = once(with_external_id_states(matched), _schema=schema).select(*matched.columns, "_schema")
+    staged = with_source_flag(staged, source_map)
     rules = F.concat(vld7_failures(at), vld8_failures(as_of, at), vld9_failures(at), vld10_failures(at))
     first = F.when(F.size("_schema") > 0, F.col("_schema")).otherwise(rules)
     return once(staged, failures=first).drop("_schema", "_opt_matched", "_registered")
 
 
-def validation_chain(payloads, opt_map, source_map, as_of, now) -> tuple[DataFrame, DataFrame]:
-    """(passed payloads, failure rows) of all front-load rules in one pass."""
-    return split_validated(with_failures(payloads, opt_map, source_map, as_of, now))
+def validation_chain(payloads, opt_map, source_map, as_of, now, stage=None) -> tuple[DataFrame, DataFrame]:
+    """(passed payloads, failure rows) of all front-load rules; with a ``stage`` (see ``plans.staging``) payloads are parsed
+    once, and the rules run once for both outputs; otherwise once for each."""
+    stage = stage or (lambda df, name: df)
+    return split_validated(stage(with_failures(stage(payloads, "payloads"), opt_map, source_map, as_of, now), "checked"))
 
 
 def clean_insert(payloads: DataFrame, failures: DataFrame, key: str = "message_id") -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from passerine.operators.identity import merge_status
 from passerine.operators.route import dlq_extract, pending_replay
+from passerine.operators.skew import adaptive_join, kept, running
 
 Sender = Callable[[list[str], "str | None"], "list[str | None]"]
 SenderFactory = Callable[[], Sender]
@@ -84,3 +85,26 @@ def dlq_remediation(dlq: DataFrame, start: str, end: str, factory: SenderFactory
     archive = written_status(dlq_extract(dlq, start, end, field).select("inner_payload"), f"{folder.rstrip('/')}/archive")
     sent = written_status(send_status(archive, "inner_payload", factory), f"{folder.rstrip('/')}/sent")
     return {"archive": archive, "failed": sent.filter(F.col("error").isNotNull())}
+
+
+def send_once(df: DataFrame, payload: str, factory: SenderFactory, ledger: str, waves: int = 16, batch: int = 1000, topic: str | None = None) -> DataFrame:
+    """Every row with ``error`` (NULL = sent), by a ledger at the path ``ledger``: a run repeated after a failure sends the rest.
+
+    Rows are told apart by their content and, among equal ones, by a number, and dealt by that into ``waves``; a wave's
+    outcomes are committed to the ledger before the next is sent. What the ledger has is left out by an anti-join. A
+    failure so repeats what its own wave had sent, and no more.
+    """
+    spark = df.sparkSession
+    content = F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{n}") for n, c in enumerate(df.columns)]), {"ignoreNullFields": "false"}), 256)
+    numbered = running(df.withColumn("_content", content), ["_content"], [], {"_copy": ("count", F.lit(1))})
+    rows = kept(numbered.withColumn("_wave", F.pmod(F.xxhash64("_content", "_copy"), F.lit(waves)).cast("int")))
+    keys = ["_content", "_copy"]
+    outcome = "_content string, _copy long, error string, _wave int"
+    spark.createDataFrame([], outcome).write.mode("append").partitionBy("_wave").parquet(ledger)
+    told = lambda wave: spark.read.schema(outcome).parquet(ledger).where(F.col("_wave") == wave)
+    for wave in range(waves):
+        todo = adaptive_join(rows.where(F.col("_wave") == wave), told(wave).select(*keys).distinct(), keys, "left_anti")
+        sent = send_status(todo, payload, factory, batch, topic).select(*keys, "error", "_wave")
+        sent.write.mode("append").partitionBy("_wave").parquet(ledger)
+    done = spark.read.schema(outcome).parquet(ledger).groupBy(*keys).agg(F.min("error").alias("error"))
+    return adaptive_join(rows, done, keys).select(*df.columns, "error")

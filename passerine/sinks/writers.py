@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from passerine.operators.skew import adaptive_join, kept
+
 from passerine.payload import to_document
 from passerine.sources.readers import has_format
 
@@ -79,9 +83,39 @@ def write_clustered(df: DataFrame, path: str, key: str, partitions: int | None =
     spread.sortWithinPartitions(key).write.mode("overwrite").parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Catalog table bucketed and sorted by key: later joins on the key need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Catalog table bucketed and sorted by key, and read back: joins of such tables on the key need no shuffle.
+
+    ``path`` puts its files outside the warehouse, on storage that the cluster shares.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+#: Values of a partition column that a merge may touch; more is an error.
+MAX_TOUCHED = 10_000
+
+
+def merge_partitions(spark: SparkSession, path: str, updates: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], keys: list[str], partition: str, most: int = MAX_TOUCHED) -> list:
+    """Merge ``updates`` into a Parquet table partitioned by ``partition``; gives the partitions that were rewritten.
+
+    The keys alone are read to find the partitions that hold a row to change; only these are read whole, merged, written
+    beside the table, and then swapped in one by one. ``merge(table, updates)`` keeps the rows' partitions. A run that
+    fails may have swapped some partitions; as a merge applied twice changes nothing more, running it again completes it.
+    """
+    table = spark.read.parquet(path)
+    wanted = updates.select(*keys).distinct()
+    found = adaptive_join(table.select(*keys, partition), wanted, keys, "left_semi").select(partition).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"the merge touches more than {most} partitions")
+    values = [r[0] for r in found]
+    if values:
+        here = F.col(partition).isin([v for v in values if v is not None])
+        rows = table.where(here | F.col(partition).isNull() if None in values else here)
+        merged = kept(merge(rows, updates))
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    return values
 
 
 def write_dated(df: DataFrame, path: str, tenant: str = "tenant", day: str = "load_date") -> None:
