@@ -65,23 +65,29 @@ class Ftrl:
 
 
 def _coordinates(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The distinct coordinates of every text, sorted: at most ``4 * 2 ** BITS`` bytes however long the text."""
+    """The distinct coordinates of every text, packed: at most two bytes for each, whatever the length of the text."""
     own, at = features(plain(batch.column("text")))
     key = np.unique(own * 2**BITS + at)
     ends = np.searchsorted(key, np.arange(batch.num_rows + 1) * 2**BITS)
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((key % 2**BITS).astype(np.int32)))
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), batch.column("content"), lists], names=["doc_id", "toxic", "content", "at"])
+    counts = np.bincount(key >> 16, minlength=batch.num_rows << (BITS - 16)).astype(np.uint32).reshape(batch.num_rows, -1)
+    low = key.astype(np.uint16)  # the low 16 bits; the counts tell how many of them have each value of the high bits
+    packed = pa.array([c.tobytes() + low[x:y].tobytes() for c, x, y in zip(counts, ends[:-1], ends[1:])], pa.binary())
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), packed], names=["doc_id", "toxic", "at"])
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    counts = np.frombuffer(packed, np.uint32, 2 ** (BITS - 16))
+    return np.repeat(np.arange(len(counts), dtype=np.int32) << 16, counts) + np.frombuffer(packed, np.uint16, offset=counts.nbytes)
 
 
 def _fit_shard(table: pa.Table) -> pa.Table:
     """Fit one shard's rows, by the hash of their ids, and give the weights that aren't zero."""
     order = pc.sort_indices(table, [("order", "ascending"), ("doc_id", "ascending")]).to_pylist()
-    lists, labels = table.column("at").combine_chunks(), table.column("toxic").to_pylist()
-    starts, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    texts, labels = table.column("at"), table.column("toxic").to_pylist()
     model = Ftrl()
     for _ in range(EPOCHS):
         for k in order:
-            model.learn(np.append(flat[starts[k] : starts[k + 1]], np.int32(2**BITS)), labels[k])
+            model.learn(np.append(_unpacked(texts[k].as_py()), np.int32(2**BITS)), labels[k])
     w = model.weights(np.arange(2**BITS + 1))
     some = np.flatnonzero(w)
     return pa.table({"at": some, "w": w[some]})
@@ -108,9 +114,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # Bounded by the limit above, so that only the sample's coordinates are shuffled.
     found = texts_of(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").withColumn("content", F.xxhash64("text"))
     least = found.groupBy("doc_id").agg(F.min("content").alias("content"))
-    some = found.join(F.broadcast(least), ["doc_id", "content"]).select("doc_id", "toxic", "content", "text")
-    held = map_slices(some, "text", _coordinates, "doc_id long, toxic int, content long, at array<int>", FEATURE_BYTES)
-    taught = held.groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.first("at").alias("at")).withColumn("order", F.xxhash64("doc_id", F.lit(1)))
+    some = found.join(F.broadcast(least), ["doc_id", "content"]).select("doc_id", "toxic", "text").dropDuplicates(["doc_id"])
+    taught = map_slices(some, "text", _coordinates, "doc_id long, toxic int, at binary", FEATURE_BYTES).withColumn("order", F.xxhash64("doc_id", F.lit(1)))
     each = taught.groupBy(F.pmod("order", F.lit(shards)).alias("shard")).applyInArrow(_fit_shard, "at long, w double")
     table = each.groupBy("at").agg((F.sum("w") / shards).alias("w")).toPandas().sort_values("at")
     return table["at"].to_numpy(np.int64), table["w"].to_numpy(np.float64)
