@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -33,13 +34,21 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             start = stop
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker stays after its task, and others need the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+    if trim:
+        trim(0)
+
+
 def map_slices(df: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
     """Apply ``work`` to bounded slices of ``df``, inside Spark's tasks."""
 
     def run(batches):
         for part in slices(batches, column, limit):
             yield work(part)
-        pa.default_memory_pool().release_unused()  # the worker stays, and others need the executor's memory
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passerine.llm.arrow import hash_strings, map_slices, mix, owners, plain, slices, texts_of, words
+from passerine.llm.arrow import hash_strings, map_slices, mix, owners, plain, release, slices, texts_of, words
 from passerine.llm.shared import in_slots, slots, written
 from passerine.operators.skew import adaptive_join
 
@@ -119,6 +119,7 @@ def token_counts(docs: DataFrame) -> np.ndarray:
             total += np.bincount(slot, np.bincount(codes, minlength=len(slot)), minlength=2**SLOT_BITS).astype(np.int64)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["slot", "n"])
+        release()
 
     found = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(2**SLOT_BITS, np.int64)
@@ -247,6 +248,7 @@ def _walk(batches):
         ], names=["bucket", "name", "more", "rest", "bits"])
         tail = max(start[-1], n - WINDOW - 1)
         held = [x[tail:].copy() for x in (bucket, salt, name, more, rest, bits, k, (marked | done).astype(np.int64))]
+    release()
 
 
 def _matches(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -357,5 +359,6 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                 columns = part.columns[:-1]
                 columns[place] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in columns], names=names)
+        release()
 
     return joined.mapInArrow(cut, df.schema)

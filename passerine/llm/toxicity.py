@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from passerine.llm.arrow import hash_strings, map_slices, mix, owners, plain, slices, texts_of, words
+from passerine.llm.arrow import hash_strings, map_slices, mix, owners, plain, release, slices, texts_of, words
 from passerine.llm.shared import written
 
 BITS, STEM_BYTES = 20, 5
@@ -169,5 +169,6 @@ def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for part in slices([named], f"c{place}", FEATURE_BYTES):
                 keep = pa.array(score(plain(part.column(place))) < threshold)
                 yield pa.RecordBatch.from_arrays(part.filter(keep).columns, names=names)
+        release()
 
     return docs.mapInArrow(run, docs.schema)
