@@ -397,7 +397,7 @@ def drop_duplicate_aliases(payloads: DataFrame, aliases: DataFrame, most: int =
     pairs = aliases.filter(F.col("traitName") != F.col("alias")).select("traitName", "alias").distinct()
     names = payloads.select(F.explode(F.map_keys("traits")).alias("alias")).distinct()
     known = adaptive_join(adaptive_join(pairs, names, ["alias"], "left_semi"), names.withColumnRenamed("alias", "traitName"), ["traitName"], "left_semi")
-    found = known.limit(most + 1).collect()
+    found = known.take(most + 1)
     if len(found) > most:
         raise ValueError(f"more than {most} alias pairs occur in the payloads")
     if not found:

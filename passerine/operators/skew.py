@@ -71,7 +71,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], measures: dict[str
     before = Window.partitionBy("_range", *keys).orderBy(*line[len(keys):]).rowsBetween(Window.unboundedPreceding, -1)
     own = dealt.withColumns({n: F.coalesce(total(n, kind).over(before), zero) for n, (kind, _) in measures.items()})
     # Only the first key of a range can go on from an earlier one: a row for each range at most, whatever the data.
-    found = own.join(F.broadcast(carried), "_range", "left")
+    found = adaptive_join(own, carried, ["_range"])
     same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
     done = {n: F.when(same & F.col(f"_b_{n}").isNotNull(), join[kind](F.col(n), F.col(f"_b_{n}"))).otherwise(F.col(n)) for n, (kind, _) in measures.items()}
     return found.withColumns(done).select(*df.columns, *measures)

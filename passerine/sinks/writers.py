@@ -106,7 +106,7 @@ def merge_partitions(spark: SparkSession, path: str, updates: DataFrame, merge:
     """
     table = spark.read.parquet(path)
     wanted = updates.select(*keys).distinct()
-    found = adaptive_join(table.select(*keys, partition), wanted, keys, "left_semi").select(partition).distinct().limit(most + 1).collect()
+    found = adaptive_join(table.select(*keys, partition), wanted, keys, "left_semi").select(partition).distinct().take(most + 1)
     if len(found) > most:
         raise ValueError(f"the merge touches more than {most} partitions")
     values = [r[0] for r in found]

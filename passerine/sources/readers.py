@@ -127,7 +127,7 @@ def batch_predicates(df: DataFrame, mpn: str, loaded: str, source: str, reads: i
     ends = placed.groupBy(F.floor(F.col("_before") / share).alias("read")).agg(F.min(key).alias("low"), F.max(key).alias("high"))
     kinds = dict(df.dtypes)
     texts = [f"{side}.{c}" for side in ("low", "high") for c in keys]
-    rows = ends.orderBy("read").select(*[F.col(c).cast("string").alias(c.replace(".", "_")) for c in texts]).collect()  # one row a read
+    rows = ends.orderBy("read").select(*[F.col(c).cast("string").alias(c.replace(".", "_")) for c in texts]).take(reads + 1)  # one row a read
     quote = lambda c, v: None if v is None else v if kinds[c] in ("tinyint", "smallint", "int", "bigint") or kinds[c].startswith("decimal") else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
     out = []
     for row in rows:
