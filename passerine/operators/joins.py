@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -179,16 +181,49 @@ def crs_row_match(consents: DataFrame, crs: DataFrame) -> DataFrame:
     return adaptive_join(consents, picked, keys)
 
 
+#: Characters of the pieces by which column heads find trait names.
+GRAM = 3
+
+
+def _grams(word: Column, size: Column | int) -> Column:
+    """Distinct pieces of ``size`` characters; the empty piece for size 0, none where the word is shorter."""
+    size = F.lit(size) if isinstance(size, int) else size
+    starts = F.sequence(F.lit(1), F.length(word) - size + 1)
+    pieces = F.array_distinct(F.transform(starts, lambda k: word.substr(k, size)))
+    return F.when(F.length(word) >= size, pieces).otherwise(F.array().cast("array<string>"))
+
+
+def names_containing(heads: DataFrame, names: DataFrame, sizes: list[int]) -> DataFrame:
+    """(mpn, _head, columns of ``names``) for every name of a program that contains a head of that program.
+
+    ``heads`` is (mpn, _head, _size), the head's piece length, one of ``sizes`` and at most the head's length; ``names`` has
+    ``mpn`` and ``_name``.  A name that contains a head contains all its pieces, so a head only meets the names that hold
+    its rarest one in the program, and then looks into them.  Shorter heads have shorter pieces, the empty one at last,
+    which every name holds.  A head with a piece that no name holds has no match.
+    """
+    pieces = F.concat(*[_grams(F.col("_name"), size) for size in sizes])
+    posted = names.dropna(subset=["mpn", "_name"]).withColumn("_gram", F.explode(pieces))
+    counts = posted.groupBy("mpn", "_gram").agg(F.count(F.lit(1)).alias("_n"))
+    asked = heads.select("mpn", "_head", "_size").distinct().withColumn("_gram", F.explode(_grams(F.col("_head"), F.col("_size"))))
+    counted = adaptive_join(asked, counts, ["mpn", "_gram"])
+    rarest = counted.groupBy("mpn", "_head").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_gram")).alias("_r"))
+    rarest = rarest.where("_r.n > 0").select("mpn", "_head", F.col("_r._gram").alias("_gram"))
+    met = adaptive_join(posted, rarest, ["mpn", "_gram"], "inner")
+    return met.where(F.col("_name").contains(F.col("_head"))).select("mpn", "_head", *[c for c in names.columns if c != "mpn"])
+
+
 def trait_suggest_like(columns: list[str], mpns: DataFrame, trait_map: DataFrame) -> DataFrame:
     """Every column name for every program, with exact, underscore-free and 8-letter matches.
 
-    The column list is schema metadata, so it is exploded per program instead of cross-joined; the
-    substring match is a residual condition of the join on the program.
+    The column list is schema metadata, so it is exploded per program instead of cross-joined; the substring
+    matches are found by their rarest piece (:func:`names_containing`).
     """
-    names = F.array(*[F.lit(c) for c in columns])
-    grid = mpns.select(F.col("mpn").cast("string").alias("mpn")).dropna().distinct().withColumn("column_name", F.explode(names))
+    head_of = lambda c: c.replace("trait_", "")[:8].lower().replace("_", "")
+    size_of = {c: min(GRAM, len(head_of(c))) for c in columns}
+    names = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(size_of[c]).alias("_size")) for c in columns])
     bare = lambda c: F.replace(F.lower(c), F.lit("_"), F.lit(""))
     head = bare(F.substring(F.replace(F.col("column_name"), F.lit("trait_"), F.lit("")), 1, 8))
+    grid = mpns.select(F.col("mpn").cast("string").alias("mpn")).dropna().distinct().select("mpn", F.inline(names))
     grid = grid.withColumns({"_exact": F.lower("column_name"), "_bare": bare(F.col("column_name")), "_head": head})
     ref = trait_map.select(
         F.col("mpn").cast("string").alias("_mpn"), F.col("traitId").alias("_id"), F.col("traitName").alias("_name"),
@@ -199,9 +234,10 @@ def trait_suggest_like(columns: list[str], mpns: DataFrame, trait_map: DataFrame
         return ref.select(*[F.col(c).alias(f"{tag}{c}") for c in ref.columns])
 
     x, e, s = side("x"), side("e"), side("s")
+    found = names_containing(grid, s.withColumnRenamed("s_mpn", "mpn").withColumn("_name", bare(F.col("s_eco"))), sorted(set(size_of.values())))
     out = grid.join(x, (F.col("mpn") == F.col("x_mpn")) & (F.col("_exact") == F.lower("x_eco")), "left")
     out = out.join(e, (F.col("mpn") == F.col("e_mpn")) & (F.col("_bare") == bare(F.col("e_eco"))), "left")
-    out = out.join(s, (F.col("mpn") == F.col("s_mpn")) & bare(F.col("s_eco")).contains(F.col("_head")), "left")
+    out = adaptive_join(out, found, ["mpn", "_head"])
     return out.select(
         "mpn", "column_name",
         F.col("x_id").isNotNull().alias("validation_result"), F.col("e_id").isNotNull().alias("trait_match"),
@@ -253,14 +289,18 @@ def canonical_user(users, merged_email, merged_user, unmerge, canon, programs: l
     if programs is not None:
         ours = F.col("marketing_program_number").cast("string").isin(*programs)
         merged_email, merged_user = merged_email.filter(ours), merged_user.filter(ours)
-    by_user = merged_user.groupBy("id").agg(F.max("canonical_pg_id").alias("_by_user"))
     by_mail = merged_email.groupBy("email").agg(F.max("canonical_pg_id").alias("_by_mail"))
-    canonical = canon.groupBy(F.col("previous_user_id").alias("id")).agg(F.max("canonical_user_id").alias("_canonical"))
-    alone = unmerge.select(F.col("id_value").alias("id")).distinct().withColumn("_alone", F.lit(True))
-    out = adaptive_join(users, by_user, ["id"])
+    # What is known of an id, from three lists, in one row: users are joined once by id and once by e-mail.
+    said = ["_by_user", "_canonical", "_alone"]
+    lists = [
+        merged_user.select("id", F.col("canonical_pg_id").alias("_by_user")),
+        canon.select(F.col("previous_user_id").alias("id"), F.col("canonical_user_id").alias("_canonical")),
+        unmerge.select(F.col("id_value").alias("id"), F.lit(True).alias("_alone")),
+    ]
+    known = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lists)
+    by_id = known.groupBy("id").agg(*[F.max(c).alias(c) for c in said])
+    out = adaptive_join(users, by_id, ["id"])
     out = adaptive_join(out, by_mail, ["email"])
-    out = adaptive_join(out, alone, ["id"])
-    out = adaptive_join(out, canonical, ["id"])
     resolved = F.coalesce(
         "_by_user", "_by_mail", F.when(F.col("_alone"), F.col("id")), F.col("_canonical"), F.col("id")
     )
@@ -279,11 +319,12 @@ def trait_resolution(leaves, ids, eco, aliases, traits, source_map, default_mpn,
     names = eco.filter(F.col("ecoSystemId").isin(*ecosystems)).select(
         F.col("ecoTraitName").alias("key"), F.col("traitId").alias("_eco_id")).distinct()
     also = aliases.select(F.col("alias").alias("key"), F.col("trait_id").alias("_alias_id")).distinct()
-    known = traits.select("traitId").distinct()
+    # A name's ids from ecosystems and aliases, met first, so that the leaves are joined once by name.
+    known = names.join(also, "key", "full").select("key", F.coalesce("_eco_id", "_alias_id").alias("traitId")).distinct()
+    known = known.join(traits.select("traitId").distinct(), "traitId", "left_semi")
     pairs = source_map.select(F.col("mpn").cast("bigint").alias("_pm"), F.col("source_id").cast("bigint").alias("_ps")).distinct()
     filled = leaves.filter(F.trim(F.coalesce("val", F.lit(""))) != "")
-    out = filled.join(names, "key", "left").join(also, "key", "left")
-    out = out.withColumn("traitId", F.coalesce("_eco_id", "_alias_id")).join(known, "traitId", "left_semi")
+    out = adaptive_join(filled, known, ["key"], "inner")
     # Rows that know their person, program and source need nothing from the user's other records, so
     # only the others are joined; a user with many records is not multiplied by all of them.
     own_mpn, own_source = F.col("marketingProgramNumber").try_cast("bigint"), F.col("sourceId").try_cast("bigint")
@@ -298,7 +339,7 @@ def trait_resolution(leaves, ids, eco, aliases, traits, source_map, default_mpn,
         "_pm": F.coalesce(own_mpn, F.col("_mpn"), F.lit(default_mpn).cast("bigint")),
         "_ps": F.coalesce(own_source, F.col("_source")),
     })
-    out = out.join(pairs, ["_pm", "_ps"], "left_semi")
+    out = adaptive_join(out, pairs, ["_pm", "_ps"], "left_semi")
     out = out.withColumn("consumerid_sourceid_mpn", F.coalesce("consumerid_sourceid_mpn", "_person"))
     return out.filter(F.col("consumerid_sourceid_mpn").isNotNull()).select(
         "consumerid_sourceid_mpn", "traitId", F.col("val").alias("trait_value"),

@@ -76,15 +76,16 @@ def _mpn_candidates() -> dict[str, Column]:
 
 
 def flag_invalid_mpn(payloads: DataFrame, invalid: DataFrame) -> DataFrame:
-    """Add boolean ``invalid_mpn``: one of the four places of a program number is in ``invalid.mpn``."""
+    """Add boolean ``invalid_mpn``: one of the four places of a program number is in ``invalid.mpn``.
+
+    The distinct sets of numbers that payloads carry meet the list; payloads are joined once, with the sets that hit it.
+    """
+    numbers = F.array_sort(F.array_distinct(F.array_compact(F.array(*_mpn_candidates().values()))))
+    out = once(payloads, _mpns=numbers)
     listed = invalid.select("mpn").dropna().distinct()
-    out, hit = once(payloads, **_mpn_candidates()), F.lit(False)
-    for name in _mpn_candidates():
-        flagged = listed.select(F.col("mpn").alias(name), F.lit(True).alias(name + "h"))
-        out = adaptive_join(out, flagged, [name])
-        hit = hit | F.col(name + "h").isNotNull()
-    drop = [c for n in _mpn_candidates() for c in (n, n + "h")]
-    return out.withColumn("invalid_mpn", hit).drop(*drop)
+    seen = out.select("_mpns").distinct().withColumn("mpn", F.explode("_mpns"))
+    hits = adaptive_join(seen, listed, ["mpn"], "left_semi").select("_mpns").distinct().withColumn("_hit", F.lit(True))
+    return adaptive_join(out, hits, ["_mpns"]).withColumn("invalid_mpn", F.col("_hit").isNotNull()).drop("_mpns", "_hit")
 
 
 def split_invalid_mpn(payloads: DataFrame, invalid: DataFrame) -> tuple[DataFrame, DataFrame]:
