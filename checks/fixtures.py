@@ -220,6 +220,30 @@ SELECT CASE WHEN c_custkey % 9 = 0 THEN 'E' ELSE 'none' END || CAST(c_custkey AS
 VIEWS["merged_user"] = """
 SELECT CASE WHEN c_custkey % 11 = 0 THEN 'w' ELSE 'none' END || CAST(c_custkey AS STRING) AS id, 'pu' || CAST(c_custkey AS STRING) AS canonical_pg_id FROM @customer
 """
+# Merges of two programs, mails opened in two countries and loaded late, and audiences of sources with registration periods.
+VIEWS["merged_email_programs"] = """
+SELECT 'E' || CAST(c_custkey AS STRING) || '@mail.org' AS email, 'pm' || CAST(c_custkey - c_custkey % 2 AS STRING) AS canonical_pg_id, 100 + c_custkey % 4 AS marketing_program_number FROM @customer
+"""
+VIEWS["merged_user_programs"] = """
+SELECT 'w' || CAST(c_custkey AS STRING) AS id, 'pu' || CAST(c_custkey - c_custkey % 5 AS STRING) AS canonical_pg_id, 100 + c_custkey % 3 AS marketing_program_number FROM @customer
+"""
+VIEWS["opened_mails"] = """
+SELECT 'w' || CAST(o_custkey AS STRING) AS user_id, o_orderdate AS ts, 'C' || CAST(o_orderkey % 2 AS STRING) AS country_code,
+  CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2001-12-31 00:00:00' ELSE o_orderdate END AS loaded_at
+FROM @orders
+"""
+VIEWS["source_audiences"] = """
+SELECT 'Source ' || CAST(n_nationkey % 6 AS STRING) AS audience_name, CAST(n_nationkey % 10 AS STRING) AS source_id,
+  CASE WHEN n_nationkey % 4 <> 1 THEN CAST(CAST(1997 + n_nationkey % 5 AS STRING) || '-03-01' AS TIMESTAMP) END AS first_at,
+  CASE WHEN n_nationkey % 4 <> 2 THEN CAST(CAST(2000 + n_nationkey % 2 AS STRING) || '-11-15' AS TIMESTAMP) END AS last_at
+FROM @nation
+"""
+VIEWS["target_source_audiences"] = """
+SELECT 'Source ' || CAST(n_nationkey % 7 AS STRING) AS audience_name, CAST(n_nationkey % 10 AS STRING) AS source_id,
+  CASE WHEN n_nationkey % 4 <> 1 THEN CAST(CAST(2020 + n_nationkey % 5 AS STRING) || '-05-01' AS TIMESTAMP) END AS first_at,
+  CASE WHEN n_nationkey % 4 <> 2 THEN CAST(CAST(2022 + n_nationkey % 4 AS STRING) || '-05-01' AS TIMESTAMP) END AS last_at
+FROM @nation
+"""
 VIEWS["unmerge"] = "SELECT CASE WHEN c_custkey % 8 = 0 THEN 'w' ELSE 'none' END || CAST(c_custkey AS STRING) AS id_value FROM @customer"
 
 VIEWS["changed_opts"] = """
@@ -268,6 +292,15 @@ SELECT 'p' || CAST(o_custkey AS STRING) AS pg_id, l_partkey % 8 AS trait_id, o_c
   't' || CAST(o_orderkey AS STRING) AS trace_id
 FROM @lineitem JOIN @orders ON l_orderkey = o_orderkey
 """
+# The same with the source id of every customer as one more trait.
+VIEWS["profile_traits_sources"] = """
+SELECT pg_id, trait_id, consumerid_sourceid_mpn, trait_name, trait_value, marketing_program_number, trait_consumer_last_updated_date, trait_expiration_date, last_updated_date, trace_id
+FROM @profile_traits
+UNION ALL
+SELECT 'p' || CAST(c_custkey AS STRING), 8, c_custkey * 100, 'sourceId', CAST(c_custkey % 10 AS STRING), 100 + c_custkey % 2, TIMESTAMP '2000-01-01 00:00:00',
+  CAST(NULL AS TIMESTAMP), TIMESTAMP '2000-01-01 00:00:00', 's' || CAST(c_custkey AS STRING)
+FROM @customer
+"""
 VIEWS["profile_events"] = """
 SELECT 't' || CAST(event_id AS STRING) AS trace_id, 'p' || CAST(user_id AS STRING) AS pg_id, 100 + user_id % 2 AS marketing_program_number,
   CASE event_type WHEN 'click' THEN 'Email Opened' WHEN 'purchase' THEN 'Receipt Verified' ELSE event_type END AS event_name, ts AS event_date

@@ -451,22 +451,63 @@ def _(i):
     return segment_counts(i)
 
 
-CDP = OUT + f""",
+SEG_PROGRAMS = f"""
+WITH me AS (SELECT email, max(canonical_pg_id) AS c FROM merged_email_programs WHERE marketing_program_number IN (100, 102) GROUP BY 1),
+mu AS (SELECT id, max(canonical_pg_id) AS c FROM merged_user_programs WHERE marketing_program_number IN (100, 102) GROUP BY 1),
+cn AS (SELECT previous_user_id AS id, max(canonical_user_id) AS c FROM canon GROUP BY 1),
+cu AS (SELECT u.*, coalesce(mu.c, me.c, CASE WHEN u.id IN (SELECT id_value FROM unmerge) THEN u.id END, cn.c, u.id) AS user_id
+  FROM users u LEFT JOIN mu ON mu.id = u.id LEFT JOIN me ON me.email = u.email LEFT JOIN cn ON cn.id = u.id WHERE CAST(u.loaded_at AS DATE) <= DATE '2001-06-30'),
+{RET4},
+sd0 AS (SELECT coalesce(country_code, 'C0') AS country, user_id, {newest('registration_date')}, {newest('email_valid_contact_point_indicator')}, {newest('email')}, {newest('gender')}, {newest('source_id')}, {newest('opt_family')}, {newest('trait_pet')}
+  FROM cu WHERE email_valid_contact_point_indicator IS NOT NULL OR marketing_program_number = '100' GROUP BY 1, 2),
+sd AS (SELECT * FROM sd0 WHERE user_id NOT IN (SELECT user_id FROM ret4)),
+op AS (SELECT count(DISTINCT coalesce(cn.c, o.user_id)) AS n FROM opened_mails o LEFT JOIN cn ON cn.id = o.user_id
+  WHERE CAST(ts AS DATE) > DATE '2000-01-31' AND CAST(ts AS DATE) <= DATE '2000-07-31' AND country_code IN ('C0') AND CAST(loaded_at AS DATE) <= DATE '2001-06-30'),
+rc AS (SELECT count(DISTINCT coalesce(cn.c, o.user_id)) AS n FROM changed_opts o LEFT JOIN cn ON cn.id = o.user_id WHERE ts BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '1999-03-31')
+SELECT 'Total Registered Consumers' AS audience_name, count(DISTINCT user_id) FILTER (WHERE country IN ('C0', 'C1') AND CAST(registration_date AS DATE) < DATE '2000-07-31') AS count FROM sd
+UNION ALL SELECT 'Cat owners', count(DISTINCT user_id) FILTER (WHERE trait_pet IN ('cat', 'Cat')) FROM sd
+UNION ALL SELECT 'Source 2', count(DISTINCT user_id) FILTER (WHERE (source_id IN ('7') AND registration_date IS NOT NULL) OR EXISTS (SELECT 1 FROM source_audiences a WHERE a.audience_name = 'Source 2'
+  AND a.source_id = sd.source_id AND registration_date IS NOT NULL AND (first_at IS NULL OR registration_date >= first_at) AND (last_at IS NULL OR registration_date <= last_at))) FROM sd
+UNION ALL SELECT 'Email Opened in Past 6 Months', n FROM op UNION ALL SELECT 'Receipts', n FROM rc
+UNION ALL SELECT a.audience_name, count(DISTINCT user_id) FROM source_audiences a LEFT JOIN sd ON sd.source_id = a.source_id AND registration_date IS NOT NULL
+  AND (first_at IS NULL OR registration_date >= first_at) AND (last_at IS NULL OR registration_date <= last_at) WHERE a.audience_name <> 'Source 2' GROUP BY 1
+"""
+
+
+@check("segment_audience_counts_programs", ["users", "canon", "merged_email_programs", "merged_user_programs", "unmerge", "identifies", "opened_mails", "changed_opts", "source_audiences"], SEG_PROGRAMS)
+def _(i):
+    """Two of several programs, two countries, a load day, values, events of a period, and sources with registration periods."""
+    lists = {"email": i.merged_email_programs, "user": i.merged_user_programs, "unmerge": i.unmerge, "canonical": i.canon}
+    last = dt.date(2001, 6, 30)
+    dump = audience.segment_dump(i.users, lists, retained4(i), "100", "C0", ["opt_family"], extra=["trait_pet"], programs=["100", "102"], loaded_to=last)
+    specs = audience.segment_audiences(
+        ["C0", "C1"], dt.date(2000, 7, 31), dt.date(2000, 1, 1), audience.opted_in(["opt_family"]), equals={"Cat owners": ("trait_pet", ["cat", "Cat"])}, sources={"Source 2": ["7"]})
+    names = ["Total Registered Consumers", "Cat owners", "Source 2"]
+    events = {"Receipts": (i.changed_opts.select("user_id", "ts"), dt.datetime(1999, 1, 1), dt.datetime(1999, 3, 31))}
+    return audience.segment_audience_counts(
+        dump, {n: specs[n] for n in names}, i.opened_mails, i.canon, dt.date(2000, 7, 31), countries=["C0"], loaded_to=last, events=events, registrations=i.source_audiences)
+
+
+def cdp_sql(traits: str) -> str:
+    return OUT + f""",
 {LATEST_ALIAS},
 nret AS (SELECT DISTINCT g.pg_id FROM id_graphs g WHERE g.id_type = 'userId' AND g.id_value NOT IN (SELECT user_id FROM ret)),
 outp AS (SELECT DISTINCT pg_id FROM id_graphs WHERE id_type = 'userId' AND pg_id NOT IN (SELECT pg_id FROM nret)),
 pk AS (SELECT consumerid_sourceid_mpn, pg_id, trait_id, marketing_program_number, trait_name, max(trait_consumer_last_updated_date) AS d1, max(trait_expiration_date) AS d2, max(last_updated_date) AS d3, string_agg(trait_value, ',' ORDER BY trait_value) AS v
-   FROM profile_traits WHERE marketing_program_number IN (100, 101) GROUP BY 1, 2, 3, 4, 5),
+   FROM {traits} WHERE marketing_program_number IN (100, 101) GROUP BY 1, 2, 3, 4, 5),
 pn AS (SELECT p.marketing_program_number, a.canonical_pg_id AS pg_id, trait_id, trait_name, d1, d2, d3, v FROM pk p JOIN (SELECT DISTINCT pg_id, canonical_pg_id FROM la) a ON a.pg_id = p.pg_id),
 pb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY marketing_program_number, pg_id, trait_id, trait_name ORDER BY d1 DESC NULLS LAST, d2 DESC NULLS LAST, d3 DESC NULLS LAST, v DESC NULLS LAST) AS rn FROM pn) WHERE rn = 1 AND pg_id NOT IN (SELECT pg_id FROM outp)),
 cd AS (SELECT pg_id, """ + ", ".join(
     f"max(CASE WHEN trait_name = '{n}' THEN v END) AS \"{n}\"" for n in [*audience.TARGET_TRAITS, "optCorporate", "optFamily"]) + " FROM pb GROUP BY pg_id)"
+
+
+CDP = cdp_sql("profile_traits")
 CDP_VIEWS = ["identifies", "profile_aliases", "id_graphs", "profile_traits"]
 
 
-def cdp_dump(i):
+def cdp_dump(i, traits=None):
     graph = i.id_graphs.filter("id_type = 'userId'")
-    return audience.cdp_dump(i.profile_traits, i.profile_aliases, graph, retained(i), [100, 101], ["optCorporate", "optFamily"])
+    return audience.cdp_dump(i.profile_traits if traits is None else traits, i.profile_aliases, graph, retained(i), [100, 101], ["optCorporate", "optFamily"])
 
 
 @check("cdp_dump", CDP_VIEWS, CDP + " SELECT * FROM cd")
@@ -500,6 +541,20 @@ def _(i):
     return cdp_counts(i)
 
 
+@check("cdp_audience_counts_sources", ["identifies", "profile_aliases", "id_graphs", "profile_traits_sources", "target_source_audiences"], cdp_sql("profile_traits_sources") + """
+SELECT 'Total Registered Consumers' AS audience_name, count(*) FILTER (WHERE "registrationDate" IS NOT NULL) AS count FROM cd
+UNION ALL SELECT 'Men', count(*) FILTER (WHERE gender IN ('M', 'm')) FROM cd
+UNION ALL SELECT 'Registered by 9', count(*) FILTER (WHERE "sourceId" = '9' AND "registrationDate" IS NOT NULL) FROM cd
+UNION ALL SELECT audience_name, count(DISTINCT pg_id) FROM target_source_audiences a LEFT JOIN cd ON "sourceId" = source_id AND "registrationDate" IS NOT NULL
+  AND (first_at IS NULL OR TRY_CAST("registrationDate" AS TIMESTAMP) >= first_at) AND (last_at IS NULL OR TRY_CAST("registrationDate" AS TIMESTAMP) <= last_at) GROUP BY 1
+""")
+def _(i):
+    """Values of a trait, sources, and sources with registration periods on the target side."""
+    specs = audience.cdp_audiences("2023-01-01", audience.opted_in(["optCorporate", "optFamily"]), equals={"Men": ("gender", ["M", "m"])}, sources={"Registered by 9": ["9"]})
+    wanted = {n: specs[n] for n in ("Total Registered Consumers", "Men", "Registered by 9")}
+    return audience.cdp_audience_counts(cdp_dump(i, i.profile_traits_sources), wanted, registrations=i.target_source_audiences)
+
+
 @check("audience_dashboard", DUMP_VIEWS + ["changed_opts"] + CDP_VIEWS + ["profile_events", "event_properties"], DUMP + SEG_COUNTS + "," + CDP.lstrip()[5:] + CDP_COUNTS + f"""
 SELECT {NOW_SQL} AS timestamp, 'prog' AS "MP_Name", n AS audience_name, coalesce(seg.count, 0) AS count, 'Segment' AS application_name FROM (SELECT unnest(['Email Contactable', 'Email Optins', 'Never']) AS n) LEFT JOIN seg ON seg.audience_name = n
 UNION ALL SELECT {NOW_SQL}, 'prog', n, coalesce(cdp.count, 0), 'CDP' FROM (SELECT unnest(['Email Contactable', 'Email Optins', 'Never']) AS n) LEFT JOIN cdp ON cdp.audience_name = n

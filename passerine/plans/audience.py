@@ -140,15 +140,14 @@ def segment_audiences(
     }
     if profiling:
         specs["Profiling Email Optins"] = here & _has_email() & _true(profiling)
-    specs.update(attribute_audiences(exists, contains))
-    for name, (attribute, values) in (equals or {}).items():
-        specs[name] = F.coalesce(F.col(attribute).cast("string").isin(*values), F.lit(False))
+    specs.update(attribute_audiences(exists, contains, equals))
     for name, ids in (sources or {}).items():
         specs[name] = F.coalesce(F.col("source_id").isin(*ids), F.lit(False)) & F.col("registration_date").isNotNull()
     return specs
 
 
-def attribute_audiences(exists: dict[str, str] | None, contains: dict[str, tuple[str, list[str]]] | None) -> dict[str, Column]:
+def attribute_audiences(exists: dict[str, str] | None, contains: dict[str, tuple[str, list[str]]] | None,
+                        equals: dict[str, tuple[str, list[str]]] | None = None) -> dict[str, Column]:
     specs: dict[str, Column] = {}
     for name, attribute in (exists or {}).items():
         specs[name] = F.col(attribute).isNotNull()
@@ -157,18 +156,68 @@ def attribute_audiences(exists: dict[str, str] | None, contains: dict[str, tuple
         for word in words:
             hit = hit | F.coalesce(F.lower(attribute).contains(word), F.lit(False))
         specs[name] = hit
+    for name, (attribute, values) in (equals or {}).items():
+        specs[name] = F.coalesce(F.col(attribute).cast("string").isin(*values), F.lit(False))
     return specs
 
 
+_OPEN = "*"  # the bin of periods without a first or last moment
+
+
+def with_source_audiences(rows: DataFrame, audiences: DataFrame, source: str, registered: str, name: str = "_listed") -> DataFrame:
+    """Rows beside the audiences of their source in whose period they registered: a row for each, and others with null.
+
+    ``audiences`` is (audience_name, source_id, first_at, last_at): both ends count, a null end is open, and an audience may
+    have many rows.  Only rows with a readable ``registered`` belong to any.  Periods lie in bins of a year, and a row looks
+    into the bin of its own year and that of the open periods, so a hot source meets few periods that it must compare.
+    """
+    at = F.col("_at")
+    span = F.sequence(F.year("first_at"), F.year("last_at"))
+    closed = F.when(F.col("first_at") <= F.col("last_at"), F.transform(span, lambda y: y.cast("string"))).otherwise(F.array().cast("array<string>"))
+    open_ = F.col("first_at").isNull() | F.col("last_at").isNull()
+    periods = audiences.dropna(subset=["audience_name", "source_id"]).distinct().select(
+        F.col("source_id").cast("string").alias("_source"), F.col("audience_name").alias("_name"), F.col("first_at").alias("_first"), F.col("last_at").alias("_last"),
+        F.explode(F.when(open_, F.array(F.lit(_OPEN))).otherwise(closed)).alias("_bin"),
+    )
+    dated = rows.withColumns({"_source": F.col(source).cast("string"), "_at": F.col(registered).try_cast("timestamp")})
+    bins = F.when(at.isNotNull(), F.array(F.year(at).cast("string"), F.lit(_OPEN))).otherwise(F.array(F.lit(None).cast("string")))
+    met = adaptive_join(dated.withColumn("_bin", F.explode(bins)), periods, ["_source", "_bin"])
+    inside = (F.col("_first").isNull() | (at >= F.col("_first"))) & (F.col("_last").isNull() | (at <= F.col("_last")))
+    return met.withColumn(name, F.when(inside, F.col("_name"))).drop("_source", "_at", "_bin", "_name", "_first", "_last")
+
+
+def count_with_sources(dump: DataFrame, entity: str, specs: dict[str, Column], audiences: DataFrame, source: str, registered: str) -> DataFrame:
+    """(audience_name, count) of the predicates and of the listed audiences of sources, in one pass over ``dump``.
+
+    An entity's rows, narrowed to flags and audience names, become one row, and only its audiences' names are counted.  A
+    name that is both listed and a predicate's is one audience: members by either.  Audiences without members count 0.
+    """
+    flags = {f"f{k}": F.coalesce(spec, F.lit(False)) for k, spec in enumerate(specs.values())}
+    narrow = dump.filter(F.col(entity).isNotNull()).select(
+        F.col(entity).alias("_entity"), F.col(source).alias("_src"), F.col(registered).alias("_reg"), *[v.alias(k) for k, v in flags.items()])
+    met = with_source_audiences(narrow, audiences, "_src", "_reg")
+    per_entity = met.groupBy("_entity").agg(F.collect_set("_listed").alias("_names"), *[F.max(k).alias(k) for k in flags])
+    told = F.array_compact(F.array(*[F.when(F.col(k), F.lit(n)) for k, n in zip(flags, specs)])) if specs else F.array().cast("array<string>")
+    members = per_entity.select(F.explode(F.array_union(told, "_names")).alias("audience_name"), F.lit(1).alias("_n"))
+    listed = audiences.select("audience_name").dropna().distinct()
+    if specs:
+        literal = F.array(*[F.lit(n) for n in specs])
+        listed = listed.unionByName(dump.sparkSession.range(1).select(F.explode(literal).alias("audience_name")))
+    every = members.unionByName(listed.withColumn("_n", F.lit(0)))
+    return every.groupBy("audience_name").agg(F.sum("_n").cast("bigint").alias("count"))
+
+
 def segment_audience_counts(dump: DataFrame, specs: dict[str, Column], opened: DataFrame | None = None, canon: DataFrame | None = None,
                             as_of: dt.date | None = None, opened_name: str = "Email Opened in Past 6 Months", countries: list[str] | None = None,
-                            loaded_to: dt.date | None = None, events: dict[str, tuple[DataFrame, dt.datetime, dt.datetime]] | None = None) -> DataFrame:
+                            loaded_to: dt.date | None = None, events: dict[str, tuple[DataFrame, dt.datetime, dt.datetime]] | None = None,
+                            registrations: DataFrame | None = None) -> DataFrame:
     """(audience_name, count) of the source side; ``opened`` (user_id, ts) adds recent openers by canonical user.
 
     ``countries`` and ``loaded_to`` limit the openers (country_code, loaded_at); ``events`` maps a name to
-    rows (user_id, ts) and the period, both ends included, in which a user must have one.
+    rows (user_id, ts) and the period, both ends included, in which a user must have one; ``registrations``
+    lists audiences of sources and registration periods, see :func:`with_source_audiences`.
     """
-    counts = count_distinct_union(dump, "user_id", specs)
+    counts = _counts(dump, "user_id", specs, registrations, "source_id", "registration_date")
     people = {}
     if opened is not None:
         day = F.col("ts").cast("date")
@@ -184,6 +233,12 @@ def segment_audience_counts(dump: DataFrame, specs: dict[str, Column], opened: D
     return counts
 
 
+def _counts(dump: DataFrame, entity: str, specs: dict[str, Column], registrations: DataFrame | None, source: str, registered: str) -> DataFrame:
+    if registrations is None:
+        return count_distinct_union(dump, entity, specs)
+    return count_with_sources(dump, entity, specs, registrations, source, registered)
+
+
 TARGET_TRAITS = ["userId", "email", "gender", "sourceId", "registrationDate", "countryCode", "emailValidContactPointIndicator"]
 
 
@@ -219,8 +274,9 @@ def cdp_dump(traits: DataFrame, aliases: DataFrame, id_graph: DataFrame, retenti
     return any_non_null_pivot(kept, "pg_id", "trait_name", "trait_value", [*(names or TARGET_TRAITS), *flags])
 
 
-def cdp_audiences(since: str, optin: Column, profiling: str | None = None, exists=None, contains=None) -> dict[str, Column]:
-    """Audience name -> membership predicate over ``cdp_dump`` rows."""
+def cdp_audiences(since: str, optin: Column, profiling: str | None = None, exists=None, contains=None, equals=None,
+                  sources: dict[str, list[str]] | None = None) -> dict[str, Column]:
+    """Audience name -> membership predicate over ``cdp_dump`` rows; kinds as in :func:`segment_audiences`."""
     indicator = F.col("emailValidContactPointIndicator")
     registered = F.col("registrationDate").isNotNull()
     specs = {
@@ -232,7 +288,9 @@ def cdp_audiences(since: str, optin: Column, profiling: str | None = None, exist
     }
     if profiling:
         specs["Profiling Email Optins"] = _has_email() & _true(profiling)
-    specs.update(attribute_audiences(exists, contains))
+    specs.update(attribute_audiences(exists, contains, equals))
+    for name, ids in (sources or {}).items():
+        specs[name] = F.coalesce(F.col("sourceId").isin(*ids), F.lit(False)) & registered
     return specs
 
 
@@ -251,9 +309,9 @@ def event_audience(events: DataFrame, properties: DataFrame, aliases: DataFrame,
     return named.select("canonical_pg_id").distinct().agg(F.count("canonical_pg_id").alias("count"))
 
 
-def cdp_audience_counts(dump: DataFrame, specs: dict[str, Column], event_counts: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(audience_name, count) of the target side, with the given event audiences."""
-    out = count_distinct_union(dump, "pg_id", specs)
+def cdp_audience_counts(dump: DataFrame, specs: dict[str, Column], event_counts: dict[str, DataFrame] | None = None, registrations: DataFrame | None = None) -> DataFrame:
+    """(audience_name, count) of the target side, with the given event audiences and audiences of sources and periods."""
+    out = _counts(dump, "pg_id", specs, registrations, "sourceId", "registrationDate")
     for name, count in (event_counts or {}).items():
         out = out.unionByName(count.select(F.lit(name).alias("audience_name"), "count"))
     return out
