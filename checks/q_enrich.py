@@ -179,6 +179,29 @@ def _(i):
     return enrich.split_channels(i.payloads()).select(message_id(), F.coalesce(F.size("properties"), F.lit(-1)).alias("n_keys"))
 
 
+@check("split_channels_contents", ["pl_blocks"], S + """,
+v AS (SELECT *, coalesce(tmail <> '', FALSE) AS mail FROM s WHERE is_opt),
+parts AS (
+  SELECT e, message_id, tmpn, opt_id, typed_ep, 1 AS pos, tmail AS email, NULL AS phone, svc AS email_service, CASE WHEN etyped THEN 'E' END AS email_type, NULL AS phone_date, NULL AS postal_service, NULL AS social_choice
+    FROM v WHERE mail AND ch_email AND (etyped OR enum IS NULL)
+  UNION ALL SELECT e, message_id, tmpn, opt_id, typed_ep, 2, CASE WHEN mail THEN tmail END, NULL, NULL, NULL, NULL, 'S1', NULL FROM v WHERE ch_postal
+  UNION ALL SELECT e, message_id, tmpn, opt_id, typed_ep, 3, NULL, tphone, NULL, NULL, iso, NULL, NULL FROM v WHERE ch_phone AND tphone IS NOT NULL
+  UNION ALL SELECT e, message_id, tmpn, opt_id, typed_ep, 4, tmail, NULL, NULL, NULL, NULL, NULL, 'false' FROM v WHERE mail AND ch_social),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY e ORDER BY pos) AS rn, count(*) OVER (PARTITION BY e) AS c FROM parts)
+SELECT CASE WHEN c > 1 THEN message_id || '-split' || CAST(rn AS STRING) ELSE message_id END AS message_id, tmpn AS program, opt_id, CASE WHEN typed_ep THEN 'E' END AS contact_type,
+  email, phone, email_service, email_type, phone_date, postal_service, social_choice FROM numbered
+UNION ALL SELECT message_id, tmpn, opt_id, CASE WHEN typed_ep THEN 'E' END, tmail, tphone, CASE WHEN ch_email THEN svc END, CASE WHEN ch_email AND etyped THEN 'E' END, CASE WHEN ch_phone THEN iso END,
+  CASE WHEN ch_postal THEN 'S1' END, CASE WHEN ch_social THEN 'false' END FROM v WHERE e NOT IN (SELECT e FROM parts)
+UNION ALL SELECT message_id, CASE WHEN p THEN tmpn END, NULL, NULL, CASE WHEN p THEN tmail END, CASE WHEN p THEN tphone END, NULL, NULL, NULL, NULL, NULL FROM s WHERE NOT is_opt
+""")
+def _(i):
+    """What each part carries: the common values, its own channel's, and nothing of other channels."""
+    return enrich.split_channels(i.payloads()).select(
+        message_id(), pr("marketingProgramNumber").alias("program"), pr("optId").alias("opt_id"), pr("contactType").alias("contact_type"), pr("email").alias("email"),
+        pr("phoneNumber").alias("phone"), pr("emailSubscriptionServiceName").alias("email_service"), pr("emailContactType").alias("email_type"),
+        pr("phoneConsumerChoiceDate").alias("phone_date"), pr("postalSubscriptionServiceName").alias("postal_service"), pr("socialSubscriptionOptIndicator").alias("social_choice"))
+
+
 @check("contact_indicator", ["pl_blocks"], S + """,
 k AS (SELECT *, CAST(ch_email AS INT) + CAST(ch_phone AS INT) + CAST(ch_social AS INT) AS n FROM s)
 SELECT message_id, CASE WHEN is_opt AND n = 1 THEN CASE WHEN ch_email THEN 'E' WHEN ch_phone THEN 'P' ELSE 'S' END WHEN is_opt AND typed_ep THEN 'E' END AS contact_type,

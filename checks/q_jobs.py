@@ -598,6 +598,21 @@ def _(i):
         for n, df in shapes.items()])
 
 
+@check("downstream_exports_rows", ["id_graphs", "id_aliases"], f"""
+WITH {IDMAP}, d AS (SELECT DISTINCT user_ids, pg_ids, CAST(user_ids AS VARCHAR) || '_147@mail.test' AS user_mail, CAST(pg_ids AS VARCHAR) || '_147@mail.test' AS pg_mail FROM idm)
+SELECT 'ids' AS shape, user_mail AS first, pg_mail AS second, NULL AS third FROM d UNION ALL SELECT 'emails', pg_mail, pg_mail, NULL FROM d
+UNION ALL SELECT 'aliases', user_ids, pg_ids, 'alias' FROM d UNION ALL SELECT 'user_emails', pg_ids, pg_mail, NULL FROM d UNION ALL SELECT 'requests', user_ids, pg_ids, 'alias' FROM idm
+""")
+def _(i):
+    """The rows of the export files and of the alias requests."""
+    mapping = identity.id_mapping(i.id_graphs, i.id_aliases, PROGRAMS)
+    shapes = identity.export_shapes(mapping, "147", "mail.test")
+    shapes["requests"] = identity.alias_request_rows(mapping)
+    row = lambda df: [F.col(f"c{k}") if k < len(df.columns) else F.lit(None).cast("string") for k in range(3)]
+    texts = lambda n, df: df.toDF(*[f"c{k}" for k in range(len(df.columns))]).select(F.lit(n).alias("shape"), *[c.cast("string").alias(a) for c, a in zip(row(df), ("first", "second", "third"))])
+    return windows.union_all(*[texts(n, df) for n, df in shapes.items()])
+
+
 @check("dlq_remediation", ["dlq"], """
 WITH inner_rows AS (
   SELECT CAST(json_extract(data, '$.servicePayload') AS VARCHAR) AS inner_payload FROM dlq WHERE publish_time > TIMESTAMP '2024-01-10 00:00:00' AND publish_time <= TIMESTAMP '2024-01-12 00:00:00'
