@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passerine.llm.arrow import buffers, hash_strings, map_slices, owners, plain, slices, split, sums, words
+from passerine.llm.shared import written
 
 WORD_BUCKETS, COMMON, MAX_LANGUAGES = 4096, 64, 200
 
@@ -137,18 +138,21 @@ def language_references(df: DataFrame) -> dict:
             n, symbols = np.diff(at), sums(_SYMBOL[buffers(texts)[0]], buffers(texts)[1])
             counts_as_text = (n >= MIN_WORDS) & (symbols <= MAX_SYMBOL_SHARE * n)
             of, own = np.where(counts_as_text, of, -1), np.where(counts_as_text[owners(at)], own, -1)
-            for k, lang in enumerate(langs):
-                mine = of == k
-                row = totals.setdefault(lang, np.zeros(width + 1, np.int64))
-                row[0] += int(mine.sum())
+            by_text, by_word, of_each = np.argsort(of, kind="stable"), np.argsort(own, kind="stable"), np.arange(len(langs) + 1)
+            texts_to, words_to = np.searchsorted(of[by_text], of_each), np.searchsorted(own[by_word], of_each)
+            for k in np.unique(of[of >= 0]).tolist():
+                mine = by_text[texts_to[k] : texts_to[k + 1]]
+                row = totals.setdefault(langs[k], np.zeros(width + 1, np.int64))
+                row[0] += len(mine)
                 row[1 : CLASSES + 1] += classes[mine].sum(axis=0)
-                row[CLASSES + 1 :] += np.bincount(bucket[own == k], minlength=WORD_BUCKETS)
-            if len(totals) > 256:
-                yield flush()
+                row[CLASSES + 1 :] += np.bincount(bucket[by_word[words_to[k] : words_to[k + 1]]], minlength=WORD_BUCKETS)
+                if len(totals) > 256:
+                    yield flush()
         yield flush()
 
     parts = df.select("lang", "text").mapInArrow(count, "lang string, counts array<long>")
     each = parts.select("lang", F.posexplode("counts").alias("at", "n")).where("n > 0").groupBy("lang", "at").agg(F.sum("n").alias("n"))
+    each = written(each, "quality-counts")  # read twice below, counted once
     by_lang = each.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("counts"))  # at most width + 1 entries
     largest = by_lang.where("lang is not null").orderBy(F.col("counts")[0].desc(), "lang").limit(MAX_LANGUAGES)
     own, total = largest.collect(), each.groupBy("at").agg(F.sum("n").alias("n")).collect()

@@ -60,10 +60,36 @@ def test_verdict_follows_the_language_s_histograms(spark):
 
 
 def test_quality_of_edge_rows(docs, edge_rows):
-    assert quality.rate(docs(edge_rows)).count() == len(edge_rows)
+    """Every row has its base counts and base verdict: null, empty, blank, very long and repeated texts."""
+    got = quality.rate(docs(edge_rows)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept").collect()
+    want = [(i, *base_counts(text)) for i, text, *_ in edge_rows]
+    assert sorted((str(r[0]), tuple(r[1:6])) for r in got) == sorted((str(i), tuple(c)) for i, *c in want)
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) and not (r.base_failed and r.kept)
     assert quality.rate(docs([])).count() == 0
 
 
+def test_references_of_many_languages_in_one_reading(spark):
+    """As summed text by text: the fullest languages have a reference each, all others one; texts that don't count are left out."""
+    draw = random.Random(8)
+    line = lambda n: " ".join(draw.choice(["Ab", "c1", "d.", "e", "\u00e9f"] * 2 + ["#"]) for _ in range(n))
+    rows = [(f"l{draw.randrange(900) if k % 3 else draw.randrange(40)}" if k % 50 else None, line(draw.choice([20, 60, 80]))) for k in range(3000)]
+    found = quality.language_references(spark.createDataFrame([*rows, ("l1", None), ("zz", "")], "lang string, text string").repartition(3))
+    sums = {}
+    for lang, text in rows:
+        n = len(text.split())
+        if n >= quality.MIN_WORDS and sum(c in "#*$%&|<>" for c in text) <= quality.MAX_SYMBOL_SHARE * n:
+            sums.setdefault(lang, []).append(text)
+    fullest = sorted((x for x in sums if x is not None), key=lambda x: (-len(sums[x]), x))[: quality.MAX_LANGUAGES]
+    assert len(sums) > quality.MAX_LANGUAGES + 100 and set(found) == {*fullest, None}
+    for lang in [*fullest, None]:
+        texts = sums[lang] if lang else [t for x, some in sums.items() if x not in set(fullest) for t in some]
+        classes, buckets = found[lang]
+        assert classes.tolist() == quality.class_histograms(pa.array(texts)).sum(axis=0).tolist()
+        words = pa.array([w for t in texts for w in t.split()])
+        assert buckets.tolist() == np.bincount(quality._buckets(words), minlength=quality.WORD_BUCKETS).tolist()
+
+
 def labelled(spark, n=600):
     draw = random.Random(3)
     vocabulary = [f"w{k}" for k in range(300)]
