@@ -44,6 +44,20 @@ _N_SHIFT, _N_MOST = 54, 511
 _POS_MOST = 127
 
 
+def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct rows of the columns, sorted by the first, then the second and so on."""
+    if len(columns) == 1:
+        columns = (np.sort(columns[0]),)
+    else:
+        order = np.lexsort(columns[::-1])
+        columns = tuple(c[order] for c in columns)
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return tuple(c[new] for c in columns)
+
+
 def _overlap_least(n: np.ndarray) -> np.ndarray:
     """ceil(t * n): tokens that a line of n shares with any match at least."""
     return -(-n * SIMILAR // OF)
@@ -76,7 +90,7 @@ class Lines:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         width = max(1, len(order))
-        unique = np.unique(owners(ends) * width + rank[codes])
+        (unique,) = _distinct(owners(ends) * width + rank[codes])
         line = unique // width
         self.tokens, self.count = hashed[order][unique % width], count[order][unique % width]
         n = np.bincount(line, minlength=len(doc))
@@ -222,7 +236,7 @@ def _walk(batches):
         if back:
             k[start == 0] += held[6][0]
         at, given, marked = np.arange(back, n), np.zeros(n, np.int64), np.zeros(n, bool)
-        pairs = [np.zeros((0, 4), np.int64)]
+        pairs = [(np.zeros(0, np.int64),) * 4]
         for d in range(1, WINDOW + 1):
             at = at[k[at] >= d]
             if not len(at):
@@ -232,7 +246,7 @@ def _walk(batches):
             put, kept = some[free], some[~free]
             given[put] += 1
             a, b = put - d, put  # in the order of (name, more)
-            pairs.append(np.stack([name[a], more[a], name[b], more[b]], axis=1))
+            pairs.append((name[a], more[a], name[b], more[b]))
             marked[kept] = marked[kept - d] = True
         far = np.arange(back, n)
         far = far[k[far] > WINDOW]
@@ -240,11 +254,11 @@ def _walk(batches):
         marked[back:] |= (bucket[back:] >> 1 & 31) > 0  # other salts have rows of the bucket too
         done = np.concatenate([held[7].astype(bool), np.zeros(n - back, bool)])
         row = np.flatnonzero(marked & ~done)
-        pairs = np.unique(np.concatenate(pairs), axis=0)
-        no = np.concatenate([np.ones(len(pairs), bool), np.zeros(len(row), bool)])
+        pairs = _distinct(*(np.concatenate(c) for c in zip(*pairs)))
+        no = np.concatenate([np.ones(len(pairs[0]), bool), np.zeros(len(row), bool)])
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([np.zeros(len(pairs), np.int64), bucket[row]]), mask=no),
-            *(pa.array(np.concatenate([pairs[:, c], x[row]])) for c, x in enumerate((name, more, rest, bits))),
+            pa.array(np.concatenate([np.zeros(len(pairs[0]), np.int64), bucket[row]]), mask=no),
+            *(pa.array(np.concatenate([pairs[c], x[row]])) for c, x in enumerate((name, more, rest, bits))),
         ], names=["bucket", "name", "more", "rest", "bits"])
         tail = max(start[-1], n - WINDOW - 1)
         held = [x[tail:].copy() for x in (bucket, salt, name, more, rest, bits, k, (marked | done).astype(np.int64))]
@@ -268,7 +282,7 @@ def later_matches(docs: DataFrame) -> DataFrame:
         lines = Lines(plain(batch.column("text")), counts.value)
         return pa.RecordBatch.from_arrays([_decimals(lines.keys), _structs(*lines.places(batch.column("doc"), batch.column("rest")))], names=["key", "place"])
 
-    every = map_slices(docs.select("doc", "rest", "text"), "text", places, f"key decimal(38,0), place {_PLACE}")
+    every = written(map_slices(docs.select("doc", "rest", "text"), "text", places, f"key decimal(38,0), place {_PLACE}"), "lines-places")
     oldest = every.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     copies = adaptive_join(every, oldest, ["key"], "inner").where("place <> first").select("place")
 
