@@ -439,12 +439,23 @@ def with_views(names: list[str]) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({_render(VIEWS[n], iso, lambda t: t)})" for n in _order(names))
 
 
+# Rows of an events table for each task that builds payload texts, some 45 MB of text.
+PAYLOADS_PER_TASK = 50_000
+
+
+def _spread(spark: SparkSession, path: str) -> str:
+    """A table dealt over tasks whose number follows from its rows: its narrow rows move, not the texts built from them."""
+    parts = max(spark.sparkContext.defaultParallelism, -(-spark.read.parquet(path).count() // PAYLOADS_PER_TASK))
+    return f"(SELECT /*+ REPARTITION({parts}) */ * FROM parquet.`{path}`)"
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same view as a Spark DataFrame over the Parquet tables."""
     iso = lambda c: f"date_format({c}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
     table = lambda t: f"parquet.`{sf_dir}/{t}.parquet`"
+    spread = lambda t: _spread(spark, f"{sf_dir}/{t}.parquet")
     needed = _order([name])
     if not needed:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    ctes = ",\n".join(f"{n} AS ({_render(VIEWS[n], iso, table)})" for n in needed)
+    ctes = ",\n".join(f"{n} AS ({_render(VIEWS[n], iso, spread if n == 'pl_keys' else table)})" for n in needed)
     return spark.sql(f"WITH {ctes} SELECT * FROM {name}")

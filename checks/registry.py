@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import view, with_views
+from passerine.frames import once
 from passerine.functions.values import root_text
 from passerine.payload import parse_payloads
 from passerine.session import configure
@@ -32,7 +33,7 @@ class Inputs:
         return view(self.spark, self.sf_dir, name)
 
     def payloads(self) -> DataFrame:
-        return parse_payloads(self.pl.select("raw_payload").repartition(self.spark.sparkContext.defaultParallelism))
+        return parse_payloads(once(self.pl, raw_payload=F.col("raw_payload")).select("raw_payload"))
 
     def known_mpns(self) -> DataFrame:
         return self.crs_program.select("mpn")

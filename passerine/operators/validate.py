@@ -15,7 +15,7 @@ from passerine.functions.values import (
     text,
 )
 from passerine.operators.route import MPN, is_opt_change, split_validated
-from passerine.operators.skew import adaptive_join
+from passerine.operators.skew import adaptive_join, kept
 
 FAILURE = (
     "message_id string, mpn string, dq_validation_id string, dq_validation_description string, "
@@ -93,7 +93,7 @@ def listed(*candidates: Column) -> Column:
 
 def emit(payloads: DataFrame, failures: Column) -> DataFrame:
     """One row per failure, in the failure-table layout."""
-    rows = payloads.select("raw_payload", failures.alias("_failures")).select("raw_payload", F.explode("_failures").alias("f"))
+    rows = once(payloads, _failures=failures).select("raw_payload", F.explode("_failures").alias("f"))
     return rows.select(*[F.col("raw_payload") if c == "raw_payload" else F.col(f"f.{c}") for c in FAILURE_COLUMNS])
 
 
@@ -376,10 +376,11 @@ def best_opt_matches(signatures: DataFrame, opt_map: DataFrame) -> DataFrame:
     return adaptive_join(known.select("_opt_sig"), best, ["_opt_sig"]).select("_opt_sig", F.filter(F.array(*fields), lambda k: k.isNotNull()).alias("_opt_matched"))
 
 
-def with_opt_match(payloads: DataFrame, opt_map: DataFrame) -> DataFrame:
+def with_opt_match(payloads: DataFrame, opt_map: DataFrame, how: str = "left") -> DataFrame:
     """Attach ``_opt_matched``: the fields in which the record agrees with the best opt row of its program; null where the
-    rule doesn't apply or the program has no opt rows. Only distinct signatures meet the opt map, and come back by one join;
-    they are read in a pass of their own."""
+    rule doesn't apply or the program has no opt rows (``how`` inner leaves these rows out). Only distinct signatures meet
+    the opt map; they are read in a pass of their own, and what they match is kept in the shared folder when this is built,
+    so that its size is known and payloads are shuffled only where it is large."""
     values, mpn = _opt_values(), F.col("properties")[MPN]
     texts = [F.when(is_text(v), text(v)) for v in values.values()]
     signature = F.when(is_opt_change() & is_text(mpn) & (F.size(_supplied(values)) > 0), F.to_json(F.array(text(mpn), *texts)))
@@ -387,7 +388,7 @@ def with_opt_match(payloads: DataFrame, opt_map: DataFrame) -> DataFrame:
     names = ["program", *OPT_MAP_FIELDS]
     parts = F.from_json("_opt_sig", "array<string>")
     signatures = keyed.select("_opt_sig").where("_opt_sig is not null").distinct().select("_opt_sig", *[parts[n].alias(c) for n, c in enumerate(names)])
-    return adaptive_join(keyed, best_opt_matches(signatures, opt_map), ["_opt_sig"]).drop("_opt_sig")
+    return adaptive_join(keyed, kept(best_opt_matches(kept(signatures), opt_map)), ["_opt_sig"], how).drop("_opt_sig")
 
 
 def vld7_failures(reported_at: Column) -> Column:
@@ -405,7 +406,7 @@ def vld7_failures(reported_at: Column) -> Column:
 
 
 def vld7_opts_combination(payloads: DataFrame, opt_map: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(with_opt_match(payloads, opt_map), vld7_failures(F.lit(now)))
+    return emit(with_opt_match(payloads, opt_map, "inner"), vld7_failures(F.lit(now)))
 
 
 def vld8_failures(as_of: dt.date, reported_at: Column) -> Column:

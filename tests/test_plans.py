@@ -161,3 +161,14 @@ def test_every_module_avoids_local_checkpoint_and_collect():
         assert "localCheckpoint" not in text, path
         assert not re.search(r"\.(collect|toPandas|toLocalIterator)\(", text), path
         assert "F.broadcast(" not in text and "crossJoin" not in text, path
+
+
+def test_opt_matches_meet_payloads_without_shuffling_them(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    plan = plan_of(validate.vld7_opts_combination(i.payloads(), i.opt_map, NOW), "simple")
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan, plan
+
+
+def test_payload_texts_are_built_after_rows_are_dealt(spark, sf_dir):
+    plan = plan_of(Inputs(spark, sf_dir).payloads(), "simple")
+    assert "messageId" in plan and "messageId" not in plan.split("RoundRobinPartitioning")[1], plan
