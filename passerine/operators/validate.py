@@ -240,46 +240,70 @@ def _ids(name: str) -> Column:
     )
 
 
-def _rows(df: DataFrame, rule: str, details: Column, mpn: str, now: dt.datetime) -> DataFrame:
-    return df.select(
-        "message_id", "raw_payload", F.lit(mpn).alias("mpn"), F.lit(rule).alias("dq_validation_id"),
-        F.lit(DESCRIPTIONS[rule]).alias("dq_validation_description"), details.alias("error_details"),
+_FOUND = "array<struct<rule:string,_mpn:string,_country:string,details:string>>"
+
+
+def _found(rule: str, details: Column, mpn: Column | None = None, country: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(
+        F.lit(rule).alias("rule"), (none if mpn is None else mpn).alias("_mpn"), (none if country is None else country).alias("_country"),
+        details.alias("details"),
+    )
+
+
+def _batch(payloads: DataFrame, rules: dict[str, Column], program: DataFrame | None, mpn: str, now: dt.datetime) -> DataFrame:
+    """Failures of batch rules in one pass over the payloads. A rule is an array of what it found in a payload; the programs
+    and pairs that VLD2 and VLD3 found are then looked up in ``program``."""
+    described = once(payloads, _found=F.concat(*[F.coalesce(r.cast(_FOUND), F.array().cast(_FOUND)) for r in rules.values()]))
+    found = described.select(root_text("messageId").alias("message_id"), "raw_payload", F.inline("_found"))
+    failed = ~F.col("rule").isin("VLD2", "VLD3")
+    if "VLD2" in rules:
+        pairs = program.select(F.col("mpn").cast("string").alias("_mpn"), F.col("country_code").cast("string").alias("_country"))
+        found = adaptive_join(found, pairs.distinct().withColumn("_pair", F.lit(True)), ["_mpn", "_country"])
+        failed = failed | ((F.col("rule") == "VLD2") & F.col("_pair").isNull())
+    if "VLD3" in rules:
+        known = program.select(F.col("mpn").cast("string").alias("_mpn")).distinct()
+        found = adaptive_join(found, known.withColumn("_known", F.lit(True)), ["_mpn"])
+        failed = failed | ((F.col("rule") == "VLD3") & F.col("_known").isNull())
+    texts = F.create_map(*[F.lit(t) for rule in rules for t in (rule, DESCRIPTIONS[rule])])
+    return found.filter(failed).select(
+        "message_id", "raw_payload", F.lit(mpn).alias("mpn"), F.col("rule").alias("dq_validation_id"),
+        texts[F.col("rule")].alias("dq_validation_description"), F.col("details").alias("error_details"),
         F.lit(now).cast("timestamp").alias("reported_at"),
     )
 
 
+def _mpn_country() -> Column:
+    return F.flatten(F.transform(_ids(MPN), lambda m: F.transform(_ids("countryCode"), lambda c: _found(
+        "VLD2", F.concat(F.lit(f"{MPN}-"), m, F.lit(" And countryCode-"), c), m, c))))
+
+
 def vld2_mpn_country(payloads: DataFrame, program: DataFrame, mpn: str, now: dt.datetime) -> DataFrame:
     """Program and country external ids of one message must be a row of ``program``.
 
     Decision: reports the pairs that do not match.
     """
-    pairs = F.flatten(F.transform(_ids(MPN), lambda m: F.transform(
-        _ids("countryCode"), lambda c: F.struct(m.alias("mpn"), c.alias("country_code")))))
-    found = payloads.select(root_text("messageId").alias("message_id"), "raw_payload", F.explode(pairs).alias("p")).select(
-        "message_id", "raw_payload", F.col("p.mpn").alias("_mpn"), F.col("p.country_code").alias("_country")
-    )
-    known = program.select(F.col("mpn").cast("string").alias("_mpn"), F.col("country_code").cast("string").alias("_country"))
-    bad = adaptive_join(found, known.distinct(), ["_mpn", "_country"], "left_anti")
-    details = F.concat(F.lit(f"{MPN}-"), F.col("_mpn"), F.lit(" And countryCode-"), F.col("_country"))
-    return _rows(bad, "VLD2", details, mpn, now)
+    return _batch(payloads, {"VLD2": _mpn_country()}, program, mpn, now)
+
+
+def _mpn_active() -> Column:
+    return F.transform(_ids(MPN), lambda m: _found("VLD3", F.concat(F.lit(f"{MPN}-"), m), m))
 
 
 def vld3_mpn_active(payloads: DataFrame, program: DataFrame, mpn: str, now: dt.datetime) -> DataFrame:
     """Program external ids must exist in ``program``.  Decision: reports those that do not."""
-    found = payloads.select(root_text("messageId").alias("message_id"), "raw_payload", F.explode(_ids(MPN)).alias("_mpn"))
-    known = program.select(F.col("mpn").cast("string").alias("_mpn")).distinct()
-    bad = adaptive_join(found, known, ["_mpn"], "left_anti")
-    return _rows(bad, "VLD3", F.concat(F.lit(f"{MPN}-"), F.col("_mpn")), mpn, now)
+    return _batch(payloads, {"VLD3": _mpn_active()}, program, mpn, now)
+
+
+def _loyalty_alnum() -> Column:
+    ids = F.transform(F.filter("ext_ids", lambda x: ext_type(x) == "loyaltyAccountNumber"), lambda x: text(x["id"]))
+    bad = F.filter(ids, lambda t: ~F.coalesce(t.rlike(EXTERNAL_ID_FORMATS["loyaltyAccountNumber"]), F.lit(False)))
+    return F.transform(bad, lambda t: _found("VLD4", F.concat(F.lit("loyaltyAccountNumber "), t)))
 
 
 def vld4_loyalty_alnum(payloads: DataFrame, mpn: str, now: dt.datetime) -> DataFrame:
     """Loyalty account numbers hold letters, digits and dashes only."""
-    entries = F.filter("ext_ids", lambda x: ext_type(x) == "loyaltyAccountNumber")
-    found = payloads.select(
-        root_text("messageId").alias("message_id"), "raw_payload", F.explode(F.transform(entries, lambda x: text(x["id"]))).alias("_id")
-    )
-    bad = found.filter(~F.coalesce(F.col("_id").rlike(EXTERNAL_ID_FORMATS["loyaltyAccountNumber"]), F.lit(False)))
-    return _rows(bad, "VLD4", F.concat(F.lit("loyaltyAccountNumber "), F.col("_id")), mpn, now)
+    return _batch(payloads, {"VLD4": _loyalty_alnum()}, None, mpn, now)
 
 
 def _prop(name: str) -> Column:
@@ -291,34 +315,39 @@ def _contact(name: str) -> Column:
     return F.coalesce(_prop(name), _prop(name[0].upper() + name[1:]))
 
 
-def _opt_track(payloads: DataFrame) -> DataFrame:
-    return keep(payloads, is_opt_change() & (root_text("type") == "track"))
+def _opt_track() -> Column:
+    return is_opt_change() & (root_text("type") == "track")
 
 
-def vld5_opt_identity(payloads: DataFrame, mpn: str, now: dt.datetime) -> DataFrame:
-    """An opt change needs an opt id, or its channel's opt number or service name."""
+def _opt_identity() -> Column:
     ok = _prop("optId").isNotNull()
     for channel, (letter, group) in CONTACT_PAIRS.items():
         named = _prop(f"{channel}SubscriptionOptNumber").isNotNull() | _prop(f"{channel}SubscriptionServiceName").isNotNull()
         ok = ok | F.coalesce((_contact("contactType") == letter) & (_contact("contactCategory") == group) & named, F.lit(False))
-    bad = keep(_opt_track(payloads), ~F.coalesce(ok, F.lit(False))).select(root_text("messageId").alias("message_id"), "raw_payload")
-    return _rows(bad, "VLD5", F.lit("optId/SubscriptionOptNumber/SubscriptionServiceName is either missing /wrong "), mpn, now)
+    details = F.lit("optId/SubscriptionOptNumber/SubscriptionServiceName is either missing /wrong ")
+    return F.when(_opt_track() & ~F.coalesce(ok, F.lit(False)), F.array(_found("VLD5", details)))
 
 
-def vld6_universal_legal_entity(payloads: DataFrame, mpn: str, now: dt.datetime) -> DataFrame:
-    """Universal opt changes need a legal entity: one failure per external id that makes them universal."""
+def vld5_opt_identity(payloads: DataFrame, mpn: str, now: dt.datetime) -> DataFrame:
+    """An opt change needs an opt id, or its channel's opt number or service name."""
+    return _batch(payloads, {"VLD5": _opt_identity()}, None, mpn, now)
+
+
+def _universal_legal_entity() -> Column:
     service = F.lit("")
     for channel, (letter, group) in CONTACT_PAIRS.items():
         hit = (_contact("contactType") == letter) & (_contact("contactCategory") == group)
         service = F.when(hit, _prop(f"{channel}SubscriptionServiceName")).otherwise(service)
-    tracks = keep(_opt_track(payloads), _prop("legalEntityNumber").isNull())
-    found = tracks.select(
-        root_text("messageId").alias("message_id"), "raw_payload",
-        F.coalesce(service == "Universal", F.lit(False)).alias("_universal"), F.explode("ext_ids").alias("_e"),
-    )
-    nine = (ext_type(F.col("_e")) == MPN) & (text(F.col("_e")["id"]) == UNIVERSAL_MPN)
-    bad = found.filter(F.col("_universal") | F.coalesce(nine, F.lit(False)))
-    return _rows(bad, "VLD6", F.lit("legalEntity trait is missing"), mpn, now)
+    universal = F.coalesce(service == "Universal", F.lit(False))
+    nine = lambda e: F.coalesce((ext_type(e) == MPN) & (text(e["id"]) == UNIVERSAL_MPN), F.lit(False))
+    entries = F.when(universal, F.col("ext_ids")).otherwise(F.filter("ext_ids", nine))
+    bad = F.transform(entries, lambda _: _found("VLD6", F.lit("legalEntity trait is missing")))
+    return F.when(_opt_track() & _prop("legalEntityNumber").isNull(), bad)
+
+
+def vld6_universal_legal_entity(payloads: DataFrame, mpn: str, now: dt.datetime) -> DataFrame:
+    """Universal opt changes need a legal entity: one failure per external id that makes them universal."""
+    return _batch(payloads, {"VLD6": _universal_legal_entity()}, None, mpn, now)
 
 
 # ---- row rules over enriched payloads ----------------------------------------------
@@ -488,25 +517,20 @@ def clean_insert(payloads: DataFrame, failures: DataFrame, key: str = "message_i
     return adaptive_join(payloads, bad, [key], "left_anti")
 
 
+BATCH_RULES = {
+    "vld2": _mpn_country, "vld3": _mpn_active, "vld4": _loyalty_alnum, "vld5": _opt_identity, "vld6": _universal_legal_entity,
+}
+
+
 def run_rule(rule_id: str, payloads: DataFrame, refs: dict[str, DataFrame], mpn: str, now: dt.datetime) -> DataFrame:
     """One batch rule by id: vld2 to vld6."""
-    rules = {
-        "vld2": lambda: vld2_mpn_country(payloads, refs["program"], mpn, now),
-        "vld3": lambda: vld3_mpn_active(payloads, refs["program"], mpn, now),
-        "vld4": lambda: vld4_loyalty_alnum(payloads, mpn, now),
-        "vld5": lambda: vld5_opt_identity(payloads, mpn, now),
-        "vld6": lambda: vld6_universal_legal_entity(payloads, mpn, now),
-    }
-    if rule_id not in rules:
-        raise ValueError(f"unknown rule {rule_id!r}")
-    return rules[rule_id]()
+    return batch_rules(payloads, refs, mpn, now, (rule_id,))
 
 
 def batch_rules(payloads: DataFrame, refs: dict[str, DataFrame], mpn: str, now: dt.datetime,
                 rules: tuple[str, ...] = ("vld2", "vld3", "vld5", "vld6")) -> DataFrame:
-    """Failures of the batch rules in order; VLD4 is off by default."""
-    out = None
+    """Failures of the batch rules, a payload's in order, in one pass; VLD4 is off by default."""
     for rule_id in rules:
-        part = run_rule(rule_id, payloads, refs, mpn, now)
-        out = part if out is None else out.unionByName(part)
-    return out
+        if rule_id not in BATCH_RULES:
+            raise ValueError(f"unknown rule {rule_id!r}")
+    return _batch(payloads, {rule_id.upper(): BATCH_RULES[rule_id]() for rule_id in rules}, refs.get("program"), mpn, now)

@@ -172,3 +172,9 @@ def test_opt_matches_meet_payloads_without_shuffling_them(spark, sf_dir):
 def test_payload_texts_are_built_after_rows_are_dealt(spark, sf_dir):
     plan = plan_of(Inputs(spark, sf_dir).payloads(), "simple")
     assert "messageId" in plan and "messageId" not in plan.split("RoundRobinPartitioning")[1], plan
+
+
+def test_batch_rules_parse_payloads_once(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    out = validate.batch_rules(i.payloads(), {"program": i.crs_program}, "147", NOW, ("vld2", "vld3", "vld4", "vld5", "vld6"))
+    assert plan_of(out, "simple").count("from_json(") == 1
