@@ -9,7 +9,7 @@ from checks.q_validate import CHAIN, source_map
 from checks.senders import fail_when_last_digit_in
 from checks.registry import AS_OF, NOW, NOW_SQL, check, message_id
 from passerine.operators import identity, route, validate
-from passerine.plans import delivery
+from passerine.plans import delivery, staging
 from passerine.sinks import writers
 from passerine.sources import readers
 from passerine.streaming import streams
@@ -73,7 +73,7 @@ UNION ALL SELECT typ, coalesce(xmpn, 'KEY_NOT_FOUND'), message_id, {NOW_SQL} FRO
 """)
 def _(i):
     path = scratch(i.spark) + "/landing"
-    landing = route.to_landing(i.payloads(), NOW)
+    landing = staging.shared_stage(i.spark)(route.to_landing(i.payloads(), NOW), "landing")
     writers.append(landing, path, writers.LANDING_SCHEMA)
     writers.append(landing.filter("event_type = 'identify'"), path, writers.LANDING_SCHEMA)
     out = i.spark.read.parquet(path)
