@@ -196,8 +196,8 @@ tw AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY person, trait_id, val
 TRAIT_VIEWS = ["pl_blocks", "eco_system_trait", "trait_alias", "trait", "crs_source"]
 
 
-def trait_winners(i, payloads):
-    identities = compression.identity_rows(payloads, MPNS, "100")
+def trait_winners(i, payloads, stage=staging.inline):
+    identities = stage(compression.identity_rows(payloads, MPNS, "100"), "identities")
     ids = compression.compress_ids(identities)
     return compression.compress_traits(identities, ids, i.eco_system_trait, i.trait_alias, i.trait, i.crs_source, "100")
 
@@ -206,7 +206,7 @@ def trait_winners(i, payloads):
 SELECT person AS consumerid_sourceid_mpn, trait_id AS "traitId", val AS trait_value, d AS trait_consumer_last_updated_date, tid AS trace_id FROM tt
 """)
 def _(i):
-    identities = compression.identity_rows(i.payloads(), MPNS, "100")
+    identities = staging.shared_stage(i.spark)(compression.identity_rows(i.payloads(), MPNS, "100"), "identities")
     ids = compression.compress_ids(identities)
     return joins.trait_resolution(
         compression.trait_leaves(identities), ids, i.eco_system_trait, i.trait_alias, i.trait, i.crs_source, "100")
@@ -225,7 +225,7 @@ def _(i):
 SELECT person AS consumerid_sourceid_mpn, trait_id AS "traitId", val AS trait_value, d AS trait_consumer_last_updated_date, tid AS trace_id FROM tw
 """)
 def _(i):
-    return trait_winners(i, staging.shared_stage(i.spark)(i.payloads(), "payloads"))
+    return trait_winners(i, i.payloads(), staging.shared_stage(i.spark))
 
 
 CONSENTS = """,

@@ -178,3 +178,7 @@ def test_batch_rules_parse_payloads_once(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     out = validate.batch_rules(i.payloads(), {"program": i.crs_program}, "147", NOW, ("vld2", "vld3", "vld4", "vld5", "vld6"))
     assert plan_of(out, "simple").count("from_json(") == 1
+
+
+def test_trait_resolution_parses_identities_once(spark, sf_dir):
+    assert "from_json(" not in plan_of(QUERIES["trait_resolution"](spark, sf_dir), "simple")
