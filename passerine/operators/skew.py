@@ -85,6 +85,12 @@ def kept(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows of a table that has few equal ones: rows are dealt by their values first, so that a task holds the rows
+    of one partition, not those of its whole input."""
+    return df.repartition(*df.columns).distinct()
+
+
 def numbered_runs(df: DataFrame, keys: list[str], order: list[str], length: int) -> DataFrame:
     """Add ``part``: rows of a key in ``order`` form runs of ``length`` rows, numbered from 0.
 

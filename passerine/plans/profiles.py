@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passerine.operators.joins import anti_by_null_check, profile_users_join
+from passerine.operators.skew import distinct_rows
 from passerine.operators.windows import report_order, union_all
 
 
@@ -22,6 +23,6 @@ def profile_users(identifies: DataFrame, canonical: DataFrame, aliases: list[Dat
         identifies.filter(F.col("marketing_program_number").isNotNull()),
         foreign.select(F.col("mpn").alias("marketing_program_number")), ["marketing_program_number"])
     current = _attributes(canonical)
-    merged = union_all(_attributes(own).distinct(), current.distinct(), profile_users_join(aliases, current))
+    merged = union_all(distinct_rows(_attributes(own)), distinct_rows(current), profile_users_join(aliases, current))
     dated = merged.filter(F.col("original_timestamp").isNotNull())
     return report_order(dated, [F.col("original_timestamp")])

@@ -182,3 +182,7 @@ def test_batch_rules_parse_payloads_once(spark, sf_dir):
 
 def test_trait_resolution_parses_identities_once(spark, sf_dir):
     assert "from_json(" not in plan_of(QUERIES["trait_resolution"](spark, sf_dir), "simple")
+
+
+def test_profile_users_deals_rows_before_they_are_made_distinct(spark, sf_dir):
+    assert plan_of(QUERIES["profile_users"](spark, sf_dir), "simple").count("REPARTITION_BY_COL") >= 4
