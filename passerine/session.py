@@ -16,6 +16,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Splitting a hot partition is worth a further shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles a method of more than 8000 bytes, and rows of payload maps need more: a stage over the limit
+    # runs operator by operator instead, in methods short enough.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

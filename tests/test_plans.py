@@ -152,8 +152,7 @@ def test_validation_conserves_records(spark, sf_dir):
 
 def test_every_module_avoids_local_checkpoint_and_collect():
     import pathlib
-    import re
-
+    
     for path in pathlib.Path(__file__).parent.parent.glob("passerine/**/*.py"):
         if "llm" in path.parts:  # an optional part with rules of its own
             continue
@@ -186,3 +185,7 @@ def test_trait_resolution_parses_identities_once(spark, sf_dir):
 
 def test_profile_users_deals_rows_before_they_are_made_distinct(spark, sf_dir):
     assert plan_of(QUERIES["profile_users"](spark, sf_dir), "simple").count("REPARTITION_BY_COL") >= 4
+
+
+def test_long_generated_methods_are_left_to_shorter_ones(spark):
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # HotSpot compiles no longer ones
