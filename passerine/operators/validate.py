@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from passerine.frames import keep, once
 from passerine.functions import dates
 from passerine.functions.values import (
-    ext_first, ext_id, ext_text, ext_type, from_traits_or_properties, has_root, is_falsy, is_text, kind, root, root_text,
+    ext_id, ext_type, from_traits_or_properties, has_root, is_falsy, is_text, kind, root, root_text,
     text,
 )
 from passerine.operators.route import MPN, is_opt_change, split_validated
@@ -97,17 +97,35 @@ def emit(payloads: DataFrame, failures: Column) -> DataFrame:
     return rows.select(*[F.col("raw_payload") if c == "raw_payload" else F.col(f"f.{c}") for c in FAILURE_COLUMNS])
 
 
-# ---- schema rules -----------------------------------------------------------
+#: Columns of ``with_plain_ids``.
+PLAIN = ["_plain_ids", "_schema_mpn", "_schema_applies"]
+
+
+def with_plain_ids(payloads: DataFrame) -> DataFrame:
+    """Add what many rules look at, read from the payload once: type and id of the external ids as texts, the first program
+    external id that is text, and whether the schema rules apply."""
+    plain = F.transform("ext_ids", lambda x: F.struct(ext_type(x).alias("type"), text(x["id"]).alias("id"), is_text(x["id"]).alias("textual")))
+    read = once(payloads, _plain_ids=plain)
+    mpn = F.get(F.filter("_plain_ids", lambda x: (x["type"] == MPN) & x["textual"]), F.lit(0))["id"]
+    read = once(read, _schema_mpn=mpn)
+    applies = has_root("messageId") & F.col("_plain_ids").isNotNull() & ~F.coalesce(F.col("_schema_mpn") == UNIVERSAL_MPN, F.lit(False))
+    return once(read, _schema_applies=applies)
+
+
+def _plain(name: str) -> Column:
+    """Type and id of the external ids of a type."""
+    return F.filter("_plain_ids", lambda x: x["type"] == name)
+
+
+# ---- schema rules: they read the columns of ``with_plain_ids`` -------------------
 
 
 def _schema_mpn() -> Column:
-    """First program external id that is text."""
-    typed = F.filter("ext_ids", lambda x: (ext_type(x) == MPN) & is_text(x["id"]))
-    return text(F.get(typed, F.lit(0))["id"])
+    return F.col("_schema_mpn")
 
 
 def _schema_applies() -> Column:
-    return has_root("messageId") & F.col("ext_ids").isNotNull() & ~F.coalesce(_schema_mpn() == UNIVERSAL_MPN, F.lit(False))
+    return F.col("_schema_applies")
 
 
 def schema_string_failures(reported_at: Column) -> Column:
@@ -145,20 +163,20 @@ def _external_id_state(name: str, pattern: str) -> Column:
     )
 
     def step(acc, item):
-        txt, textual = text(item["id"]), is_text(item["id"])
-        ours = F.coalesce(ext_type(item) == name, F.lit(False))
+        txt, textual = item["id"], item["textual"]
         good = textual & (txt != "") & txt.rlike(pattern)
         looked_at = F.struct(
             F.lit(True).alias("seen"), good.alias("done"),
             F.when(textual & (txt != "") & ~good, txt).otherwise(acc["bad"]).alias("bad"),
             (acc["empty"] | (textual & (txt == ""))).alias("empty"), (acc["mistyped"] | ~textual).alias("mistyped"),
         )
-        return F.when(ours & ~acc["done"], looked_at).otherwise(acc)
+        return F.when(acc["done"], acc).otherwise(looked_at)
 
-    return F.aggregate("ext_ids", start, step)
+    return F.aggregate(_plain(name), start, step)
 
 
 def with_external_id_states(payloads: DataFrame) -> DataFrame:
+    """Reads the columns of ``with_plain_ids``."""
     return once(payloads, **{f"_x_{name}": _external_id_state(name, fmt) for name, fmt in EXTERNAL_ID_FORMATS.items()})
 
 
@@ -220,15 +238,15 @@ def schema_property_failures(reported_at: Column) -> Column:
 
 
 def vld_schema_strings(payloads: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(payloads, schema_string_failures(F.lit(now)))
+    return emit(with_plain_ids(payloads), schema_string_failures(F.lit(now)))
 
 
 def vld_schema_external_ids(payloads: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(with_external_id_states(payloads), schema_external_id_failures(F.lit(now)))
+    return emit(with_external_id_states(with_plain_ids(payloads)), schema_external_id_failures(F.lit(now)))
 
 
 def vld_schema_properties(payloads: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(payloads, schema_property_failures(F.lit(now)))
+    return emit(with_plain_ids(payloads), schema_property_failures(F.lit(now)))
 
 
 # ---- reference-data rules over a registration table -----------------------------
@@ -350,12 +368,15 @@ def vld6_universal_legal_entity(payloads: DataFrame, mpn: str, now: dt.datetime)
     return _batch(payloads, {"VLD6": _universal_legal_entity()}, None, mpn, now)
 
 
-# ---- row rules over enriched payloads ----------------------------------------------
+# ---- row rules over enriched payloads: their columns read those of ``with_plain_ids`` ----
 
 
 def _last_ext_mpn() -> Column:
-    typed = F.filter("ext_ids", lambda x: ext_type(x) == MPN)
-    return F.coalesce(text(F.try_element_at(typed, F.lit(-1))["id"]), F.lit(""))
+    return F.coalesce(F.try_element_at(_plain(MPN), F.lit(-1))["id"], F.lit(""))
+
+
+def _first_plain(name: str) -> Column:
+    return F.get(_plain(name), F.lit(0))
 
 
 def _opt_values() -> dict[str, Column]:
@@ -435,46 +456,47 @@ def vld7_failures(reported_at: Column) -> Column:
 
 
 def vld7_opts_combination(payloads: DataFrame, opt_map: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(with_opt_match(payloads, opt_map, "inner"), vld7_failures(F.lit(now)))
+    return emit(with_plain_ids(with_opt_match(payloads, opt_map, "inner")), vld7_failures(F.lit(now)))
 
 
 def vld8_failures(as_of: dt.date, reported_at: Column) -> Column:
     """Recent records (30 days) without a consumerId, or with one that embeds a timestamp."""
     day = dates.strict_date(F.when(is_text(root("timestamp")), root_text("timestamp")))
     recent = F.coalesce(day >= F.lit(as_of - dt.timedelta(days=30)), F.lit(False))
-    entry = ext_first("consumerId")
-    synthetic = F.coalesce(text(entry["id"]).rlike(dates.STAMP_IN_TEXT), F.lit(False))
-    applies = recent & F.coalesce(F.size("ext_ids") > 0, F.lit(False)) & (entry.isNull() | synthetic)
-    details = F.when(ext_first("sourceId").isNotNull(), F.coalesce(ext_text("sourceId"), F.lit("None"))).otherwise(
+    entry, source = _first_plain("consumerId"), _first_plain("sourceId")
+    synthetic = F.coalesce(entry["id"].rlike(dates.STAMP_IN_TEXT), F.lit(False))
+    applies = recent & F.coalesce(F.size("_plain_ids") > 0, F.lit(False)) & (entry.isNull() | synthetic)
+    details = F.when(source.isNotNull(), F.coalesce(source["id"], F.lit("None"))).otherwise(
         "Source Id Not Found In Payload")
     return listed(F.when(applies, failure("VLD8", DESCRIPTIONS["VLD8"], details, _last_ext_mpn(), reported_at)))
 
 
 def vld8_consumer_id(payloads: DataFrame, as_of: dt.date, now: dt.datetime) -> DataFrame:
-    return emit(payloads, vld8_failures(as_of, F.lit(now)))
+    return emit(with_plain_ids(payloads), vld8_failures(as_of, F.lit(now)))
 
 
 def with_source_flag(payloads: DataFrame, source_map: DataFrame) -> DataFrame:
-    """Attach ``_registered``: the record's (source, program) external ids are a row of ``source_map``."""
+    """Attach ``_registered``: the record's (source, program) external ids are a row of ``source_map``. Reads ``with_plain_ids``."""
     known = source_map.select(
         F.col("source_id").cast("string").alias("_source"), F.col("mpn").cast("string").alias("_program")
     ).distinct().withColumn("_registered", F.lit(True))
-    as_text = lambda name: F.when(is_text(ext_id(name)), ext_text(name))
-    keyed = once(payloads, _source=as_text("sourceId"), _program=as_text(MPN))
+    as_text = lambda entry: F.when(entry["textual"], entry["id"])
+    keyed = once(payloads, _source=as_text(_first_plain("sourceId")), _program=as_text(_first_plain(MPN)))
     return adaptive_join(keyed, known, ["_source", "_program"]).drop("_source", "_program")
 
 
 def vld9_failures(reported_at: Column) -> Column:
-    source, program = ext_text("sourceId"), ext_text(MPN)
-    exempt = F.coalesce(is_text(ext_id(MPN)) & (program == UNIVERSAL_MPN), F.lit(False))
-    some = ~is_falsy(ext_id("sourceId")) | ~is_falsy(ext_id(MPN))
+    source, program = _first_plain("sourceId")["id"], _first_plain(MPN)["id"]
+    exempt = F.coalesce(_first_plain(MPN)["textual"] & (program == UNIVERSAL_MPN), F.lit(False))
+    falsy = lambda name: F.element_at(F.transform(F.array(ext_id(name)), is_falsy), 1)  # noqa: E731  (names the id once)
+    some = ~falsy("sourceId") | ~falsy(MPN)
     details = F.to_json(F.struct(source.alias("sourceId"), program.alias(MPN)), {"ignoreNullFields": "false"})
     row = failure("VLD9", DESCRIPTIONS["VLD9"], details, program, reported_at)
-    return listed(F.when(some & ~exempt & F.col("_registered").isNull(), row))
+    return listed(F.when(F.col("_registered").isNull() & ~exempt & some, row))
 
 
 def vld9_source_mpn(payloads: DataFrame, source_map: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(with_source_flag(payloads, source_map), vld9_failures(F.lit(now)))
+    return emit(with_source_flag(with_plain_ids(payloads), source_map), vld9_failures(F.lit(now)))
 
 
 def vld10_failures(reported_at: Column) -> Column:
@@ -485,7 +507,7 @@ def vld10_failures(reported_at: Column) -> Column:
 
 
 def vld10_timestamps(payloads: DataFrame, now: dt.datetime) -> DataFrame:
-    return emit(payloads, vld10_failures(F.lit(now)))
+    return emit(with_plain_ids(payloads), vld10_failures(F.lit(now)))
 
 
 # ---- chains --------------------------------------------------------------------------
@@ -496,12 +518,12 @@ def with_failures(payloads: DataFrame, opt_map: DataFrame, source_map: DataFrame
     at = F.lit(now)
     schema = F.concat(schema_string_failures(at), schema_external_id_failures(at), schema_property_failures(at))
     # Opt signatures are read first: that pass needs the parsed payload only.
-    matched = with_opt_match(payloads, opt_map)
+    matched = with_plain_ids(with_opt_match(payloads, opt_map))
     staged = once(with_external_id_states(matched), _schema=schema).select(*matched.columns, "_schema")
     staged = with_source_flag(staged, source_map)
     rules = F.concat(vld7_failures(at), vld8_failures(as_of, at), vld9_failures(at), vld10_failures(at))
     first = F.when(F.size("_schema") > 0, F.col("_schema")).otherwise(rules)
-    return once(staged, failures=first).drop("_schema", "_opt_matched", "_registered")
+    return once(staged, failures=first).drop("_schema", "_opt_matched", "_registered", *PLAIN)
 
 
 def validation_chain(payloads, opt_map, source_map, as_of, now, stage=None) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,7 @@
 """Plan shape, skew, and conservation of rows."""
 
 import io
+import re
 from contextlib import redirect_stdout
 
 import pytest
@@ -10,6 +11,7 @@ import checks.catalogue  # noqa: F401
 from checks.registry import AS_OF, NOW, QUERIES, Inputs
 from passerine.operators import aggregates, joins, route, skew, validate, windows
 from passerine.plans import audience, migration
+from tests.helpers import ext, payloads
 
 
 def plan_of(df, mode="formatted"):
@@ -152,7 +154,8 @@ def test_validation_conserves_records(spark, sf_dir):
 
 def test_every_module_avoids_local_checkpoint_and_collect():
     import pathlib
-    
+    import re
+
     for path in pathlib.Path(__file__).parent.parent.glob("passerine/**/*.py"):
         if "llm" in path.parts:  # an optional part with rules of its own
             continue
@@ -189,3 +192,11 @@ def test_profile_users_deals_rows_before_they_are_made_distinct(spark, sf_dir):
 
 def test_long_generated_methods_are_left_to_shorter_ones(spark):
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000  # HotSpot compiles no longer ones
+
+
+def test_rules_read_types_of_external_ids_once(spark):
+    df = validate.with_failures(payloads(spark, {"messageId": "m", "context": ext(("sourceId", "5"))}), *(spark.createDataFrame([], s) for s in (
+        "cdp_marketing_program_number string, ciam_opt_id string, service_name string, subscription_opt_number string, contact_point_category_code string, contact_point_type_code string",
+        "source_id string, mpn string")), AS_OF, NOW)
+    assert df.columns == [*payloads(spark, {}).columns, "failures"]
+    assert len(re.findall(r"lambda x_\d+#\d+\[type\]", plan_of(df, "simple"))) == 3  # once for all rules, and for the two ids that may be falsy

@@ -234,3 +234,13 @@ def test_checkpoint_folder_comes_from_the_session(spark, tmp_path):
     from passerine.session import checkpoint_dir
 
     assert checkpoint_dir(spark, str(tmp_path / "ck")) in (spark.conf.get("spark.checkpoint.dir", None), str(tmp_path / "ck"))
+
+
+def test_unregistered_pairs_need_an_id_that_is_not_falsy(spark):
+    known = spark.createDataFrame([("1", "100")], "source_id string, mpn string")
+    some, none = ["x", 1, True, 1.5, {"a": 1}, " "], ["", 0, False, None, {}, [], 0.0]
+    docs = [{"messageId": f"{k}", "context": ext(("sourceId", v))} for k, v in enumerate([*some, *none])]
+    docs += [{"messageId": "none", "context": ext(("email", "e"))}, {"messageId": "bare"}, {"messageId": "ok", "context": ext(("sourceId", "1"), ("marketingProgramNumber", "100"))}]
+    docs += [{"messageId": "program", "context": ext(("sourceId", ""), ("marketingProgramNumber", 5))}]
+    got = {r.message_id for r in validate.vld9_source_mpn(payloads(spark, *docs), known, NOW).collect()}
+    assert got == {"program", *(str(k) for k in range(len(some)))}
