@@ -6,6 +6,7 @@ from checks.registry import NOW, check, message_id
 from passerine.functions.values import ext_id, ext_text, ext_type, has_key, is_text, kind, root_text, text
 from passerine.operators import enrich, identity, joins, route, service_payloads
 from passerine.operators.route import MPN
+from passerine.plans import staging
 
 S = """
 WITH s AS (SELECT *, is_identify AND traits_state = 'object' AS t, NOT is_identify AS p,
@@ -119,8 +120,9 @@ UNION ALL SELECT message_id, 'clt', CASE WHEN p AND tmail <> '' THEN tmail ELSE
 def _(i):
     last = text(F.element_at("ext_ids", -1)["id"])
     shown = F.when(last.rlike("^[0-9a-f]{32}@hash.test$"), "hashed").otherwise(last)
+    payloads = staging.shared_stage(i.spark)(i.payloads().drop("raw_payload"), "payloads")  # built and parsed once for both kinds
     both = [
-        enrich.email_external_id(i.payloads(), k, "@hash.test").select(message_id(), F.lit(k).alias("kind"), shown.alias("email"))
+        enrich.email_external_id(payloads, k, "@hash.test").select(message_id(), F.lit(k).alias("kind"), shown.alias("email"))
         for k in ("registration", "clt")
     ]
     return both[0].unionByName(both[1])

@@ -200,3 +200,7 @@ def test_rules_read_types_of_external_ids_once(spark):
         "source_id string, mpn string")), AS_OF, NOW)
     assert df.columns == [*payloads(spark, {}).columns, "failures"]
     assert len(re.findall(r"lambda x_\d+#\d+\[type\]", plan_of(df, "simple"))) == 3  # once for all rules, and for the two ids that may be falsy
+
+
+def test_email_external_id_reads_staged_payloads(spark, sf_dir):
+    assert "from_json(" not in plan_of(QUERIES["email_external_id"](spark, sf_dir), "simple")
