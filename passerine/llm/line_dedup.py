@@ -7,16 +7,20 @@ met by three tokens instead of one: similar lines share three among the first n
 length filter, the positional filter and a filter on a bitmap of the tokens before the sets themselves are compared.
 
 No bucket of a token is expanded into all its pairs. Rows are sorted by bucket and name, and a task walks over them, holding
-each line against the ``WINDOW`` before it in its bucket. It puts out ``PARTNERS`` candidates of a row at most; rows of
-which it holds candidates back, or whose bucket exceeds the window, are marked. What is verified so settles most lines of
-groups of near copies: a line needs one earlier match to go. Only marked lines that are still unsettled are joined with
-the other marked rows of their bucket, so no match is lost. Buckets that the counters show to be hot are salted.
+each line against the ``WINDOW`` before it in its bucket, as far as their lengths allow a match. A line needs one earlier
+match to go, so of a row's candidates only the oldest is put out: pairs grow with the lines, not with the square of a group
+of near copies. Rows with further candidates, or whose bucket exceeds the window, are marked. What is verified so settles
+most lines of such groups. Only those that are still unsettled are joined with the other marked rows of their bucket, so no
+match is lost. Buckets that the counters show to be hot are salted.
+
+Whole texts are read twice: once for the counters and the places of all lines, once for the buckets. The sets to compare are
+read from the places of the candidates alone.
 """
 
 from __future__ import annotations
 
-import hashlib
-from itertools import combinations
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +38,16 @@ SIMILAR, OF = 4, 5
 SLOT_BITS, FILTER_BITS, HOT_ROWS = 18, 25, 1 << 17
 #: Lines up to this many tokens are met by three tokens.
 SHORT = 12
-#: Rows of a bucket that a row is held against, and candidates of it that are put out.
-WINDOW, PARTNERS = 512, 6
+#: Rows of a bucket that a row is held against, and rows that a task looks at together.
+WINDOW, STEP = 512, 1 << 16
 
 _LEAST = 4  # fewer tokens match equal sets only
 _WIDEST = SHORT * OF // SIMILAR  # the longest line that a short one can match
 _ONE, _A, _B, _C = (np.uint64(x) for x in np.random.Generator(np.random.PCG64(11)).integers(0, 2**63, 4) * 2 + 1)
 _N_SHIFT, _N_MOST = 54, 511
 _POS_MOST = 127
+_AGE = 2**63 - 1  # bits of ``rest`` beside its sign, which marks rows with more candidates than were put out
+_LINE = 1_640_531_527  # spreads the numbers of lines
 
 
 def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -65,6 +71,7 @@ def _overlap_least(n: np.ndarray) -> np.ndarray:
 
 #: Where a line stands: its document's name, and the rest of that name (31 bits) with the line's number (32 bits).
 _PLACE = "struct<doc: decimal(38,0), at: bigint>"
+_PLACE_ARROW = pa.struct([("doc", pa.decimal128(38)), ("at", pa.int64())])
 
 
 def with_names(docs: DataFrame) -> DataFrame:
@@ -76,33 +83,44 @@ def with_names(docs: DataFrame) -> DataFrame:
 
 
 class Lines:
-    """The lines with words of a slice of documents: their tokens, distinct and by rarity."""
+    """The lines with words of a slice of documents: their distinct tokens, by rarity if ``counts`` is given.
 
-    def __init__(self, texts: pa.Array, counts: np.ndarray):
+    ``some`` takes documents and numbers of lines, and tells which of them are wanted.
+    """
+
+    def __init__(self, texts: pa.Array, counts: np.ndarray | None = None, some: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None):
         lists = pc.split_pattern(texts, "\n")
         at = lists.offsets.to_numpy().astype(np.int64)
         doc = owners(at - at[0])
         number = np.arange(len(doc)) - (at - at[0])[doc]
-        vocabulary, codes, ends = words(lists.flatten())
+        text = lists.flatten()
+        if some is not None:
+            wanted = np.flatnonzero(some(doc, number))
+            text, doc, number = text.take(pa.array(wanted)), doc[wanted], number[wanted]
+        vocabulary, codes, ends = words(text)
         hashed = hash_strings(vocabulary)
-        count = counts[(hashed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
-        order = np.lexsort((hashed, count))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        width = max(1, len(order))
-        (unique,) = _distinct(owners(ends) * width + rank[codes])
-        line = unique // width
-        self.tokens, self.count = hashed[order][unique % width], count[order][unique % width]
+        self.slot = (hashed >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        self.times = np.bincount(codes, minlength=len(hashed))
+        width = max(1, len(hashed))
+        if counts is not None:
+            count = counts[self.slot]
+            order = np.lexsort((hashed, count))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            codes, hashed, count = rank[codes], hashed[order], count[order]
+        (unique,) = _distinct(owners(ends) * width + codes)
+        line, token = unique // width, unique % width
+        self.tokens = hashed[token]
+        if counts is not None:
+            self.count = count[token]
         n = np.bincount(line, minlength=len(doc))
         full = n > 0
         self.doc, self.number, self.n = doc[full], number[full], n[full]
         self.at = np.concatenate([[0], np.cumsum(self.n)])
-        raw = b"".join(hashlib.blake2b(self.tokens[a:b].tobytes(), digest_size=16).digest() for a, b in zip(self.at[:-1], self.at[1:]))
-        self.keys = np.frombuffer(raw, np.uint64).reshape(-1, 2).copy()
-        self.keys[:, 1] &= np.uint64(2**62 - 1)
-        #: Name of a line in two halves of 64 and 62 bits, of which the first also holds its length.
-        self.names = (np.minimum(self.n, _N_MOST) << _N_SHIFT) | (self.keys[:, 0] & np.uint64(2**_N_SHIFT - 1)).astype(np.int64)
-        self.more = self.keys[:, 1].astype(np.int64)
+        first, more = (np.add.reduceat(mix(hashed ^ c)[token], self.at[:-1]) if len(self.n) else hashed[:0] for c in (_A, _B))  # in any order of tokens
+        #: Name of a line in two halves of 63 and 62 bits, of which the first also holds its length.
+        self.names = (np.minimum(self.n, _N_MOST) << _N_SHIFT) | (mix(first) & np.uint64(2**_N_SHIFT - 1)).astype(np.int64)
+        self.more = (mix(more) & np.uint64(2**62 - 1)).astype(np.int64)
 
     def places(self, docs: pa.Array, rests: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Document (two words) and the rest of the place: the order of age."""
@@ -122,23 +140,28 @@ def _structs(docs: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.StructArray.from_arrays([_decimals(docs), pa.array(at)], names=["doc", "at"])
 
 
-def token_counts(docs: DataFrame) -> np.ndarray:
-    """Occurrences of all words of all texts in ``2 ** SLOT_BITS`` slots of their hash."""
+def _read(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(name, more, place) of every line, and the occurrences of all words in ``2 ** SLOT_BITS`` slots of their hash."""
 
-    def count(batches):
+    def read(batches):
         total = np.zeros(2**SLOT_BITS, np.int64)
         for part in slices(batches, "text"):
-            vocabulary, codes, _ = words(plain(part.column("text")))
-            slot = (hash_strings(vocabulary) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-            total += np.bincount(slot, np.bincount(codes, minlength=len(slot)), minlength=2**SLOT_BITS).astype(np.int64)
+            lines = Lines(plain(part.column("text")))
+            total += np.bincount(lines.slot, lines.times, minlength=2**SLOT_BITS).astype(np.int64)
+            place = _structs(*lines.places(part.column("doc"), part.column("rest")))
+            none = pa.nulls(len(place), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(lines.names), pa.array(lines.more), place, none, none], names=names)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["slot", "n"])
+        none = pa.nulls(len(some), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(some), _PLACE_ARROW), pa.array(some), pa.array(total[some])], names=names)
         release()
 
-    found = docs.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(2**SLOT_BITS, np.int64)
-    out[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    return out
+    names = ["name", "more", "place", "slot", "n"]
+    kept = written(docs.select("doc", "rest", "text").mapInArrow(read, f"name long, more long, place {_PLACE}, slot long, n long"), "lines-places")
+    found = kept.where("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(2**SLOT_BITS, np.int64)
+    counts[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return kept.where("name is not null").select("name", "more", "place"), counts
 
 
 def _first_of(keys: tuple[np.ndarray, ...], age: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -155,18 +178,21 @@ def _postings(lines: Lines, doc_ids: np.ndarray) -> tuple[np.ndarray, ...]:
     """(bucket, name, more, rest, bits) for every bucket of every line that can match an unequal one.
 
     The bucket's low bits hold whether three tokens made it, and the power of two of its salts; ``rest`` holds age (as far
-    as 24 bits tell it), the position of the bucket's last token, and the first 32 of the 96 bits of the tokens' bitmap.
+    as 24 bits tell it), the position of the bucket's last token, and the first 32 of the 96 parities of the tokens' bitmap. Those
+    of two sets differ in no more places than the sets in tokens, whatever their lengths. A token that occurs once makes no bucket.
     """
     place = (lines.tokens & np.uint64(2**32 - 1)) * np.uint64(96) >> np.uint64(32)
     low = np.where(place < 32, np.uint64(1) << (place & np.uint64(31)), np.uint64(0)).astype(np.int64)
     high = np.where(place >= 32, np.uint64(1) << (place & np.uint64(63)), np.uint64(0)).astype(np.int64)  # 32..95: each bit once
-    bitmap, bits = (np.bitwise_or.reduceat(b, lines.at[:-1]) if len(lines.n) else b[:0] for b in (low, high))
+    bitmap, bits = (np.bitwise_xor.reduceat(b, lines.at[:-1]) if len(lines.n) else b[:0] for b in (low, high))
     age = np.maximum(doc_ids, 0).astype(np.float32).view(np.int32).astype(np.int64)[lines.doc] >> 7
     rest = (age << 39) | bitmap
     oldest = _first_of((lines.names, lines.more), (age,))  # copies of a line within the slice stand behind their oldest
     found: list[tuple] = []
 
     def put(line, hashed, position, count, three):
+        met = count > 1
+        line, hashed, position, count = line[met], hashed[met], position[met], count[met]
         salts = np.ceil(np.log2(np.maximum(1, -(-count // HOT_ROWS)))).astype(np.int64)
         bucket = (mix(hashed).astype(np.int64) & ~np.int64(63)) | (salts << 1) | three
         found.append((bucket, lines.names[line], lines.more[line], rest[line] | (np.minimum(position, _POS_MOST) << 32), bits[line]))
@@ -212,56 +238,77 @@ def _passes_sql(a: str, b: str) -> Column:
     """)
 
 
-def _walk(batches):
-    """Over rows sorted by (bucket, salt, name, more, rest): marked rows for the join, and candidate pairs. A pair has no
-    bucket; (name, more) and (rest, bits) are its two lines.
-
-    Keeps the last ``WINDOW + 1`` rows of a bucket from one batch to the next.
+def _oldest(name, rest, bits, bucket, k) -> tuple[np.ndarray, ...]:
+    """For different lines sorted by bucket and length, with their place in the bucket: the number of candidates that may be older, the oldest
+    of them, whether the row is one of another's, and whether rows beyond the window may be candidates too."""
+    n, age, length = len(name), (rest & _AGE) >> 39, name >> _N_SHIFT
+    found, best, who, met, far = np.zeros(n, np.int64), np.full(n, 1 << 62), np.zeros(n, np.int64), np.zeros(n, bool), np.zeros(n, bool)
+    at = np.arange(n)
+    for d in range(1, WINDOW + 2):
+        at = at[k[at] >= d]
+        at = at[length[at - d] * OF >= length[at] * SIMILAR]  # rows before are shorter still
+        if not len(at):
+            break
+        if d > WINDOW:
+            far[at] = far[at - d] = True
+            break
+        b = at[_passes(name[at], name[at - d], rest[at], rest[at - d], bits[at], bits[at - d], bucket[at])]
+        for new, old in ((b, b - d), (b - d, b)):
+            older = age[old] <= age[new]  # of equal age, as far as it is known: either may be
+            new, old = new[older], old[older]
+            found[new] += 1
+            met[old] = True
+            better = age[old] < best[new]
+            best[new[better]], who[new[better]] = age[old[better]], old[better]
+    return found, who, met, far
+
+
+def _walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by bucket: marked rows for the join, and candidate pairs. A pair has no bucket; (name, more) and (rest, bits) are its two lines. The sign of a marked row's ``rest`` tells that it has candidates
+    which were not put out; other marked rows are such candidates.
+
+    Whole buckets are looked at together; of one that exceeds ``HOT_ROWS``, so many rows at once, and all of them are marked.
     """
-    held = [np.zeros(0, np.int64) for _ in range(8)]  # the columns, place in the bucket, and whether it was put out
-    for batch in batches:
-        own = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        back = len(held[0])
-        bucket, salt, name, more, rest, bits = (np.concatenate(x) for x in zip(held, own))
-        same = np.zeros(len(bucket), bool)
-        same[1:] = (bucket[1:] == bucket[:-1]) & (salt[1:] == salt[:-1])
-        copy = np.zeros(len(bucket), bool)
-        copy[1:] = same[1:] & (name[1:] == name[:-1]) & (more[1:] == more[:-1])  # younger copies of a line
-        bucket, salt, name, more, rest, bits, same = (x[~copy] for x in (bucket, salt, name, more, rest, bits, same))
-        n = len(bucket)
-        if n == back:
+    held, cut = [np.zeros(0, np.int64) for _ in range(6)], None  # ``cut``: the bucket that goes on from what was looked at
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            held = [np.concatenate([x, c.to_numpy(zero_copy_only=False)]) for x, c in zip(held, batch.columns)]
+        total = len(held[0])
+        if not total or batch is not None and total < STEP:
+            continue
+        stop = total if batch is None else int(np.searchsorted(held[0], held[0][-1]))
+        last = None
+        if total - stop >= HOT_ROWS:
+            stop, last = total, held[0][-1]
+        if not stop:
             continue
-        start = np.maximum.accumulate(np.where(same, 0, np.arange(n)))
-        k = np.arange(n) - start
-        if back:
-            k[start == 0] += held[6][0]
-        at, given, marked = np.arange(back, n), np.zeros(n, np.int64), np.zeros(n, bool)
-        pairs = [(np.zeros(0, np.int64),) * 4]
-        for d in range(1, WINDOW + 1):
-            at = at[k[at] >= d]
-            if not len(at):
-                break
-            some = at[_passes(name[at], name[at - d], rest[at], rest[at - d], bits[at], bits[at - d], bucket[at])]
-            free = given[some] < PARTNERS
-            put, kept = some[free], some[~free]
-            given[put] += 1
-            a, b = put - d, put  # in the order of (name, more)
-            pairs.append((name[a], more[a], name[b], more[b]))
-            marked[kept] = marked[kept - d] = True
-        far = np.arange(back, n)
-        far = far[k[far] > WINDOW]
-        marked[far] = marked[far - WINDOW - 1] = True
-        marked[back:] |= (bucket[back:] >> 1 & 31) > 0  # other salts have rows of the bucket too
-        done = np.concatenate([held[7].astype(bool), np.zeros(n - back, bool)])
-        row = np.flatnonzero(marked & ~done)
-        pairs = _distinct(*(np.concatenate(c) for c in zip(*pairs)))
+        bucket = held[0][:stop]
+        group = np.cumsum(np.append(True, bucket[1:] != bucket[:-1]))
+        # By bucket, length, and 28 bits of the name; salts of a bucket that meet in a task may as well be held against each other.
+        order = np.argsort(group << 37 | held[2][:stop] >> (_N_SHIFT - 28), kind="stable")
+        bucket, name, more, rest, bits = (held[c][:stop][order] for c in (0, 2, 3, 4, 5))
+        held = [x[stop:].copy() for x in held]
+        own = np.append(True, (bucket[1:] != bucket[:-1]) | (name[1:] != name[:-1]) | (more[1:] != more[:-1]))
+        rest = np.minimum.reduceat(rest, np.flatnonzero(own))  # copies of a line differ in age: they stand behind their oldest
+        bucket, name, more, bits = (x[own] for x in (bucket, name, more, bits))
+        start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        size = np.diff(np.append(start, len(bucket)))
+        found, who, met, seeks = _oldest(name, rest, bits, bucket, np.arange(len(bucket)) - np.repeat(start, size))
+        seeks |= (bucket >> 1 & 31) > 0  # other salts have rows of the bucket too
+        for part in {cut, last} - {None}:
+            seeks |= bucket == part
+        cut = last
+        seeks |= found > 1
+        row = np.flatnonzero(seeks | met & np.repeat(np.logical_or.reduceat(seeks, start), size))
+        new = np.flatnonzero(found)
+        a, b = np.minimum(new, who[new]), np.maximum(new, who[new])  # in the order of (name, more)
+        pairs = _distinct(name[a], more[a], name[b], more[b])
+        marked = name[row], more[row], np.where(seeks[row], rest[row] | ~_AGE, rest[row]), bits[row]
         no = np.concatenate([np.ones(len(pairs[0]), bool), np.zeros(len(row), bool)])
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([np.zeros(len(pairs[0]), np.int64), bucket[row]]), mask=no),
-            *(pa.array(np.concatenate([pairs[c], x[row]])) for c, x in enumerate((name, more, rest, bits))),
+            *(pa.array(np.concatenate(x)) for x in zip(pairs, marked)),
         ], names=["bucket", "name", "more", "rest", "bits"])
-        tail = max(start[-1], n - WINDOW - 1)
-        held = [x[tail:].copy() for x in (bucket, salt, name, more, rest, bits, k, (marked | done).astype(np.int64))]
     release()
 
 
@@ -276,15 +323,12 @@ def _matches(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def later_matches(docs: DataFrame) -> DataFrame:
     """(doc, rest, line) of every line of (doc, rest, doc_id, text) that matches an earlier one."""
-    counts = docs.sparkSession.sparkContext.broadcast(token_counts(docs))  # 2 ** SLOT_BITS counters
-
-    def places(batch):
-        lines = Lines(plain(batch.column("text")), counts.value)
-        return pa.RecordBatch.from_arrays([_decimals(lines.keys), _structs(*lines.places(batch.column("doc"), batch.column("rest")))], names=["key", "place"])
-
-    every = written(map_slices(docs.select("doc", "rest", "text"), "text", places, f"key decimal(38,0), place {_PLACE}"), "lines-places")
-    oldest = every.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    copies = adaptive_join(every, oldest, ["key"], "inner").where("place <> first").select("place")
+    every, total = _read(docs)
+    counts = docs.sparkSession.sparkContext.broadcast(total)  # 2 ** SLOT_BITS counters
+    line_key = ["name", "more"]
+    again = written(_named(every, every.groupBy("name").count().where("count > 1").select("name")), "lines-again")
+    oldest = again.groupBy(*line_key).agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    copies = adaptive_join(again, oldest, line_key, "inner").where("place <> first").select("place")
 
     def postings(batch):
         lines = Lines(plain(batch.column("text")), counts.value)
@@ -294,45 +338,58 @@ def later_matches(docs: DataFrame) -> DataFrame:
     kind = "bucket long, name long, more long, rest long, bits long"
     rows = map_slices(docs.select("doc_id", "text"), "text", postings, kind)
     salt = F.expr("pmod(hash(name), cast(shiftleft(1, cast(shiftright(bucket, 1) & 31 as int)) as int))").cast("long")
-    line = ["bucket", "salt", "name", "more", "rest"]
-    dealt = rows.withColumn("salt", salt).repartition("bucket", "salt").sortWithinPartitions(*line).select(*line, "bits")
+    dealt = rows.withColumn("salt", salt).repartition("bucket", "salt").sortWithinPartitions("bucket").select("bucket", "salt", "name", "more", "rest", "bits")
     walked = written(dealt.mapInArrow(_walk, kind), "lines-walked")
 
     both = ["name_a", "more_a", "name_b", "more_b"]
     first = written(walked.where("bucket is null").select("name", "more", "rest", "bits").toDF(*both).distinct(), "lines-pairs")
-    near = written(_matches(first, _sets(docs, first, counts)), "lines-matches")
+    near = written(_matches(first, _sets(docs, first, every)), "lines-matches")
     crowd = walked.where("bucket is not null")
-    open_ = adaptive_join(crowd, near.select("name", "more").distinct(), ["name", "more"], "left_anti")
+    open_ = adaptive_join(crowd.where("rest < 0"), near.select(*line_key).distinct(), line_key, "left_anti")
     u, v = open_.alias("u"), crowd.alias("v")
-    older = F.expr("shiftright(v.rest, 39) <= shiftright(u.rest, 39)")
+    older = F.expr(f"(shiftright(v.rest, 39) & {_AGE >> 39}L) <= (shiftright(u.rest, 39) & {_AGE >> 39}L)")
     second = u.join(v, F.expr("u.bucket = v.bucket") & _passes_sql("u", "v") & older)
     ends = [F.struct(f"{x}.name", f"{x}.more") for x in "uv"]
     second = second.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).select("a.name", "a.more", "b.name", "b.more").toDF(*both).distinct()
     second = written(second.join(first, both, "left_anti"), "lines-pairs")
     if not second.isEmpty():
-        near = near.unionByName(_matches(second, _sets(docs, second, counts)))
+        near = near.unionByName(_matches(second, _sets(docs, second, every)))
     gone = copies.unionByName(near.select("place")).distinct().select("place.doc", "place.at")
     return gone.select("doc", F.expr(f"at & {~(2**32 - 1)}L").alias("rest"), F.expr(f"at & {2**32 - 1}L").cast("int").alias("line"))
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, counts) -> DataFrame:
-    """(name, more, tokens, place) of every set whose name is in the pairs, with its oldest place."""
-    wanted = written(pairs.select(F.explode(F.array("name_a", "name_b")).alias("name")).distinct(), "lines-wanted")
-    filled = docs.sparkSession.sparkContext.broadcast(slots(wanted, F.shiftleft("name", 64 - _N_SHIFT), FILTER_BITS))
+def _named(every: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows of all lines that have one of the names, and a few more: told by a filter instead of a join."""
+    filled = every.sparkSession.sparkContext.broadcast(slots(names, F.shiftleft("name", 64 - _N_SHIFT), FILTER_BITS))  # the hashed part
+
+    def some(batches):
+        for batch in batches:
+            name = batch.column("name").to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(in_slots(filled.value, name << (64 - _N_SHIFT), FILTER_BITS)))
+
+    return every.mapInArrow(some, every.schema)
+
+
+def _sets(docs: DataFrame, pairs: DataFrame, every: DataFrame) -> DataFrame:
+    """(name, more, tokens, place) of every set that is named in the pairs, with its oldest place."""
+    line = ["name", "more"]
+    names = pairs.select(F.col("name_a").alias("name")).unionByName(pairs.select(F.col("name_b").alias("name")))
+    wanted = written(_named(every, names).groupBy(*line).agg(F.min("place").alias("place")).select("place"), "lines-wanted")
+    # What tells documents apart, and above it, spread, what tells their lines apart.
+    key = F.expr(f"xxhash64(place.doc) ^ shiftleft((place.at & {2**32 - 1}L) * {_LINE}L, 24)")
+    filled = docs.sparkSession.sparkContext.broadcast(slots(wanted, key, FILTER_BITS))
 
     def find(batch):
-        lines = Lines(plain(batch.column("text")), counts.value)
-        doc, line = lines.places(batch.column("doc"), batch.column("rest"))
-        some = in_slots(filled.value, lines.names << (64 - _N_SHIFT), FILTER_BITS)  # by the hashed part of the name
-        some = np.flatnonzero(some & _first_of((lines.keys[:, 0], lines.keys[:, 1]), (line, doc[:, 0], doc[:, 1])))
-        n = lines.n[some]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        at = np.repeat(lines.at[:-1][some], n) + np.arange(ends[-1]) - np.repeat(ends[:-1], n)
-        tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lines.tokens[at].view(np.int64)))
-        return pa.RecordBatch.from_arrays([pa.array(lines.names[some]), pa.array(lines.more[some]), tokens, _structs(doc[some], line[some])], names=["name", "more", "tokens", "place"])
-
-    made = map_slices(docs.select("doc", "rest", "text"), "text", find, f"name long, more long, tokens array<long>, place {_PLACE}")
-    return written(made.groupBy("name", "more").agg(F.first("tokens").alias("tokens"), F.min("place").alias("place")), "lines-sets")
+        marks = batch.column("mark").to_numpy(zero_copy_only=False).astype(np.uint64)
+        some = lambda doc, number: in_slots(filled.value, marks[doc] ^ ((number.astype(np.uint64) * np.uint64(_LINE)) << np.uint64(24)), FILTER_BITS)
+        lines = Lines(plain(batch.column("text")), some=some)
+        tokens = pa.ListArray.from_arrays(pa.array(lines.at, pa.int32()), pa.array(lines.tokens.view(np.int64)))
+        place = _structs(*lines.places(batch.column("doc"), batch.column("rest")))
+        return pa.RecordBatch.from_arrays([pa.array(lines.names), pa.array(lines.more), tokens, place], names=["name", "more", "tokens", "place"])
+
+    read = docs.select("doc", "rest", F.xxhash64("doc").alias("mark"), "text")
+    made = map_slices(read, "text", find, f"name long, more long, tokens array<long>, place {_PLACE}")
+    return written(made.groupBy(*line).agg(F.first("tokens").alias("tokens"), F.min("place").alias("place")), "lines-sets")
 
 
 def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -202,6 +202,32 @@ def test_lines_whose_names_clash_are_still_compared():
     assert got == [(None, name, 1, name, 2)]
 
 
+def walked(rows):
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["bucket", "salt", "name", "more", "rest", "bits"])
+    return [tuple(r.values()) for out in line_dedup._walk([batch]) for r in out.to_pylist()]
+
+
+def test_pairs_of_a_crowd_grow_with_its_lines():
+    """Of 400 lines that may all match each other, each is paired with the oldest only; the others are told by marked rows."""
+    rows = [(64, 0, 20 << line_dedup._N_SHIFT | k, k, (400 - k) << 39, 0) for k in range(400)]
+    got = walked(rows)
+    pairs = [r for r in got if r[0] is None]
+    assert len(pairs) == 399 and all(r[3] == rows[399][2] for r in pairs)
+    assert sum(r[0] == 64 for r in got) == 400 and sum(r[0] == 64 and r[3] < 0 for r in got) == 398  # the two oldest have no further candidate
+
+
+def test_long_lines_without_common_words_are_no_candidates(docs):
+    """The bitmap tells long lines apart: its parities do not fill up as its bits would."""
+    draw = random.Random(4)
+    lines = [" ".join(["shared", *(f"w{draw.randrange(10**9)}" for _ in range(140))]) for _ in range(30)]
+    made = line_dedup.Lines(pa.array(lines), np.full(2**line_dedup.SLOT_BITS, 2))
+    bucket, name, _, rest, bits = line_dedup._postings(made, np.arange(30))
+    _, first = np.unique(name, return_index=True)
+    a, b = np.triu_indices(30, 1)
+    a, b = first[a], first[b]
+    assert line_dedup._passes(name[a], name[b], rest[a] & ~(127 << 32), rest[b] & ~(127 << 32), bits[a], bits[b], bucket[a] * 0).mean() < 0.05
+
+
 def brute_top(rows, k):
     usable = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
