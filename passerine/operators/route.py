@@ -136,7 +136,17 @@ def routing_name() -> Column:
 
 def route_events(payloads: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Add ``route``; a record appears once per route listing its event, else once as ``unmatched``."""
-    per_name = catalogue.groupBy("event_name").agg(F.sort_array(F.collect_set("route")).alias("_routes"))
+    return route_by_name(payloads, routes_per_name(catalogue))
+
+
+def routes_per_name(catalogue: DataFrame) -> DataFrame:
+    """(event_name, _routes): the routes that list each event name, a row per name."""
+    return catalogue.groupBy("event_name").agg(F.sort_array(F.collect_set("route")).alias("_routes"))
+
+
+def route_by_name(payloads: DataFrame, per_name: DataFrame) -> DataFrame:
+    """:func:`route_events` by ``routes_per_name``. Where that is read from a written table, its size is known before the payloads
+    are dealt, so that Spark need not shuffle them for a small one."""
     named = once(payloads, event_name=routing_name())
     joined = adaptive_join(named, per_name, ["event_name"])
     routes = F.coalesce(F.col("_routes"), F.array(F.lit("unmatched")))

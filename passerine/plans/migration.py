@@ -44,7 +44,8 @@ def retention_job(payloads: DataFrame, invalid_mpns: DataFrame, retained_out: Da
 def splitter_job(payloads: DataFrame, catalogue: DataFrame, partial: DataFrame, lookups: DataFrame, as_of: dt.date, country: str,
                  stage: Stage = inline) -> dict[str, DataFrame]:
     """registration, blocked (partial retention), clickstream, clt, other, unmatched."""
-    routed = stage(route.route_events(payloads, catalogue), "routed")
+    per_name = stage(route.routes_per_name(catalogue), "routes")
+    routed = stage(route.route_by_name(payloads, per_name), "routed")
     branch = lambda name: routed.filter(F.col("route") == name)
     fill = lambda df: enrich.consumer_id(enrich.fill_external_ids(df, lookups, country))
     keyed = lambda df: route.with_user_key(df)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks.registry import AS_OF, NOW, Inputs
 from checks.senders import fail_when_last_digit_in
 from passerine.operators import identity, joins, route, service_payloads, validate
+from passerine.payload import parse_payloads
 from passerine.plans import audience, delivery, migration, staging
 from passerine.sinks import writers
 from passerine.sources import readers
@@ -193,6 +194,23 @@ def test_staged_splitter_equals_inline(spark, sf_dir, tmp_path):
     assert {k: v.count() for k, v in inline.items()} == {k: v.count() for k, v in staged.items()}
 
 
+def test_splitter_does_not_shuffle_payloads_to_find_their_routes(spark, tmp_path):
+    """The names' routes are a written table, so that a small one is met without dealing the payloads by name."""
+    plans, write = {}, staging.table_stage(spark, str(tmp_path), ["route"])
+
+    def stage(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    texts = spark.createDataFrame([('{"type": "track", "event": "E", "messageId": "m"}',), ('{"type": "track", "event": "x", "messageId": "n"}',)], "raw_payload string")
+    reference = spark.createDataFrame([("E", "Email CLT", "NULL", "NULL")], "eventName string, eventCategory string, eventNameAlias string, gacaEventName string")
+    partial = spark.createDataFrame([], "user_id string")
+    known = spark.createDataFrame([], "user_key string, email string, sourceId string, marketingProgramNumber string")
+    out = migration.splitter_job(parse_payloads(texts), route.event_catalogue(reference), partial, known, AS_OF, "ZZ", stage)
+    assert "hashpartitioning" not in plans["routed"] and "BroadcastHashJoin" in plans["routed"]
+    assert [r.raw_payload for r in out["unmatched"].collect()] == ['{"type": "track", "event": "x", "messageId": "n"}']
+
+
 def test_delta_mode_keeps_the_latest_event(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     refs = {"aliases": i.crs_aliases, "segment_sources": i.crs_source.select("segment_source_id", F.col("source_id").alias("pg_data_source_id")),
