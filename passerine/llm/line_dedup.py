@@ -6,14 +6,15 @@ similarity t or more share a token among their first n - ceil(t n) + 1. Short li
 met by three tokens instead of one: similar lines share three among the first n - ceil(t n) + 3. Candidates then pass the
 length filter, the positional filter and a filter on a bitmap of the tokens before the sets themselves are compared.
 
-No bucket of a token is expanded into all its pairs. Rows are sorted by bucket and name, and a task walks over them, holding
+Buckets are dealt into parts of bounded size, and shuffled as one row for each part that a slice of texts has rows for. No
+bucket of a token is expanded into all its pairs. A part's rows are sorted by bucket and name, and a task walks over them, holding
 each line against the ``WINDOW`` before it in its bucket, as far as their lengths allow a match. A line needs one earlier
 match to go, so of a row's candidates only the oldest is put out: pairs grow with the lines, not with the square of a group
 of near copies. Rows with further candidates, or whose bucket exceeds the window, are marked. What is verified so settles
 most lines of such groups. Only those that are still unsettled are joined with the other marked rows of their bucket, so no
 match is lost. Buckets that the counters show to be hot are salted.
 
-Whole texts are read twice: once for the counters and the places of all lines, once for the buckets. The sets to compare are
+Whole texts are read twice: once for the counters and the names of all lines, once for the buckets. The sets to compare are
 read from the places of the candidates alone.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ SLOT_BITS, FILTER_BITS, HOT_ROWS = 18, 25, 1 << 17
 SHORT = 12
 #: Rows of a bucket that a row is held against, and rows that a task looks at together.
 WINDOW, STEP = 512, 1 << 16
+#: Rows that a part of the buckets has at most, about; counters in a row of the rarity table.
+PART_ROWS, CHUNK = 1 << 19, 1 << 12
 
 _LEAST = 4  # fewer tokens match equal sets only
 _WIDEST = SHORT * OF // SIMILAR  # the longest line that a short one can match
@@ -140,28 +144,55 @@ def _structs(docs: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.StructArray.from_arrays([_decimals(docs), pa.array(at)], names=["doc", "at"])
 
 
-def _read(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(name, more, place) of every line, and the occurrences of all words in ``2 ** SLOT_BITS`` slots of their hash."""
+def _most_postings(n: np.ndarray) -> np.ndarray:
+    """How many buckets lines of n tokens are put into at most."""
+    return np.where(n > SHORT, n - _overlap_least(n) + 1, 0) + _THREES[np.minimum(n, _WIDEST + 1)]
+
+
+_THREES = np.array([comb(n - int(_overlap_least(np.int64(n))) + 3, 3) if _LEAST <= n <= _WIDEST else 0 for n in range(_WIDEST + 2)])
+
+
+def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the rows of each chunk of counters."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
+            total[chunk] = total.get(chunk, 0) + np.frombuffer(counts.as_buffer(), np.int64)
+    yield _chunks(total)
+
+
+def _chunks(total: dict[int, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["chunk", "counts"])
+
+
+def _read(docs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
+    """(doc_id, doc, rest, name, more, number) of every document, the last three with an element for each line with words;
+    the occurrences of all words in ``2 ** SLOT_BITS`` slots of their hash; and how many rows the buckets have at most."""
 
     def read(batches):
-        total = np.zeros(2**SLOT_BITS, np.int64)
+        total, most = np.zeros(2**SLOT_BITS, np.int64), 0
         for part in slices(batches, "text"):
             lines = Lines(plain(part.column("text")))
             total += np.bincount(lines.slot, lines.times, minlength=2**SLOT_BITS).astype(np.int64)
-            place = _structs(*lines.places(part.column("doc"), part.column("rest")))
-            none = pa.nulls(len(place), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(lines.names), pa.array(lines.more), place, none, none], names=names)
-        some = np.flatnonzero(total)
-        none = pa.nulls(len(some), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(some), _PLACE_ARROW), pa.array(some), pa.array(total[some])], names=names)
+            most += int(_most_postings(lines.n).sum())
+            at = pa.array(np.concatenate([[0], np.cumsum(np.bincount(lines.doc, minlength=part.num_rows))]), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, pa.array(x, t)) for x, t in ((lines.names, pa.int64()), (lines.more, pa.int64()), (lines.number, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names[:3]), *lists, *(pa.nulls(part.num_rows, t) for t in (pa.int32(), pa.binary()))], names=names)
+        counted = _chunks({-1: np.array([most])} | {k: x for k, x in enumerate(total.reshape(-1, CHUNK)) if x.any()})
+        none = pa.int64(), pa.decimal128(38), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32())
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(counted.num_rows, t) for t in none), *counted.columns], names=names)
         release()
 
-    names = ["name", "more", "place", "slot", "n"]
-    kept = written(docs.select("doc", "rest", "text").mapInArrow(read, f"name long, more long, place {_PLACE}, slot long, n long"), "lines-places")
-    found = kept.where("slot is not null").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(2**SLOT_BITS, np.int64)
-    counts[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    return kept.where("name is not null").select("name", "more", "place"), counts
+    names = ["doc_id", "doc", "rest", "name", "more", "number", "chunk", "counts"]
+    kind = "doc_id long, doc decimal(38,0), rest long, name array<long>, more array<long>, number array<int>, chunk int, counts binary"
+    kept = written(docs.select("doc_id", "doc", "rest", "text").mapInArrow(read, kind), "lines-names")
+    counted = kept.where("chunk is not null").select("chunk", "counts")
+    found = {r.chunk: np.frombuffer(r.counts, np.int64) for r in counted.mapInArrow(_added, counted.schema).repartition("chunk").mapInArrow(_added, counted.schema).collect()}
+    most = int(found.pop(-1, np.zeros(1, np.int64))[0])
+    counts = np.zeros((2**SLOT_BITS // CHUNK, CHUNK), np.int64)
+    for chunk, times in found.items():
+        counts[chunk] = times
+    return kept.where("chunk is null").drop("chunk", "counts"), counts.ravel(), most
 
 
 def _first_of(keys: tuple[np.ndarray, ...], age: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -213,6 +244,37 @@ def _postings(lines: Lines, doc_ids: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+_ROW = ["bucket", "name", "more", "rest", "bits"]
+
+
+def _packed(found: tuple[np.ndarray, ...], parts: int) -> pa.RecordBatch:
+    """(part, rows): the postings of each part, five numbers a row. All rows of a bucket and salt are of one part."""
+    bucket, name = (x.view(np.uint64) for x in found[:2])
+    salts = np.uint64(1) << (bucket >> np.uint64(1) & np.uint64(31))
+    part = (mix(bucket + (mix(name) & (salts - np.uint64(1))) * _ONE) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    order = np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")
+    rows = np.stack(found, axis=1)[order]
+    size = np.bincount(part.astype(np.int64), minlength=parts)
+    some = np.flatnonzero(size)
+    ends = np.concatenate([[0], np.cumsum(size[some])]) * (8 * len(_ROW))
+    packed = pa.Array.from_buffers(pa.large_binary(), len(some), [None, pa.py_buffer(ends), pa.py_buffer(rows)]).cast(pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), packed], names=["part", "rows"])
+
+
+def _unpacked(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """For rows sorted by part: the postings of each part, sorted by bucket."""
+    held, last = [], None
+    for batch in chain(batches, [None]):
+        for part, rows in zip(batch.column("part").to_pylist(), batch.column("rows")) if batch is not None else [(None, None)]:
+            if part != last and held:
+                whole = np.concatenate(held)
+                held = []
+                yield whole[np.argsort(whole[:, 0])]
+            last = part
+            if rows is not None:
+                held.append(np.frombuffer(rows.as_buffer(), np.int64).reshape(-1, len(_ROW)))
+
+
 def _passes(name_a, name_b, rest_a, rest_b, bits_a, bits_b, bucket):
     """Length, positional and bitmap filter for pairs of different lines of a bucket, on numpy arrays."""
     n, m = name_a >> _N_SHIFT, name_b >> _N_SHIFT
@@ -269,10 +331,10 @@ def _walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Whole buckets are looked at together; of one that exceeds ``HOT_ROWS``, so many rows at once, and all of them are marked.
     """
-    held, cut = [np.zeros(0, np.int64) for _ in range(6)], None  # ``cut``: the bucket that goes on from what was looked at
+    held, cut = [np.zeros(0, np.int64) for _ in _ROW], None  # ``cut``: the bucket that goes on from what was looked at
     for batch in chain(batches, [None]):
         if batch is not None:
-            held = [np.concatenate([x, c.to_numpy(zero_copy_only=False)]) for x, c in zip(held, batch.columns)]
+            held = [np.concatenate([x, batch.column(c).to_numpy(zero_copy_only=False)]) for x, c in zip(held, _ROW)]
         total = len(held[0])
         if not total or batch is not None and total < STEP:
             continue
@@ -285,8 +347,8 @@ def _walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = held[0][:stop]
         group = np.cumsum(np.append(True, bucket[1:] != bucket[:-1]))
         # By bucket, length, and 28 bits of the name; salts of a bucket that meet in a task may as well be held against each other.
-        order = np.argsort(group << 37 | held[2][:stop] >> (_N_SHIFT - 28), kind="stable")
-        bucket, name, more, rest, bits = (held[c][:stop][order] for c in (0, 2, 3, 4, 5))
+        order = np.argsort(group << 37 | held[1][:stop] >> (_N_SHIFT - 28), kind="stable")
+        bucket, name, more, rest, bits = (x[:stop][order] for x in held)
         held = [x[stop:].copy() for x in held]
         own = np.append(True, (bucket[1:] != bucket[:-1]) | (name[1:] != name[:-1]) | (more[1:] != more[:-1]))
         rest = np.minimum.reduceat(rest, np.flatnonzero(own))  # copies of a line differ in age: they stand behind their oldest
@@ -308,7 +370,14 @@ def _walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([
             pa.array(np.concatenate([np.zeros(len(pairs[0]), np.int64), bucket[row]]), mask=no),
             *(pa.array(np.concatenate(x)) for x in zip(pairs, marked)),
-        ], names=["bucket", "name", "more", "rest", "bits"])
+        ], names=_ROW)
+
+
+def _walk_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by part: what :func:`_walk` gives for each part."""
+    for rows in _unpacked(batches):
+        steps = (rows[k : k + STEP].T for k in range(0, len(rows), STEP))
+        yield from _walk(pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in step], names=_ROW) for step in steps)
     release()
 
 
@@ -321,25 +390,24 @@ def _matches(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return found.select(*(F.when(F.col("place_a") > F.col("place_b"), F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")).alias(c) for c in ("place", "name", "more")))
 
 
-def later_matches(docs: DataFrame) -> DataFrame:
-    """(doc, rest, line) of every line of (doc, rest, doc_id, text) that matches an earlier one."""
-    every, total = _read(docs)
+def later_matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc, rest, line) of every line of (doc, rest, doc_id, text) that matches an earlier one; and what :func:`_read` kept."""
+    every, total, most = _read(docs)
+    parts = -(-most // PART_ROWS) or 1
     counts = docs.sparkSession.sparkContext.broadcast(total)  # 2 ** SLOT_BITS counters
     line_key = ["name", "more"]
-    again = written(_named(every, every.groupBy("name").count().where("count > 1").select("name")), "lines-again")
+    again = written(_named(every, every.select(F.explode("name").alias("name")).groupBy("name").count().where("count > 1").select("name")), "lines-again")
     oldest = again.groupBy(*line_key).agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     copies = adaptive_join(again, oldest, line_key, "inner").where("place <> first").select("place")
 
     def postings(batch):
         lines = Lines(plain(batch.column("text")), counts.value)
         found = _postings(lines, batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["bucket", "name", "more", "rest", "bits"])
+        return _packed(found, parts)
 
-    kind = "bucket long, name long, more long, rest long, bits long"
-    rows = map_slices(docs.select("doc_id", "text"), "text", postings, kind)
-    salt = F.expr("pmod(hash(name), cast(shiftleft(1, cast(shiftright(bucket, 1) & 31 as int)) as int))").cast("long")
-    dealt = rows.withColumn("salt", salt).repartition("bucket", "salt").sortWithinPartitions("bucket").select("bucket", "salt", "name", "more", "rest", "bits")
-    walked = written(dealt.mapInArrow(_walk, kind), "lines-walked")
+    rows = map_slices(docs.select("doc_id", "text"), "text", postings, "part int, rows binary")
+    dealt = rows.repartition("part").sortWithinPartitions("part")
+    walked = written(dealt.mapInArrow(_walk_parts, ", ".join(f"{c} long" for c in _ROW)), "lines-walked")
 
     both = ["name_a", "more_a", "name_b", "more_b"]
     first = written(walked.where("bucket is null").select("name", "more", "rest", "bits").toDF(*both).distinct(), "lines-pairs")
@@ -355,19 +423,23 @@ def later_matches(docs: DataFrame) -> DataFrame:
     if not second.isEmpty():
         near = near.unionByName(_matches(second, _sets(docs, second, every)))
     gone = copies.unionByName(near.select("place")).distinct().select("place.doc", "place.at")
-    return gone.select("doc", F.expr(f"at & {~(2**32 - 1)}L").alias("rest"), F.expr(f"at & {2**32 - 1}L").cast("int").alias("line"))
+    return gone.select("doc", F.expr(f"at & {~(2**32 - 1)}L").alias("rest"), F.expr(f"at & {2**32 - 1}L").cast("int").alias("line")), every
 
 
 def _named(every: DataFrame, names: DataFrame) -> DataFrame:
-    """The rows of all lines that have one of the names, and a few more: told by a filter instead of a join."""
+    """(name, more, place) of all lines that have one of the names, and a few more: told by a filter instead of a join."""
     filled = every.sparkSession.sparkContext.broadcast(slots(names, F.shiftleft("name", 64 - _N_SHIFT), FILTER_BITS))  # the hashed part
 
     def some(batches):
         for batch in batches:
-            name = batch.column("name").to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(in_slots(filled.value, name << (64 - _N_SHIFT), FILTER_BITS)))
+            lists = batch.column("name")
+            name, more, number = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("name", "more", "number"))
+            met = np.flatnonzero(in_slots(filled.value, name << (64 - _N_SHIFT), FILTER_BITS))
+            doc = owners(lists.offsets.to_numpy())[met]
+            place = _structs(_decimal_words(batch.column("doc"))[doc], batch.column("rest").to_numpy(zero_copy_only=False)[doc] + number[met])
+            yield pa.RecordBatch.from_arrays([pa.array(name[met]), pa.array(more[met]), place], names=["name", "more", "place"])
 
-    return every.mapInArrow(some, every.schema)
+    return every.select("doc", "rest", "name", "more", "number").mapInArrow(some, f"name long, more long, place {_PLACE}")
 
 
 def _sets(docs: DataFrame, pairs: DataFrame, every: DataFrame) -> DataFrame:
@@ -401,9 +473,9 @@ def removed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     and text are one document: its lines match neither each other's copies nor go twice, and each row gets the same result.
     """
     docs = with_names(texts_of(df, id_col, text_col))
-    gone = later_matches(docs).groupBy("doc", "rest").agg(F.sort_array(F.collect_set("line")).alias("lines"))  # at most the document's lines
-    n_lines = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D][^\n]*")), F.lit(0)).cast("long")
-    sized = adaptive_join(docs.select("doc_id", "doc", "rest", n_lines.alias("n_lines")), gone, ["doc", "rest"])
+    found, every = later_matches(docs)
+    gone = found.groupBy("doc", "rest").agg(F.sort_array(F.collect_set("line")).alias("lines"))  # at most the document's lines
+    sized = adaptive_join(every.select("doc_id", "doc", "rest", F.size("name").cast("long").alias("n_lines")), gone, ["doc", "rest"])
     return sized.select("doc_id", "n_lines", F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(F.array_join("lines", ","), F.lit("")).alias("removed"))
 
 
@@ -412,7 +484,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
     Cases as in :func:`removed`; documents without words stay as they are. Columns of any name are carried along.
     """
-    gone = later_matches(with_names(texts_of(df, id_col, text_col))).groupBy("doc", "rest").agg(F.collect_set("line").alias("lines"))
+    gone = later_matches(with_names(texts_of(df, id_col, text_col)))[0].groupBy("doc", "rest").agg(F.collect_set("line").alias("lines"))
     held = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct("*").alias("row"))
     joined = adaptive_join(with_names(held).select("doc", "rest", "row"), gone, ["doc", "rest"]).select("row.*", "lines").toDF(*(f"c{k}" for k in range(len(df.columns) + 1)))  # names may clash
     names, place = df.columns, df.columns.index(text_col)

@@ -228,6 +228,35 @@ def test_long_lines_without_common_words_are_no_candidates(docs):
     assert line_dedup._passes(name[a], name[b], rest[a] & ~(127 << 32), rest[b] & ~(127 << 32), bits[a], bits[b], bucket[a] * 0).mean() < 0.05
 
 
+def test_buckets_are_shuffled_as_one_row_for_each_part(spark, docs, monkeypatch):
+    """Every document is one row of names, and a slice's postings one row for each part; a bucket's salt is in one part."""
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 8)
+    rows = line_rows(3) + [(None, None), (None, ""), (70, "\n \n")]
+    every, counts, most = line_dedup._read(line_dedup.with_names(docs(rows).select("doc_id", "text")))
+    assert sorted((str(r.doc_id), len(r.name)) for r in every.collect()) == sorted((str(i), sum(bool(WORD.search(x)) for x in (t or "").split("\n"))) for i, t in rows)
+    assert counts.sum() == sum(len(WORD.findall(t or "")) for _, t in rows)
+    made = line_dedup.Lines(pa.array([t for _, t in rows[:60]]), counts)
+    found = line_dedup._postings(made, np.arange(60))
+    assert 500 < len(found[0]) <= most and (found[0] >> 1 & 31).any()
+    packed = line_dedup._packed(found, 7)
+    assert packed.num_rows == 7 and packed.column("part").to_pylist() == list(range(7))
+    parts = list(line_dedup._unpacked([packed.slice(0, 3), packed.slice(3), packed.slice(0, 0)]))
+    assert len(parts) == 7 and all((np.diff(x[:, 0]) >= 0).all() for x in parts)
+    assert sorted(map(tuple, np.concatenate(parts).tolist())) == sorted(zip(*(x.tolist() for x in found)))
+    held = [set(x[x[:, 0] >> 1 & 31 == 0, 0].tolist()) for x in parts]
+    assert sum(map(len, held)) == len(set.union(*held))
+    lines = [set(zip(x[:, 0].tolist(), x[:, 1].tolist())) for x in parts]
+    assert sum(map(len, lines)) == len(set.union(*lines))
+
+
+def test_lines_in_many_parts_equal_brute_force(docs, monkeypatch):
+    """The result does not depend on how many parts the buckets are dealt into."""
+    monkeypatch.setattr(line_dedup, "PART_ROWS", 64)
+    rows = line_rows(11)
+    gone, _ = lines_gone(rows)
+    assert {(r.doc_id, int(k)) for r in line_dedup.removed(docs(rows)).collect() for k in r.removed.split(",") if k} == gone
+
+
 def brute_top(rows, k):
     usable = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
