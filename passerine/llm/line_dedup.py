@@ -42,8 +42,9 @@ SLOT_BITS, FILTER_BITS, HOT_ROWS = 18, 25, 1 << 17
 SHORT = 12
 #: Rows of a bucket that a row is held against, and rows that a task looks at together.
 WINDOW, STEP = 512, 1 << 16
-#: Rows that a part of the buckets has at most, about; counters in a row of the rarity table.
-PART_ROWS, CHUNK = 1 << 19, 1 << 12
+#: Rows that a part of the buckets has at most, about; and at least, if there are ``PARTS`` for each partition, so that these
+#: are even. Counters in a row of the rarity table.
+PART_ROWS, LEAST_ROWS, PARTS, CHUNK = 1 << 19, 1 << 14, 8, 1 << 12
 
 _LEAST = 4  # fewer tokens match equal sets only
 _WIDEST = SHORT * OF // SIMILAR  # the longest line that a short one can match
@@ -393,7 +394,8 @@ def _matches(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def later_matches(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc, rest, line) of every line of (doc, rest, doc_id, text) that matches an earlier one; and what :func:`_read` kept."""
     every, total, most = _read(docs)
-    parts = -(-most // PART_ROWS) or 1
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(most // PART_ROWS, min(PARTS * partitions, most // LEAST_ROWS)) + 1
     counts = docs.sparkSession.sparkContext.broadcast(total)  # 2 ** SLOT_BITS counters
     line_key = ["name", "more"]
     again = written(_named(every, every.select(F.explode("name").alias("name")).groupBy("name").count().where("count > 1").select("name")), "lines-again")
