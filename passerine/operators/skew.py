@@ -10,6 +10,9 @@ key.  Adaptive execution then sees the measured size of both sides and
 
 Without the hash, an aggregated right side would share the join's partitioning, and adaptive
 execution cannot split such a join.
+
+Before it has measured a side, Spark goes by the size of its files, and those of a table that a stage has written may
+be a hundredth of the rows in memory.  A right side that grows with the left one is therefore ``shuffled``.
 """
 
 from __future__ import annotations
@@ -23,8 +26,13 @@ from pyspark.sql import functions as F
 from passerine.session import shared_dir
 
 
-def adaptive_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Equi-join on same-named columns; ``how`` is inner, left, left_semi or left_anti."""
+def adaptive_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", shuffled: bool = False) -> DataFrame:
+    """Equi-join on same-named columns; ``how`` is inner, left, left_semi or left_anti.
+
+    With ``shuffled`` both sides are shuffled, whatever their guessed or measured size: neither goes through the driver.
+    """
+    if shuffled:
+        right = right.hint("merge")
     ltypes, rtypes = dict(left.dtypes), dict(right.dtypes)
     unequal = [k for k in on if ltypes[k] != rtypes[k]]
     digest = lambda side: F.xxhash64(*[F.col(k) if k not in unequal else F.col(f"_k_{k}") for k in on])

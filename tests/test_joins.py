@@ -5,6 +5,8 @@ import re
 
 from checks.registry import Inputs
 from passerine.operators import joins, route
+from passerine.plans import compression, staging
+from tests.helpers import payloads
 from tests.test_plans import plan_of
 
 
@@ -47,6 +49,37 @@ def test_traits_of_a_name_from_ecosystems_and_aliases(spark):
     assert sorted((r.consumerid_sourceid_mpn, r.traitId) for r in out.collect()) == [("p0", 1), ("p1", 2), ("p1", 3), ("p2", 5), ("p3", 6)]
 
 
+def identify(message, user, at, **traits):
+    own = {} if user is None else {"userId": user}
+    return {"type": "identify", "messageId": message, "originalTimestamp": at, "traits": {"marketingProgramNumber": "100", **traits}, **own}
+
+
+def staged_traits(spark, folder):
+    """Arguments of ``compress_traits`` over identities that a stage has written; m2 and m4 know their source from the user's other records only."""
+    rows = payloads(
+        spark, identify("m1", "u1", "2024-01-01", sourceId="5", consumerId="c1", gender="F"), identify("m2", "u1", "2024-01-02", gender="M"),
+        identify("m3", "u1", "2024-01-03", sourceId=5, consumerId="c2", gender=" ", sexAlias="M"), identify("m4", "u1", "2024-01-04", gender="M"),
+        identify("m5", "u2", "2024-01-05", gender="F"), identify("m6", None, "2024-01-06", gender="F"),
+        identify("m7", "u3", "2024-01-07", sourceId="9", consumerId="c3", gender="F"), identify("m8", "u1", "2024-01-08", sourceId="5", consumerId="c1", gender="F", other="F"),
+    )
+    identities = staging.table_stage(spark, str(folder))(compression.identity_rows(rows, ["100"], "100"), "identities")
+    eco = spark.createDataFrame([("gender", 1, 1), ("gender", 2, 4), ("gender", 8, 1)], "ecoTraitName string, traitId long, ecoSystemId long")
+    aliases = spark.createDataFrame([("sexAlias", 1)], "alias string, trait_id long")
+    traits = spark.createDataFrame([(1,), (2,)], "traitId long")
+    sources = spark.createDataFrame([("100", "5")], "mpn string, source_id string")
+    return identities, compression.compress_ids(identities), eco, aliases, traits, sources, "100"
+
+
+def test_neither_staged_leaves_nor_their_persons_go_through_the_driver(spark, tmp_path):
+    """A staged table is small by its files, not by its rows: no broadcast may rest on them."""
+    out = compression.compress_traits(*staged_traits(spark, tmp_path))
+    plan = plan_of(out, "simple")
+    assert "BuildLeft" not in plan and "BroadcastHashJoin [userId" not in plan and "SortMergeJoin [userId" in plan, plan
+    got = sorted((r.consumerid_sourceid_mpn, r.traitId, r.trait_value, r.trace_id) for r in out.collect())
+    newest = [("c1_5_100", "F", "m8"), ("c1_5_100", "M", "m4"), ("c2_5_100", "M", "m4")]
+    assert got == sorted((person, trait, value, trace) for person, value, trace in newest for trait in (1, 2))
+
+
 def test_users_are_joined_once_by_id_and_once_by_email(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     plan = plan_of(joins.canonical_user(i.users.drop("registration_date", "loaded_at"), i.merged_email, i.merged_user, i.unmerge, i.canon), "simple")
