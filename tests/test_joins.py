@@ -80,6 +80,23 @@ def test_neither_staged_leaves_nor_their_persons_go_through_the_driver(spark, tm
     assert got == sorted((person, trait, value, trace) for person, value, trace in newest for trait in (1, 2))
 
 
+def test_trait_resolution_of_staged_identities_trusts_no_size_of_files(spark, tmp_path):
+    """No threshold makes it gather leaves or persons; what a user's other records know is filled in, for each person of the user."""
+    identities, *others = staged_traits(spark, tmp_path)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8g")
+    try:
+        out = joins.trait_resolution(compression.trait_leaves(identities), *others)
+        plan = plan_of(out, "simple")
+        got = sorted((r.consumerid_sourceid_mpn, r.traitId, r.trait_value, r.trace_id) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BuildLeft" not in plan and "BroadcastHashJoin [userId" not in plan and "SortMergeJoin [userId" in plan, plan
+    both = [(person, trait, "M", trace) for person in ("c1_5_100", "c2_5_100") for trait in (1, 2) for trace in ("m2", "m4")]
+    own = [("c1_5_100", trait, "F", trace) for trait in (1, 2) for trace in ("m1", "m8")] + [("c2_5_100", 1, "M", "m3")]
+    assert got == sorted(both + own)
+
+
 def test_users_are_joined_once_by_id_and_once_by_email(spark, sf_dir):
     i = Inputs(spark, sf_dir)
     plan = plan_of(joins.canonical_user(i.users.drop("registration_date", "loaded_at"), i.merged_email, i.merged_user, i.unmerge, i.canon), "simple")

@@ -22,6 +22,17 @@ def test_mixed_types_match_as_in_a_plain_join(spark, left, right, how):
     assert got.columns[0] == "k" and dict(got.dtypes)["k"] == left[0]
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_shuffled_join_ships_neither_side(spark, how):
+    from tests.test_plans import plan_of
+
+    a = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, x string")
+    b = spark.createDataFrame([(1,), (3,), (None,)], "k int")
+    got = adaptive_join(a, b, ["k"], how, shuffled=True)
+    assert "Broadcast" not in plan_of(got, "simple")
+    assert sorted(map(str, got.collect())) == sorted(map(str, adaptive_join(a, b, ["k"], how).collect()))
+
+
 def test_running_totals_of_a_hot_key_over_many_ranges(spark):
     """A key with most rows, null keys and orders, equal rows: as a plain loop, with the hot key dealt over many tasks."""
     import random
